@@ -99,9 +99,8 @@ ExpectTableRowCountToEqualOtherTable
 
 def _snake(camel: str) -> str:
     s = camel[len("Expect"):] if camel.startswith("Expect") else camel
-    s = re.sub(r"(?<=[a-z0-9])([A-Z])", r"_\1", s).lower()
-    # Acronyms the regex above leaves glued: "KL", "Z" (scores).
-    return s.replace("kldivergence", "kl_divergence").replace("zscores", "z_scores")
+    s = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", s)
+    return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s).lower()
 
 
 KINDS: list[str] = [_snake(n) for n in EXPECTATION_TYPES]
