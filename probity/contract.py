@@ -255,6 +255,11 @@ def text_rule(table: str, col: str, text: str, tables: list[str], pks: dict[str,
     m = re.search(r'format\s+"([^"<]*)<\w+>"\s+where\s+<\w+>\s+(?:are|is)\s+numerics?', t, re.I)
     if m:
         return Check(table, "column_values_to_match_regex", (col,), {"regex": "^" + re.escape(m.group(1)) + r"\d+$"}), None
+    m = re.search(_NUM + r"\s*%\s+of\s+(\w+)\s+(?:must|should) be (less|greater) than\s+" + _NUM, t, re.I)
+    if m:
+        share, c, rel, bound = float(m.group(1)) / 100.0, m.group(2), m.group(3).lower(), float(m.group(4))
+        params = {"max_value": bound, "strict_max": True} if rel == "less" else {"min_value": bound, "strict_min": True}
+        return Check(table, "column_values_to_be_between", (c,), params, mostly=share, check_id=f"{table}:{c}:share"), None
     m = re.search(r"must exist in\s+([\w.]+)", t, re.I)
     if m:
         ref = m.group(1)
@@ -262,7 +267,7 @@ def text_rule(table: str, col: str, text: str, tables: list[str], pks: dict[str,
         if pt not in tables:
             return None, f"parent table {pt} is not in the contract"
         return Check(table, "foreign_key", (col,), {"parent_table": pt, "parent_columns": [pc]}, check_id=f"{table}:{col}:exists_in"), None
-    m = re.search(r"(\w+)\s+must be (later|greater|earlier|less) than( or equal to)?\s+(\w+)", t, re.I)
+    m = re.search(r"(\w+)\s+must be (later|greater|earlier|less) than( or equal to)?\s+([A-Za-z_]\w*)", t, re.I)
     if m:
         a, rel, eq, b = m.group(1), m.group(2).lower(), bool(m.group(3)), m.group(4)
         if rel in ("earlier", "less"):
@@ -283,11 +288,6 @@ def text_rule(table: str, col: str, text: str, tables: list[str], pks: dict[str,
         pat = f"%{suffix}" if m.group(1).lower() == "end" else f"{suffix}%"
         return Check(table, "column_values_to_match_like_pattern", (col,), {"like_pattern": pat},
                      check_id=f"{table}:{col}:{m.group(1).lower()}s_with"), None
-    m = re.search(_NUM + r"\s*%\s+of\s+(\w+)\s+(?:must|should) be (less|greater) than\s+" + _NUM, t, re.I)
-    if m:
-        share, c, rel, bound = float(m.group(1)) / 100.0, m.group(2), m.group(3).lower(), float(m.group(4))
-        params = {"max_value": bound, "strict_max": True} if rel == "less" else {"min_value": bound, "strict_min": True}
-        return Check(table, "column_values_to_be_between", (c,), params, mostly=share, check_id=f"{table}:{c}:share"), None
     return None, "text rule not understood"
 
 

@@ -487,3 +487,179 @@ def _types_sql(checks):
 
 
 _reg_expectations()
+
+
+# ================================================================== C01-C28
+
+
+def _text(table, col, sentence, tables=("orders", "lineitem", "customer", "events", "region", "nation", "part")):
+    chk, reason = text_rule(table, col, sentence, list(tables), {"customer": ["c_custkey"], "region": ["r_regionkey"],
+                                                               "orders": ["o_orderkey"]})
+    if chk is None:
+        raise ValueError(reason)
+    return chk
+
+
+def _reg_contract_rules():
+    # C1 required -> not null
+    c = Check("events", "column_values_to_not_be_null", "v", check_id="events:v:required")
+    register("C01", one("events", c, derive=_ev_v), row_sql(c.check_id, EV_V, "v IS NULL", "v IS NULL", all_rows=True))
+    # C2 unique (fails on l_orderkey, passes on o_orderkey)
+    c1 = Check("lineitem", "column_values_to_be_unique", "l_orderkey", check_id="lineitem:l_orderkey:field_unique")
+    c2 = Check("orders", "column_values_to_be_unique", "o_orderkey", check_id="orders:o_orderkey:field_unique")
+    register("C02", one("lineitem", [c1, c2], extra=("orders",)),
+             union_sql(_unique_sql(c1.check_id, "lineitem", ["l_orderkey"], "any"), _unique_sql(c2.check_id, "orders", ["o_orderkey"], "any")))
+    # C3 primary key: every part not null and the tuple unique
+    from probity.contract import load_contract
+
+    pk_contract = {"models": {"lineitem": {"primaryKey": ["l_orderkey", "l_linenumber"], "fields": {}}}}
+    pk_checks = load_contract(pk_contract).checks
+    register("C03", one("lineitem", pk_checks), union_sql(
+        row_sql("lineitem:l_orderkey:pk_not_null", "lineitem", "l_orderkey IS NULL", "l_orderkey IS NULL", all_rows=True),
+        row_sql("lineitem:l_linenumber:pk_not_null", "lineitem", "l_linenumber IS NULL", "l_linenumber IS NULL", all_rows=True),
+        _unique_sql("lineitem:l_orderkey+l_linenumber:primary_key", "lineitem", ["l_orderkey", "l_linenumber"], "all"),
+    ))
+    # C4 declared logical types (schema facts)
+    decl = {"o_orderkey": "integer", "o_custkey": "integer", "o_orderstatus": "string", "o_totalprice": "number",
+            "o_orderdate": "timestamp", "o_orderpriority": "integer"}
+    tc = [Check("orders", "column_values_to_be_of_type", col, {"type_": t}, check_id=f"orders:{col}:contract_type")
+          for col, t in decl.items()]
+    register("C04", one("orders", tc), _types_sql(tc))
+    # C5 maxLength
+    c = Check("documents", "column_value_lengths_to_be_between", "text", {"max_value": 1000}, check_id="documents:text:max_length")
+    register("C05", one("documents", c), row_sql(c.check_id, "documents", "NOT (length(text) <= 1000)", "text IS NULL"))
+    # C6 minimum / maximum
+    c = Check("lineitem", "column_values_to_be_between", "l_discount", {"min_value": 0, "max_value": 0.07},
+              check_id="lineitem:l_discount:contract_range")
+    register("C06", one("lineitem", c), row_sql(c.check_id, "lineitem", "NOT (l_discount >= 0 AND l_discount <= 0.07)", "l_discount IS NULL"))
+    # C7 enum; the second contract declares strings on an integer column
+    c1 = Check("orders", "column_values_to_be_in_set", "o_orderstatus", {"value_set": ["F", "O"]}, check_id="orders:o_orderstatus:enum")
+    c2 = Check("part", "column_values_to_be_in_set", "p_size", {"value_set": ["1", "2", "3", "4", "5", "x"]}, check_id="part:p_size:enum")
+    register("C07", one("orders", [c1, c2], extra=("part",)), union_sql(
+        row_sql(c1.check_id, "orders", "o_orderstatus NOT IN ('F', 'O')", "o_orderstatus IS NULL"),
+        row_sql(c2.check_id, "part", "p_size NOT IN (1, 2, 3, 4, 5)", "p_size IS NULL"),
+    ))
+    # C8 pattern
+    c = Check("part", "column_values_to_match_regex", "p_brand", {"regex": "^Brand#\\d{1}$"}, check_id="part:p_brand:pattern")
+    register("C08", one("part", c), row_sql(c.check_id, "part", "NOT regexp_matches(p_brand, '^Brand#\\d{1}$')", "p_brand IS NULL"))
+    # C9 accepted_values
+    segs = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"]
+    c = Check("customer", "column_values_to_be_in_set", "c_mktsegment", {"value_set": segs}, check_id="customer:c_mktsegment:accepted_values")
+    register("C09", one("customer", c), row_sql(c.check_id, "customer", f"c_mktsegment NOT IN ({_in(segs)})", "c_mktsegment IS NULL"))
+    # C10 regex on month text
+    c = Check("orders", "column_values_to_match_regex", "mtxt", {"regex": "^\\d{4}/\\d{2}$"}, check_id="orders:mtxt:rule_regex")
+    register("C10", one("orders", c, derive=_month_text),
+             row_sql(c.check_id, MONTH_TXT, "NOT regexp_matches(mtxt, '^\\d{4}/\\d{2}$')", "mtxt IS NULL"))
+    # C11 rule unique
+    c = Check("customer", "column_values_to_be_unique", "c_name", check_id="customer:c_name:rule_unique")
+    register("C11", one("customer", c), _unique_sql(c.check_id, "customer", ["c_name"], "any"))
+    # C12 referential integrity (lineitem -> orders holds; documents -> labels has orphans)
+    f1 = Check("lineitem", "foreign_key", "l_orderkey", {"parent_table": "orders", "parent_columns": ["o_orderkey"]})
+    f2 = Check("documents", "foreign_key", "doc_id", {"parent_table": "labels", "parent_columns": ["doc_id"]})
+    register("C12", one("lineitem", [f1, f2], extra=("orders", "documents", "labels")), union_sql(
+        _fk_sql(f1.check_id, "lineitem", "l_orderkey", "orders", "o_orderkey"),
+        _fk_sql(f2.check_id, "documents", "doc_id", "labels", "doc_id"),
+    ))
+    # C13 references t.c (nation -> region)
+    f = Check("nation", "foreign_key", "n_regionkey", {"parent_table": "region", "parent_columns": ["r_regionkey"]})
+    register("C13", one("nation", f, extra=("region",)), _fk_sql(f.check_id, "nation", "n_regionkey", "region", "r_regionkey"))
+    # C14 custom row expression
+    expr = "l_extendedprice * (1 - l_discount) * (1 + l_tax) <= 100000"
+    c = Check("lineitem", "row_condition", (), {"expression": expr}, check_id="lineitem::custom")
+    register("C14", one("lineitem", c), row_sql(c.check_id, "lineitem", f"NOT coalesce({expr}, TRUE)"))
+    # C15 invalidValues count < 1
+    c = Check("events", "column_values_to_be_in_set", "event_type", {"value_set": ["view", "signup", "click", "purchase"]},
+              must_be_less_than=1, check_id="events:event_type:invalid_values")
+    register("C15", one("events", c),
+             row_sql(c.check_id, "events", "event_type NOT IN ('view', 'signup', 'click', 'purchase')", "event_type IS NULL", mblt=1))
+    # C16 nullValues percent < 10
+    c = Check("events", "column_values_to_not_be_null", "v", must_be_less_than=10, unit="percent", check_id="events:v:null_values")
+    register("C16", one("events", c, derive=_ev_v),
+             row_sql(c.check_id, EV_V, "v IS NULL", "v IS NULL", all_rows=True, mblt=10, unit="percent"))
+    # C17 missingValues (null or sentinel) percent < 5
+    cond = "NOT (`seg` IS NULL OR trim(CAST(`seg` AS STRING)) IN ('', 'N/A', 'n/a'))"
+    c = Check("customer", "row_condition", (), {"expression": cond}, must_be_less_than=5, unit="percent",
+              check_id="customer:seg:missing_values")
+    register("C17", one("customer", c, derive=_cust_sentinel),
+             row_sql(c.check_id, CUST_SENT, "seg IS NULL OR trim(seg) IN ('', 'N/A', 'n/a')", mblt=5, unit="percent"))
+    # C18 scalar SQL (quantile rewritten to percentile_disc)
+    c = Check("events", "sql_scalar", "value", {"query": "SELECT quantile(value, 0.95) AS p95 FROM events"},
+              must_be_less_than=300, check_id="events:value:sql")
+    register("C18", one("events", c),
+             final_sql(c.check_id, "NULL", "NULL", "NULL", "NULL", "coalesce(v < 300.0, FALSE)", "v",
+                       "(SELECT quantile_disc(value, 0.95) AS v FROM events) AS s"))
+    # C19 text: fixed prefix + digits
+    c = _text("customer", "c_name", 'Must follow format "Customer#<id>" where <id> are numerics.')
+    register("C19", one("customer", c), row_sql(c.check_id, "customer", "NOT regexp_matches(c_name, '^Customer#\\d+$')", "c_name IS NULL"))
+    # C20 text: column order, after the lineitem-orders join
+    c = _text("lineitem", "l_shipdate", "l_shipdate must be later than or equal to o_orderdate.")
+    register("C20", one("lineitem", c, extra=("orders",), derive=None, combine=_Combine(("lineitem", "orders"), _li_orders)),
+             row_sql(c.check_id, LI_ORDERS, "NOT (l_shipdate >= o_orderdate)", "l_shipdate IS NULL OR o_orderdate IS NULL"))
+    # C21 text: conditional presence
+    c = _text("events", "v", "v must be present when event_type = purchase.")
+    register("C21", one("events", c, derive=_ev_v),
+             row_sql(c.check_id, EV_V, "coalesce(event_type = 'purchase', FALSE) AND v IS NULL", "v IS NULL", all_rows=True))
+    # C22 text: must exist in table
+    c = _text("events", "user_id", "user_id must exist in customer.")
+    register("C22", one("events", c, extra=("customer",)), _fk_sql(c.check_id, "events", "user_id", "customer", "c_custkey"))
+    # C23 text: must not be null
+    c = _text("orders", "o_orderdate", "o_orderdate must not be null.")
+    register("C23", one("orders", c), row_sql(c.check_id, "orders", "o_orderdate IS NULL", "o_orderdate IS NULL", all_rows=True))
+    # C24 text: share in range
+    c = _text("orders", "o_totalprice", "60% of o_totalprice must be less than 300000.")
+    register("C24", one("orders", c),
+             row_sql(c.check_id, "orders", "NOT (o_totalprice < 300000.0)", "o_totalprice IS NULL", mostly=0.6))
+    # C25 text: suffix
+    c = _text("part", "p_name", "p_name must end with widget.")
+    register("C25", one("part", c), row_sql(c.check_id, "part", "NOT (p_name LIKE '%widget')", "p_name IS NULL"))
+    # C26 freshness (as_of fixed)
+    c = Check("events", "freshness", "ts", {"as_of": "2024-01-31 00:00:00", "threshold_seconds": 25 * 3600})
+    register("C26", one("events", c), final_sql(
+        c.check_id, "n", "miss", "stale", "NULL", "coalesce(mx >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 25 HOUR, FALSE)",
+        "date_sub('minute', mx, TIMESTAMP '2024-01-31 00:00:00')",
+        "(SELECT count(*) AS n, count_if(ts IS NULL) AS miss, max(ts) AS mx, "
+        "count_if(ts < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 25 HOUR) AS stale FROM events) AS s"))
+    # C27 PII masking projection
+    register("C27", _masked_customers,
+             "SELECT c_custkey, sha256(c_name) AS c_name, c_nationkey, c_mktsegment FROM customer")
+    # C28 retention split
+    register("C28", _retention_counts,
+             "SELECT count_if(o_orderdate < TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS expired_rows, "
+             "count_if(o_orderdate >= TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS kept_rows FROM orders")
+
+
+class _Combine:
+    def __init__(self, tables, fn):
+        self.tables = tables
+        self.fn = fn
+
+    def __call__(self, t):
+        return self.fn(t)
+
+
+def _fk_sql(cid, child, fk, parent, pk):
+    inner = (
+        f"(SELECT count(*) AS n, count_if({fk} IS NULL) AS miss, "
+        f"count_if({fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL)) AS bad, "
+        f"count(DISTINCT {fk}) FILTER (WHERE {fk} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL)) AS bad_keys "
+        f"FROM {child}) AS s"
+    )
+    return final_sql(cid, "n", "miss", "bad", "CASE WHEN n - miss > 0 THEN 100.0 * bad / (n - miss) ELSE 0.0 END",
+                     "bad <= 0.0 * (n - miss)", "bad_keys", inner)
+
+
+def _masked_customers(spark, sf):
+    from probity.functions.masking import mask_columns
+
+    t = read_tables(spark, sf, ["customer"])["customer"]
+    return mask_columns(t, ["c_name"]).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+
+
+def _retention_counts(spark, sf):
+    from probity.functions.masking import retention_split
+
+    t = read_tables(spark, sf, ["orders"])["orders"]
+    return retention_split(t, "o_orderdate", as_of="2006-01-01 00:00:00", years=7)
+
+
+_reg_contract_rules()
