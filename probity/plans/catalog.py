@@ -663,3 +663,518 @@ def _retention_counts(spark, sf):
 
 
 _reg_contract_rules()
+
+
+# ================================================================== P1-P9
+
+PROFILE_COLS = ["table_name", "column_name", "data_type", "row_count", "null_count", "null_rate", "distinct_count",
+                "distinct_ratio", "dup_rate", "p01", "p99", "min_value", "max_value", "tail_ratio", "oov_rate"]
+_DOUBLES = {"null_rate", "distinct_ratio", "dup_rate", "p01", "p99", "min_value", "max_value", "tail_ratio", "oov_rate"}
+
+
+def round_doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[
+        (F.round(F.col(f.name), 6) + F.lit(0.0)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
+def profile_sql(table: str, cols: list[tuple[str, str, bool]], src: str | None = None, vocab: dict | None = None,
+                keep: list[str] | None = None) -> str:
+    """DuckDB profile: one row per column; p01 / p99 by the reference's rank rule on the sorted list."""
+    src = src or table
+    vocab = vocab or {}
+    parts = []
+    for c, spark_type, numeric in cols:
+        if numeric:
+            q = (f"list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL))"
+                 f"[greatest(0, CAST(floor(count({c}) * 0.01) AS BIGINT) - 1) + 1]")
+            q99 = (f"list_sort(list({c}) FILTER (WHERE {c} IS NOT NULL))"
+                   f"[least(count({c}) - 1, CAST(floor(count({c}) * 0.99) AS BIGINT)) + 1]")
+            mn, mx = f"min({c})", f"max({c})"
+        else:
+            q = q99 = mn = mx = "NULL"
+        oov = (f"count_if({c} IS NOT NULL AND {c} NOT IN ({_in(vocab[c])})) * 1.0 / count({c})" if c in vocab else "NULL")
+        inner = (f"SELECT count(*) AS n, count({c}) AS nn, count(DISTINCT {c}) AS d, CAST({q} AS DOUBLE) AS p01, "
+                 f"CAST({q99} AS DOUBLE) AS p99, CAST({mn} AS DOUBLE) AS mn, CAST({mx} AS DOUBLE) AS mx, "
+                 f"CAST({oov} AS DOUBLE) AS oov FROM {src} AS t")
+        parts.append(
+            f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{spark_type}' AS data_type, n AS row_count, "
+            f"n - nn AS null_count, (n - nn) * 1.0 / n AS null_rate, d AS distinct_count, d * 1.0 / n AS distinct_ratio, "
+            f"1.0 - d * 1.0 / nn AS dup_rate, p01, p99, mn AS min_value, mx AS max_value, "
+            f"CASE WHEN p99 <> 0 THEN mx / p99 END AS tail_ratio, oov AS oov_rate FROM ({inner}) AS s"
+        )
+    cols_out = keep or PROFILE_COLS
+    sel = ", ".join((f"round({k}, 6) + 0.0 AS {k}" if k in _DOUBLES else k) for k in cols_out)
+    return f"SELECT {sel} FROM (" + "\nUNION ALL\n".join(parts) + ")"
+
+
+def _profile_q(table, columns, keep, derive=None, vocab=None, exact=True):
+    def q(spark, sf):
+        from probity.operators.profile import profile
+
+        df = read_tables(spark, sf, [table])[table]
+        if derive is not None:
+            df = derive(df)
+        return round_doubles(profile(df, table, columns, exact=exact, vocabularies=vocab).select(*keep))
+
+    return q
+
+
+ORDERS_COLS = [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "string", False),
+               ("o_totalprice", "double", True), ("o_orderdate", "timestamp_ntz", False), ("o_orderpriority", "string", False)]
+
+
+def _reg_profile():
+    # P1 the whole profile of a table (row count and every column statistic)
+    register("P01", _profile_q("orders", None, PROFILE_COLS), profile_sql("orders", ORDERS_COLS))
+    keep = ["table_name", "column_name", "row_count", "null_count", "null_rate"]
+    register("P02", _profile_q("events", ["v"], keep, derive=_ev_v), profile_sql("events", [("v", "double", True)], EV_V, keep=keep))
+    keep = ["table_name", "column_name", "row_count", "distinct_count", "distinct_ratio"]
+    register("P03", _profile_q("lineitem", ["l_partkey"], keep), profile_sql("lineitem", [("l_partkey", "bigint", True)], keep=keep))
+    keep = ["table_name", "column_name", "p01", "p99"]
+    register("P04", _profile_q("events", ["value", "user_id"], keep),
+             profile_sql("events", [("value", "double", True), ("user_id", "bigint", True)], keep=keep))
+    # P5 schema view: declared (contract) against observed (Parquet) types
+    declared = {"lineitem": {"l_orderkey": "integer", "l_partkey": "integer", "l_quantity": "integer", "l_discount": "number",
+                             "l_shipdate": "date", "l_comment": "string", "l_returnflag": "string"}}
+    register("P05", _schema_view_q(declared), _schema_view_sql(declared))
+    keep = ["table_name", "column_name", "distinct_count", "dup_rate"]
+    register("P06", _profile_q("lineitem", ["l_orderkey"], keep), profile_sql("lineitem", [("l_orderkey", "bigint", True)], keep=keep))
+    keep = ["table_name", "column_name", "oov_rate"]
+    voc = {"event_type": ["view", "click", "purchase"]}
+    register("P07", _profile_q("events", ["event_type"], keep, vocab=voc),
+             profile_sql("events", [("event_type", "string", False)], vocab=voc, keep=keep))
+    register("P08", _freshness_q,
+             "SELECT CAST(date_sub('minute', max(ts), TIMESTAMP '2024-02-01 00:00:00') AS BIGINT) AS freshness_minutes FROM events")
+    keep = ["table_name", "column_name", "min_value", "max_value", "p99", "tail_ratio"]
+    register("P09", _profile_q("orders", ["o_totalprice"], keep), profile_sql("orders", [("o_totalprice", "double", True)], keep=keep))
+
+
+def _freshness_q(spark, sf):
+    from probity.operators.profile import freshness_minutes
+
+    return freshness_minutes(read_tables(spark, sf, ["events"])["events"], "ts", "2024-02-01 00:00:00")
+
+
+def _schema_view_q(declared):
+    def q(spark, sf):
+        from probity.operators.schema import schema_view
+
+        return schema_view(spark, declared, read_tables(spark, sf, list(declared)))
+
+    return q
+
+
+def _schema_view_sql(declared):
+    fam = {"integer": "('TINYINT','SMALLINT','INTEGER','BIGINT')", "number": "('TINYINT','SMALLINT','INTEGER','BIGINT','DOUBLE','FLOAT')",
+           "string": "('VARCHAR')", "date": "('DATE')", "timestamp": "('TIMESTAMP')"}
+    spark_name = ("CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+                  "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT' THEN 'float' "
+                  "WHEN 'INTEGER[]' THEN 'array<int>' WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END")
+    parts = []
+    for t, cols in declared.items():
+        decl = " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{ty}' AS declared_type, {fam[ty]} AS fam_dummy" .replace(
+            f", {fam[ty]} AS fam_dummy", "") for c, ty in cols.items())
+        ok = " ".join(f"WHEN d.column_name = '{c}' THEN o.data_type IN {fam[ty]}" for c, ty in cols.items())
+        parts.append(
+            f"SELECT '{t}' AS \"table\", coalesce(d.column_name, o.column_name) AS \"column\", "
+            f"CAST(o.ordinal_position - 1 AS INTEGER) AS position, d.declared_type, "
+            f"CASE WHEN o.column_name IS NULL THEN NULL ELSE {spark_name.replace('data_type', 'o.data_type')} END AS observed_type, "
+            f"CASE WHEN o.column_name IS NULL THEN 'missing' WHEN d.column_name IS NULL THEN 'extra' "
+            f"WHEN (CASE {ok} END) THEN 'match' ELSE 'type_differs' END AS status "
+            f"FROM ({decl}) AS d FULL JOIN (SELECT column_name, data_type, ordinal_position FROM information_schema.columns "
+            f"WHERE table_name = '{t}') AS o ON d.column_name = o.column_name"
+        )
+    return union_sql(*parts)
+
+
+_reg_profile()
+
+
+# ================================================================== S1-S12
+
+ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+              "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+def _ts_text(df, cols):
+    return df.select(*[(F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss").alias(c) if c in cols else F.col(c)) for c in df.columns])
+
+
+def _ts_sql(c):
+    return f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
+
+
+ORDERS_SEL = f"o_orderkey, o_custkey, o_orderstatus, o_totalprice, {_ts_sql('o_orderdate')}, o_orderpriority"
+EVENTS_SEL = f"event_id, {_ts_sql('ts')}, user_id, event_type, value, props"
+
+
+def _reg_sources():
+    from probity.sources import tables as S
+
+    register("S01", lambda spark, sf: S.table_counts(read_tables(spark, sf, ALL_TABLES)),
+             union_sql(*[f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in ALL_TABLES]))
+    register("S02", lambda spark, sf: _ts_text(S.first_n(read_tables(spark, sf, ["orders"])["orders"], "o_orderkey", 100), ["o_orderdate"]),
+             f"SELECT {ORDERS_SEL} FROM orders ORDER BY o_orderkey LIMIT 100")
+    register("S03", lambda spark, sf: _ts_text(S.hash_mod_sample(read_tables(spark, sf, ["orders"])["orders"], "o_orderkey", 100, 0, n=None),
+                                               ["o_orderdate"]),
+             f"SELECT {ORDERS_SEL} FROM orders WHERE o_orderkey % 100 = 0")
+    register("S04", lambda spark, sf: _ts_text(S.time_window(read_tables(spark, sf, ["events"])["events"], "ts",
+                                                             "2024-01-08 00:00:00", "2024-01-15 00:00:00"), ["ts"]),
+             f"SELECT {EVENTS_SEL} FROM events WHERE ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-15 00:00:00'")
+    want = {"p_brand": "int", "p_size": "int", "p_retailprice": "decimal(10,2)", "p_type": "string"}
+    register("S05", lambda spark, sf: S.conform_report(read_tables(spark, sf, ["part"])["part"], want),
+             union_sql(*[f"SELECT '{c}' AS column, '{t}' AS wanted_type, count({c}) AS non_null, "
+                         f"count_if({c} IS NOT NULL AND TRY_CAST({c} AS {t.replace('int', 'INTEGER').replace('string', 'VARCHAR')}) IS NULL) "
+                         f"AS failures FROM part" for c, t in want.items()]))
+    register("S06", _sample_roundtrip, f"SELECT {ORDERS_SEL} FROM orders ORDER BY o_orderkey LIMIT 100")
+    register("S07", _profile_roundtrip, profile_sql("part", [("p_partkey", "bigint", True), ("p_name", "string", False),
+                                                              ("p_brand", "string", False), ("p_type", "string", False),
+                                                              ("p_size", "int", True), ("p_retailprice", "double", True)]))
+    sv = {"part": {"p_partkey": "integer", "p_size": "string", "p_container": "string"}}
+    register("S08", _schema_roundtrip(sv), _schema_view_sql(sv))
+    register("S09", _report_roundtrip, _v2_sql())
+    register("S10", _failing_roundtrip, _v3_sql())
+    c = Check("customer", "column_values_to_not_be_null", "seg", check_id="customer:seg:normalized_not_null")
+
+    def s11(spark, sf):
+        t = read_tables(spark, sf, ["customer"])
+        t["customer"] = S.normalize_missing(_cust_sentinel(t["customer"]), ["seg"])
+        return tidy(validate(t, [c], spark=spark))
+
+    register("S11", s11, row_sql(c.check_id, f"(SELECT CASE WHEN trim(seg) IN ('', 'N/A', 'n/a') THEN NULL ELSE seg END AS seg FROM {CUST_SENT})",
+                                 "seg IS NULL", "seg IS NULL", all_rows=True))
+    register("S12", _replay_q, _replay_sql())
+
+
+def _sample_roundtrip(spark, sf):
+    from probity.sources import sinks, tables as S
+
+    base = sinks.scratch(spark, "artifacts")
+    sample = S.first_n(read_tables(spark, sf, ["orders"])["orders"], "o_orderkey", 100)
+    sinks.write_sample(sample, base, "tpch", "orders", "r1")
+    return _ts_text(S.replay(spark, base, "tpch", "orders", "r1"), ["o_orderdate"])
+
+
+def _profile_roundtrip(spark, sf):
+    from probity.operators.profile import PROFILE_DDL, profile
+    from probity.sources import sinks
+
+    path = sinks.scratch(spark, "profiles")
+    sinks.write_json(profile(read_tables(spark, sf, ["part"])["part"], "part"), path)
+    return round_doubles(sinks.read_json(spark, path, PROFILE_DDL))
+
+
+def _schema_roundtrip(declared):
+    def q(spark, sf):
+        from probity.operators.schema import SCHEMA_VIEW_DDL, schema_view
+        from probity.sources import sinks
+
+        path = sinks.scratch(spark, "metadata")
+        sinks.write_json(schema_view(spark, declared, read_tables(spark, sf, list(declared))), path)
+        return sinks.read_json(spark, path, SCHEMA_VIEW_DDL)
+
+    return q
+
+
+def _report_roundtrip(spark, sf):
+    from probity.checks import RESULT_DDL
+    from probity.sources import sinks
+
+    path = sinks.scratch(spark, "sandbox")
+    sinks.write_json(_v2(spark, sf), path)
+    return sinks.read_json(spark, path, RESULT_DDL)
+
+
+def _failing_roundtrip(spark, sf):
+    from probity.sources import sinks
+
+    path = sinks.scratch(spark, "failing_examples")
+    df = _v3(spark, sf)
+    sinks.write_failing_csv(df, path)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return sinks.read_csv(spark, path, ddl)
+
+
+REPLAY_CHECKS = [
+    Check("orders", "column_values_to_be_unique", "o_orderkey"),
+    Check("orders", "column_values_to_be_in_set", "o_orderstatus", {"value_set": ["F", "O"]}),
+    Check("orders", "column_mean_to_be_between", "o_totalprice", {"min_value": 0, "max_value": 300000}),
+]
+
+
+def _replay_q(spark, sf):
+    from probity.sources import sinks, tables as S
+
+    base = sinks.scratch(spark, "artifacts")
+    sample = S.first_n(read_tables(spark, sf, ["orders"])["orders"], "o_orderkey", 100)
+    sinks.write_sample(sample, base, "tpch", "orders", "r7")
+    replayed = S.replay(spark, base, "tpch", "orders", "r7")
+    return tidy(validate({"orders": replayed}, REPLAY_CHECKS, spark=spark))
+
+
+def _replay_sql():
+    src = "(SELECT * FROM orders ORDER BY o_orderkey LIMIT 100)"
+    return union_sql(
+        _unique_sql(REPLAY_CHECKS[0].check_id, src, ["o_orderkey"], "any"),
+        row_sql(REPLAY_CHECKS[1].check_id, src, "o_orderstatus NOT IN ('F', 'O')", "o_orderstatus IS NULL"),
+        agg_sql(REPLAY_CHECKS[2].check_id, src, "o_totalprice", "avg(o_totalprice)", 0, 300000),
+    )
+
+
+
+# ================================================================== V1-V7
+
+V2_CHECKS = [
+    Check("lineitem", "column_values_to_not_be_null", "l_orderkey"),
+    Check("lineitem", "column_values_to_be_between", "l_discount", {"min_value": 0, "max_value": 0.07}),
+    Check("lineitem", "column_values_to_be_in_set", "l_returnflag", {"value_set": ["A", "N", "R"]}),
+    Check("lineitem", "column_values_to_be_unique", "l_orderkey"),
+    Check("lineitem", "compound_columns_to_be_unique", ("l_orderkey", "l_linenumber")),
+    Check("lineitem", "foreign_key", "l_orderkey", {"parent_table": "orders", "parent_columns": ["o_orderkey"]}),
+    Check("lineitem", "column_sum_to_be_between", "l_quantity", {"min_value": 0}),
+    Check("lineitem", "column_values_to_match_regex", "l_linestatus", {"regex": "^[FO]$"}),
+    Check("lineitem", "column_pair_values_a_to_be_greater_than_b", ("l_extendedprice", "l_quantity")),
+    Check("lineitem", "column_mean_to_be_between", "l_tax", {"min_value": 0, "max_value": 0.05}),
+]
+
+
+def _v2(spark, sf):
+    return tidy(validate(read_tables(spark, sf, ["lineitem", "orders"]), V2_CHECKS, spark=spark))
+
+
+def _v2_sql():
+    c = V2_CHECKS
+    return union_sql(
+        row_sql(c[0].check_id, "lineitem", "l_orderkey IS NULL", "l_orderkey IS NULL", all_rows=True),
+        row_sql(c[1].check_id, "lineitem", "NOT (l_discount >= 0 AND l_discount <= 0.07)", "l_discount IS NULL"),
+        row_sql(c[2].check_id, "lineitem", "l_returnflag NOT IN ('A', 'N', 'R')", "l_returnflag IS NULL"),
+        _unique_sql(c[3].check_id, "lineitem", ["l_orderkey"], "any"),
+        _unique_sql(c[4].check_id, "lineitem", ["l_orderkey", "l_linenumber"], "all"),
+        _fk_sql(c[5].check_id, "lineitem", "l_orderkey", "orders", "o_orderkey"),
+        agg_sql(c[6].check_id, "lineitem", "l_quantity", "sum(l_quantity)", 0),
+        row_sql(c[7].check_id, "lineitem", "NOT regexp_matches(l_linestatus, '^[FO]$')", "l_linestatus IS NULL"),
+        row_sql(c[8].check_id, "lineitem", "NOT (l_extendedprice > l_quantity)", "l_extendedprice IS NULL OR l_quantity IS NULL"),
+        agg_sql(c[9].check_id, "lineitem", "l_tax", "avg(l_tax)", 0, 0.05),
+    )
+
+
+LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+           "l_returnflag", "l_linestatus", "l_shipdate"]
+LI_DOUBLES = {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}
+V3_CHECKS = [
+    Check("lineitem", "column_values_to_be_between", "l_discount", {"min_value": 0, "max_value": 0.07}),
+    Check("lineitem", "column_values_to_be_in_set", "l_returnflag", {"value_set": ["A", "N"]}),
+]
+
+
+def _v3(spark, sf):
+    from probity.plans.report import failing_rows
+
+    li = read_tables(spark, sf, ["lineitem"])["lineitem"]
+    return round_doubles(_ts_text(failing_rows(li, V3_CHECKS, order_by=LI_COLS, n=5), ["l_shipdate"]))
+
+
+def _v3_sql():
+    sel = ", ".join(_ts_sql(c) if c == "l_shipdate" else (f"round({c}, 6) + 0.0 AS {c}" if c in LI_DOUBLES else c) for c in LI_COLS)
+    order = ", ".join(LI_COLS)
+    preds = ["NOT (l_discount >= 0 AND l_discount <= 0.07)", "l_returnflag NOT IN ('A', 'N')"]
+    return union_sql(*[f"SELECT '{c.check_id}' AS check_id, {sel} FROM (SELECT * FROM lineitem WHERE {p} ORDER BY {order} LIMIT 5)"
+                       for c, p in zip(V3_CHECKS, preds)])
+
+
+V1_CHECKS = [
+    Check("batch", "column_values_to_not_be_null", "c_custkey"),
+    Check("batch", "column_values_to_not_be_null", "s_suppkey"),
+    Check("batch", "column_values_to_be_unique", "c_name"),
+    Check("batch", "column_values_to_be_between", "c_acctbal", {"min_value": -1000, "max_value": 10000}),
+]
+
+
+def _v1(spark, sf):
+    from probity.plans.report import combine_batch
+
+    batch = combine_batch(read_tables(spark, sf, ["customer", "supplier"]))
+    return tidy(validate({"batch": batch}, V1_CHECKS, spark=spark))
+
+
+def _v1_sql():
+    src = "(SELECT * FROM customer UNION ALL BY NAME SELECT * FROM supplier)"
+    c = V1_CHECKS
+    return union_sql(
+        row_sql(c[0].check_id, src, "c_custkey IS NULL", "c_custkey IS NULL", all_rows=True),
+        row_sql(c[1].check_id, src, "s_suppkey IS NULL", "s_suppkey IS NULL", all_rows=True),
+        _unique_sql(c[2].check_id, src, ["c_name"], "any"),
+        row_sql(c[3].check_id, src, "NOT (c_acctbal >= -1000 AND c_acctbal <= 10000)", "c_acctbal IS NULL"),
+    )
+
+
+def _v4(spark, sf):
+    from probity.plans.report import summary
+
+    return summary(validate(read_tables(spark, sf, ["lineitem", "orders"]), V2_CHECKS, spark=spark), V2_CHECKS)
+
+
+def _v4_sql():
+    meta = " UNION ALL ".join(f"SELECT '{c.check_id}' AS check_id, '{c.table}' AS table_name, '{c.kind}' AS kind" for c in V2_CHECKS)
+    return (f"WITH r AS ({_v2_sql()}), m AS ({meta}) SELECT table_name, kind, count(*) AS checks, "
+            f"count_if(success) AS passed, count_if(NOT coalesce(success, FALSE)) AS failed "
+            f"FROM r JOIN m USING (check_id) GROUP BY ROLLUP (table_name, kind)")
+
+
+V5_CONTRACT = {
+    "models": {
+        "orders": {
+            "primaryKey": ["o_orderkey"],
+            "fields": {
+                "o_orderkey": {"type": "integer", "required": True},
+                "o_custkey": {"type": "integer", "references": "users.user_id"},
+                "o_orderstatus": {"type": "string", "enum": ["F", "O"]},
+                "o_totalprice": {"type": "number", "quality": [
+                    {"type": "text", "description": "60% of o_totalprice must be less than 300000."}]},
+                "o_comment": {"type": "string", "required": True},
+            },
+        },
+        "lineitem": {
+            "fields": {
+                "l_orderkey": {"type": "integer", "references": "orders.o_orderkey"},
+                "l_linestatus": {"type": "string", "quality": [{"type": "text", "description": "Line status looks plausible."}]},
+            },
+            "quality": [{"rule": "custom", "expression": "l_tax <= l_discount + 0.08", "description": "tax bound"}],
+        },
+    }
+}
+
+
+def _v5(spark, sf):
+    from probity.contract import load_contract
+    from probity.plans.report import contract_evaluation
+
+    contract = load_contract(V5_CONTRACT)
+    tables = read_tables(spark, sf, contract.tables)
+    results = validate(tables, contract.checks, spark=spark)
+    return contract_evaluation(spark, contract, results, tables)
+
+
+def _v5_sql():
+    def st(rule_id, table, source, result_sql, kind="row"):
+        reason = ("printf('%d unexpected of %d rows', unexpected_count, element_count)" if kind == "row"
+                  else "'schema check'")
+        return (f"SELECT '{rule_id}' AS rule_id, '{table}' AS table_name, '{source}' AS source, "
+                f"CASE WHEN success THEN 'PASS' ELSE 'FAIL' END AS status, {reason} AS reason FROM ({result_sql})")
+
+    def lit(rule_id, table, source, status, reason):
+        return (f"SELECT '{rule_id}' AS rule_id, '{table}' AS table_name, '{source}' AS source, "
+                f"'{status}' AS status, '{reason}' AS reason")
+
+    def typ(table, col, fam):
+        return (f"SELECT (SELECT count(*) FROM information_schema.columns WHERE table_name = '{table}' AND column_name = '{col}' "
+                f"AND data_type IN ({_in(_DUCK_FAMILY[fam])})) = 1 AS success")
+
+    return union_sql(
+        st("orders:o_orderkey:pk_not_null", "orders", "primaryKey",
+           row_sql("x", "orders", "o_orderkey IS NULL", "o_orderkey IS NULL", all_rows=True)),
+        st("orders:o_orderkey:primary_key", "orders", "primaryKey", _unique_sql("x", "orders", ["o_orderkey"], "any")),
+        st("orders:o_orderkey:not_null", "orders", "field.required",
+           row_sql("x", "orders", "o_orderkey IS NULL", "o_orderkey IS NULL", all_rows=True)),
+        st("orders:o_orderkey:column_values_to_be_of_type", "orders", "field.type", typ("orders", "o_orderkey", "integer"), "m"),
+        st("orders:o_custkey:column_values_to_be_of_type", "orders", "field.type", typ("orders", "o_custkey", "integer"), "m"),
+        lit("orders:o_custkey:foreign_key", "orders", "field.references", "SKIPPED", "parent table users is not in the contract"),
+        st("orders:o_orderstatus:domain", "orders", "field.enum",
+           row_sql("x", "orders", "o_orderstatus NOT IN ('F', 'O')", "o_orderstatus IS NULL")),
+        st("orders:o_orderstatus:column_values_to_be_of_type", "orders", "field.type", typ("orders", "o_orderstatus", "string"), "m"),
+        st("orders:o_totalprice:column_values_to_be_of_type", "orders", "field.type", typ("orders", "o_totalprice", "number"), "m"),
+        st("orders:o_totalprice:share", "orders", "quality.text",
+           row_sql("x", "orders", "NOT (o_totalprice < 300000.0)", "o_totalprice IS NULL", mostly=0.6)),
+        lit("orders:o_comment:not_null", "orders", "field.required", "ERROR", "table or column absent"),
+        lit("orders:o_comment:column_values_to_be_of_type", "orders", "field.type", "ERROR", "table or column absent"),
+        st("lineitem:l_orderkey:column_values_to_be_of_type", "lineitem", "field.type", typ("lineitem", "l_orderkey", "integer"), "m"),
+        st("lineitem:l_orderkey:foreign_key", "lineitem", "field.references", _fk_sql("x", "lineitem", "l_orderkey", "orders", "o_orderkey")),
+        st("lineitem:l_linestatus:column_values_to_be_of_type", "lineitem", "field.type", typ("lineitem", "l_linestatus", "string"), "m"),
+        lit("lineitem:l_linestatus:text", "lineitem", "quality.text", "SKIPPED", "text rule not understood"),
+        st("lineitem::custom", "lineitem", "model.custom", row_sql("x", "lineitem", "NOT coalesce(l_tax <= l_discount + 0.08, TRUE)")),
+    )
+
+
+V6_OLD = [
+    Check("events", "column_values_to_be_in_set", "event_type", {"value_set": EVENT_TYPES}),
+    Check("events", "column_values_to_not_be_null", "v"),
+    Check("events", "column_values_to_be_between", "value", {"min_value": 0, "max_value": 500}),
+]
+V6_NEW = [
+    Check("events", "column_values_to_be_in_set", "event_type", {"value_set": ["view", "signup", "click", "purchase"]}),
+    Check("events", "column_values_to_be_between", "value", {"min_value": 0, "max_value": 300}),
+    Check("events", "column_values_to_be_unique", "event_id"),
+]
+
+
+def _v6(spark, sf):
+    from probity.plans.report import suite_change
+
+    t = read_tables(spark, sf, ["events"])
+    t["events"] = _ev_v(t["events"])
+    return suite_change(validate(t, V6_OLD, spark=spark), validate(t, V6_NEW, spark=spark))
+
+
+def _v6_sql():
+    old = union_sql(
+        row_sql(V6_OLD[0].check_id, EV_V, f"event_type NOT IN ({_in(EVENT_TYPES)})", "event_type IS NULL"),
+        row_sql(V6_OLD[1].check_id, EV_V, "v IS NULL", "v IS NULL", all_rows=True),
+        row_sql(V6_OLD[2].check_id, EV_V, "NOT (value >= 0 AND value <= 500)", "value IS NULL"),
+    )
+    new = union_sql(
+        row_sql(V6_NEW[0].check_id, EV_V, "event_type NOT IN ('view', 'signup', 'click', 'purchase')", "event_type IS NULL"),
+        row_sql(V6_NEW[1].check_id, EV_V, "NOT (value >= 0 AND value <= 300)", "value IS NULL"),
+        _unique_sql(V6_NEW[2].check_id, "events", ["event_id"], "any"),
+    )
+    return (
+        f"WITH o AS ({old}), n AS ({new}) SELECT coalesce(o.check_id, n.check_id) AS check_id, "
+        "CASE WHEN o.success IS NULL AND n.success IS NOT NULL THEN 'added' "
+        "WHEN n.success IS NULL AND o.success IS NOT NULL THEN 'removed' "
+        "WHEN n.unexpected_count > o.unexpected_count THEN 'tightened' "
+        "WHEN n.unexpected_count < o.unexpected_count THEN 'loosened' ELSE 'unchanged' END AS change, "
+        "o.unexpected_count AS old_unexpected, n.unexpected_count AS new_unexpected, o.success AS old_success, "
+        "n.success AS new_success, coalesce(o.success <> n.success, FALSE) AS verdict_flip "
+        "FROM o FULL JOIN n ON o.check_id = n.check_id"
+    )
+
+
+def _v7(spark, sf):
+    from probity.operators.profile import profile
+    from probity.plans.report import suggest_checks
+
+    t = read_tables(spark, sf, ["orders"])
+    return round_doubles(suggest_checks(t, profile(t["orders"], "orders")))
+
+
+def _v7_sql():
+    prof = profile_sql("orders", ORDERS_COLS)
+    parts = [
+        "SELECT table_name, column_name, 'column_values_to_not_be_null' AS kind, NULL::DOUBLE AS min_value, "
+        "NULL::DOUBLE AS max_value, NULL::VARCHAR AS value_set FROM p WHERE row_count > 0 AND null_count = 0",
+        "SELECT table_name, column_name, 'column_values_to_be_unique', NULL, NULL, NULL FROM p WHERE row_count > 0 AND distinct_ratio = 1.0",
+        "SELECT table_name, column_name, 'column_values_to_be_between', p01, p99, NULL FROM p WHERE p01 IS NOT NULL",
+    ]
+    for c, st, _ in ORDERS_COLS:
+        if st == "string":
+            parts.append(
+                f"SELECT table_name, column_name, 'column_values_to_be_in_set', NULL, NULL, "
+                f"(SELECT string_agg(DISTINCT {c}, ',' ORDER BY {c}) FROM orders) FROM p "
+                f"WHERE column_name = '{c}' AND distinct_count BETWEEN 1 AND 20"
+            )
+    return f"WITH p AS ({prof}) " + " UNION ALL ".join(parts)
+
+
+def _reg_reports():
+    register("V01", _v1, _v1_sql())
+    register("V02", _v2, _v2_sql())
+    register("V03", _v3, _v3_sql())
+    register("V04", _v4, _v4_sql())
+    register("V05", _v5, _v5_sql())
+    register("V06", _v6, _v6_sql())
+    register("V07", _v7, _v7_sql())
+
+
+_reg_sources()
+_reg_reports()

@@ -117,17 +117,25 @@ def summary(results: DataFrame, checks: list[Check]) -> DataFrame:
 RULE_DDL = "rule_id STRING, table_name STRING, source STRING, description STRING, skip_reason STRING"
 
 
-def contract_evaluation(spark: SparkSession, contract, results: DataFrame) -> DataFrame:
+def contract_evaluation(spark: SparkSession, contract, results: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     """V5: one row per contract rule: status PASS / FAIL / SKIPPED / ERROR and a reason
-    built from the observed numbers."""
+    built from the observed numbers.  ERROR = the rule names a table or column
+    the data does not have (known from the schemas, no scan)."""
+    def absent_of(r):
+        if r.check is None:
+            return False
+        df = tables.get(r.check.table)
+        if df is None:
+            return True
+        return any(c not in df.columns for c in r.check.columns)
+
     rules = spark.createDataFrame(
-        [(r.rule_id, r.table, r.source, r.description, r.skip_reason) for r in contract.rules], RULE_DDL
+        [(r.rule_id, r.table, r.source, r.description, r.skip_reason, absent_of(r)) for r in contract.rules],
+        RULE_DDL + ", absent BOOLEAN",
     )
+    # one result row per rule: a proven bound, so the results side is broadcast
     j = rules.join(F.broadcast(results.withColumnRenamed("check_id", "rule_id")), "rule_id", "left")
-    absent = F.col("success").isNull() | (
-        (F.col("success") == F.lit(False)) & F.col("element_count").isNull() & F.col("unexpected_count").isNull()
-        & F.col("observed_value").isNull()
-    )
+    absent = F.col("absent")
     status = (
         F.when(F.col("skip_reason").isNotNull(), F.lit("SKIPPED"))
         .when(absent, F.lit("ERROR"))
@@ -141,7 +149,7 @@ def contract_evaluation(spark: SparkSession, contract, results: DataFrame) -> Da
             F.col("unexpected_count").isNotNull() & F.col("element_count").isNotNull(),
             F.format_string("%d unexpected of %d rows", F.col("unexpected_count"), F.col("element_count")),
         )
-        .when(F.col("observed_value").isNotNull(), F.format_string("observed %s", F.col("observed_value").cast("string")))
+        .when(F.col("observed_value").isNotNull(), F.format_string("observed %.6f", F.col("observed_value")))
         .otherwise(F.lit("schema check"))
     )
     return j.select("rule_id", "table_name", "source", status.alias("status"), reason.alias("reason"))
