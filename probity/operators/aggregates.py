@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from probity.checks import Check
 from probity.operators.measure import Measure, between
@@ -20,24 +21,43 @@ def quantile_disc(column: str, q: float) -> Column:
 
 
 def _quantile(c: Column, q: float, chk: Check) -> Column:
-    if chk.p("exact", True):
-        return quantile_disc(chk.column, q)
     return F.percentile_approx(c, F.lit(float(q)), int(chk.p("accuracy", 10000)))
 
 
+def rank_requests(chk: Check) -> list[tuple[str, object]]:
+    """Exact order statistics a check needs, resolved before the fused pass by
+    ``quantiles.select_ranks`` (bounded memory at any scale)."""
+    from probity.operators import quantiles as Q
+
+    if not chk.p("exact", True):
+        return []
+    if chk.kind == "column_median_to_be_between":
+        return [(chk.column, *Q.MEDIAN)]
+    if chk.kind == "column_quantile_values_to_be_between":
+        qr = chk.p("quantile_ranges") or {}
+        qs = qr.get("quantiles", chk.p("quantiles"))
+        return [(chk.column, *Q.disc(float(q))) for q in qs]
+    return []
+
+
 def _bounded(agg_fn):
     """observed = agg(column); success = observed within [min_value, max_value]."""
 
-    def build(chk: Check, df: DataFrame, tables) -> Measure:
+    def build(chk: Check, df: DataFrame, tables, prepared=None) -> Measure:
         c = df[chk.column]
-        aggs = {"n": F.count(F.lit(1)), "miss": F.count_if(c.isNull()), "obs": agg_fn(c, chk).cast("double")}
+        numeric = isinstance(df.schema[chk.column].dataType, T.NumericType)
+        # non-numeric columns (dates, timestamps, strings) compare in their own type;
+        # observed_value is reported for numeric columns only
+        aggs = {"n": F.count(F.lit(1)), "miss": F.count_if(c.isNull())}
+        if prepared is None:
+            aggs["obs"] = agg_fn(c, chk)
 
         def result(g):
-            obs = g("obs")
+            obs = g("obs") if prepared is None else F.lit(prepared).cast("double")
             return {
                 "element_count": g("n"),
                 "missing_count": g("miss"),
-                "observed_value": obs,
+                "observed_value": obs.cast("double") if numeric else None,
                 "success": between(
                     obs, chk.p("min_value"), chk.p("max_value"), chk.p("strict_min", False), chk.p("strict_max", False)
                 ),
@@ -49,12 +69,11 @@ def _bounded(agg_fn):
 
 
 def _median(c, chk):
-    if chk.p("exact", True):
-        return F.median(c)
+    # exact medians are resolved beforehand (rank_requests); this is the sketch path
     return F.percentile_approx(c, F.lit(0.5), int(chk.p("accuracy", 10000)))
 
 
-def _proportion_non_null(chk, df, tables):
+def _proportion_non_null(chk, df, tables, prepared=None):
     c = df[chk.column]
     aggs = {"n": F.count(F.lit(1)), "miss": F.count_if(c.isNull())}
 
@@ -70,20 +89,24 @@ def _proportion_non_null(chk, df, tables):
     return Measure(aggs, result)
 
 
-def _quantiles(chk, df, tables):
+def _quantiles(chk, df, tables, prepared=None):
     """Each quantile must fall in its range; unexpected_count = quantiles outside."""
     c = df[chk.column]
     qr = chk.p("quantile_ranges") or {}
     qs = qr.get("quantiles", chk.p("quantiles"))
     ranges = qr.get("value_ranges", chk.p("value_ranges"))
     aggs = {"n": F.count(F.lit(1)), "miss": F.count_if(c.isNull())}
-    for i, q in enumerate(qs):
-        aggs[f"q{i}"] = _quantile(c, q, chk).cast("double")
+    if prepared is None:
+        for i, q in enumerate(qs):
+            aggs[f"q{i}"] = _quantile(c, q, chk).cast("double")
 
     def result(g):
+        def qv(i):
+            return g(f"q{i}") if prepared is None else F.lit(prepared[i]).cast("double")
+
         bad = F.lit(0)
         for i, (lo, hi) in enumerate(ranges):
-            bad = bad + F.when(between(g(f"q{i}"), lo, hi), 0).otherwise(1)
+            bad = bad + F.when(between(qv(i), lo, hi), 0).otherwise(1)
         return {
             "element_count": g("n"),
             "missing_count": g("miss"),
@@ -96,7 +119,7 @@ def _quantiles(chk, df, tables):
 
 
 def _row_count(equal: bool):
-    def build(chk, df, tables):
+    def build(chk, df, tables, prepared=None):
         aggs = {"n": F.count(F.lit(1))}
 
         def result(g):
@@ -109,7 +132,7 @@ def _row_count(equal: bool):
     return build
 
 
-def _row_count_other(chk, df, tables):
+def _row_count_other(chk, df, tables, prepared=None):
     other = tables[chk.p("other_table_name") or chk.p("other_table")]
     other_n = other.select(F.count(F.lit(1))).scalar()
     aggs = {"n": F.count(F.lit(1))}
@@ -126,7 +149,7 @@ def _row_count_other(chk, df, tables):
     return Measure(aggs, result)
 
 
-def _freshness(chk, df, tables):
+def _freshness(chk, df, tables, prepared=None):
     """``as_of - max(ts) <= threshold``; observed = whole minutes since the newest row,
     unexpected = rows older than the cut-off (the row variant)."""
     c = df[chk.column]

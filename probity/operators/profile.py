@@ -12,9 +12,9 @@ only one value per column does):
 3. p01 / p99 of integer and floating columns, with the reference's rank
    rule: on the ``n`` sorted non-null values, 0-based ``i01 = max(0,
    floor(n*0.01) - 1)`` and ``i99 = min(n-1, floor(n*0.99))``, the value is an
-   element (no interpolation).  With 1-based ``k = i + 1`` this is exactly
-   ``percentile_disc((k - 0.5) / n)``; ``n`` comes from pass 1.  With
-   ``exact=False`` it is ``percentile_approx`` (fixed-size sketch).
+   element (no interpolation).  Exact values come from the bounded selection
+   of ``operators.quantiles`` (sketch bracket, counts, exact pick inside the
+   bracket); with ``exact=False`` it is ``percentile_approx`` alone.
 
 ``null_rate`` = nulls / rows and ``distinct_ratio`` = distinct non-null /
 rows (all rows, as the reference divides); both are null on an empty table.
@@ -94,20 +94,22 @@ def profile(
         ndv = {i: first[f"nd{i}"] for i in range(len(cols))}
 
     # ---- pass 3
-    qaggs = []
-    for i, c in enumerate(cols):
-        nn = first[f"nn{i}"]
-        if c not in numeric or not nn:
-            continue
-        lo, hi = rank_indices(nn)
-        if exact:
-            for tag, k in (("a", lo + 1), ("b", hi + 1)):
-                p = (k - 0.5) / nn
-                qaggs.append(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY `{c}`)").cast("double").alias(f"{tag}{i}"))
-        else:
+    q: dict[str, float] = {}
+    quant_cols = [(i, c) for i, c in enumerate(cols) if c in numeric and first[f"nn{i}"]]
+    if exact:
+        from probity.operators.quantiles import PROFILE, select_ranks
+
+        got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_hint=n)
+        for (i, _), (_, vals) in zip(quant_cols, got):
+            q[f"a{i}"], q[f"b{i}"] = (float(v) if v is not None else None for v in vals)
+    elif quant_cols:
+        qaggs = []
+        for i, c in quant_cols:
+            nn = first[f"nn{i}"]
+            lo, hi = rank_indices(nn)
             qaggs.append(F.percentile_approx(F.col(c), F.lit((lo + 0.5) / nn), accuracy).cast("double").alias(f"a{i}"))
             qaggs.append(F.percentile_approx(F.col(c), F.lit((hi + 0.5) / nn), accuracy).cast("double").alias(f"b{i}"))
-    q = df.agg(*qaggs).first().asDict() if qaggs else {}
+        q = df.agg(*qaggs).first().asDict()
 
     rows = []
     for i, c in enumerate(cols):
@@ -139,9 +141,14 @@ def profile(
     return spark.createDataFrame(rows, PROFILE_DDL)
 
 
-def profile_tables(tables: dict[str, DataFrame], exact: bool = True) -> DataFrame:
-    """Profile every table of a contract; one union of per-table profiles."""
-    parts = [profile(df, name, exact=exact) for name, df in tables.items()]
+def profile_tables(tables: dict[str, DataFrame], exact: bool = True, threads: int = 8) -> DataFrame:
+    """Profile every table of a contract.  The per-table passes are independent
+    Spark jobs, submitted from a small thread pool so the scheduler runs them
+    side by side (each job's result is one small row)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(tables)))) as pool:
+        parts = list(pool.map(lambda kv: profile(kv[1], kv[0], exact=exact), tables.items()))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from probity.checks import RESULT_COLUMNS, RESULT_DDL, Check
-from probity.operators.aggregates import AGG_RULES
+from probity.operators.aggregates import AGG_RULES, rank_requests
 from probity.operators.keys import GROUP_RULES, bag_difference_count, foreign_key_counts, groups_of, key_of
 from probity.operators.measure import Measure, RowRule
 from probity.operators.ordered import ordered_counts
@@ -76,20 +76,48 @@ def _melt(one_row: DataFrame, structs: list[Column]) -> DataFrame:
     return one_row.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
-def _measure_of(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> Measure:
+def _measure_of(chk: Check, df: DataFrame, tables: dict[str, DataFrame], prepared=None) -> Measure:
     if chk.kind in ROW_RULES:
         return ROW_RULES[chk.kind](chk, df).to_measure()
     if chk.kind in AGG_RULES:
-        return AGG_RULES[chk.kind](chk, df, tables)
+        return AGG_RULES[chk.kind](chk, df, tables, prepared=prepared)
     raise ValueError(f"{chk.kind} is not a fused-pass check")
 
 
+def _prepare_ranks(df: DataFrame, checks: list[Check]) -> dict[str, object]:
+    """Exact medians / quantiles of all checks, resolved together by bounded selection."""
+    from probity.operators import quantiles as Q
+
+    wants, owner = [], []
+    for chk in checks:
+        for w in rank_requests(chk):
+            wants.append(w)
+            owner.append(chk)
+    if not wants:
+        return {}
+    got = Q.select_ranks(df, wants)
+    out: dict[str, list] = {}
+    for chk, (n, vals) in zip(owner, got):
+        out.setdefault(chk.check_id, []).append(vals)
+    prepared = {}
+    for chk in checks:
+        if chk.check_id not in out:
+            continue
+        lists = out[chk.check_id]
+        if chk.kind == "column_median_to_be_between":
+            prepared[chk.check_id] = Q.median_of(lists[0])
+        else:
+            prepared[chk.check_id] = [v[0] if v else None for v in lists]
+    return prepared
+
+
 def fused_pass(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
     """All A checks of one table in one aggregate."""
     aggs: list[Column] = []
     structs: list[Column] = []
+    prepared = _prepare_ranks(df, checks)
     for i, chk in enumerate(checks):
-        m = _measure_of(chk, df, tables)
+        m = _measure_of(chk, df, tables, prepared.get(chk.check_id, None) if chk.check_id in prepared else None)
         names = {}
         for name, expr in m.aggs.items():
             alias = f"a{i}_{name}"
