@@ -9,7 +9,7 @@ library, so these are our definitions):
   ``column_values_to_be_null`` which judge every row);
 * ``unexpected_count`` judged rows that break the rule;
 * ``unexpected_percent`` = 100 * unexpected / judged rows (0 when none judged);
-* ``success`` = ``unexpected <= (1 - mostly) * judged`` (an empty column passes),
+* ``success`` = ``(judged - unexpected) / judged >= mostly`` (an empty column passes),
   unless the check carries a ``must_be_less_than`` threshold (count, or percent
   of all rows when ``unit='percent'``), which is strict;
 * ``observed_value``  the measured scalar of aggregate checks, else null.

@@ -157,7 +157,7 @@ def row_sql(cid, src, bad, missing="FALSE", all_rows=False, mostly=1.0, mblt=Non
             f"(CASE WHEN n > 0 THEN 100.0 * bad / n ELSE 0.0 END) < {float(mblt)!r}" if unit == "percent" else f"bad < {float(mblt)!r}"
         )
     else:
-        success = f"bad <= {1.0 - float(mostly)!r} * {judged}"
+        success = f"CASE WHEN {judged} = 0 THEN TRUE ELSE CAST({judged} - bad AS DOUBLE) / {judged} >= {float(mostly)!r} END"
     inner = (
         f"(SELECT count(*) AS n, count_if({missing}) AS miss, count_if({bad_expr}) AS bad FROM {src} AS t) AS s"
     )
@@ -453,7 +453,7 @@ def _ordered_sql(cid, src, col, order, increasing=True, partition=None, tie=None
         f"FROM (SELECT *, ({col} IS NULL OR {order} IS NULL) AS skip FROM {src} AS t0) AS t1) AS t2) AS s"
     )
     return final_sql(cid, "n", "miss", "bad", "CASE WHEN n - miss > 0 THEN 100.0 * bad / (n - miss) ELSE 0.0 END",
-                     "bad <= 0.0 * (n - miss)", "NULL", inner)
+                     "CASE WHEN n - miss = 0 THEN TRUE ELSE CAST(n - miss - bad AS DOUBLE) / (n - miss) >= 1.0 END", "NULL", inner)
 
 
 def _unique_sql(cid, table, cols, null_mode):
@@ -463,7 +463,7 @@ def _unique_sql(cid, table, cols, null_mode):
     inner = (f"(SELECT sum(c) AS n, coalesce(sum(c) FILTER (WHERE {nul}), 0) AS miss, "
              f"coalesce(sum(c) FILTER (WHERE NOT ({nul}) AND c > 1), 0) AS bad FROM {g}) AS s")
     return final_sql(cid, "n", "miss", "bad", "CASE WHEN n - miss > 0 THEN 100.0 * bad / (n - miss) ELSE 0.0 END",
-                     "bad <= 0.0 * (n - miss)", "NULL", inner)
+                     "CASE WHEN n - miss = 0 THEN TRUE ELSE CAST(n - miss - bad AS DOUBLE) / (n - miss) >= 1.0 END", "NULL", inner)
 
 
 # logical family -> DuckDB information_schema data types
@@ -645,7 +645,7 @@ def _fk_sql(cid, child, fk, parent, pk):
         f"FROM {child}) AS s"
     )
     return final_sql(cid, "n", "miss", "bad", "CASE WHEN n - miss > 0 THEN 100.0 * bad / (n - miss) ELSE 0.0 END",
-                     "bad <= 0.0 * (n - miss)", "bad_keys", inner)
+                     "CASE WHEN n - miss = 0 THEN TRUE ELSE CAST(n - miss - bad AS DOUBLE) / (n - miss) >= 1.0 END", "bad_keys", inner)
 
 
 def _masked_customers(spark, sf):

@@ -61,7 +61,9 @@ def finish(chk: Check, fields: dict[str, Column]) -> Column:
             else:
                 f.setdefault("success", bad < t)
         else:
-            f.setdefault("success", bad <= F.lit(1.0 - float(chk.mostly)) * judged)
+            # success ratio good / judged >= mostly (exact at the boundary; empty passes)
+            ratio = (judged - bad).cast("double") / judged
+            f.setdefault("success", F.when(judged == 0, F.lit(True)).otherwise(ratio >= F.lit(float(chk.mostly))))
     elif chk.must_be_less_than is not None and "observed_value" in f:
         f["success"] = F.coalesce(f["observed_value"] < F.lit(float(chk.must_be_less_than)), F.lit(False))
     f["check_id"] = F.lit(chk.check_id)
