@@ -202,25 +202,30 @@ GROUP_RULES = {
 def foreign_key_counts(child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str]) -> DataFrame:
     """One row: element, missing (any fk part null), orphan rows, orphan keys.
 
-    The child is pre-aggregated to (fk, count) before the shuffle, so the
-    join moves one row per distinct key; the parent is reduced to its
-    distinct keys (partial aggregation removes parent-side hot keys).  The
-    anti join is an equi-join, never the null-aware ``NOT IN``.  Spark picks
-    a broadcast of the parent only when its measured size is under
+    One scan of each side.  The child is pre-aggregated to (fk, count) --
+    map-side partial aggregation collapses hot keys, so the shuffle moves at
+    most one row per key per task -- and the parent is reduced to its distinct
+    keys (likewise).  A left outer equi-join of the two (both already
+    partitioned by the key, so no further exchange; never the null-aware
+    ``NOT IN``) marks the keys without a parent.  Spark broadcasts the parent
+    keys only when their measured size is under
     ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run time)."""
     ck = [f"__k{i}" for i in range(len(fk))]
     groups = child.select(*[child[c].alias(a) for c, a in zip(fk, ck)]).groupBy(*ck).agg(F.count(F.lit(1)).alias(CNT))
-    keys = parent.select(*[parent[c].alias(a) for c, a in zip(pk, ck)]).distinct()
-    has_null = any_null([F.col(a) for a in ck])
-    orphans = groups.where(~has_null).join(keys, on=ck, how="left_anti")
-    tagged = groups.select(F.col(CNT), has_null.alias("nul"), F.lit(False).alias("orph")).unionByName(
-        orphans.select(F.col(CNT), F.lit(False).alias("nul"), F.lit(True).alias("orph"))
+    keys = (
+        parent.select(*[parent[c].alias(a) for c, a in zip(pk, ck)])
+        .where(~any_null([F.col(a) for a in ck]))
+        .distinct()
+        .withColumn("__present", F.lit(True))
     )
-    return tagged.agg(
-        _sum_if(~F.col("orph")).alias("n"),
-        _sum_if(~F.col("orph") & F.col("nul")).alias("miss"),
-        _sum_if(F.col("orph")).alias("bad"),
-        F.count_if(F.col("orph")).alias("bad_keys"),
+    marked = groups.join(keys, on=ck, how="left")
+    has_null = any_null([F.col(a) for a in ck])
+    orphan = ~has_null & F.col("__present").isNull()
+    return marked.agg(
+        _sum_if(F.lit(True)).alias("n"),
+        _sum_if(has_null).alias("miss"),
+        _sum_if(orphan).alias("bad"),
+        F.count_if(orphan).alias("bad_keys"),
     )
 
 

@@ -7,8 +7,9 @@ A global ``Window.orderBy`` would pull the whole table into one task.  Instead:
    value (or one partition_by group) holds a third of the rows -- the tie
    breaker spreads it over several buckets;
 2. ``lag`` inside each bucket (``Window.partitionBy(bucket, partition_by)``);
-3. first and last row per bucket -- a table with one row per bucket -- and a
-   ``lag`` over the buckets for the seams between neighbouring buckets;
+3. in the same pass over the window output, per bucket: the breaks inside it
+   and its first and last rows -- a table with one row per bucket -- then a
+   ``lag`` over that small table for the seams between neighbouring buckets;
 4. add the counts.
 
 Ties in the order column are broken by ``tie_breaker`` (default: the checked
@@ -72,31 +73,27 @@ def ordered_counts(df: DataFrame, chk: Check, buckets: int | None = None) -> Dat
         (F.row_number().over(w) == 1).alias("__first"),
         F.lead(o).over(w).isNull().alias("__last"),
     )
-    inner_bad = marked.agg(
-        F.count_if(F.col("__same") & breaks(F.col(v), F.col("__prev"))).cast("long").alias("bad")
-    )
-
-    # Seams: the first row of a bucket against the last row of the previous
-    # non-empty bucket; the ends table has one row per bucket.
+    # One pass over the window output: per bucket the inner breaks and its
+    # first and last rows (the bucket table has one row per bucket).
     row = F.struct(*[F.col(p).alias(p) for p in pcols], F.col(v).alias(v))
-    ends = marked.where(F.col("__first") | F.col("__last")).groupBy("__b").agg(
-        F.max(F.when(F.col("__first"), row)).alias("first"), F.max(F.when(F.col("__last"), row)).alias("last")
+    per_bucket = marked.groupBy("__b").agg(
+        F.count_if(F.col("__same") & breaks(F.col(v), F.col("__prev"))).cast("long").alias("inner"),
+        F.max(F.when(F.col("__first"), row)).alias("first"),
+        F.max(F.when(F.col("__last"), row)).alias("last"),
     )
-    seams = ends.withColumn("__pl", F.lag("last").over(Window.orderBy("__b")))
+    # Seams: the first row of a bucket against the last row of the previous
+    # non-empty bucket (a window over the small bucket table).
+    seams = per_bucket.withColumn("__pl", F.lag("last").over(Window.orderBy("__b")))
     same_group = F.lit(True)
     for p in pcols:
         same_group = same_group & F.col(f"first.{p}").eqNullSafe(F.col(f"__pl.{p}"))
-    seam_bad = seams.agg(
-        F.count_if(F.col("__pl").isNotNull() & same_group & breaks(F.col(f"first.{v}"), F.col(f"__pl.{v}")))
-        .cast("long")
-        .alias("bad")
-    )
+    seam = F.col("__pl").isNotNull() & same_group & breaks(F.col(f"first.{v}"), F.col(f"__pl.{v}"))
+    bad = seams.agg((F.coalesce(F.sum("inner"), F.lit(0)) + F.count_if(seam)).cast("long").alias("bad"))
     nul = F.lit(None).cast("long")
-    parts_df = (
-        totals.select(F.col("n").cast("long"), F.col("miss").cast("long"), nul.alias("bad"))
-        .unionByName(inner_bad.select(nul.alias("n"), nul.alias("miss"), "bad"))
-        .unionByName(seam_bad.select(nul.alias("n"), nul.alias("miss"), "bad"))
+    parts_df = totals.select(F.col("n").cast("long"), F.col("miss").cast("long"), nul.alias("bad")).unionByName(
+        bad.select(nul.alias("n"), nul.alias("miss"), "bad")
     )
     return parts_df.agg(
-        F.sum("n").cast("long").alias("n"), F.sum("miss").cast("long").alias("miss"), F.sum("bad").cast("long").alias("bad")
+        F.sum("n").cast("long").alias("n"), F.sum("miss").cast("long").alias("miss"),
+        F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"),
     )
