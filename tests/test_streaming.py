@@ -1,0 +1,31 @@
+import tempfile
+
+from probity import Check, validate
+from probity.streaming import running_results, start
+
+
+def test_streaming_checks_equal_batch(spark):
+    src = "/root/testdata/sf0.001"
+    batch = spark.read.parquet(f"{src}/events.parquet")
+    stream = spark.readStream.schema(batch.schema).option("pathGlobFilter", "events.parquet").parquet(src)
+    checks = [
+        Check("events", "column_values_to_be_in_set", "event_type", {"value_set": ["view", "click"]}),
+        Check("events", "column_values_to_be_between", "value", {"min_value": 0, "max_value": 100}),
+        Check("events", "column_mean_to_be_between", "value", {"min_value": 0}),
+    ]
+    q = start(stream, checks, "probity_stream_test", tempfile.mkdtemp(prefix="probity-stream-"))
+    try:
+        q.processAllAvailable()
+        got = {r["check_id"]: (r["unexpected_count"], r["element_count"]) for r in spark.sql("SELECT * FROM probity_stream_test").collect()}
+    finally:
+        q.stop()
+    want = {r["check_id"]: (r["unexpected_count"], r["element_count"]) for r in validate({"events": batch}, checks).collect()}
+    assert got == want
+
+
+def test_whole_table_checks_rejected(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1,)], "x INT")
+    with pytest.raises(ValueError):
+        running_results(df, [Check("t", "column_values_to_be_unique", "x")])
