@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # no per-Column call-site capture (several JVM round trips per function call)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
