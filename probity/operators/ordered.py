@@ -2,10 +2,12 @@
 
 A global ``Window.orderBy`` would pull the whole table into one task.  Instead:
 
-1. ``repartitionByRange`` on (partition_by..., order_by, tie_breaker): Spark
-   samples the composite key, so buckets are balanced even when one order
-   value (or one partition_by group) holds a third of the rows -- the tie
-   breaker spreads it over several buckets;
+1. ``repartitionByRange`` on (partition_by..., order_by, tie_breaker, value,
+   row id): Spark samples the composite key, so buckets are balanced even
+   when one order value (or one partition_by group, or one fully identical
+   row) holds a third of the rows -- the trailing keys spread it over several
+   buckets.  Rows equal up to the row id are interchangeable, so the row id
+   changes no count (and a recomputed task may number them differently);
 2. ``lag`` inside each bucket (``Window.partitionBy(bucket, partition_by)``);
 3. in the same pass over the window output, per bucket: the breaks inside it
    and its first and last rows -- a table with one row per bucket -- then a
@@ -47,9 +49,13 @@ def ordered_counts(df: DataFrame, chk: Check, buckets: int | None = None) -> Dat
     totals = base.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(v).isNull() | F.col(o).isNull()).alias("miss")
     )
-    judged = base.where(F.col(v).isNotNull() & F.col(o).isNotNull())
+    judged = base.where(F.col(v).isNotNull() & F.col(o).isNotNull()).withColumn("__rid", F.monotonically_increasing_id())
     tie_sort = F.col(t).asc_nulls_first() if increasing else F.col(t).desc_nulls_last()
-    sort_keys = [F.col(p) for p in pcols] + [F.col(o), tie_sort]
+    val_sort = F.col(v).asc_nulls_first() if increasing else F.col(v).desc_nulls_last()
+    # Rows equal in (partition, order, tie breaker, value) are interchangeable,
+    # so a row-unique last key changes no count; it lets the range partitioner
+    # split a run of such rows (a hot key) over several buckets.
+    sort_keys = [F.col(p) for p in pcols] + [F.col(o), tie_sort, val_sort, F.col("__rid")]
 
     def breaks(cur, prev):
         if increasing:

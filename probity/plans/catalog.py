@@ -624,8 +624,8 @@ def _reg_contract_rules():
              "SELECT c_custkey, sha256(c_name) AS c_name, c_nationkey, c_mktsegment FROM customer")
     # C28 retention split
     register("C28", _retention_counts,
-             "SELECT count_if(o_orderdate < TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS expired_rows, "
-             "count_if(o_orderdate >= TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS kept_rows FROM orders")
+             "SELECT CAST(count_if(o_orderdate < TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS BIGINT) AS expired_rows, "
+             "CAST(count_if(o_orderdate >= TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS BIGINT) AS kept_rows FROM orders")
 
 
 class _Combine:
@@ -826,8 +826,8 @@ def _reg_sources():
     want = {"p_brand": "int", "p_size": "int", "p_retailprice": "decimal(10,2)", "p_type": "string"}
     register("S05", lambda spark, sf: S.conform_report(read_tables(spark, sf, ["part"])["part"], want),
              union_sql(*[f"SELECT '{c}' AS column, '{t}' AS wanted_type, count({c}) AS non_null, "
-                         f"count_if({c} IS NOT NULL AND TRY_CAST({c} AS {t.replace('int', 'INTEGER').replace('string', 'VARCHAR')}) IS NULL) "
-                         f"AS failures FROM part" for c, t in want.items()]))
+                         f"CAST(count_if({c} IS NOT NULL AND TRY_CAST({c} AS {t.replace('int', 'INTEGER').replace('string', 'VARCHAR')}) IS NULL) "
+                         f"AS BIGINT) AS failures FROM part" for c, t in want.items()]))
     register("S06", _sample_roundtrip, f"SELECT {ORDERS_SEL} FROM orders ORDER BY o_orderkey LIMIT 100")
     register("S07", _profile_roundtrip, profile_sql("part", [("p_partkey", "bigint", True), ("p_name", "string", False),
                                                               ("p_brand", "string", False), ("p_type", "string", False),
@@ -1019,7 +1019,7 @@ def _v4(spark, sf):
 def _v4_sql():
     meta = " UNION ALL ".join(f"SELECT '{c.check_id}' AS check_id, '{c.table}' AS table_name, '{c.kind}' AS kind" for c in V2_CHECKS)
     return (f"WITH r AS ({_v2_sql()}), m AS ({meta}) SELECT table_name, kind, count(*) AS checks, "
-            f"count_if(success) AS passed, count_if(NOT coalesce(success, FALSE)) AS failed "
+            f"CAST(count_if(success) AS BIGINT) AS passed, CAST(count_if(NOT coalesce(success, FALSE)) AS BIGINT) AS failed "
             f"FROM r JOIN m USING (check_id) GROUP BY ROLLUP (table_name, kind)")
 
 

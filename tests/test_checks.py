@@ -184,3 +184,19 @@ def test_kind_name_forms():
     from probity.checks import KINDS
 
     assert len(KINDS) == 56 and len(set(KINDS)) == 56
+
+
+def test_ordered_hot_run_split_over_buckets(spark):
+    # a third of the rows share one order value and one value: they form one
+    # run of equal keys that must still be counted exactly (brute force)
+    import random
+
+    rnd = random.Random(3)
+    rows = [(i, rnd.randint(0, 50)) for i in range(600)] + [(300, 7)] * 300
+    df = spark.createDataFrame(rows, "o INT, v INT")
+    for strictly in (True, False):
+        c = Check("t", "column_values_to_be_increasing", "v", {"order_by": "o", "strictly": strictly, "buckets": 9})
+        got = validate({"t": df}, [c]).collect()[0]["unexpected_count"]
+        s = sorted(rows)
+        want = sum(1 for (a, b) in zip(s, s[1:]) if not (b[1] > a[1] if strictly else b[1] >= a[1]))
+        assert got == want
