@@ -11,7 +11,9 @@ library, so these are our definitions):
 * ``unexpected_percent`` = 100 * unexpected / judged rows (0 when none judged);
 * ``success`` = ``(judged - unexpected) / judged >= mostly`` (an empty column passes),
   unless the check carries a ``must_be_less_than`` threshold (count, or percent
-  of all rows when ``unit='percent'``), which is strict;
+  of all rows when ``unit='percent'``), which is strict, or a share threshold
+  ``params['threshold']`` (``">95%"``: good share strictly above, ``"<5%"``:
+  bad share strictly below);
 * ``observed_value``  the measured scalar of aggregate checks, else null.
 """
 

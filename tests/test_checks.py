@@ -200,3 +200,12 @@ def test_ordered_hot_run_split_over_buckets(spark):
         s = sorted(rows)
         want = sum(1 for (a, b) in zip(s, s[1:]) if not (b[1] > a[1] if strictly else b[1] >= a[1]))
         assert got == want
+
+
+def test_share_thresholds(spark):
+    rows = [(i,) for i in range(20)]  # 19 good of 20 for max 18 -> 95% good, 5% bad
+    a = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "threshold": ">95%"}, check_id="a")
+    b = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "threshold": "<5%"}, check_id="b")
+    c = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "threshold": ">90%"}, check_id="c")
+    r = _run(spark, rows, "x INT", [a, b, c])
+    assert (r["a"]["success"], r["b"]["success"], r["c"]["success"]) == (False, False, True)
