@@ -12,7 +12,7 @@ library, so these are our definitions):
 * ``success`` = ``(judged - unexpected) / judged >= mostly`` (an empty column passes),
   unless the check carries a ``must_be_less_than`` threshold (count, or percent
   of all rows when ``unit='percent'``), which is strict, or a share threshold
-  ``params['threshold']`` (``">95%"``: good share strictly above, ``"<5%"``:
+  ``params['share']`` (``">95%"``: good share strictly above, ``"<5%"``:
   bad share strictly below);
 * ``observed_value``  the measured scalar of aggregate checks, else null.
 """
@@ -208,6 +208,9 @@ class Check:
 
     @property
     def pass_kind(self) -> str:
+        # type checks on text sources become a value-level cast test (scans)
+        if self.kind in ("column_values_to_be_of_type", "column_values_to_be_in_type_list") and self.params.get("value_test"):
+            return "A"
         return PASS_OF[self.kind]
 
     def p(self, name: str, default: Any = None) -> Any:

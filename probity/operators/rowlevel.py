@@ -98,6 +98,27 @@ def _z_scores(chk, df):
     return RowRule(missing=c.isNull(), bad=~F.coalesce(ok, F.lit(True)))
 
 
+# logical family -> Spark type used for the value-level cast test
+_CAST_OF = {
+    "integer": "bigint", "int": "bigint", "long": "bigint", "bigint": "bigint",
+    "number": "double", "numeric": "double", "double": "double", "float": "double", "decimal": "decimal(38,10)",
+    "boolean": "boolean", "bool": "boolean", "date": "date", "timestamp": "timestamp_ntz", "datetime": "timestamp_ntz",
+    "string": "string", "text": "string", "varchar": "string",
+}
+
+
+def _value_type(chk, df):
+    """S5 / E27 / E31 on text: a non-null value that does not convert (``try_cast``)
+    to the wanted type (any of the list) is unexpected."""
+    c = _col(df, chk.column)
+    wanted = [chk.p("type_")] if chk.kind == "column_values_to_be_of_type" else list(chk.p("type_list"))
+    ok = F.lit(False)
+    for w in wanted:
+        target = _CAST_OF.get(str(w).lower(), str(w))
+        ok = ok | c.cast("string").try_cast(target).isNotNull()
+    return RowRule(missing=c.isNull(), bad=~ok)
+
+
 def _row_condition(chk, df):
     """Contract ``custom`` rule: a SQL boolean per row; a null verdict is no violation."""
     cond = F.expr(chk.p("expression"))
@@ -148,5 +169,7 @@ ROW_RULES = {
     "select_column_values_to_be_unique_within_record": _unique_within_record,
     "column_value_z_scores_to_be_less_than": _z_scores,
     "row_condition": _row_condition,
+    "column_values_to_be_of_type": _value_type,
+    "column_values_to_be_in_type_list": _value_type,
     "conditional_not_null": _conditional_not_null,
 }

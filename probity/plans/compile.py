@@ -60,11 +60,11 @@ def finish(chk: Check, fields: dict[str, Column]) -> Column:
                 f.setdefault("success", share < t)
             else:
                 f.setdefault("success", bad < t)
-        elif chk.p("threshold"):
+        elif chk.p("share"):
             # T1 ">95%": share of good rows strictly above; T2 "<5%": share of bad rows strictly below
             from probity.functions.thresholds import parse_share
 
-            side, v = parse_share(chk.p("threshold"))
+            side, v = parse_share(chk.p("share"))
             good = (judged - bad).cast("double") / judged
             cond = (good > F.lit(v)) if side == "good_above" else ((F.lit(1.0) - good) < F.lit(v))
             f.setdefault("success", F.when(judged == 0, F.lit(True)).otherwise(cond))

@@ -52,10 +52,53 @@ def violation_predicate(chk: Check, df: DataFrame) -> Column | None:
     return F.coalesce(rule.bad if rule.all_rows else (~rule.missing & rule.bad), F.lit(False))
 
 
+def violating_rows(chk: Check, df: DataFrame, tables: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """All rows that break ``chk`` (lazy), or None when the kind has no row-level culprits.
+
+    Row checks: a filter.  Uniqueness: a left-semi join with the duplicated keys
+    (pre-aggregated ``groupBy(key).count() > 1``).  Foreign key: a left-anti join
+    with the parent's distinct keys.  Both joins are equi-joins on the key."""
+    pred = violation_predicate(chk, df) if chk.pass_kind == "A" else None
+    if pred is not None:
+        return df.where(pred)
+    cols = list(chk.columns)
+    if chk.kind in ("column_values_to_be_unique", "compound_columns_to_be_unique", "multicolumn_values_to_be_unique"):
+        keys = [F.col(c) for c in cols]
+        if chk.kind == "compound_columns_to_be_unique":
+            judged = ~F.coalesce(*[k.isNull() for k in keys]) if len(keys) == 1 else ~_all_null(keys)
+        else:
+            judged = ~_any_null(keys)
+        dups = df.where(judged).groupBy(*cols).count().where(F.col("count") > 1).select(*cols)
+        return df.join(dups, on=[df[c].eqNullSafe(dups[c]) for c in cols], how="left_semi")
+    if chk.kind == "foreign_key" and tables is not None:
+        parent = tables[chk.p("parent_table")]
+        pk = list(chk.p("parent_columns"))
+        keys = parent.select(*[parent[p].alias(f"__p{i}") for i, p in enumerate(pk)]).distinct()
+        cond = [df[c] == keys[f"__p{i}"] for i, c in enumerate(cols)]
+        return df.where(~_any_null([F.col(c) for c in cols])).join(keys, on=cond, how="left_anti")
+    return None
+
+
+def _any_null(cols):
+    out = F.lit(False)
+    for c in cols:
+        out = out | c.isNull()
+    return out
+
+
+def _all_null(cols):
+    out = F.lit(True)
+    for c in cols:
+        out = out & c.isNull()
+    return out
+
+
 def failing_rows(
-    df: DataFrame, checks: list[Check], order_by: list[str], n: int = 5, only: set[str] | None = None
+    df: DataFrame, checks: list[Check], order_by: list[str], n: int = 5, only: set[str] | None = None,
+    tables: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """V3: up to ``n`` failing rows per row-level check, first by ``order_by``.
+    """V3: up to ``n`` failing rows per check, first by ``order_by`` (row checks,
+    uniqueness and foreign keys; see ``violating_rows``).
 
     One filter + top-k per check (``TakeOrderedAndProject``: each task keeps
     its own n best rows, so a check failing on a third of the table still
@@ -66,10 +109,10 @@ def failing_rows(
     for chk in checks:
         if only is not None and chk.check_id not in only:
             continue
-        bad = violation_predicate(chk, df)
-        if bad is None:
+        rows = violating_rows(chk, df, tables)
+        if rows is None:
             continue
-        top = df.where(bad).orderBy(*order_by).limit(n)
+        top = rows.orderBy(*order_by).limit(n)
         parts.append(top.select(F.lit(chk.check_id).alias("check_id"), *df.columns))
     if not parts:
         return df.sparkSession.createDataFrame([], T.StructType([T.StructField("check_id", T.StringType())] + df.schema.fields))

@@ -76,7 +76,7 @@ def run_contract(
         if not chks:
             continue
         order = c.primary_keys.get(t) or df.columns
-        rows = failing_rows(df, chks, order_by=order, n=failing_n)
+        rows = failing_rows(df, chks, order_by=order, n=failing_n, tables=tables)
         fail_paths[t] = sinks.write_failing_csv(rows, os.path.join(out_base, "failing_examples", f"{tag}.{t}"))
     return {
         "profile": sinks.read_json(spark, prof_path, PROFILE_DDL),

@@ -204,8 +204,31 @@ def test_ordered_hot_run_split_over_buckets(spark):
 
 def test_share_thresholds(spark):
     rows = [(i,) for i in range(20)]  # 19 good of 20 for max 18 -> 95% good, 5% bad
-    a = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "threshold": ">95%"}, check_id="a")
-    b = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "threshold": "<5%"}, check_id="b")
-    c = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "threshold": ">90%"}, check_id="c")
+    a = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "share": ">95%"}, check_id="a")
+    b = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "share": "<5%"}, check_id="b")
+    c = Check("t", "column_values_to_be_between", "x", {"max_value": 18, "share": ">90%"}, check_id="c")
     r = _run(spark, rows, "x INT", [a, b, c])
     assert (r["a"]["success"], r["b"]["success"], r["c"]["success"]) == (False, False, True)
+
+
+def test_value_level_type_test_on_text(spark):
+    rows = [("12",), ("x",), ("3.5",), (None,), ("2024-01-01",)]
+    c1 = Check("t", "column_values_to_be_of_type", "s", {"type_": "integer", "value_test": True}, check_id="i")
+    c2 = Check("t", "column_values_to_be_in_type_list", "s", {"type_list": ["integer", "date"], "value_test": True}, check_id="l")
+    c3 = Check("t", "column_values_to_be_of_type", "s", {"type_": "string"}, check_id="m")
+    r = _run(spark, rows, "s STRING", [c1, c2, c3])
+    assert r["i"]["unexpected_count"] == 3 and r["i"]["missing_count"] == 1
+    assert r["l"]["unexpected_count"] == 2
+    assert r["m"]["success"] is True and r["m"]["element_count"] is None
+
+
+def test_failing_rows_for_keys(spark):
+    from probity.plans.report import failing_rows
+
+    df = spark.createDataFrame([(1, 10), (1, 11), (2, 99), (3, None), (4, 20)], "id INT, fk INT")
+    parent = spark.createDataFrame([(10,), (11,), (20,)], "pk INT")
+    checks = [Check("t", "column_values_to_be_unique", "id"),
+              Check("t", "foreign_key", "fk", {"parent_table": "p", "parent_columns": ["pk"]})]
+    rows = failing_rows(df, checks, order_by=["id", "fk"], n=5, tables={"t": df, "p": parent}).collect()
+    got = sorted((r["check_id"], r["id"], r["fk"]) for r in rows)
+    assert got == [("t:fk:foreign_key", 2, 99), ("t:id:unique", 1, 10), ("t:id:unique", 1, 11)]
