@@ -232,3 +232,18 @@ def test_failing_rows_for_keys(spark):
     rows = failing_rows(df, checks, order_by=["id", "fk"], n=5, tables={"t": df, "p": parent}).collect()
     got = sorted((r["check_id"], r["id"], r["fk"]) for r in rows)
     assert got == [("t:fk:foreign_key", 2, 99), ("t:id:unique", 1, 10), ("t:id:unique", 1, 11)]
+
+
+def test_stored_suite_entries(spark):
+    suite = {"name": "t.0.1", "expectations": [
+        {"type": "expect_table_columns_to_match_ordered_list", "kwargs": {"column_list": ["a", "b"]}, "meta": {}},
+        {"type": "expect_column_values_to_be_of_type", "kwargs": {"column": "a", "type_": "integer"}, "meta": {}},
+        {"type": "expect_column_values_to_be_unique", "kwargs": {"column": "b"}, "meta": {"check_id": "t:b:unique"}},
+        {"type": "expect_column_pair_values_a_to_be_greater_than_b", "kwargs": {"column_A": "a", "column_B": "b", "mostly": 0.5}},
+    ]}
+    checks = [Check.from_dict("t", e) for e in suite["expectations"]]
+    r = _run(spark, [(1, 0), (2, 0), (3, 5)], "a INT, b INT", checks)
+    assert r["t::table_columns_to_match_ordered_list"]["success"] is True
+    assert r["t:a:column_values_to_be_of_type"]["success"] is True
+    assert r["t:b:unique"]["unexpected_count"] == 2
+    assert r["t:a+b:column_pair_values_a_to_be_greater_than_b"]["success"] is True  # 2 of 3 >= 0.5
