@@ -76,40 +76,47 @@ def profile(
     first = df.agg(*aggs).first().asDict()
     n = first["__n"]
 
-    # ---- pass 2
-    if exact:
+    # ---- passes 2 and 3 are independent: submitted side by side
+    def distinct_counts() -> dict[int, int]:
+        if not exact:
+            return {i: first[f"nd{i}"] for i in range(len(cols))}
         parts = [
             df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct()
             .agg(F.count(F.lit(1)).alias("d")).select(F.lit(i).alias("i"), "d")
             for i, c in enumerate(cols)
         ]
-        if parts:
-            u = parts[0]
-            for p in parts[1:]:
-                u = u.unionByName(p)
-            ndv = {r["i"]: r["d"] for r in u.collect()}
-        else:
-            ndv = {}
-    else:
-        ndv = {i: first[f"nd{i}"] for i in range(len(cols))}
-
-    # ---- pass 3
-    q: dict[str, float] = {}
-    quant_cols = [(i, c) for i, c in enumerate(cols) if c in numeric and first[f"nn{i}"]]
-    if exact:
-        from probity.operators.quantiles import PROFILE, select_ranks
-
-        got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_hint=n)
-        for (i, _), (_, vals) in zip(quant_cols, got):
-            q[f"a{i}"], q[f"b{i}"] = (float(v) if v is not None else None for v in vals)
-    elif quant_cols:
-        qaggs = []
-        for i, c in quant_cols:
-            nn = first[f"nn{i}"]
-            lo, hi = rank_indices(nn)
-            qaggs.append(F.percentile_approx(F.col(c), F.lit((lo + 0.5) / nn), accuracy).cast("double").alias(f"a{i}"))
-            qaggs.append(F.percentile_approx(F.col(c), F.lit((hi + 0.5) / nn), accuracy).cast("double").alias(f"b{i}"))
-        q = df.agg(*qaggs).first().asDict()
+        if not parts:
+            return {}
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        return {r["i"]: r["d"] for r in u.collect()}
+
+    def quantiles() -> dict[str, float]:
+        q: dict[str, float] = {}
+        quant_cols = [(i, c) for i, c in enumerate(cols) if c in numeric and first[f"nn{i}"]]
+        if exact:
+            from probity.operators.quantiles import PROFILE, select_ranks
+
+            known = {c: first[f"nn{i}"] for i, c in quant_cols}
+            got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_hint=n, n_known=known)
+            for (i, _), (_, vals) in zip(quant_cols, got):
+                q[f"a{i}"], q[f"b{i}"] = (float(v) if v is not None else None for v in vals)
+        elif quant_cols:
+            qaggs = []
+            for i, c in quant_cols:
+                nn = first[f"nn{i}"]
+                lo, hi = rank_indices(nn)
+                qaggs.append(F.percentile_approx(F.col(c), F.lit((lo + 0.5) / nn), accuracy).cast("double").alias(f"a{i}"))
+                qaggs.append(F.percentile_approx(F.col(c), F.lit((hi + 0.5) / nn), accuracy).cast("double").alias(f"b{i}"))
+            q = df.agg(*qaggs).first().asDict()
+        return q
+
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        f_ndv, f_q = pool.submit(distinct_counts), pool.submit(quantiles)
+        ndv, q = f_ndv.result(), f_q.result()
 
     rows = []
     for i, c in enumerate(cols):

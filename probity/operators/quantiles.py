@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
 BRACKET_ROWS = 1_000_000
+# a column with at most this many values is picked exactly in one pass
+SMALL_COLUMN = 100_000
 
 
 def _accuracy(n: int, floor: int) -> int:
@@ -44,20 +46,47 @@ def _q(col: str) -> str:
     return f"`{col}`"
 
 
+def _direct(df: DataFrame, reqs: list[tuple], values: dict[int, object]) -> None:
+    """Exact pick over the whole column, for columns with at most SMALL_COLUMN values."""
+    if not reqs:
+        return
+    exprs = [
+        F.expr(f"percentile_disc({(k - 0.5) / n!r}) WITHIN GROUP (ORDER BY {_q(c)})").alias(f"v{ri}")
+        for ri, (_, c, n, k) in reqs
+    ]
+    row = df.agg(*exprs).first().asDict()
+    for key, v in row.items():
+        values[int(key[1:])] = v
+
+
 def select_ranks(
     df: DataFrame,
     wants: list[tuple[str, Callable[[int], list[int]], list[float]]],
     accuracy: int = DEFAULT_ACCURACY,
     n_hint: int | None = None,
+    n_known: dict[str, int] | None = None,
 ) -> list[tuple[int, list]]:
     """For each ``(column, ranks_of_n, probs)``: ``ranks_of_n(n)`` gives 1-based
     ranks among the ``n`` non-null values, ``probs`` the matching target shares
     (known without ``n``, so the count and the sketch share one pass).
     Returns ``(n, [value per rank])`` per want.  ``n_hint`` (an upper bound of
-    the row count, e.g. from table statistics) sizes the sketch."""
+    the row count, e.g. from table statistics) sizes the sketch; ``n_known``
+    (exact non-null counts already computed by the caller) lets columns with at
+    most ``SMALL_COLUMN`` values skip the sketch: their exact pick is bounded
+    by the column itself."""
     if not wants:
         return []
     cols = list(dict.fromkeys(c for c, _, _ in wants))
+    if n_known is not None and all(c in n_known and n_known[c] <= SMALL_COLUMN for c in cols):
+        values: dict[int, object] = {}
+        reqs = [(ri, (wi, c, n_known[c], int(k)))
+                for ri, (wi, c, k) in enumerate((wi, c, k) for wi, (c, fn, _) in enumerate(wants)
+                                                if n_known[c] for k in fn(n_known[c]))]
+        _direct(df, reqs, values)
+        out: list[tuple[int, list]] = [(n_known[c], []) for c, _, _ in wants]
+        for ri, (wi, _, _, _) in reqs:
+            out[wi][1].append(values[ri])
+        return out
     acc = _accuracy(n_hint or 0, accuracy)
     # widen by the sketch error (n / acc ranks) plus rounding of k around p * n
     delta = 3.0 / acc
@@ -86,15 +115,21 @@ def select_ranks(
         for (a, b), k in zip(slots[wi], fn(n)):
             reqs.append((wi, c, n, int(k), sk[a], sk[b]))
     values: dict[int, object] = {}
-    if reqs:
+    small = [(ri, (r[0], r[1], r[2], r[3])) for ri, r in enumerate(reqs) if r[2] <= SMALL_COLUMN]
+    _direct(df, small, values)
+    if any(r[2] > SMALL_COLUMN for r in reqs):
         p2 = []
         for ri, (_, c, n, k, lo, hi) in enumerate(reqs):
+            if n <= SMALL_COLUMN:
+                continue
             col = F.col(c)
             p2.append(F.count_if(col < F.lit(lo)).alias(f"below{ri}"))
             p2.append(F.count_if((col >= F.lit(lo)) & (col <= F.lit(hi))).alias(f"inside{ri}"))
         cnt = df.agg(*p2).first()
         p3 = []
         for ri, (_, c, n, k, lo, hi) in enumerate(reqs):
+            if n <= SMALL_COLUMN:
+                continue
             below, inside = cnt[f"below{ri}"], cnt[f"inside{ri}"]
             if below < k <= below + inside:
                 if lo == hi:
