@@ -179,6 +179,17 @@ def coerce_values(values: Iterable[Any], dtype: T.DataType) -> list[Any]:
     return out
 
 
+def normalized(c: Column, chk) -> Column:
+    """Optional value normalisation of a check: ``trim`` (e.g. a trailing tab in a
+    code) and ``case_insensitive`` (the ``UTF8_LCASE`` collation, so equality,
+    IN, grouping and join keys ignore case, as MySQL's default collations do)."""
+    if chk.p("trim"):
+        c = F.btrim(c, F.lit(" \t\r\n"))  # blanks and control whitespace, not spaces only
+    if chk.p("case_insensitive"):
+        c = F.collate(c, "UTF8_LCASE")
+    return c
+
+
 def in_set(c: Column, values: list[Any]) -> Column:
     """Membership; Catalyst turns long lists into a hash ``InSet``."""
     if not values:

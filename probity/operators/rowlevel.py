@@ -137,8 +137,8 @@ ROW_RULES = {
     "column_values_to_be_between": _single(lambda c, k, d: _between(c, k)),
     "column_value_lengths_to_be_between": _single(lambda c, k, d: _between(F.char_length(c), k)),
     "column_value_lengths_to_equal": _single(lambda c, k, d: F.char_length(c) == F.lit(int(k.p("value")))),
-    "column_values_to_be_in_set": _single(lambda c, k, d: P.in_set(c, _set(d, k))),
-    "column_values_to_not_be_in_set": _single(lambda c, k, d: ~P.in_set(c, _set(d, k))),
+    "column_values_to_be_in_set": _single(lambda c, k, d: P.in_set(P.normalized(c, k), _set(d, k))),
+    "column_values_to_not_be_in_set": _single(lambda c, k, d: ~P.in_set(P.normalized(c, k), _set(d, k))),
     "column_values_to_match_regex": _single(lambda c, k, d: c.rlike(k.p("regex"))),
     "column_values_to_not_match_regex": _single(lambda c, k, d: ~c.rlike(k.p("regex"))),
     "column_values_to_match_regex_list": _single(

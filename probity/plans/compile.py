@@ -138,7 +138,12 @@ def fused_pass(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame])
 
 
 def group_pass(df: DataFrame, key: tuple[str, ...], checks: list[Check]) -> DataFrame:
-    """All G checks on one column tuple share one groupBy."""
+    """All G checks on one column tuple (and normalisation) share one groupBy."""
+    from probity.functions.predicates import normalized
+
+    probe = checks[0]
+    if probe.p("trim") or probe.p("case_insensitive"):
+        df = df.select(*[(normalized(F.col(c), probe).alias(c) if c in key else F.col(c)) for c in df.columns])
     groups = groups_of(df, key)
     aggs, structs = [], []
     for i, chk in enumerate(checks):
@@ -153,8 +158,14 @@ def group_pass(df: DataFrame, key: tuple[str, ...], checks: list[Check]) -> Data
 
 
 def _foreign_key(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    from probity.functions.predicates import normalized
+
     parent = tables[chk.p("parent_table")]
-    counts = foreign_key_counts(df, list(chk.columns), parent, list(chk.p("parent_columns")))
+    fk, pk = list(chk.columns), list(chk.p("parent_columns"))
+    if chk.p("trim") or chk.p("case_insensitive"):
+        df = df.select(*[normalized(F.col(c), chk).alias(c) for c in fk])
+        parent = parent.select(*[normalized(F.col(c), chk).alias(c) for c in pk])
+    counts = foreign_key_counts(df, fk, parent, pk)
     fields = {
         "element_count": F.col("n"),
         "missing_count": F.col("miss"),
@@ -264,12 +275,12 @@ def validate(
             elif c.pass_kind == "A":
                 fused.append(c)
             elif c.pass_kind == "G":
-                grouped.setdefault(key_of(c), []).append(c)
+                grouped.setdefault((key_of(c), bool(c.p("trim")), bool(c.p("case_insensitive"))), []).append(c)
             else:
                 singles.append(c)
         for i in range(0, len(fused), block):
             parts.append(fused_pass(df, fused[i : i + block], tables))
-        for key, gchks in grouped.items():
+        for (key, _, _), gchks in grouped.items():
             parts.append(group_pass(df, key, gchks))
         for c in singles:
             if c.pass_kind == "O":

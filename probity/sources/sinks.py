@@ -31,7 +31,12 @@ def write_sample(df: DataFrame, base: str, dataset: str, table: str, run_id: str
     schemas differ).  On a failed write every column is retried as text."""
     path = os.path.join(base, "samples", table)
     tagged = df.select("*", F.lit(dataset).alias("dataset"), F.lit(table).alias("table"), F.lit(run_id).alias("run_id"))
-    writer = lambda d: d.write.mode("append").partitionBy("dataset", "table", "run_id").parquet(path)
+    # dynamic partition overwrite: a re-run of the same run_id replaces only its own
+    # partition (idempotent after a failed or repeated job), other runs stay
+    writer = lambda d: (
+        d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dataset", "table", "run_id").parquet(path)
+    )
     try:
         writer(tagged)
     except (PySparkException, Py4JJavaError):

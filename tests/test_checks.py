@@ -247,3 +247,21 @@ def test_stored_suite_entries(spark):
     assert r["t:a:column_values_to_be_of_type"]["success"] is True
     assert r["t:b:unique"]["unexpected_count"] == 2
     assert r["t:a+b:column_pair_values_a_to_be_greater_than_b"]["success"] is True  # 2 of 3 >= 0.5
+
+
+def test_case_insensitive_and_trim(spark):
+    rows = [("Normal",), ("normal",), ("HIGH\t",), ("low",)]
+    parent = spark.createDataFrame([("normal",), ("high",), ("Low",)], "name STRING")
+    cs = [
+        Check("t", "column_values_to_be_in_set", "p", {"value_set": ["normal", "high", "low"]}, check_id="cs"),
+        Check("t", "column_values_to_be_in_set", "p", {"value_set": ["normal", "high", "low"], "case_insensitive": True,
+                                                       "trim": True}, check_id="ci"),
+        Check("t", "column_values_to_be_unique", "p", {"case_insensitive": True}, check_id="u"),
+        Check("t", "foreign_key", "p", {"parent_table": "par", "parent_columns": ["name"], "case_insensitive": True,
+                                        "trim": True}, check_id="fk"),
+    ]
+    r = _run(spark, rows, "p STRING", cs, extra={"par": parent})
+    assert r["cs"]["unexpected_count"] == 2
+    assert r["ci"]["unexpected_count"] == 0
+    assert r["u"]["unexpected_count"] == 2
+    assert r["fk"]["unexpected_count"] == 0
