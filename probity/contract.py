@@ -282,9 +282,14 @@ def text_rule(table: str, col: str, text: str, tables: list[str], pks: dict[str,
                      check_id=f"{table}:{col}:present_when"), None
     if re.search(r"must not be null|must be present|is required", t, re.I):
         return Check(table, "column_values_to_not_be_null", (col,), check_id=f"{table}:{col}:text_not_null"), None
-    m = re.search(r"must (end|start) with\s+\"?([^\"]+?)\"?$", t, re.I)
+    m = re.search(r'must (end|start) with\s+(?:"([^"]+)"|(.+?))\s*$', text.strip(), re.I)
     if m:
-        suffix = m.group(2).replace("%", r"\%").replace("_", r"\_")
+        # quoted text is taken as is; otherwise the sentence's final period is
+        # dropped unless the word is a capitalised abbreviation (Inc., Ltd., Co.)
+        raw = m.group(2) if m.group(2) is not None else m.group(3)
+        if m.group(2) is None and raw.endswith(".") and not re.search(r"\b[A-Z][a-z]{0,4}\.$", raw):
+            raw = raw[:-1]
+        suffix = raw.replace("%", r"\%").replace("_", r"\_")
         pat = f"%{suffix}" if m.group(1).lower() == "end" else f"{suffix}%"
         return Check(table, "column_values_to_match_like_pattern", (col,), {"like_pattern": pat},
                      check_id=f"{table}:{col}:{m.group(1).lower()}s_with"), None

@@ -63,10 +63,10 @@ def _pair_in_set(a, b, chk, df):
         cx, cy = P.coerce_values([x], ta), P.coerce_values([y], tb)
         if cx and cy:
             pairs.append((cx[0], cy[0]))
-    ok = F.lit(False)
-    for x, y in pairs:
-        ok = ok | ((a == F.lit(x)) & (b == F.lit(y)))
-    return ok
+    if not pairs:
+        return F.lit(False)
+    # struct IN (literal structs): Catalyst makes long lists a hash InSet
+    return F.struct(a.alias("a"), b.alias("b")).isin(*[F.struct(F.lit(x).alias("a"), F.lit(y).alias("b")) for x, y in pairs])
 
 
 def _multicolumn_sum(chk, df):

@@ -156,3 +156,27 @@ def test_run_contract_and_replay(spark, tmp_path):
     again2 = run_contract(spark, FLAGSHIP_CONTRACT, "/root/testdata/sf0.001", out, "tpch", run_id="r1", replay_run=True)
     b = sorted(tuple(r) for r in again2["results"].collect())
     assert a == b and all(r[1] in (None, 100) for r in a if r[0].startswith("lineitem:") and "foreign" not in r[0])
+
+
+def test_list_dialect_and_errors(spark):
+    import pytest
+
+    doc = {"schema": [{"name": "acct", "properties": [
+        {"name": "id", "type": "integer", "required": True, "unique": True},
+        {"name": "status", "type": "string", "quality": [
+            {"metric": "missingValues", "arguments": {"missingValues": [None, "", "N/A", "n/a"]}, "mustBeLessThan": 5,
+             "unit": "percent", "description": "few missing"}]},
+        {"name": "name", "type": "string", "quality": [{"type": "text", "description": "name must end with Inc."}]},
+    ]}]}
+    c = load_contract(doc)
+    assert c.tables == ["acct"]
+    df = spark.createDataFrame([(1, "ok", "A Inc."), (2, "N/A", "B Ltd"), (3, " ", "C Inc."), (4, "x", None)],
+                               "id INT, status STRING, name STRING")
+    out = {r["check_id"]: r for r in validate({"acct": df}, c.checks).collect()}
+    assert out["acct:status:missing_values"]["unexpected_count"] == 2 and out["acct:status:missing_values"]["success"] is False
+    assert out["acct:name:ends_with"]["unexpected_count"] == 1
+    assert out["acct:id:unique"]["success"] is True
+    with pytest.raises(ValueError):
+        load_contract({"models": {}})
+    with pytest.raises(ValueError):
+        load_contract({"models": "x"})
