@@ -14,8 +14,8 @@ aggregate passes over the one column:
    -- a hot value -- is already the answer);
 3. ``percentile_disc`` restricted to the bracket (``FILTER``) picks the exact
    value; its map holds only the bracket's distinct values, about
-   ``4 n / accuracy``.  A bracket that misses the rank (not expected) falls
-   back to the unrestricted exact aggregate.
+   ``4 n / accuracy``.  A bracket that misses the rank (not expected: the
+   sketch guarantees its rank error) is widened and retried.
 
 Pass 1 also counts the non-null values (the sketch only needs the target
 shares, not ``n``).  Counts and brackets are a handful of numbers per
@@ -59,6 +59,34 @@ def _direct(df: DataFrame, reqs: list[tuple], values: dict[int, object]) -> None
         values[int(key[1:])] = v
 
 
+def _probs(wants, col: str, delta: float) -> list[float]:
+    """The bracket probabilities of every want on ``col``, in request order."""
+    out: list[float] = []
+    for c, _, ps in wants:
+        if c == col:
+            for p in ps:
+                out += [max(0.0, p - delta), min(1.0, p + delta)]
+    return out
+
+
+def _widened(df: DataFrame, c: str, n: int, k: int, delta: float, acc: int, rounds: int = 4):
+    """Retry one rank with a bracket 4x wider each round; the last resort is the
+    whole column (only reachable if the sketch breaks its error bound)."""
+    p = (k - 0.5) / n
+    for _ in range(rounds):
+        delta *= 4
+        lo, hi = df.agg(F.percentile_approx(F.col(c), F.array(F.lit(max(0.0, p - delta)), F.lit(min(1.0, p + delta))), acc)).first()[0]
+        col = F.col(c)
+        cnt = df.agg(F.count_if(col < F.lit(lo)).alias("b"), F.count_if((col >= F.lit(lo)) & (col <= F.lit(hi))).alias("i")).first()
+        if cnt["b"] < k <= cnt["b"] + cnt["i"]:
+            if lo == hi:
+                return lo
+            q = (k - cnt["b"] - 0.5) / cnt["i"]
+            return df.agg(F.expr(f"percentile_disc({q!r}) WITHIN GROUP (ORDER BY {_q(c)}) "
+                                 f"FILTER (WHERE {_q(c)} >= {_lit(lo)} AND {_q(c)} <= {_lit(hi)})")).first()[0]
+    return df.agg(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY {_q(c)})")).first()[0]
+
+
 def select_ranks(
     df: DataFrame,
     wants: list[tuple[str, Callable[[int], list[int]], list[float]]],
@@ -102,9 +130,20 @@ def select_ranks(
     for ci, c in enumerate(cols):
         p1.append(F.count(F.col(c)).alias(f"n{ci}"))
         p1.append(F.percentile_approx(F.col(c), F.array(*[F.lit(x) for x in probs[c]]), acc).alias(f"s{ci}"))
-    first = df.agg(*p1).first()
+    first = df.agg(*p1).first().asDict()
     ci_of = {c: ci for ci, c in enumerate(cols)}
     n_of = {c: first[f"n{ci_of[c]}"] for c in cols}
+    # a column larger than the sketch was sized for is sketched again, finer, so
+    # its bracket stays near BRACKET_ROWS values (one more pass, only at scale)
+    acc_of = {c: acc for c in cols}
+    finer = {c: _accuracy(n_of[c], accuracy) for c in cols if n_of[c] and _accuracy(n_of[c], accuracy) > acc}
+    if finer:
+        again = df.agg(*[
+            F.percentile_approx(F.col(c), F.array(*[F.lit(x) for x in _probs(wants, c, 3.0 / a)]), a).alias(f"s{ci_of[c]}")
+            for c, a in finer.items()
+        ]).first().asDict()
+        first.update(again)
+        acc_of.update(finer)
 
     reqs = []  # (want index, column, n, rank, lo, hi)
     for wi, (c, fn, ps) in enumerate(wants):
@@ -140,8 +179,8 @@ def select_ranks(
                     f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY {_q(c)}) "
                     f"FILTER (WHERE {_q(c)} >= {_lit(lo)} AND {_q(c)} <= {_lit(hi)})"
                 ).alias(f"v{ri}"))
-            else:  # fallback: exact over the whole column
-                p3.append(F.expr(f"percentile_disc({(k - 0.5) / n!r}) WITHIN GROUP (ORDER BY {_q(c)})").alias(f"v{ri}"))
+            else:  # the sketch missed its bound (not expected): widen and retry, still bounded
+                values[ri] = _widened(df, c, n, k, 3.0 / acc_of[c], acc_of[c])
         if p3:
             row = df.agg(*p3).first().asDict()
             for key, v in row.items():

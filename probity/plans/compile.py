@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections import OrderedDict
 from typing import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,11 +122,9 @@ def _prepare_ranks(df: DataFrame, checks: list[Check]) -> dict[str, object]:
     return prepared
 
 
-def fused_pass(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame]) -> DataFrame:
-    """All A checks of one table in one aggregate."""
+def _fused(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame], prepared: dict) -> DataFrame:
     aggs: list[Column] = []
     structs: list[Column] = []
-    prepared = _prepare_ranks(df, checks)
     for i, chk in enumerate(checks):
         m = _measure_of(chk, df, tables, prepared.get(chk.check_id, None) if chk.check_id in prepared else None)
         names = {}
@@ -137,6 +136,29 @@ def fused_pass(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame])
     return _melt(df.agg(*aggs), structs)
 
 
+def fused_pass(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame], errors: list | None = None) -> DataFrame:
+    """All A checks of one table in one aggregate.
+
+    Plans are analysed when built, so a check that cannot be planned (a custom
+    expression naming an unknown column, a wrong type) is found here: the
+    suite is then re-planned without it and the check is reported in
+    ``errors`` instead of failing the whole suite."""
+    prepared = _prepare_ranks(df, checks)
+    try:
+        return _fused(df, checks, tables, prepared)
+    except (AnalysisException, ValueError, TypeError, KeyError):
+        if errors is None:
+            raise
+    good = []
+    for chk in checks:
+        try:
+            _fused(df, [chk], tables, prepared)
+            good.append(chk)
+        except (AnalysisException, ValueError, TypeError, KeyError):
+            errors.append(chk)
+    return _fused(df, good, tables, prepared) if good else None
+
+
 def group_pass(df: DataFrame, key: tuple[str, ...], checks: list[Check]) -> DataFrame:
     """All G checks on one column tuple (and normalisation) share one groupBy."""
     from probity.functions.predicates import normalized
@@ -239,7 +261,9 @@ def _needed_columns(chk: Check) -> list[str]:
 
 
 def _absent_row(chk: Check, reason: str) -> tuple:
-    return (chk.check_id, None, None, None, None, False, None)
+    """Table or column absent: success false with null counts.  A check that
+    could not be planned (``reason='error'``) has success null (unknown)."""
+    return (chk.check_id, None, None, None, None, None if reason == "error" else False, None)
 
 
 def validate(
@@ -278,15 +302,19 @@ def validate(
                 grouped.setdefault((key_of(c), bool(c.p("trim")), bool(c.p("case_insensitive"))), []).append(c)
             else:
                 singles.append(c)
+        errors: list[Check] = []
         for i in range(0, len(fused), block):
-            parts.append(fused_pass(df, fused[i : i + block], tables))
+            part = fused_pass(df, fused[i : i + block], tables, errors)
+            if part is not None:
+                parts.append(part)
         for (key, _, _), gchks in grouped.items():
             parts.append(group_pass(df, key, gchks))
         for c in singles:
-            if c.pass_kind == "O":
-                parts.append(_ordered(c, df, tables))
-            else:
-                parts.append(_JOIN[c.kind](c, df, tables))
+            try:
+                parts.append(_ordered(c, df, tables) if c.pass_kind == "O" else _JOIN[c.kind](c, df, tables))
+            except (AnalysisException, ValueError, TypeError, KeyError):
+                errors.append(c)
+        literal += [_absent_row(c, "error") for c in errors]
 
     if literal:
         parts.append(spark.createDataFrame(literal, RESULT_DDL))

@@ -181,13 +181,14 @@ def contract_evaluation(spark: SparkSession, contract, results: DataFrame, table
     absent = F.col("absent")
     status = (
         F.when(F.col("skip_reason").isNotNull(), F.lit("SKIPPED"))
-        .when(absent, F.lit("ERROR"))
+        .when(absent | F.col("success").isNull(), F.lit("ERROR"))
         .when(F.col("success"), F.lit("PASS"))
         .otherwise(F.lit("FAIL"))
     )
     reason = (
         F.when(F.col("skip_reason").isNotNull(), F.col("skip_reason"))
         .when(absent, F.lit("table or column absent"))
+        .when(F.col("success").isNull(), F.lit("check could not be evaluated"))
         .when(
             F.col("unexpected_count").isNotNull() & F.col("element_count").isNotNull(),
             F.format_string("%d unexpected of %d rows", F.col("unexpected_count"), F.col("element_count")),

@@ -265,3 +265,28 @@ def test_case_insensitive_and_trim(spark):
     assert r["ci"]["unexpected_count"] == 0
     assert r["u"]["unexpected_count"] == 2
     assert r["fk"]["unexpected_count"] == 0
+
+
+def test_exact_quantiles_resketch_and_small_accuracy(spark, monkeypatch):
+    import random
+
+    from probity.operators import quantiles as Q
+
+    rnd = random.Random(11)
+    vals = [rnd.random() for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x DOUBLE")
+    s = sorted(vals)
+    monkeypatch.setattr(Q, "BRACKET_ROWS", 50)
+    monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
+    got = Q.select_ranks(df, [("x", *Q.disc(p)) for p in (0.1, 0.5, 0.97)], accuracy=20)
+    assert [v[0] for _, v in got] == [s[math.ceil(p * 2000) - 1] for p in (0.1, 0.5, 0.97)]
+
+
+def test_unplannable_check_is_isolated(spark):
+    from probity.plans.report import contract_evaluation
+
+    df = spark.createDataFrame([(1,), (2,)], "x INT")
+    good = Check("t", "column_values_to_be_between", "x", {"max_value": 1}, check_id="good")
+    bad = Check("t", "row_condition", (), {"expression": "no_such_column > 1"}, check_id="bad")
+    out = {r["check_id"]: r for r in validate({"t": df}, [good, bad]).collect()}
+    assert out["good"]["unexpected_count"] == 1 and out["bad"]["success"] is None
