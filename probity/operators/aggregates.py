@@ -176,7 +176,36 @@ def _freshness(chk, df, tables, prepared=None):
     return Measure(aggs, result)
 
 
+def _approx_distinct(proportion: bool):
+    """``approx=True``: distinct non-null values from ``approx_count_distinct``
+    (HyperLogLog++, relative error ``rsd``, default 0.01): fixed-size buffers,
+    fused with the other checks, no shuffle of the values."""
+
+    def build(chk, df, tables, prepared=None):
+        c = df[chk.column]
+        aggs = {
+            "n": F.count(F.lit(1)),
+            "miss": F.count_if(c.isNull()),
+            "ndv": F.approx_count_distinct(c, float(chk.p("rsd", 0.01))),
+        }
+
+        def result(g):
+            obs = F.try_divide(g("ndv").cast("double"), g("n") - g("miss")) if proportion else g("ndv").cast("double")
+            return {
+                "element_count": g("n"),
+                "missing_count": g("miss"),
+                "observed_value": obs,
+                "success": between(obs, chk.p("min_value"), chk.p("max_value")),
+            }
+
+        return Measure(aggs, result)
+
+    return build
+
+
 AGG_RULES = {
+    "column_unique_value_count_to_be_between": _approx_distinct(proportion=False),
+    "column_proportion_of_unique_values_to_be_between": _approx_distinct(proportion=True),
     "column_max_to_be_between": _bounded(lambda c, k: F.max(c)),
     "column_min_to_be_between": _bounded(lambda c, k: F.min(c)),
     "column_mean_to_be_between": _bounded(lambda c, k: F.avg(c)),

@@ -290,3 +290,16 @@ def test_unplannable_check_is_isolated(spark):
     bad = Check("t", "row_condition", (), {"expression": "no_such_column > 1"}, check_id="bad")
     out = {r["check_id"]: r for r in validate({"t": df}, [good, bad]).collect()}
     assert out["good"]["unexpected_count"] == 1 and out["bad"]["success"] is None
+
+
+def test_approx_distinct_counts(spark):
+    rows = [(i % 997,) for i in range(20000)]
+    exact = Check("t", "column_unique_value_count_to_be_between", "x", {"min_value": 990, "max_value": 1000}, check_id="e")
+    approx = Check("t", "column_unique_value_count_to_be_between", "x", {"min_value": 950, "max_value": 1050, "approx": True},
+                   check_id="a")
+    prop = Check("t", "column_proportion_of_unique_values_to_be_between", "x", {"max_value": 0.1, "approx": True}, check_id="p")
+    assert approx.pass_kind == "A" and exact.pass_kind == "G"
+    r = _run(spark, rows, "x INT", [exact, approx, prop])
+    assert r["e"]["observed_value"] == 997.0 and r["e"]["success"]
+    assert abs(r["a"]["observed_value"] - 997) < 997 * 0.05 and r["a"]["success"]
+    assert r["p"]["success"]
