@@ -122,16 +122,18 @@ LI_ORDERS = "(SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 # ------------------------------------------------------------------ builders
 
 
-def one(table: str, checks, derive=None, extra=(), combine=None):
-    """Query running ``checks`` (a Check or list) on ``table``."""
+def one(table: str, checks, derive=None, extra=(), build=None):
+    """Query running ``checks`` (a Check or list) on ``table``.
+
+    ``extra``: other tables to read (parents, joined tables); ``build(tables)``
+    replaces ``table`` by a DataFrame Spark derives from them (e.g. a join);
+    ``derive(df)`` adds derived columns."""
     checks = checks if isinstance(checks, (list, tuple)) else [checks]
 
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        names = [table] if combine is None else []
-        names += list(extra)
-        t = read_tables(spark, sf, [n for n in dict.fromkeys(names)])
-        if combine is not None:
-            t[table] = combine(read_tables(spark, sf, list(combine.tables)))
+        t = read_tables(spark, sf, list(dict.fromkeys([table, *extra])))
+        if build is not None:
+            t[table] = build(t)
         if derive is not None:
             t[table] = derive(t[table])
         return tidy(validate(t, checks, spark=spark))
@@ -593,7 +595,7 @@ def _reg_contract_rules():
     register("C19", one("customer", c), row_sql(c.check_id, "customer", "NOT regexp_matches(c_name, '^Customer#\\d+$')", "c_name IS NULL"))
     # C20 text: column order, after the lineitem-orders join
     c = _text("lineitem", "l_shipdate", "l_shipdate must be later than or equal to o_orderdate.")
-    register("C20", one("lineitem", c, extra=("orders",), derive=None, combine=_Combine(("lineitem", "orders"), _li_orders)),
+    register("C20", one("lineitem", c, extra=("orders",), build=_li_orders),
              row_sql(c.check_id, LI_ORDERS, "NOT (l_shipdate >= o_orderdate)", "l_shipdate IS NULL OR o_orderdate IS NULL"))
     # C21 text: conditional presence
     c = _text("events", "v", "v must be present when event_type = purchase.")
@@ -628,15 +630,6 @@ def _reg_contract_rules():
              "CAST(count_if(o_orderdate >= TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS BIGINT) AS kept_rows FROM orders")
 
 
-class _Combine:
-    def __init__(self, tables, fn):
-        self.tables = tables
-        self.fn = fn
-
-    def __call__(self, t):
-        return self.fn(t)
-
-
 def _fk_sql(cid, child, fk, parent, pk):
     inner = (
         f"(SELECT count(*) AS n, count_if({fk} IS NULL) AS miss, "
