@@ -133,6 +133,7 @@ def load_contract(source: str | dict, as_of: str | None = None) -> Contract:
         for col, f in _fields(model):
             if f.get("pii"):
                 pii.setdefault(table, []).append(col)
+    pii = {t: list(dict.fromkeys(cols)) for t, cols in pii.items()}
     return Contract(tables, declared, pks, rules, pii, ret, doc)
 
 
