@@ -1159,10 +1159,42 @@ def _v7_sql():
     return f"WITH p AS ({prof}) " + " UNION ALL ".join(parts)
 
 
+V3_KEY_CHECKS = [Check("lineitem", "compound_columns_to_be_unique", ("l_orderkey", "l_linenumber"))]
+V3_FK_CHECKS = [Check("documents", "foreign_key", "doc_id", {"parent_table": "labels", "parent_columns": ["doc_id"]})]
+
+
+def _v3_keys(spark, sf):
+    from probity.plans.report import failing_rows
+
+    li = read_tables(spark, sf, ["lineitem"])["lineitem"]
+    return round_doubles(_ts_text(failing_rows(li, V3_KEY_CHECKS, order_by=LI_COLS, n=5), ["l_shipdate"]))
+
+
+def _v3_keys_sql():
+    sel = ", ".join(_ts_sql(c) if c == "l_shipdate" else (f"round({c}, 6) + 0.0 AS {c}" if c in LI_DOUBLES else c) for c in LI_COLS)
+    order = ", ".join(LI_COLS)
+    return (f"SELECT '{V3_KEY_CHECKS[0].check_id}' AS check_id, {sel} FROM (SELECT * FROM lineitem WHERE (l_orderkey, l_linenumber) IN "
+            f"(SELECT (l_orderkey, l_linenumber) FROM lineitem GROUP BY ALL HAVING count(*) > 1) ORDER BY {order} LIMIT 5)")
+
+
+def _v3_fk(spark, sf):
+    from probity.plans.report import failing_rows
+
+    t = read_tables(spark, sf, ["documents", "labels"])
+    return failing_rows(t["documents"], V3_FK_CHECKS, order_by=["doc_id"], n=5, tables=t)
+
+
+def _v3_fk_sql():
+    return (f"SELECT '{V3_FK_CHECKS[0].check_id}' AS check_id, * FROM (SELECT * FROM documents WHERE doc_id NOT IN "
+            f"(SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) ORDER BY doc_id LIMIT 5)")
+
+
 def _reg_reports():
     register("V01", _v1, _v1_sql())
     register("V02", _v2, _v2_sql())
     register("V03", _v3, _v3_sql())
+    register("V03b", _v3_keys, _v3_keys_sql())
+    register("V03c", _v3_fk, _v3_fk_sql())
     register("V04", _v4, _v4_sql())
     register("V05", _v5, _v5_sql())
     register("V06", _v6, _v6_sql())
