@@ -180,3 +180,13 @@ def test_list_dialect_and_errors(spark):
         load_contract({"models": {}})
     with pytest.raises(ValueError):
         load_contract({"models": "x"})
+
+
+def test_contract_sources(spark):
+    from probity.sources.tables import jdbc_url, read_contract_tables
+
+    c = load_contract(DIALECT_MODEL)
+    assert jdbc_url({"type": "mysql", "host": "db", "port": 3306, "database": "billing"}) == "jdbc:mysql://db:3306/billing"
+    t = read_contract_tables(spark, load_contract({"models": {"orders": {}, "lineitem": {}}}), base="/root/testdata/sf0.001")
+    assert set(t) == {"orders", "lineitem"} and t["orders"].count() == 1500
+    assert c.tables == ["plans", "types", "notes"]
