@@ -211,6 +211,9 @@ class Check:
         # type checks on text sources become a value-level cast test (scans)
         if self.kind in ("column_values_to_be_of_type", "column_values_to_be_in_type_list") and self.params.get("value_test"):
             return "A"
+        # KL against numeric bins: per-bin counts in the fused pass, no groupBy
+        if self.kind == "column_kl_divergence_to_be_less_than" and "bins" in (self.params.get("partition_object") or {}):
+            return "A"
         # distinct counts with approx=True: HyperLogLog in the fused pass, no groupBy
         if self.kind in ("column_unique_value_count_to_be_between", "column_proportion_of_unique_values_to_be_between") \
                 and self.params.get("approx"):

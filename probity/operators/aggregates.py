@@ -203,7 +203,49 @@ def _approx_distinct(proportion: bool):
     return build
 
 
+def _kl_bins(chk, df, tables, prepared=None):
+    """KL divergence against a binned (numeric) partition: ``partition_object =
+    {"bins": [b0, ..., bk], "weights": [w1, ..., wk]}``; bins are half-open
+    ``[b_i, b_i+1)`` except the last, which is closed.  Observed shares come
+    from one ``count_if`` per bin in the fused pass; mass outside the bins (or
+    in a bin of weight 0) makes the divergence infinite."""
+    import math
+
+    c = df[chk.column]
+    part = chk.p("partition_object") or {}
+    bins, weights = list(part["bins"]), [float(w) for w in part["weights"]]
+    aggs = {"n": F.count(F.lit(1)), "miss": F.count_if(c.isNull())}
+    for i in range(len(weights)):
+        lo, hi = F.lit(bins[i]), F.lit(bins[i + 1])
+        last = i == len(weights) - 1
+        aggs[f"b{i}"] = F.count_if((c >= lo) & ((c <= hi) if last else (c < hi)))
+
+    def result(g):
+        nn = (g("n") - g("miss")).cast("double")
+        kl = F.lit(0.0)
+        inside = F.lit(0)
+        infinite = F.lit(False)
+        for i, w in enumerate(weights):
+            b = g(f"b{i}").cast("double")
+            inside = inside + g(f"b{i}")
+            if w > 0:
+                kl = kl + F.when(b > 0, (b / nn) * F.log((b / nn) / F.lit(w))).otherwise(F.lit(0.0))
+            else:
+                infinite = infinite | (b > 0)
+        infinite = infinite | (inside < (g("n") - g("miss")))
+        kl = F.when(nn == 0, F.lit(None)).when(infinite, F.lit(math.inf)).otherwise(kl)
+        return {
+            "element_count": g("n"),
+            "missing_count": g("miss"),
+            "observed_value": kl,
+            "success": F.coalesce(kl < F.lit(float(chk.p("threshold"))), F.lit(False)),
+        }
+
+    return Measure(aggs, result)
+
+
 AGG_RULES = {
+    "column_kl_divergence_to_be_less_than": _kl_bins,
     "column_unique_value_count_to_be_between": _approx_distinct(proportion=False),
     "column_proportion_of_unique_values_to_be_between": _approx_distinct(proportion=True),
     "column_max_to_be_between": _bounded(lambda c, k: F.max(c)),

@@ -233,6 +233,17 @@ def _reg_expectations():
           + final_sql(c.check_id, "n", "0", "NULL", "NULL", "kl < 0.01", "kl",
                       "(SELECT tot AS n, sum(c * ln(c / tot / 0.2)) / tot AS kl FROM g, t GROUP BY tot) AS s"))
     register("E04", one("events", c), kl)
+    # E04b KL divergence of a numeric column against binned weights (fused pass)
+    bins, w = [0, 50, 100, 200, 500], [0.4, 0.3, 0.2, 0.1]
+    c = Check("events", "column_kl_divergence_to_be_less_than", "value",
+              {"partition_object": {"bins": bins, "weights": w}, "threshold": 0.5}, check_id="events:value:kl_bins")
+    cnts = ", ".join(
+        f"count_if(value >= {bins[i]} AND value {'<=' if i == len(w) - 1 else '<'} {bins[i + 1]}) AS b{i}" for i in range(len(w)))
+    terms = " + ".join(f"CASE WHEN b{i} > 0 THEN (b{i} / nn) * ln((b{i} / nn) / {w[i]}) ELSE 0.0 END" for i in range(len(w)))
+    inner = (f"(SELECT n, miss, CAST(n - miss AS DOUBLE) AS nn, {', '.join(f'b{i}' for i in range(len(w)))} FROM "
+             f"(SELECT count(*) AS n, count_if(value IS NULL) AS miss, {cnts} FROM events)) AS s")
+    kl = f"(CASE WHEN {' + '.join(f'b{i}' for i in range(len(w)))} < n - miss THEN 'inf'::DOUBLE ELSE {terms} END)"
+    register("E04b", one("events", c), final_sql(c.check_id, "n", "miss", "NULL", "NULL", f"coalesce({kl} < 0.5, FALSE)", kl, inner))
     # E05-E08, E16, E17 column aggregates
     for eid, kind, table, col, agg, lo, hi in [
         ("E05", "column_max_to_be_between", "orders", "o_totalprice", "max", 400000.0, 500000.0),

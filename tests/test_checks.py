@@ -303,3 +303,16 @@ def test_approx_distinct_counts(spark):
     assert r["e"]["observed_value"] == 997.0 and r["e"]["success"]
     assert abs(r["a"]["observed_value"] - 997) < 997 * 0.05 and r["a"]["success"]
     assert r["p"]["success"]
+
+
+def test_kl_divergence_bins(spark):
+    rows = [(0.5,)] * 30 + [(1.5,)] * 70 + [(None,)] * 5
+    q = {"bins": [0, 1, 2], "weights": [0.5, 0.5]}
+    c = Check("t", "column_kl_divergence_to_be_less_than", "x", {"partition_object": q, "threshold": 0.1}, check_id="k")
+    out = {"k": Check("t", "column_kl_divergence_to_be_less_than", "x", {"partition_object": {"bins": [0, 1], "weights": [1.0]},
+                                                                       "threshold": 0.1}, check_id="o")}
+    assert c.pass_kind == "A"
+    r = _run(spark, rows, "x DOUBLE", [c, out["k"]])
+    want = 0.3 * math.log(0.3 / 0.5) + 0.7 * math.log(0.7 / 0.5)
+    assert r["k"]["observed_value"] == pytest.approx(want) and r["k"]["success"] is True
+    assert r["o"]["observed_value"] == math.inf and r["o"]["success"] is False
