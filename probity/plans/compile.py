@@ -126,6 +126,8 @@ def _fused(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame], pre
     aggs: list[Column] = []
     structs: list[Column] = []
     for i, chk in enumerate(checks):
+        if prepared.get(chk.check_id) is _UNRESOLVED:
+            raise ValueError(f"{chk.check_id}: order statistics could not be computed")
         m = _measure_of(chk, df, tables, prepared.get(chk.check_id, None) if chk.check_id in prepared else None)
         names = {}
         for name, expr in m.aggs.items():
@@ -136,14 +138,17 @@ def _fused(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame], pre
     return _melt(df.agg(*aggs), structs)
 
 
-def fused_pass(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame], errors: list | None = None) -> DataFrame:
+def fused_pass(
+    df: DataFrame, checks: list[Check], tables: dict[str, DataFrame], errors: list | None = None, prepared: dict | None = None
+) -> DataFrame:
     """All A checks of one table in one aggregate.
 
     Plans are analysed when built, so a check that cannot be planned (a custom
     expression naming an unknown column, a wrong type) is found here: the
     suite is then re-planned without it and the check is reported in
     ``errors`` instead of failing the whole suite."""
-    prepared = _prepare_ranks(df, checks)
+    if prepared is None:
+        prepared = _prepare_ranks(df, checks)
     try:
         return _fused(df, checks, tables, prepared)
     except (AnalysisException, ValueError, TypeError, KeyError):
@@ -266,6 +271,32 @@ def _absent_row(chk: Check, reason: str) -> tuple:
     return (chk.check_id, None, None, None, None, None if reason == "error" else False, None)
 
 
+def _prepare_all(tables: dict[str, DataFrame], by_table: dict[str, list[Check]]) -> dict[str, dict]:
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = {
+        t: [c for c in chks if c.pass_kind == "A" and rank_requests(c)
+            and all(col in tables[t].columns for col in c.columns)]
+        for t, chks in by_table.items() if t in tables
+    }
+    todo = {t: cs for t, cs in todo.items() if cs}
+    if not todo:
+        return {}
+    def prep(t):
+        try:
+            return _prepare_ranks(tables[t], todo[t])
+        except (AnalysisException, ValueError, TypeError):
+            # e.g. a quantile of a column that has no order: these checks become errors
+            return {c.check_id: _UNRESOLVED for c in todo[t]}
+
+    with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
+        futures = {t: pool.submit(prep, t) for t in todo}
+        return {t: f.result() for t, f in futures.items()}
+
+
+_UNRESOLVED = object()
+
+
 def validate(
     tables: dict[str, DataFrame], checks: Iterable[Check], block: int = 40, spark: SparkSession | None = None
 ) -> DataFrame:
@@ -284,6 +315,9 @@ def validate(
     for c in checks:
         by_table.setdefault(c.table, []).append(c)
 
+    # exact quantiles need a few eager scalar jobs per table: tables run side by side
+    prepared_of = _prepare_all(tables, by_table)
+
     for table, chks in by_table.items():
         df = tables.get(table)
         if df is None:
@@ -304,7 +338,7 @@ def validate(
                 singles.append(c)
         errors: list[Check] = []
         for i in range(0, len(fused), block):
-            part = fused_pass(df, fused[i : i + block], tables, errors)
+            part = fused_pass(df, fused[i : i + block], tables, errors, prepared_of.get(table, {}))
             if part is not None:
                 parts.append(part)
         for (key, _, _), gchks in grouped.items():

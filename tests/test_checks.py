@@ -316,3 +316,11 @@ def test_kl_divergence_bins(spark):
     want = 0.3 * math.log(0.3 / 0.5) + 0.7 * math.log(0.7 / 0.5)
     assert r["k"]["observed_value"] == pytest.approx(want) and r["k"]["success"] is True
     assert r["o"]["observed_value"] == math.inf and r["o"]["success"] is False
+
+
+def test_unorderable_quantile_is_an_error_not_a_failure(spark):
+    df = spark.createDataFrame([({"a": 1},), ({"b": 2},)], "m MAP<STRING, INT>")
+    bad = Check("t", "column_median_to_be_between", "m", {"min_value": 0}, check_id="med")
+    ok = Check("t", "table_row_count_to_equal", (), {"value": 2}, check_id="rows")
+    out = {r["check_id"]: r for r in validate({"t": df}, [bad, ok]).collect()}
+    assert out["med"]["success"] is None and out["rows"]["success"] is True
