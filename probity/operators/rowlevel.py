@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from probity.checks import Check
 from probity.functions import predicates as P
@@ -14,8 +15,16 @@ def _col(df: DataFrame, name: str) -> Column:
     return df[name]
 
 
-def _between(c: Column, chk: Check) -> Column:
-    lo, hi = chk.p("min_value"), chk.p("max_value")
+def _bound(v, dtype):
+    """A bound in the column's own type where exactness matters: decimal columns
+    (money) compare with decimal literals, not through doubles."""
+    if v is None or not isinstance(dtype, T.DecimalType):
+        return v
+    return P.coerce_values([v], dtype)[0]
+
+
+def _between(c: Column, chk: Check, dtype=None) -> Column:
+    lo, hi = _bound(chk.p("min_value"), dtype), _bound(chk.p("max_value"), dtype)
     ok = F.lit(True)
     if lo is not None:
         ok = ok & ((c > F.lit(lo)) if chk.p("strict_min", False) else (c >= F.lit(lo)))
@@ -134,7 +143,7 @@ def _conditional_not_null(chk, df):
 ROW_RULES = {
     "column_values_to_not_be_null": _not_null,
     "column_values_to_be_null": _null,
-    "column_values_to_be_between": _single(lambda c, k, d: _between(c, k)),
+    "column_values_to_be_between": _single(lambda c, k, d: _between(c, k, d.schema[k.column].dataType)),
     "column_value_lengths_to_be_between": _single(lambda c, k, d: _between(F.char_length(c), k)),
     "column_value_lengths_to_equal": _single(lambda c, k, d: F.char_length(c) == F.lit(int(k.p("value")))),
     "column_values_to_be_in_set": _single(lambda c, k, d: P.in_set(P.normalized(c, k), _set(d, k))),

@@ -324,3 +324,12 @@ def test_unorderable_quantile_is_an_error_not_a_failure(spark):
     ok = Check("t", "table_row_count_to_equal", (), {"value": 2}, check_id="rows")
     out = {r["check_id"]: r for r in validate({"t": df}, [bad, ok]).collect()}
     assert out["med"]["success"] is None and out["rows"]["success"] is True
+
+
+def test_decimal_bounds_are_exact(spark):
+    import decimal
+
+    rows = [(decimal.Decimal("0.10"),), (decimal.Decimal("0.30"),), (decimal.Decimal("0.31"),)]
+    c = Check("t", "column_values_to_be_between", "amt", {"min_value": 0.1, "max_value": 0.3}, check_id="d")
+    r = _run(spark, rows, "amt DECIMAL(10,2)", [c])
+    assert r["d"]["unexpected_count"] == 1
