@@ -99,7 +99,7 @@ def profile(
             from probity.operators.quantiles import PROFILE, select_ranks
 
             known = {c: first[f"nn{i}"] for i, c in quant_cols}
-            got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_hint=n, n_known=known)
+            got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_known=known)
             for (i, _), (_, vals) in zip(quant_cols, got):
                 q[f"a{i}"], q[f"b{i}"] = (float(v) if v is not None else None for v in vals)
         elif quant_cols:

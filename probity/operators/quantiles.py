@@ -2,24 +2,25 @@
 
 ``percentile_disc`` / ``median`` keep a value -> count map whose final merge
 happens in ONE task, so on a high-cardinality column of a large table they do
-not scale.  The exact k-th smallest value is found instead in three small
-aggregate passes over the one column:
-
-1. ``percentile_approx`` (a fixed-size, mergeable sketch; one per column for
-   all wanted ranks) gives a bracket ``[lo, hi]`` around each wanted rank
-   (rank error of the sketch is at most ``n / accuracy``; the bracket is
-   widened by twice that; the accuracy grows with ``n``);
-2. one aggregate counts the values below ``lo`` and inside the bracket; if the
-   rank falls inside, the answer is in the bracket (a bracket with ``lo = hi``
-   -- a hot value -- is already the answer);
-3. ``percentile_disc`` restricted to the bracket (``FILTER``) picks the exact
-   value; its map holds only the bracket's distinct values, about
-   ``4 n / accuracy``.  A bracket that misses the rank (not expected: the
-   sketch guarantees its rank error) is widened and retried.
-
-Pass 1 also counts the non-null values (the sketch only needs the target
-shares, not ``n``).  Counts and brackets are a handful of numbers per
-request, so the driver only ever sees scalars.
+not scale.  The exact k-th smallest value is found instead by narrowing a
+bracket around it with small aggregate passes over the one column:
+
+1. one pass counts the non-null values and builds a ``percentile_approx``
+   sketch (fixed size: ``accuracy`` 10 000, a grid of ``GRID`` shares) of the
+   whole column; the grid points around the wanted share give a bracket
+   ``[lo, hi]`` (widened by the sketch's error);
+2. each round is one pass that counts the values below ``lo`` and inside the
+   bracket, and sketches only the values inside it; if the bracket still holds
+   more than ``BRACKET_ROWS`` values the inner sketch gives a bracket about
+   ``GRID / 3`` times narrower, and the round repeats (a 10^13-row column needs
+   about three rounds);
+3. ``percentile_disc`` restricted to the final bracket (``FILTER``) picks the
+   exact value; its map holds at most ``BRACKET_ROWS`` values.  A bracket with
+   ``lo = hi`` (a hot value) is already the answer.
+
+A column with at most ``SMALL_COLUMN`` values is picked exactly in one pass.
+Memory per task is bounded at every step; the driver only sees scalars and
+the sketch grids.
 """
 
 from __future__ import annotations
@@ -30,179 +31,161 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 10_000
+ACCURACY = 10_000
+GRID = 1000
 BRACKET_ROWS = 1_000_000
 # a column with at most this many values is picked exactly in one pass
 SMALL_COLUMN = 100_000
-
-
-def _accuracy(n: int, floor: int) -> int:
-    """Sketch accuracy so that a bracket (about 4 n / accuracy rows) stays near
-    ``BRACKET_ROWS`` values however large the table."""
-    return int(max(floor, math.ceil(4.0 * n / BRACKET_ROWS)))
+MAX_ROUNDS = 12
 
 
 def _q(col: str) -> str:
     return f"`{col}`"
 
 
-def _direct(df: DataFrame, reqs: list[tuple], values: dict[int, object]) -> None:
-    """Exact pick over the whole column, for columns with at most SMALL_COLUMN values."""
-    if not reqs:
-        return
-    exprs = [
-        F.expr(f"percentile_disc({(k - 0.5) / n!r}) WITHIN GROUP (ORDER BY {_q(c)})").alias(f"v{ri}")
-        for ri, (_, c, n, k) in reqs
-    ]
-    row = df.agg(*exprs).first().asDict()
-    for key, v in row.items():
-        values[int(key[1:])] = v
-
-
-def _probs(wants, col: str, delta: float) -> list[float]:
-    """The bracket probabilities of every want on ``col``, in request order."""
-    out: list[float] = []
-    for c, _, ps in wants:
-        if c == col:
-            for p in ps:
-                out += [max(0.0, p - delta), min(1.0, p + delta)]
-    return out
+def _lit(v) -> str:
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "CAST('NaN' AS DOUBLE)"
+        if math.isinf(v):
+            return "CAST('Infinity' AS DOUBLE)" if v > 0 else "CAST('-Infinity' AS DOUBLE)"
+        return repr(v) + "D"
+    if isinstance(v, int):
+        return f"{v}L"
+    if hasattr(v, "isoformat"):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'" if hasattr(v, "hour") else f"DATE '{v.isoformat()}'"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def _grid_probs() -> list[float]:
+    return [j / GRID for j in range(GRID + 1)]
+
+
+def _neighbours(grid_values: list, share: float, accuracy: int) -> tuple:
+    """Sketch values around ``share``: wide enough to hold the true value given the
+    sketch's rank error (1 / accuracy of the sketched rows) plus one grid step."""
+    pad = GRID // accuracy + 2
+    j = min(GRID, max(0, int(share * GRID)))
+    return grid_values[max(0, j - pad + 1)], grid_values[min(GRID, j + pad)]
+
+
+class _Req:
+    __slots__ = ("wi", "col", "n", "k", "lo", "hi", "below", "inside", "prev", "state")
+
+    def __init__(self, wi, col, n, k):
+        self.wi, self.col, self.n, self.k = wi, col, n, k
+        self.lo = self.hi = None
+        self.below, self.inside = 0, n
+        self.prev = None  # last bracket known to hold rank k: (lo, hi, below, inside)
+        self.state = "refine"  # refine -> exact -> done
 
 
-def _widened(df: DataFrame, c: str, n: int, k: int, delta: float, acc: int, rounds: int = 4):
-    """Retry one rank with a bracket 4x wider each round; the last resort is the
-    whole column (only reachable if the sketch breaks its error bound)."""
-    p = (k - 0.5) / n
-    for _ in range(rounds):
-        delta *= 4
-        lo, hi = df.agg(F.percentile_approx(F.col(c), F.array(F.lit(max(0.0, p - delta)), F.lit(min(1.0, p + delta))), acc)).first()[0]
-        col = F.col(c)
-        cnt = df.agg(F.count_if(col < F.lit(lo)).alias("b"), F.count_if((col >= F.lit(lo)) & (col <= F.lit(hi))).alias("i")).first()
-        if cnt["b"] < k <= cnt["b"] + cnt["i"]:
-            if lo == hi:
-                return lo
-            q = (k - cnt["b"] - 0.5) / cnt["i"]
-            return df.agg(F.expr(f"percentile_disc({q!r}) WITHIN GROUP (ORDER BY {_q(c)}) "
-                                 f"FILTER (WHERE {_q(c)} >= {_lit(lo)} AND {_q(c)} <= {_lit(hi)})")).first()[0]
-    return df.agg(F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY {_q(c)})")).first()[0]
+def _exact_pass(df: DataFrame, reqs: list[_Req], values: dict[int, object], ids: list[int]) -> None:
+    exprs = []
+    for ri in ids:
+        r = reqs[ri]
+        if r.lo is None:  # whole column (small, or a sketch that broke its bound)
+            exprs.append(F.expr(f"percentile_disc({(r.k - 0.5) / r.n!r}) WITHIN GROUP (ORDER BY {_q(r.col)})").alias(f"v{ri}"))
+        else:
+            p = (r.k - r.below - 0.5) / r.inside
+            exprs.append(F.expr(
+                f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY {_q(r.col)}) "
+                f"FILTER (WHERE {_q(r.col)} >= {_lit(r.lo)} AND {_q(r.col)} <= {_lit(r.hi)})"
+            ).alias(f"v{ri}"))
+    if exprs:
+        row = df.agg(*exprs).first().asDict()
+        for key, v in row.items():
+            values[int(key[1:])] = v
 
 
 def select_ranks(
     df: DataFrame,
     wants: list[tuple[str, Callable[[int], list[int]], list[float]]],
-    accuracy: int = DEFAULT_ACCURACY,
-    n_hint: int | None = None,
+    accuracy: int = ACCURACY,
     n_known: dict[str, int] | None = None,
 ) -> list[tuple[int, list]]:
-    """For each ``(column, ranks_of_n, probs)``: ``ranks_of_n(n)`` gives 1-based
-    ranks among the ``n`` non-null values, ``probs`` the matching target shares
-    (known without ``n``, so the count and the sketch share one pass).
-    Returns ``(n, [value per rank])`` per want.  ``n_hint`` (an upper bound of
-    the row count, e.g. from table statistics) sizes the sketch; ``n_known``
-    (exact non-null counts already computed by the caller) lets columns with at
-    most ``SMALL_COLUMN`` values skip the sketch: their exact pick is bounded
-    by the column itself."""
+    """For each ``(column, ranks_of_n, shares)``: ``ranks_of_n(n)`` gives 1-based
+    ranks among the ``n`` non-null values (``shares``: the matching target
+    shares, kept for callers).  Returns ``(n, [value per rank])`` per want.
+    ``n_known``: non-null counts the caller already has (saves the first pass
+    when every column is small)."""
     if not wants:
         return []
     cols = list(dict.fromkeys(c for c, _, _ in wants))
-    if n_known is not None and all(c in n_known and n_known[c] <= SMALL_COLUMN for c in cols):
-        values: dict[int, object] = {}
-        reqs = [(ri, (wi, c, n_known[c], int(k)))
-                for ri, (wi, c, k) in enumerate((wi, c, k) for wi, (c, fn, _) in enumerate(wants)
-                                                if n_known[c] for k in fn(n_known[c]))]
-        _direct(df, reqs, values)
-        out: list[tuple[int, list]] = [(n_known[c], []) for c, _, _ in wants]
-        for ri, (wi, _, _, _) in reqs:
-            out[wi][1].append(values[ri])
-        return out
-    acc = _accuracy(n_hint or 0, accuracy)
-    # widen by the sketch error (n / acc ranks) plus rounding of k around p * n
-    delta = 3.0 / acc
-    probs: dict[str, list[float]] = {c: [] for c in cols}
-    slots = []
-    for c, _, ps in wants:
-        idx = []
-        for p in ps:
-            idx.append((len(probs[c]), len(probs[c]) + 1))
-            probs[c] += [max(0.0, p - delta), min(1.0, p + delta)]
-        slots.append(idx)
-    p1 = []
-    for ci, c in enumerate(cols):
-        p1.append(F.count(F.col(c)).alias(f"n{ci}"))
-        p1.append(F.percentile_approx(F.col(c), F.array(*[F.lit(x) for x in probs[c]]), acc).alias(f"s{ci}"))
-    first = df.agg(*p1).first().asDict()
     ci_of = {c: ci for ci, c in enumerate(cols)}
-    n_of = {c: first[f"n{ci_of[c]}"] for c in cols}
-    # a column larger than the sketch was sized for is sketched again, finer, so
-    # its bracket stays near BRACKET_ROWS values (one more pass, only at scale)
-    acc_of = {c: acc for c in cols}
-    finer = {c: _accuracy(n_of[c], accuracy) for c in cols if n_of[c] and _accuracy(n_of[c], accuracy) > acc}
-    if finer:
-        again = df.agg(*[
-            F.percentile_approx(F.col(c), F.array(*[F.lit(x) for x in _probs(wants, c, 3.0 / a)]), a).alias(f"s{ci_of[c]}")
-            for c, a in finer.items()
-        ]).first().asDict()
-        first.update(again)
-        acc_of.update(finer)
-
-    reqs = []  # (want index, column, n, rank, lo, hi)
-    for wi, (c, fn, ps) in enumerate(wants):
+    sketch_of: dict[str, list] = {}
+    if n_known is not None and all(c in n_known and n_known[c] <= SMALL_COLUMN for c in cols):
+        n_of = dict(n_known)
+    else:
+        exprs = []
+        for ci, c in enumerate(cols):
+            exprs.append(F.count(F.col(c)).alias(f"n{ci}"))
+            exprs.append(F.percentile_approx(F.col(c), F.lit(_grid_probs()), accuracy).alias(f"s{ci}"))
+        first = df.agg(*exprs).first().asDict()
+        n_of = {c: first[f"n{ci_of[c]}"] for c in cols}
+        sketch_of = {c: first[f"s{ci_of[c]}"] for c in cols}
+
+    reqs: list[_Req] = []
+    for wi, (c, fn, _) in enumerate(wants):
         n = n_of[c]
-        if not n:
-            continue
-        sk = first[f"s{ci_of[c]}"]
-        for (a, b), k in zip(slots[wi], fn(n)):
-            reqs.append((wi, c, n, int(k), sk[a], sk[b]))
-    values: dict[int, object] = {}
-    small = [(ri, (r[0], r[1], r[2], r[3])) for ri, r in enumerate(reqs) if r[2] <= SMALL_COLUMN]
-    _direct(df, small, values)
-    if any(r[2] > SMALL_COLUMN for r in reqs):
-        p2 = []
-        for ri, (_, c, n, k, lo, hi) in enumerate(reqs):
-            if n <= SMALL_COLUMN:
-                continue
-            col = F.col(c)
-            p2.append(F.count_if(col < F.lit(lo)).alias(f"below{ri}"))
-            p2.append(F.count_if((col >= F.lit(lo)) & (col <= F.lit(hi))).alias(f"inside{ri}"))
-        cnt = df.agg(*p2).first()
-        p3 = []
-        for ri, (_, c, n, k, lo, hi) in enumerate(reqs):
+        for k in fn(n) if n else []:
+            r = _Req(wi, c, n, int(k))
             if n <= SMALL_COLUMN:
+                r.state = "exact"  # lo None: exact over the (small) column
+            else:
+                r.lo, r.hi = _neighbours(sketch_of[c], (r.k - 0.5) / n, accuracy)
+            reqs.append(r)
+
+    values: dict[int, object] = {}
+    for _ in range(MAX_ROUNDS):
+        active = [ri for ri, r in enumerate(reqs) if r.state == "refine"]
+        if not active:
+            break
+        exprs = []
+        for ri in active:
+            r = reqs[ri]
+            c = F.col(r.col)
+            inside = (c >= F.lit(r.lo)) & (c <= F.lit(r.hi))
+            exprs += [F.count_if(c < F.lit(r.lo)).alias(f"b{ri}"), F.count_if(inside).alias(f"i{ri}")]
+            # the inner sketch is only needed when the bracket may still be too wide
+            # (its expected share of the previous rows is 2 * pad / GRID)
+            if r.inside * 2.0 * (GRID // accuracy + 2) / GRID > BRACKET_ROWS / 4:
+                exprs.append(F.percentile_approx(F.when(inside, c), F.lit(_grid_probs()), accuracy).alias(f"s{ri}"))
+        row = df.agg(*exprs).first().asDict()
+        for ri in active:
+            r = reqs[ri]
+            below, inside = row[f"b{ri}"], row[f"i{ri}"]
+            if not (below < r.k <= below + inside):
+                # the sketch broke its error bound (not expected): fall back to the last
+                # bracket known to hold the rank (the whole column in the first round)
+                if r.prev is None:
+                    r.lo = r.hi = None
+                else:
+                    r.lo, r.hi, r.below, r.inside = r.prev
+                r.state = "exact"
                 continue
-            below, inside = cnt[f"below{ri}"], cnt[f"inside{ri}"]
-            if below < k <= below + inside:
-                if lo == hi:
-                    values[ri] = lo
-                    continue
-                p = (k - below - 0.5) / inside
-                p3.append(F.expr(
-                    f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY {_q(c)}) "
-                    f"FILTER (WHERE {_q(c)} >= {_lit(lo)} AND {_q(c)} <= {_lit(hi)})"
-                ).alias(f"v{ri}"))
-            else:  # the sketch missed its bound (not expected): widen and retry, still bounded
-                values[ri] = _widened(df, c, n, k, 3.0 / acc_of[c], acc_of[c])
-        if p3:
-            row = df.agg(*p3).first().asDict()
-            for key, v in row.items():
-                values[int(key[1:])] = v
+            r.below, r.inside = below, inside
+            if r.lo == r.hi:
+                values[ri] = r.lo
+                r.state = "done"
+            elif inside <= BRACKET_ROWS:
+                r.state = "exact"
+            elif row.get(f"s{ri}") is None:
+                continue  # wider than expected and not sketched: the next round sketches it
+            else:
+                r.prev = (r.lo, r.hi, below, inside)
+                r.lo, r.hi = _neighbours(row[f"s{ri}"], (r.k - below - 0.5) / inside, accuracy)
+    for r in reqs:  # rounds exhausted (pathological): pick inside the current bracket
+        if r.state == "refine":
+            r.state = "exact"
+    _exact_pass(df, reqs, values, [ri for ri, r in enumerate(reqs) if r.state == "exact"])
+
     out: list[tuple[int, list]] = [(n_of[c], []) for c, _, _ in wants]
-    for ri, req in enumerate(reqs):
-        out[req[0]][1].append(values[ri])
+    for ri, r in enumerate(reqs):
+        out[r.wi][1].append(values[ri])
     return out
 
 
-def _lit(v) -> str:
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "CAST('NaN' AS DOUBLE)"
-        return repr(v) + "D"
-    if isinstance(v, int):
-        return f"{v}L"
-    if hasattr(v, "isoformat"):
-        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
-    return "'" + str(v).replace("'", "''") + "'"
-
-
 # ---- rank rules
 
 

@@ -267,19 +267,23 @@ def test_case_insensitive_and_trim(spark):
     assert r["fk"]["unexpected_count"] == 0
 
 
-def test_exact_quantiles_resketch_and_small_accuracy(spark, monkeypatch):
+def test_exact_quantiles_multi_round_refinement(spark, monkeypatch):
     import random
 
     from probity.operators import quantiles as Q
 
     rnd = random.Random(11)
-    vals = [rnd.random() for _ in range(2000)]
+    vals = [rnd.random() for _ in range(2000)] + [0.25] * 1000  # a hot value: a third of the rows
     df = spark.createDataFrame([(v,) for v in vals], "x DOUBLE")
     s = sorted(vals)
-    monkeypatch.setattr(Q, "BRACKET_ROWS", 50)
+    # tiny limits force several refinement rounds and the lo == hi (hot value) exit
+    monkeypatch.setattr(Q, "BRACKET_ROWS", 20)
     monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
-    got = Q.select_ranks(df, [("x", *Q.disc(p)) for p in (0.1, 0.5, 0.97)], accuracy=20)
-    assert [v[0] for _, v in got] == [s[math.ceil(p * 2000) - 1] for p in (0.1, 0.5, 0.97)]
+    ps = (0.01, 0.1, 0.2, 0.5, 0.97, 1.0)
+    got = Q.select_ranks(df, [("x", *Q.disc(p)) for p in ps], accuracy=100)
+    assert [v[0] for _, v in got] == [s[max(1, math.ceil(p * len(s))) - 1] for p in ps]
+    med = Q.median_of(Q.select_ranks(df, [("x", *Q.MEDIAN)], accuracy=100)[0][1])
+    assert med == pytest.approx((s[1499] + s[1500]) / 2)
 
 
 def test_unplannable_check_is_isolated(spark):
