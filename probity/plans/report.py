@@ -236,7 +236,7 @@ def suggest_checks(tables: dict[str, DataFrame], profile: DataFrame, max_domain:
     column, bounded by ``max_domain``)."""
     spark = profile.sparkSession
     prof = profile.collect()  # one row per column
-    rows = []
+    rows, domains = [], []
     for r in prof:
         t, c = r["table_name"], r["column_name"]
         if r["row_count"] and r["null_count"] == 0:
@@ -246,11 +246,21 @@ def suggest_checks(tables: dict[str, DataFrame], profile: DataFrame, max_domain:
         if r["p01"] is not None:
             rows.append((t, c, "column_values_to_be_between", r["p01"], r["p99"], None))
         if r["data_type"] == "string" and r["distinct_count"] is not None and 0 < r["distinct_count"] <= max_domain:
-            vals = (
-                tables[t].select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct()
-                .limit(max_domain + 1).agg(F.array_join(F.array_sort(F.collect_list("v")), ",").alias("s")).first()["s"]
-            )
-            rows.append((t, c, "column_values_to_be_in_set", None, None, vals))
+            domains.append((t, c))
+    if domains:
+        # the value lists of all low-cardinality columns in one job; each list is
+        # bounded by max_domain (the limit is applied before the collect)
+        parts = [
+            tables[t].select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct().limit(max_domain + 1)
+            .agg(F.array_join(F.array_sort(F.collect_list("v")), ",").alias("s"))
+            .select(F.lit(t).alias("t"), F.lit(c).alias("c"), "s")
+            for t, c in domains
+        ]
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        for d in u.collect():
+            rows.append((d["t"], d["c"], "column_values_to_be_in_set", None, None, d["s"]))
     return spark.createDataFrame(rows, SUGGEST_DDL)
 
 
