@@ -8,8 +8,11 @@ for schema facts.  The result is a long DataFrame with one row per check.
 """
 
 from probity.checks import Check, RESULT_COLUMNS, kinds, normalize_kind
-from probity.plans.compile import validate, validate_tables
 from probity.contract import Contract, load_contract
+from probity.operators.profile import profile, profile_tables
+from probity.operators.schema import schema_view
+from probity.plans.compile import validate, validate_tables
+from probity.plans.run import run_contract
 
 __all__ = [
     "Check",
@@ -18,6 +21,10 @@ __all__ = [
     "kinds",
     "load_contract",
     "normalize_kind",
+    "profile",
+    "profile_tables",
+    "run_contract",
+    "schema_view",
     "validate",
     "validate_tables",
 ]

@@ -43,8 +43,12 @@ def ordered_counts(df: DataFrame, chk: Check, buckets: int | None = None) -> Dat
 
     v, o, t = "__v", "__o", "__t"
     pcols = [f"__p{i}" for i in range(len(parts))]
+    value = F.col(col)
+    if chk.p("parse_strings_as_datetimes"):
+        # text timestamps compared as timestamps; an unparseable value counts as missing
+        value = F.try_to_timestamp(value.cast("string"))
     base = df.select(
-        F.col(col).alias(v), F.col(order).alias(o), F.col(tie).alias(t), *[F.col(p).alias(a) for p, a in zip(parts, pcols)]
+        value.alias(v), F.col(order).alias(o), F.col(tie).alias(t), *[F.col(p).alias(a) for p, a in zip(parts, pcols)]
     )
     totals = base.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(v).isNull() | F.col(o).isNull()).alias("miss")

@@ -3,7 +3,7 @@ made-up tables shaped like the case studies (no rows are copied)."""
 
 import datetime as dt
 
-from probity import load_contract, validate
+from probity import Check, load_contract, validate
 from probity.functions.thresholds import mostly_of, parse_duration, parse_share
 from probity.functions.sqltext import to_spark_sql
 
@@ -190,3 +190,26 @@ def test_contract_sources(spark):
     t = read_contract_tables(spark, load_contract({"models": {"orders": {}, "lineitem": {}}}), base="/root/testdata/sf0.001")
     assert set(t) == {"orders", "lineitem"} and t["orders"].count() == 1500
     assert c.tables == ["plans", "types", "notes"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    import yaml
+
+    from __spark_entry__ import FLAGSHIP_CONTRACT
+    from probity.__main__ import main
+
+    path = tmp_path / "c.yaml"
+    path.write_text(yaml.safe_dump(FLAGSHIP_CONTRACT))
+    rc = main(["run", "--contract", str(path), "--source", "/root/testdata/sf0.001", "--out", str(tmp_path / "o"),
+               "--dataset", "tpch", "--run-id", "r9"])
+    line = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rc == 1 and line["statuses"]["FAIL"] > 0 and line["statuses"]["PASS"] > 0
+
+
+def test_parse_strings_as_datetimes(spark):
+    df = spark.createDataFrame([(1, "2024-01-02 00:00:00"), (2, "2024-01-01 00:00:00"), (3, "x")], "o INT, s STRING")
+    c = Check("t", "column_values_to_be_increasing", "s", {"order_by": "o", "parse_strings_as_datetimes": True})
+    r = validate({"t": df}, [c]).collect()[0]
+    assert r["unexpected_count"] == 1 and r["missing_count"] == 1
