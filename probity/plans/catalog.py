@@ -188,10 +188,6 @@ def _in(values) -> str:
     return ", ".join(repr(v) if not isinstance(v, str) else "'" + v.replace("'", "''") + "'" for v in values)
 
 
-def _cid(table, cols, kind):
-    return Check(table, kind, tuple(cols) if isinstance(cols, (list, tuple)) else (cols,) if cols else ()).check_id
-
-
 # ================================================================== E01-E56
 
 EVENT_TYPES = ["view", "signup", "error", "click", "purchase"]

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from probity.checks import RESULT_COLUMNS, RESULT_DDL, Check
 from probity.operators.aggregates import AGG_RULES, rank_requests
 from probity.operators.keys import GROUP_RULES, bag_difference_count, foreign_key_counts, groups_of, key_of
-from probity.operators.measure import Measure, RowRule
+from probity.operators.measure import Measure
 from probity.operators.ordered import ordered_counts
 from probity.operators.rowlevel import ROW_RULES
 from probity.operators.schema import evaluate_schema_check
