@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BLOCK = 100  # columns per first-pass aggregate
+
 PROFILE_DDL = (
     "table_name STRING, column_name STRING, data_type STRING, row_count BIGINT, null_count BIGINT, "
     "null_rate DOUBLE, distinct_count BIGINT, distinct_ratio DOUBLE, dup_rate DOUBLE, "
@@ -61,19 +63,21 @@ def profile(
     numeric = [c for c in cols if _quantile_numeric(types[c])]
     vocab = vocabularies or {}
 
-    # ---- pass 1
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        aggs.append(F.count(F.col(c)).alias(f"nn{i}"))
-        if not exact:
-            aggs.append(F.approx_count_distinct(F.col(c)).alias(f"nd{i}"))
-        if c in vocab:
-            aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vocab[c])).alias(f"oov{i}"))
-    for i, c in enumerate(cols):
-        if c in numeric:
-            aggs.append(F.min(F.col(c)).cast("double").alias(f"mn{i}"))
-            aggs.append(F.max(F.col(c)).cast("double").alias(f"mx{i}"))
-    first = df.agg(*aggs).first().asDict()
+    # ---- pass 1 (blocks of BLOCK columns keep each aggregate operator small)
+    first: dict = {}
+    for b0 in range(0, max(1, len(cols)), BLOCK):
+        aggs = [F.count(F.lit(1)).alias("__n")]
+        for i in range(b0, min(len(cols), b0 + BLOCK)):
+            c = cols[i]
+            aggs.append(F.count(F.col(c)).alias(f"nn{i}"))
+            if not exact:
+                aggs.append(F.approx_count_distinct(F.col(c)).alias(f"nd{i}"))
+            if c in vocab:
+                aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vocab[c])).alias(f"oov{i}"))
+            if c in numeric:
+                aggs.append(F.min(F.col(c)).cast("double").alias(f"mn{i}"))
+                aggs.append(F.max(F.col(c)).cast("double").alias(f"mx{i}"))
+        first.update(df.agg(*aggs).first().asDict())
     n = first["__n"]
 
     # ---- passes 2 and 3 are independent: submitted side by side
