@@ -248,7 +248,44 @@ def _ordered(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> DataFra
     return _melt(counts, [finish(chk, fields)])
 
 
-_JOIN = {"foreign_key": _foreign_key, "query_results_to_match_comparison": _query_compare, "sql_scalar": _sql_scalar}
+def _large_set(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Domain check with a long value set: a broadcast left join of the column
+    against the set.  The broadcast side is the user's own list (its size is
+    known before planning), the table side is never shuffled."""
+    from pyspark.sql import types as T
+
+    from probity.functions.predicates import coerce_values, normalized
+
+    dtype = df.schema[chk.column].dataType
+    vals = sorted(set(coerce_values(chk.p("value_set") or [], dtype)), key=repr)
+    spark = df.sparkSession
+    vset = spark.createDataFrame([(v,) for v in vals], T.StructType([T.StructField("__s", dtype)]))
+    vset = F.broadcast(vset.withColumn("__in", F.lit(True)))
+    col = normalized(F.col(chk.column), chk).alias("__v")
+    j = df.select(col).join(vset, F.col("__v") == F.col("__s"), "left")
+    found = F.col("__in").isNotNull()
+    bad = ~found if chk.kind == "column_values_to_be_in_set" else found
+    counts = j.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("__v").isNull()).alias("miss"),
+        F.count_if(F.col("__v").isNotNull() & bad).alias("bad"),
+    )
+    fields = {
+        "element_count": F.col("n"),
+        "missing_count": F.col("miss"),
+        "unexpected_count": F.col("bad"),
+        "judged": F.col("n") - F.col("miss"),
+    }
+    return _melt(counts, [finish(chk, fields)])
+
+
+_JOIN = {
+    "foreign_key": _foreign_key,
+    "query_results_to_match_comparison": _query_compare,
+    "sql_scalar": _sql_scalar,
+    "column_values_to_be_in_set": _large_set,
+    "column_values_to_not_be_in_set": _large_set,
+}
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:

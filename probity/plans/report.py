@@ -62,6 +62,16 @@ def violating_rows(chk: Check, df: DataFrame, tables: dict[str, DataFrame] | Non
     if pred is not None:
         return df.where(pred)
     cols = list(chk.columns)
+    if chk.kind in ("column_values_to_be_in_set", "column_values_to_not_be_in_set"):  # long set: join
+        from probity.functions.predicates import coerce_values, normalized
+
+        dtype = df.schema[chk.column].dataType
+        vals = sorted(set(coerce_values(chk.p("value_set") or [], dtype)), key=repr)
+        vset = F.broadcast(df.sparkSession.createDataFrame([(v,) for v in vals], T.StructType([T.StructField("__s", dtype)])))
+        cond = normalized(df[chk.column], chk) == vset["__s"]
+        if chk.kind == "column_values_to_be_in_set":
+            return df.where(df[chk.column].isNotNull()).join(vset, cond, "left_anti")
+        return df.join(vset, cond, "left_semi")
     if chk.kind in ("column_values_to_be_unique", "compound_columns_to_be_unique", "multicolumn_values_to_be_unique"):
         keys = [F.col(c) for c in cols]
         if chk.kind == "compound_columns_to_be_unique":

@@ -337,3 +337,32 @@ def test_decimal_bounds_are_exact(spark):
     c = Check("t", "column_values_to_be_between", "amt", {"min_value": 0.1, "max_value": 0.3}, check_id="d")
     r = _run(spark, rows, "amt DECIMAL(10,2)", [c])
     assert r["d"]["unexpected_count"] == 1
+
+
+def test_large_value_set_is_a_broadcast_join(spark):
+    import contextlib
+    import io
+
+    rows = [(i,) for i in range(3000)] + [(None,)]
+    big = list(range(0, 5000, 2))  # 2500 members: even numbers
+    c1 = Check("t", "column_values_to_be_in_set", "x", {"value_set": big}, check_id="in")
+    c2 = Check("t", "column_values_to_not_be_in_set", "x", {"value_set": big}, check_id="out")
+    assert c1.pass_kind == "J"
+    df = spark.createDataFrame(rows, "x INT")
+    res = validate({"t": df}, [c1, c2])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        res.explain()
+    assert "BroadcastHashJoin" in buf.getvalue() or "BroadcastExchange" in buf.getvalue()
+    r = {x["check_id"]: x for x in res.collect()}
+    assert (r["in"]["unexpected_count"], r["in"]["missing_count"]) == (1500, 1)
+    assert r["out"]["unexpected_count"] == 1500
+
+
+def test_failing_rows_for_large_sets(spark):
+    from probity.plans.report import failing_rows
+
+    df = spark.createDataFrame([(i,) for i in range(3000)], "x INT")
+    c = Check("t", "column_values_to_be_in_set", "x", {"value_set": list(range(1, 5000, 2))})
+    rows = failing_rows(df, [c], order_by=["x"], n=3).collect()
+    assert [r["x"] for r in rows] == [0, 2, 4]
