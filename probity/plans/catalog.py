@@ -335,6 +335,11 @@ def _reg_expectations():
     c = Check("events", "column_values_to_be_in_set", "event_type", {"value_set": ["view", "signup", "click", "purchase"]})
     register("E26", one("events", c),
              row_sql(c.check_id, "events", "event_type NOT IN ('view', 'signup', 'click', 'purchase')", "event_type IS NULL"))
+    # E26b a long value set (1500 members): broadcast join instead of an IN literal
+    c = Check("events", "column_values_to_be_in_set", "user_id", {"value_set": list(range(0, 3000, 2))},
+              check_id="events:user_id:domain_long")
+    register("E26b", one("events", c),
+             row_sql(c.check_id, "events", "user_id NOT IN (SELECT range AS v FROM range(0, 3000, 2))", "user_id IS NULL"))
     c = Check("events", "column_values_to_not_be_in_set", "event_type", {"value_set": ["error"]})
     register("E39", one("events", c), row_sql(c.check_id, "events", "event_type IN ('error')", "event_type IS NULL"))
     # E27 type list, E31 of type (schema facts)
