@@ -5,22 +5,23 @@ happens in ONE task, so on a high-cardinality column of a large table they do
 not scale.  The exact k-th smallest value is found instead by narrowing a
 bracket around it with small aggregate passes over the one column:
 
-1. one pass counts the non-null values and builds a ``percentile_approx``
-   sketch (fixed size: ``accuracy`` 10 000, a grid of ``GRID`` shares) of the
-   whole column; the grid points around the wanted share give a bracket
-   ``[lo, hi]`` (widened by the sketch's error);
-2. each round is one pass that counts the values below ``lo`` and inside the
-   bracket, and sketches only the values inside it; if the bracket still holds
-   more than ``BRACKET_ROWS`` values the inner sketch gives a bracket about
-   ``GRID / 3`` times narrower, and the round repeats (a 10^13-row column needs
-   about three rounds);
-3. ``percentile_disc`` restricted to the final bracket (``FILTER``) picks the
-   exact value; its map holds at most ``BRACKET_ROWS`` values.  A bracket with
-   ``lo = hi`` (a hot value) is already the answer.
-
-A column with at most ``SMALL_COLUMN`` values is picked exactly in one pass.
-Memory per task is bounded at every step; the driver only sees scalars and
-the sketch grids.
+1. one pass: non-null count and finite min / max per column;
+2. histogram rounds: each row is binned into ``BINS`` equal-width bins over the
+   current range (plus bins for -inf, +inf and NaN) and ``groupBy(range, bin)``
+   gives each bin's exact count, min and max -- at most ~1000 keys per wanted
+   rank, so the partial aggregates and the shuffle stay tiny.  The bin holding
+   the rank becomes the next range (its min / max are real values, so the
+   range adapts to skewed data); a bin whose min = max (a hot value) is the
+   answer;
+3. once the range holds at most ``BRACKET_ROWS`` values, ``percentile_disc``
+   restricted to it (``FILTER``) picks the exact value.
+
+Values that histograms cannot separate quickly (pathological spreads) go on
+with rank-based rounds: a fixed-size ``percentile_approx`` sketch of the
+current range on a ``GRID`` of shares gives a bracket ~250x narrower per round,
+checked by exact counts.  A column with at most ``SMALL_COLUMN`` values is
+picked exactly in one pass.  Memory per task is bounded at every step; the
+driver only sees scalars, bin counts and sketch grids.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ACCURACY = 10_000
 GRID = 1000
@@ -37,6 +39,8 @@ BRACKET_ROWS = 1_000_000
 # a column with at most this many values is picked exactly in one pass
 SMALL_COLUMN = 100_000
 MAX_ROUNDS = 12
+BINS = 1000  # equal-width bins per histogram round
+HIST_ROUNDS = 6
 
 
 def _q(col: str) -> str:
@@ -61,6 +65,13 @@ def _grid_probs() -> list[float]:
     return [j / GRID for j in range(GRID + 1)]
 
 
+def _sketch(c, accuracy: int):
+    """``percentile_approx`` of a column expression at every grid share; the grid
+    is one SQL array literal (one parse, not one JVM call per element)."""
+    grid = "array(" + ", ".join(f"{x!r}D" for x in _grid_probs()) + ")"
+    return F.percentile_approx(c, F.expr(grid), accuracy)
+
+
 def _neighbours(grid_values: list, share: float, accuracy: int) -> tuple:
     """Sketch values around ``share``: wide enough to hold the true value given the
     sketch's rank error (1 / accuracy of the sketched rows) plus one grid step."""
@@ -98,6 +109,62 @@ def _exact_pass(df: DataFrame, reqs: list[_Req], values: dict[int, object], ids:
             values[int(key[1:])] = v
 
 
+def _numeric(dt) -> bool:
+    return isinstance(dt, T.NumericType)
+
+
+def _as_double(col: str, dt):
+    """Order-preserving double of a numeric value, used only to pick a histogram bin."""
+    return F.col(col).cast("double")
+
+
+def _finite(v):
+    return (~F.isnan(v)) & (v != F.lit(math.inf)) & (v != F.lit(-math.inf))
+
+
+def _bin_expr(v, lo: float | None, hi: float | None, whole: bool):
+    """Bin of ``v``: equal-width bins 0..BINS-1 over [lo, hi]; on the whole column
+    also -1 (-inf), BINS (+inf), BINS+1 (NaN).  Outside the range: null."""
+    if lo is None:
+        inner = F.lit(None).cast("int")
+    elif hi == lo:
+        inner = F.when(v == F.lit(lo), F.lit(0))
+    else:
+        scaled = F.least(F.floor((v - F.lit(lo)) * F.lit(BINS / (hi - lo))), F.lit(BINS - 1)).cast("int")
+        inner = F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), scaled)
+    if not whole:
+        return inner
+    return (F.when(F.isnan(v), F.lit(BINS + 1)).when(v == F.lit(math.inf), F.lit(BINS))
+            .when(v == F.lit(-math.inf), F.lit(-1)).otherwise(inner))
+
+
+def _histogram_round(df: DataFrame, ranges: list[tuple], types: dict) -> dict:
+    """One pass: for each range ``(rid, col, lo, hi, whole)`` the count, min and
+    max of every non-empty bin.  Each row is expanded once per range (a few per
+    row) and aggregated on (range, bin): at most ``len(ranges) * (BINS + 3)``
+    keys, so the partial aggregate and the shuffle stay tiny at any scale."""
+    cols = list(dict.fromkeys(col for _, col, *_ in ranges))
+    tagged = F.explode(F.array(*[
+        F.struct(F.lit(rid).alias("r"), _bin_expr(_as_double(col, types[col]), lo, hi, whole).alias("b"))
+        for rid, col, lo, hi, whole in ranges
+    ])).alias("e")
+    e = (df.select(tagged, *[F.col(c) for c in cols])
+         .select(F.col("e.r").alias("r"), F.col("e.b").alias("b"), *[F.col(c) for c in cols])
+         .where(F.col("b").isNotNull()))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(cols):
+        aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
+    idx = {c: i for i, c in enumerate(cols)}
+    col_of = {rid: col for rid, col, *_ in ranges}
+    out: dict = {}
+    for row in e.groupBy("r", "b").agg(*aggs).collect():
+        i = idx[col_of[row["r"]]]
+        out.setdefault(row["r"], []).append((row["b"], row["n"], row[f"mn{i}"], row[f"mx{i}"]))
+    for rid in out:
+        out[rid].sort(key=lambda t: t[0])
+    return out
+
+
 def select_ranks(
     df: DataFrame,
     wants: list[tuple[str, Callable[[int], list[int]], list[float]]],
@@ -105,25 +172,26 @@ def select_ranks(
     n_known: dict[str, int] | None = None,
 ) -> list[tuple[int, list]]:
     """For each ``(column, ranks_of_n, shares)``: ``ranks_of_n(n)`` gives 1-based
-    ranks among the ``n`` non-null values (``shares``: the matching target
-    shares, kept for callers).  Returns ``(n, [value per rank])`` per want.
-    ``n_known``: non-null counts the caller already has (saves the first pass
-    when every column is small)."""
+    ranks among the ``n`` non-null values.  Returns ``(n, [value per rank])`` per
+    want.  ``n_known``: non-null counts the caller already has."""
     if not wants:
         return []
+    types = {f.name: f.dataType for f in df.schema.fields}
     cols = list(dict.fromkeys(c for c, _, _ in wants))
-    ci_of = {c: ci for ci, c in enumerate(cols)}
-    sketch_of: dict[str, list] = {}
+    # numeric columns only, as Spark's own percentile functions
+    binnable = {c for c in cols if _numeric(types[c])}
     if n_known is not None and all(c in n_known and n_known[c] <= SMALL_COLUMN for c in cols):
-        n_of = dict(n_known)
+        n_of, lim = dict(n_known), {}
     else:
         exprs = []
         for ci, c in enumerate(cols):
             exprs.append(F.count(F.col(c)).alias(f"n{ci}"))
-            exprs.append(F.percentile_approx(F.col(c), F.lit(_grid_probs()), accuracy).alias(f"s{ci}"))
+            if c in binnable:
+                v = _as_double(c, types[c])
+                exprs += [F.min(F.when(_finite(v), v)).alias(f"lo{ci}"), F.max(F.when(_finite(v), v)).alias(f"hi{ci}")]
         first = df.agg(*exprs).first().asDict()
-        n_of = {c: first[f"n{ci_of[c]}"] for c in cols}
-        sketch_of = {c: first[f"s{ci_of[c]}"] for c in cols}
+        n_of = {c: first[f"n{ci}"] for ci, c in enumerate(cols)}
+        lim = {c: (first.get(f"lo{ci}"), first.get(f"hi{ci}")) for ci, c in enumerate(cols) if c in binnable}
 
     reqs: list[_Req] = []
     for wi, (c, fn, _) in enumerate(wants):
@@ -132,49 +200,54 @@ def select_ranks(
             r = _Req(wi, c, n, int(k))
             if n <= SMALL_COLUMN:
                 r.state = "exact"  # lo None: exact over the (small) column
+            elif c in binnable:
+                r.state = "hist"
             else:
-                r.lo, r.hi = _neighbours(sketch_of[c], (r.k - 0.5) / n, accuracy)
+                r.state = "sketch0"
             reqs.append(r)
 
     values: dict[int, object] = {}
-    for _ in range(MAX_ROUNDS):
-        active = [ri for ri, r in enumerate(reqs) if r.state == "refine"]
+    # ---- histogram rounds: exact counts, a narrower value range each round
+    for rnd in range(HIST_ROUNDS):
+        active = [ri for ri, r in enumerate(reqs) if r.state == "hist"]
         if not active:
             break
-        exprs = []
+        ranges, rid_of = [], {}
         for ri in active:
             r = reqs[ri]
-            c = F.col(r.col)
-            inside = (c >= F.lit(r.lo)) & (c <= F.lit(r.hi))
-            exprs += [F.count_if(c < F.lit(r.lo)).alias(f"b{ri}"), F.count_if(inside).alias(f"i{ri}")]
-            # the inner sketch is only needed when the bracket may still be too wide
-            # (its expected share of the previous rows is 2 * pad / GRID)
-            if r.inside * 2.0 * (GRID // accuracy + 2) / GRID > BRACKET_ROWS / 4:
-                exprs.append(F.percentile_approx(F.when(inside, c), F.lit(_grid_probs()), accuracy).alias(f"s{ri}"))
-        row = df.agg(*exprs).first().asDict()
+            key = (r.col, r.lo, r.hi) if rnd else (r.col, None, None)
+            if key not in rid_of:
+                rid_of[key] = len(ranges)
+                if rnd == 0:
+                    lo, hi = lim[r.col]
+                    ranges.append((len(ranges), r.col, lo, hi, True))
+                else:
+                    ranges.append((len(ranges), r.col, _to_double(r.lo, types[r.col]), _to_double(r.hi, types[r.col]), False))
+        hist = _histogram_round(df, ranges, types)
         for ri in active:
             r = reqs[ri]
-            below, inside = row[f"b{ri}"], row[f"i{ri}"]
-            if not (below < r.k <= below + inside):
-                # the sketch broke its error bound (not expected): fall back to the last
-                # bracket known to hold the rank (the whole column in the first round)
-                if r.prev is None:
-                    r.lo = r.hi = None
-                else:
-                    r.lo, r.hi, r.below, r.inside = r.prev
-                r.state = "exact"
-                continue
-            r.below, r.inside = below, inside
-            if r.lo == r.hi:
-                values[ri] = r.lo
+            rid = rid_of[(r.col, r.lo, r.hi) if rnd else (r.col, None, None)]
+            want = r.k - (r.below if rnd else 0)
+            acc = 0
+            for b, cnt, bmin, bmax in hist.get(rid, []):
+                if acc + cnt >= want:
+                    r.below = (r.below if rnd else 0) + acc
+                    r.inside, r.lo, r.hi = cnt, bmin, bmax
+                    break
+                acc += cnt
+            if bmin == bmax or (isinstance(bmin, float) and isinstance(bmax, float) and math.isnan(bmin) and math.isnan(bmax)):
+                values[ri] = bmin
                 r.state = "done"
-            elif inside <= BRACKET_ROWS:
+            elif r.inside <= BRACKET_ROWS:
                 r.state = "exact"
-            elif row.get(f"s{ri}") is None:
-                continue  # wider than expected and not sketched: the next round sketches it
-            else:
-                r.prev = (r.lo, r.hi, below, inside)
-                r.lo, r.hi = _neighbours(row[f"s{ri}"], (r.k - below - 0.5) / inside, accuracy)
+    # ---- rank-based sketch rounds: for what the histograms could not narrow
+    for r in reqs:
+        if r.state == "hist":
+            r.state = "refine"
+            r.prev = (r.lo, r.hi, r.below, r.inside)
+        elif r.state == "sketch0":  # not binnable: start from a sketch of the whole column
+            r.state = "refine"
+    _sketch_rounds(df, reqs, values, accuracy)
     for r in reqs:  # rounds exhausted (pathological): pick inside the current bracket
         if r.state == "refine":
             r.state = "exact"
@@ -186,6 +259,55 @@ def select_ranks(
     return out
 
 
+def _to_double(v, dt) -> float:
+    """The binning double of a value already in the column's own type."""
+    return float(v)
+
+
+def _sketch_rounds(df: DataFrame, reqs: list[_Req], values: dict[int, object], accuracy: int) -> None:
+    """Rank-based narrowing with a fixed-size sketch of the current bracket (the
+    whole column when there is none yet)."""
+    for _ in range(MAX_ROUNDS):
+        active = [ri for ri, r in enumerate(reqs) if r.state == "refine"]
+        if not active:
+            return
+        exprs = []
+        for ri in active:
+            r = reqs[ri]
+            c = F.col(r.col)
+            if r.lo is None:
+                exprs.append(_sketch(c, accuracy).alias(f"s{ri}"))
+            else:
+                inside = (c >= F.lit(r.lo)) & (c <= F.lit(r.hi))
+                exprs.append(_sketch(F.when(inside, c), accuracy).alias(f"s{ri}"))
+        sk = df.agg(*exprs).first().asDict()
+        exprs = []
+        for ri in active:
+            r = reqs[ri]
+            share = (r.k - r.below - 0.5) / r.inside
+            r.prev = (r.lo, r.hi, r.below, r.inside)
+            r.lo, r.hi = _neighbours(sk[f"s{ri}"], share, accuracy)
+            c = F.col(r.col)
+            exprs += [F.count_if(c < F.lit(r.lo)).alias(f"b{ri}"),
+                      F.count_if((c >= F.lit(r.lo)) & (c <= F.lit(r.hi))).alias(f"i{ri}")]
+        row = df.agg(*exprs).first().asDict()
+        for ri in active:
+            r = reqs[ri]
+            below, inside = row[f"b{ri}"], row[f"i{ri}"]
+            if not (below < r.k <= below + inside):
+                # the sketch broke its error bound (not expected): keep the last bracket
+                # known to hold the rank and pick inside it
+                r.lo, r.hi, r.below, r.inside = r.prev
+                r.state = "exact"
+            elif r.lo == r.hi:
+                values[ri] = r.lo
+                r.state = "done"
+            else:
+                r.below, r.inside = below, inside
+                if inside <= BRACKET_ROWS:
+                    r.state = "exact"
+
+
 # ---- rank rules
 
 

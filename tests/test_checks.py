@@ -366,3 +366,44 @@ def test_failing_rows_for_large_sets(spark):
     c = Check("t", "column_values_to_be_in_set", "x", {"value_set": list(range(1, 5000, 2))})
     rows = failing_rows(df, [c], order_by=["x"], n=3).collect()
     assert [r["x"] for r in rows] == [0, 2, 4]
+
+
+def _disc_reference(df, col, p):
+    from pyspark.sql import functions as F
+
+    return df.agg(F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {col})")).first()[0]
+
+
+def test_exact_quantiles_sketch_fallback_path(spark, monkeypatch):
+    import random
+
+    from probity.operators import quantiles as Q
+
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(rnd.random() * 100,) for _ in range(3000)], "x DOUBLE")
+    monkeypatch.setattr(Q, "HIST_ROUNDS", 0)
+    monkeypatch.setattr(Q, "BRACKET_ROWS", 20)
+    monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
+    for p in (0.05, 0.5, 0.93):
+        (_, (v,)), = Q.select_ranks(df, [("x", *Q.disc(p))], accuracy=100)
+        assert v == _disc_reference(df, "x", p)
+
+
+def test_exact_quantiles_special_values(spark, monkeypatch):
+    import datetime as dt
+    import random
+
+    from probity.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "BRACKET_ROWS", 30)
+    monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
+    rnd = random.Random(9)
+    xs = [rnd.random() for _ in range(500)] + [float("nan")] * 40 + [float("inf")] * 30 + [float("-inf")] * 20 + [None] * 5
+    ks = [rnd.randint(-10**15, 10**15) for _ in range(595)]
+    df = spark.createDataFrame(list(zip(xs, ks)), "x DOUBLE, t BIGINT")
+    for p in (0.01, 0.03, 0.5, 0.9, 0.95, 1.0):
+        (_, (v,)), = Q.select_ranks(df, [("x", *Q.disc(p))], accuracy=100)
+        want = _disc_reference(df, "x", p)
+        assert (math.isnan(v) and math.isnan(want)) or v == want, (p, v, want)
+        (_, (w,)), = Q.select_ranks(df, [("t", *Q.disc(p))], accuracy=100)
+        assert w == _disc_reference(df, "t", p)
