@@ -77,6 +77,11 @@ def profile(
             if c in numeric:
                 aggs.append(F.min(F.col(c)).cast("double").alias(f"mn{i}"))
                 aggs.append(F.max(F.col(c)).cast("double").alias(f"mx{i}"))
+                if isinstance(types[c], (T.FloatType, T.DoubleType)):  # finite range for the quantile bins
+                    v = F.col(c).cast("double")
+                    fin = ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
+                    aggs.append(F.min(F.when(fin, v)).alias(f"flo{i}"))
+                    aggs.append(F.max(F.when(fin, v)).alias(f"fhi{i}"))
         first.update(df.agg(*aggs).first().asDict())
     n = first["__n"]
 
@@ -103,7 +108,8 @@ def profile(
             from probity.operators.quantiles import PROFILE, select_ranks
 
             known = {c: first[f"nn{i}"] for i, c in quant_cols}
-            got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_known=known)
+            limits = {c: (first.get(f"flo{i}", first[f"mn{i}"]), first.get(f"fhi{i}", first[f"mx{i}"])) for i, c in quant_cols}
+            got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_known=known, limits_known=limits)
             for (i, _), (_, vals) in zip(quant_cols, got):
                 q[f"a{i}"], q[f"b{i}"] = (float(v) if v is not None else None for v in vals)
         elif quant_cols:

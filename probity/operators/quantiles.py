@@ -170,10 +170,12 @@ def select_ranks(
     wants: list[tuple[str, Callable[[int], list[int]], list[float]]],
     accuracy: int = ACCURACY,
     n_known: dict[str, int] | None = None,
+    limits_known: dict[str, tuple] | None = None,
 ) -> list[tuple[int, list]]:
     """For each ``(column, ranks_of_n, shares)``: ``ranks_of_n(n)`` gives 1-based
     ranks among the ``n`` non-null values.  Returns ``(n, [value per rank])`` per
-    want.  ``n_known``: non-null counts the caller already has."""
+    want.  ``n_known`` / ``limits_known``: non-null counts and finite (min, max)
+    the caller already has (together they save the first pass)."""
     if not wants:
         return []
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -182,6 +184,10 @@ def select_ranks(
     binnable = {c for c in cols if _numeric(types[c])}
     if n_known is not None and all(c in n_known and n_known[c] <= SMALL_COLUMN for c in cols):
         n_of, lim = dict(n_known), {}
+    elif n_known is not None and limits_known is not None and all(
+        c in n_known and (n_known[c] <= SMALL_COLUMN or c not in binnable or c in limits_known) for c in cols
+    ):
+        n_of, lim = dict(n_known), {c: limits_known[c] for c in cols if c in limits_known}
     else:
         exprs = []
         for ci, c in enumerate(cols):
