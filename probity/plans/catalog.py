@@ -1115,11 +1115,12 @@ V6_NEW = [
 
 
 def _v6(spark, sf):
-    from probity.plans.report import suite_change
+    from probity.plans.report import rows_flipped, suite_change
 
     t = read_tables(spark, sf, ["events"])
     t["events"] = _ev_v(t["events"])
-    return suite_change(validate(t, V6_OLD, spark=spark), validate(t, V6_NEW, spark=spark))
+    return suite_change(validate(t, V6_OLD, spark=spark), validate(t, V6_NEW, spark=spark),
+                        rows_flipped(t, V6_OLD, V6_NEW))
 
 
 def _v6_sql():
@@ -1133,15 +1134,21 @@ def _v6_sql():
         row_sql(V6_NEW[1].check_id, EV_V, "NOT (value >= 0 AND value <= 300)", "value IS NULL"),
         _unique_sql(V6_NEW[2].check_id, "events", ["event_id"], "any"),
     )
+    et_old = f"coalesce(event_type IS NOT NULL AND event_type NOT IN ({_in(EVENT_TYPES)}), FALSE)"
+    et_new = "coalesce(event_type IS NOT NULL AND event_type NOT IN ('view', 'signup', 'click', 'purchase'), FALSE)"
+    v_old = "coalesce(value IS NOT NULL AND NOT (value >= 0 AND value <= 500), FALSE)"
+    v_new = "coalesce(value IS NOT NULL AND NOT (value >= 0 AND value <= 300), FALSE)"
+    flipped = (f"SELECT '{V6_NEW[0].check_id}' AS check_id, count_if({et_old} <> {et_new}) AS rows_flipped FROM {EV_V} "
+               f"UNION ALL SELECT '{V6_NEW[1].check_id}', count_if({v_old} <> {v_new}) FROM {EV_V}")
     return (
-        f"WITH o AS ({old}), n AS ({new}) SELECT coalesce(o.check_id, n.check_id) AS check_id, "
+        f"WITH o AS ({old}), n AS ({new}), f AS ({flipped}) SELECT coalesce(o.check_id, n.check_id) AS check_id, "
         "CASE WHEN o.success IS NULL AND n.success IS NOT NULL THEN 'added' "
         "WHEN n.success IS NULL AND o.success IS NOT NULL THEN 'removed' "
         "WHEN n.unexpected_count > o.unexpected_count THEN 'tightened' "
         "WHEN n.unexpected_count < o.unexpected_count THEN 'loosened' ELSE 'unchanged' END AS change, "
         "o.unexpected_count AS old_unexpected, n.unexpected_count AS new_unexpected, o.success AS old_success, "
-        "n.success AS new_success, coalesce(o.success <> n.success, FALSE) AS verdict_flip "
-        "FROM o FULL JOIN n ON o.check_id = n.check_id"
+        "n.success AS new_success, coalesce(o.success <> n.success, FALSE) AS verdict_flip, f.rows_flipped "
+        "FROM o FULL JOIN n ON o.check_id = n.check_id LEFT JOIN f ON f.check_id = coalesce(o.check_id, n.check_id)"
     )
 
 

@@ -212,14 +212,49 @@ def contract_evaluation(spark: SparkSession, contract, results: DataFrame, table
 # ----------------------------------------------------------------- V6
 
 
-def suite_change(old: DataFrame, new: DataFrame) -> DataFrame:
+def rows_flipped(tables: dict[str, DataFrame], old_checks: list[Check], new_checks: list[Check]) -> DataFrame:
+    """Per row-level check present in both suites: data rows judged bad by exactly
+    one of the two versions.  One aggregate per table evaluates both predicates
+    of every such check (a single scan)."""
+    old_by = {c.check_id: c for c in old_checks}
+    pairs: dict[str, list[tuple[Check, Check]]] = {}
+    for c in new_checks:
+        o = old_by.get(c.check_id)
+        if o is not None and o.table == c.table and o.pass_kind == "A" and c.pass_kind == "A" \
+                and o.kind in ROW_RULES and c.kind in ROW_RULES:
+            pairs.setdefault(c.table, []).append((o, c))
+    parts = []
+    for table, ps in pairs.items():
+        df = tables[table]
+        aggs = [F.count_if(violation_predicate(o, df) != violation_predicate(n, df)).alias(f"f{i}") for i, (o, n) in enumerate(ps)]
+        row = df.agg(*aggs)
+        parts.append(row.select(F.explode(F.array(*[
+            F.struct(F.lit(n.check_id).alias("check_id"), F.col(f"f{i}").alias("rows_flipped")) for i, (o, n) in enumerate(ps)
+        ])).alias("x")).select("x.*"))
+    if not parts:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "check_id STRING, rows_flipped BIGINT")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def suite_change(old: DataFrame, new: DataFrame, flipped: DataFrame | None = None) -> DataFrame:
     """V6: evaluate old and new suite on the data; full outer join on check_id.
 
     change: added / removed / tightened (more unexpected rows) / loosened
-    (fewer) / unchanged; ``verdict_flip`` marks a changed success."""
+    (fewer) / unchanged; ``verdict_flip`` marks a changed success;
+    ``rows_flipped`` (from ``rows_flipped``) counts the data rows whose verdict
+    differs between the versions (row-level checks in both suites).  All
+    inputs have one row per check, so the joins are small."""
     o = old.select("check_id", F.col("unexpected_count").alias("old_unexpected"), F.col("success").alias("old_success"))
     n = new.select("check_id", F.col("unexpected_count").alias("new_unexpected"), F.col("success").alias("new_success"))
     j = o.join(n, "check_id", "full_outer")
+    if flipped is not None:
+        j = j.join(flipped, "check_id", "left")
+    else:
+        j = j.withColumn("rows_flipped", F.lit(None).cast("long"))
     change = (
         F.when(F.col("old_success").isNull() & F.col("new_success").isNotNull(), F.lit("added"))
         .when(F.col("new_success").isNull() & F.col("old_success").isNotNull(), F.lit("removed"))
@@ -229,7 +264,7 @@ def suite_change(old: DataFrame, new: DataFrame) -> DataFrame:
     )
     flip = F.coalesce(F.col("old_success") != F.col("new_success"), F.lit(False))
     return j.select("check_id", change.alias("change"), "old_unexpected", "new_unexpected", "old_success", "new_success",
-                    flip.alias("verdict_flip"))
+                    flip.alias("verdict_flip"), "rows_flipped")
 
 
 # ----------------------------------------------------------------- V7
