@@ -1138,8 +1138,8 @@ def _v6_sql():
     et_new = "coalesce(event_type IS NOT NULL AND event_type NOT IN ('view', 'signup', 'click', 'purchase'), FALSE)"
     v_old = "coalesce(value IS NOT NULL AND NOT (value >= 0 AND value <= 500), FALSE)"
     v_new = "coalesce(value IS NOT NULL AND NOT (value >= 0 AND value <= 300), FALSE)"
-    flipped = (f"SELECT '{V6_NEW[0].check_id}' AS check_id, count_if({et_old} <> {et_new}) AS rows_flipped FROM {EV_V} "
-               f"UNION ALL SELECT '{V6_NEW[1].check_id}', count_if({v_old} <> {v_new}) FROM {EV_V}")
+    flipped = (f"SELECT '{V6_NEW[0].check_id}' AS check_id, CAST(count_if({et_old} <> {et_new}) AS BIGINT) AS rows_flipped "
+               f"FROM {EV_V} UNION ALL SELECT '{V6_NEW[1].check_id}', CAST(count_if({v_old} <> {v_new}) AS BIGINT) FROM {EV_V}")
     return (
         f"WITH o AS ({old}), n AS ({new}), f AS ({flipped}) SELECT coalesce(o.check_id, n.check_id) AS check_id, "
         "CASE WHEN o.success IS NULL AND n.success IS NOT NULL THEN 'added' "
