@@ -13,6 +13,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
@@ -70,6 +72,8 @@ def compare(spark, sf_dir, names=None, verbose=False):
             print(f"{name:12s} ROWS-ONLY spark={len(s_rows)} {time.time()-t0:.1f}s", flush=True)
             continue
         try:
+            rel = con.sql(sql[name])
+            d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
             cur = con.execute(sql[name])
             d_cols = [c[0] for c in cur.description]
             d_rows = cur.fetchall()
@@ -78,8 +82,12 @@ def compare(spark, sf_dir, names=None, verbose=False):
             print(name, "ERR-duck", results[name][1], flush=True)
             continue
         ok_cols = sorted(s_cols) == sorted(d_cols)
+        s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+        bad_types = {c: (s_types.get(c), d_types.get(c)) for c in s_types if s_types.get(c) != d_types.get(c)}
         a, b = rows_of(s_cols, s_rows), rows_of(d_cols, d_rows)
-        ok = ok_cols and a == b
+        ok = ok_cols and a == b and not bad_types
+        if bad_types:
+            print("   types differ", bad_types)
         results[name] = ("OK" if ok else "DIFF", len(s_rows), len(d_rows))
         print(f"{name:12s} {'OK' if ok else 'DIFF'} spark={len(s_rows)} duck={len(d_rows)} {time.time()-t0:.1f}s", flush=True)
         if not ok and (verbose or True):

@@ -407,3 +407,18 @@ def test_exact_quantiles_special_values(spark, monkeypatch):
         assert (math.isnan(v) and math.isnan(want)) or v == want, (p, v, want)
         (_, (w,)), = Q.select_ranks(df, [("t", *Q.disc(p))], accuracy=100)
         assert w == _disc_reference(df, "t", p)
+
+
+def test_rows_flipped_between_suite_versions(spark):
+    from probity.plans.report import rows_flipped, suite_change
+
+    df = spark.createDataFrame([(1,), (5,), (9,), (None,)], "x INT")
+    old = [Check("t", "column_values_to_be_between", "x", {"max_value": 6}, check_id="r"),
+           Check("t", "column_values_to_not_be_null", "x", check_id="nn")]
+    new = [Check("t", "column_values_to_be_between", "x", {"min_value": 2, "max_value": 9}, check_id="r"),
+           Check("t", "column_values_to_be_unique", "x", check_id="u")]
+    t = {"t": df}
+    out = {r["check_id"]: r for r in suite_change(validate(t, old), validate(t, new), rows_flipped(t, old, new)).collect()}
+    # old bad: {9}; new bad: {1}: two rows flip, the count of bad rows does not change
+    assert out["r"]["rows_flipped"] == 2 and out["r"]["change"] == "unchanged"
+    assert out["nn"]["change"] == "removed" and out["u"]["change"] == "added" and out["u"]["rows_flipped"] is None
