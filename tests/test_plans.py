@@ -69,3 +69,17 @@ def test_ordered_plan_has_no_global_sort_of_rows(spark):
     args = [l for l in p.split("\n") if l.startswith("Arguments: [lag(__v")]
     assert args and "], [__b#" in args[0]  # partitionBy(bucket)
     assert "Exchange hashpartitioning(__b" in p or "hashpartitioning(__b" in p
+
+
+def test_replay_prunes_partitions(spark, tmp_path):
+    from probity.sources import sinks
+    from probity.sources.tables import first_n, replay
+
+    t = read_tables(spark, SF, ["orders"])
+    base = str(tmp_path)
+    for run in ("r1", "r2"):
+        sinks.write_sample(first_n(t["orders"], "o_orderkey", 10), base, "tpch", "orders", run)
+    df = replay(spark, base, "tpch", "orders", "r2")
+    p = plan(df)
+    assert "PartitionFilters: [" in p and "run_id" in p.split("PartitionFilters: [")[1].split("]")[0]
+    assert df.count() == 10
