@@ -298,3 +298,36 @@ def text_rule(table: str, col: str, text: str, tables: list[str], pks: dict[str,
 
 
 __all__ = ["Contract", "ContractRule", "load_contract", "parse_share", "text_rule"]
+
+
+def load_suites(text: str, table: str | None = None) -> list[Check]:
+    """Stored expectation suites (JSON ``{name, expectations: [{type, kwargs,
+    meta}]}``), one document or several concatenated in one text.  The table of
+    a suite is ``table`` or the part of its name before the first dot
+    (``"radacct.0.0.1"`` -> ``radacct``).  Check ids: ``meta.check_id`` when
+    given, else the default, numbered when a suite repeats one."""
+    import json
+
+    dec = json.JSONDecoder()
+    docs, i = [], 0
+    while True:
+        while i < len(text) and text[i].isspace():
+            i += 1
+        if i >= len(text):
+            break
+        doc, i = dec.raw_decode(text, i)
+        docs.extend(doc if isinstance(doc, list) else [doc])
+    checks: list[Check] = []
+    seen: dict[str, int] = {}
+    for doc in docs:
+        t = table or str(doc.get("name", "")).split(".")[0]
+        for e in doc.get("expectations") or []:
+            c = Check.from_dict(t, e)
+            if c.check_id in seen:
+                seen[c.check_id] += 1
+                c = Check(c.table, c.kind, c.columns, c.params, c.mostly, c.must_be_less_than, c.unit,
+                          f"{c.check_id}#{seen[c.check_id]}")
+            else:
+                seen[c.check_id] = 1
+            checks.append(c)
+    return checks
