@@ -52,3 +52,9 @@ def test_decimal_tolerance_and_negative_balance(spark):
           Check("t", "row_condition", (), {"expression": "amount_i > 0"}, check_id="pos")]
     r = {x["check_id"]: x for x in validate({"t": df}, cs).collect()}
     assert r["tol"]["unexpected_count"] == 1 and r["pos"]["unexpected_count"] == 1
+
+
+def test_profile_map_column(spark):
+    df = spark.createDataFrame([({"a": 1}, 1), ({"b": 2}, 2)], "m MAP<STRING, INT>, x INT")
+    p = {r["column_name"]: r for r in profile(df, "t").collect()}
+    assert p["m"]["distinct_count"] is None and p["x"]["distinct_count"] == 2
