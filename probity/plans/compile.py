@@ -392,7 +392,10 @@ def validate(
             if part is not None:
                 parts.append(part)
         for (key, _, _), gchks in grouped.items():
-            parts.append(group_pass(df, key, gchks))
+            try:
+                parts.append(group_pass(df, key, gchks))
+            except (AnalysisException, ValueError, TypeError, KeyError):  # e.g. a map column cannot be grouped
+                errors.extend(gchks)
         for c in singles:
             try:
                 parts.append(_ordered(c, df, tables) if c.pass_kind == "O" else _JOIN[c.kind](c, df, tables))
