@@ -90,7 +90,7 @@ def profile(
         if not exact:
             return {i: first[f"nd{i}"] for i in range(len(cols))}
         parts = [
-            df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct()
+            df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("_"))
             .agg(F.count(F.lit(1)).alias("d")).select(F.lit(i).alias("i"), "d")
             for i, c in enumerate(cols)
         ]
