@@ -122,16 +122,19 @@ def _finite(v):
     return (~F.isnan(v)) & (v != F.lit(math.inf)) & (v != F.lit(-math.inf))
 
 
-def _bin_expr(v, lo: float | None, hi: float | None, whole: bool):
+def _bin_expr(v, lo: float | None, hi: float | None, whole: bool, member=None):
     """Bin of ``v``: equal-width bins 0..BINS-1 over [lo, hi]; on the whole column
-    also -1 (-inf), BINS (+inf), BINS+1 (NaN).  Outside the range: null."""
+    also -1 (-inf), BINS (+inf), BINS+1 (NaN).  Outside the range: null.
+    ``member`` (refinement rounds) tests the range in the column's own type, so
+    64-bit integers that share a double with a range end are not admitted."""
+    inside = member if member is not None else ((v >= F.lit(lo)) & (v <= F.lit(hi)))
     if lo is None:
         inner = F.lit(None).cast("int")
     elif hi == lo:
-        inner = F.when(v == F.lit(lo), F.lit(0))
+        inner = F.when(inside, F.lit(0))
     else:
         scaled = F.least(F.floor((v - F.lit(lo)) * F.lit(BINS / (hi - lo))), F.lit(BINS - 1)).cast("int")
-        inner = F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), scaled)
+        inner = F.when(inside, scaled)
     if not whole:
         return inner
     return (F.when(F.isnan(v), F.lit(BINS + 1)).when(v == F.lit(math.inf), F.lit(BINS))
@@ -139,14 +142,21 @@ def _bin_expr(v, lo: float | None, hi: float | None, whole: bool):
 
 
 def _histogram_round(df: DataFrame, ranges: list[tuple], types: dict) -> dict:
-    """One pass: for each range ``(rid, col, lo, hi, whole)`` the count, min and
+    """One pass: for each range ``(rid, col, lo, hi, whole, own)`` the count, min and
     max of every non-empty bin.  Each row is expanded once per range (a few per
     row) and aggregated on (range, bin): at most ``len(ranges) * (BINS + 3)``
     keys, so the partial aggregate and the shuffle stay tiny at any scale."""
     cols = list(dict.fromkeys(col for _, col, *_ in ranges))
+
+    def member(col, own):
+        if own is None:
+            return None
+        return (F.col(col) >= F.lit(own[0])) & (F.col(col) <= F.lit(own[1]))
+
     tagged = F.explode(F.array(*[
-        F.struct(F.lit(rid).alias("r"), _bin_expr(_as_double(col, types[col]), lo, hi, whole).alias("b"))
-        for rid, col, lo, hi, whole in ranges
+        F.struct(F.lit(rid).alias("r"),
+                 _bin_expr(_as_double(col, types[col]), lo, hi, whole, member(col, own)).alias("b"))
+        for rid, col, lo, hi, whole, own in ranges
     ])).alias("e")
     e = (df.select(tagged, *[F.col(c) for c in cols])
          .select(F.col("e.r").alias("r"), F.col("e.b").alias("b"), *[F.col(c) for c in cols])
@@ -226,9 +236,10 @@ def select_ranks(
                 rid_of[key] = len(ranges)
                 if rnd == 0:
                     lo, hi = lim[r.col]
-                    ranges.append((len(ranges), r.col, lo, hi, True))
+                    ranges.append((len(ranges), r.col, lo, hi, True, None))
                 else:
-                    ranges.append((len(ranges), r.col, _to_double(r.lo, types[r.col]), _to_double(r.hi, types[r.col]), False))
+                    ranges.append((len(ranges), r.col, _to_double(r.lo, types[r.col]), _to_double(r.hi, types[r.col]), False,
+                                   (r.lo, r.hi)))
         hist = _histogram_round(df, ranges, types)
         for ri in active:
             r = reqs[ri]

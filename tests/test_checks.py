@@ -429,3 +429,19 @@ def test_map_keys_group_in_spark4(spark):
     out = {r["check_id"]: r for r in validate({"t": df}, [Check("t", "column_values_to_be_unique", "m"),
                                                          Check("t", "column_values_to_not_be_null", "m")]).collect()}
     assert out["t:m:unique"]["unexpected_count"] == 2 and out["t:m:not_null"]["success"] is True
+
+
+def test_exact_quantiles_longs_beyond_double_precision(spark, monkeypatch):
+    import random
+
+    from probity.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "BRACKET_ROWS", 15)
+    monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
+    rnd = random.Random(2)
+    base = 2 ** 60
+    ks = [base + rnd.randint(0, 300) for _ in range(600)] + [rnd.randint(0, 10 ** 6) for _ in range(200)]
+    df = spark.createDataFrame([(k,) for k in ks], "k BIGINT")
+    for p in (0.1, 0.3, 0.5, 0.77, 0.99):
+        (_, (v,)), = Q.select_ranks(df, [("k", *Q.disc(p))], accuracy=100)
+        assert v == _disc_reference(df, "k", p), p
