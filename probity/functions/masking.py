@@ -27,3 +27,13 @@ def retention_split(df: DataFrame, ts: str, as_of: str, years: int) -> DataFrame
         F.count_if(F.col(ts) < cutoff).cast("long").alias("expired_rows"),
         F.count_if(F.col(ts) >= cutoff).cast("long").alias("kept_rows"),
     )
+
+
+def mask_contract_pii(tables: dict[str, DataFrame], contract, method: str = "sha256") -> dict[str, DataFrame]:
+    """Every table with the PII fields its contract declares (``security.piiFields``
+    or a field's ``pii`` flag) masked; a lazy projection, no extra pass."""
+    out = {}
+    for name, df in tables.items():
+        cols = [c for c in contract.pii.get(name, []) if c in df.columns]
+        out[name] = mask_columns(df, cols, method) if cols else df
+    return out

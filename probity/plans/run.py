@@ -40,12 +40,15 @@ def run_contract(
     keep_sample: int | None = None,
     failing_n: int = 5,
     fmt: str = "parquet",
+    mask_pii: bool = False,
 ) -> dict[str, DataFrame]:
     """Run every rule of ``contract`` over the tables at ``source_base``.
 
     ``replay_run``: skip the scan and validate the samples stored for ``run_id``
     (S12).  ``keep_sample``: also store a deterministic first-N sample per table
-    (S2 + S6) so the run can be replayed."""
+    (S2 + S6) so the run can be replayed.  ``mask_pii``: the stored samples and
+    failing-row files carry the contract's PII fields masked (C27); checks
+    always see the real values."""
     c = contract if isinstance(contract, Contract) else load_contract(contract, as_of=as_of)
     run_id = run_id or datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S")
     tables: dict[str, DataFrame] = {}
@@ -57,8 +60,11 @@ def run_contract(
                 tables[t] = read_table(spark, source_base, t, fmt)
             except Exception:  # noqa: BLE001 - an absent table makes its rules ERROR, not the run fail
                 continue
+    from probity.functions.masking import mask_contract_pii
+
+    shown = mask_contract_pii(tables, c) if mask_pii else tables
     if keep_sample and not replay_run:
-        for t, df in tables.items():
+        for t, df in shown.items():
             key = c.primary_keys.get(t) or df.columns
             sinks.write_sample(first_n(df, key, keep_sample), out_base, dataset, t, run_id)
 
@@ -77,6 +83,10 @@ def run_contract(
             continue
         order = c.primary_keys.get(t) or df.columns
         rows = failing_rows(df, chks, order_by=order, n=failing_n, tables=tables)
+        if mask_pii:
+            from probity.functions.masking import mask_columns
+
+            rows = mask_columns(rows, [x for x in c.pii.get(t, []) if x in rows.columns])
         fail_paths[t] = sinks.write_failing_csv(rows, os.path.join(out_base, "failing_examples", f"{tag}.{t}"))
     return {
         "profile": sinks.read_json(spark, prof_path, PROFILE_DDL),

@@ -233,3 +233,14 @@ def test_load_concatenated_suites(spark):
     out = {r["check_id"]: r["success"] for r in validate({"acct": acct, "plan": plan}, checks).collect()}
     assert out == {"acct::table_columns_to_match_ordered_list": True, "acct:id:column_values_to_be_of_type": True,
                    "acct:name:unique": False, "plan:pid:unique": True}
+
+
+def test_pii_masked_in_failing_rows(spark, tmp_path):
+    from probity.plans.run import run_contract
+
+    doc = {"models": {"customer": {"primaryKey": ["c_custkey"], "fields": {
+        "c_custkey": {"type": "integer"},
+        "c_name": {"type": "string", "pii": True, "pattern": "^Customer#00000000[0-4]$"}}}}}
+    out = run_contract(spark, doc, "/root/testdata/sf0.001", str(tmp_path), "tpch", run_id="m1", mask_pii=True)
+    rows = out["failing:customer"].collect()
+    assert rows and all(len(r["c_name"]) == 64 and not r["c_name"].startswith("Customer#") for r in rows)
