@@ -210,16 +210,17 @@ def foreign_key_counts(child: DataFrame, fk: list[str], parent: DataFrame, pk: l
     ``NOT IN``) marks the keys without a parent.  Spark broadcasts the parent
     keys only when their measured size is under
     ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run time)."""
-    ck = [f"__k{i}" for i in range(len(fk))]
-    groups = child.select(*[child[c].alias(a) for c, a in zip(fk, ck)]).groupBy(*ck).agg(F.count(F.lit(1)).alias(CNT))
+    # built exactly like the shared value -> count table of the G pass, so a
+    # uniqueness check on the same key reuses this shuffle (ReusedExchange)
+    groups = groups_of(child, tuple(fk))
     keys = (
-        parent.select(*[parent[c].alias(a) for c, a in zip(pk, ck)])
-        .where(~any_null([F.col(a) for a in ck]))
+        parent.select(*[parent[c].alias(a) for c, a in zip(pk, fk)])
+        .where(~any_null([F.col(a) for a in fk]))
         .distinct()
         .withColumn("__present", F.lit(True))
     )
-    marked = groups.join(keys, on=ck, how="left")
-    has_null = any_null([F.col(a) for a in ck])
+    marked = groups.join(keys, on=list(fk), how="left")
+    has_null = any_null([F.col(a) for a in fk])
     orphan = ~has_null & F.col("__present").isNull()
     return marked.agg(
         _sum_if(F.lit(True)).alias("n"),

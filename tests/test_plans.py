@@ -83,3 +83,14 @@ def test_replay_prunes_partitions(spark, tmp_path):
     p = plan(df)
     assert "PartitionFilters: [" in p and "run_id" in p.split("PartitionFilters: [")[1].split("]")[0]
     assert df.count() == 10
+
+
+def test_unique_and_foreign_key_share_the_key_shuffle(spark):
+    from probity import validate
+
+    t = read_tables(spark, SF, ["lineitem", "orders"])
+    cs = [Check("lineitem", "column_values_to_be_unique", "l_orderkey"),
+          Check("lineitem", "foreign_key", "l_orderkey", {"parent_table": "orders", "parent_columns": ["o_orderkey"]})]
+    r = validate(t, cs)
+    r.collect()
+    assert "ReusedExchange" in r._jdf.queryExecution().executedPlan().toString()
