@@ -4,13 +4,14 @@ Per table:
 
 * **A** (row predicates and column aggregates): ONE ``df.agg(...)`` holding
   every check (split in blocks of at most ``MAX_AGGS`` aggregate expressions to
-  stay inside whole-stage codegen).  Identical aggregates (``count(1)``, ``count_if(c IS NULL)``) are
-  de-duplicated by Catalyst.  The one-row output is melted to one row per
+  stay inside whole-stage codegen).  Identical aggregates (``count(1)``,
+  ``count_if(c IS NULL)``) are de-duplicated by Catalyst.  The one-row output is melted to one row per
   check with ``explode(array(struct...))``.
 * **G** (uniqueness, distinct sets, KL, most-common): one ``groupBy(key)``
   per distinct column tuple, shared by all checks on that tuple, then one
   aggregate over the (small) groups table.
-* **J** foreign keys / query comparison, **O** ordered checks: one plan each.
+* **J** foreign keys / query comparison / long value sets, **O** ordered
+  checks: one plan each (a foreign key reuses the G pass's shuffle of its key).
 * **M** schema facts: computed on the driver from ``df.schema``.
 
 Everything is lazy; the union of all parts is the result DataFrame.
@@ -332,6 +333,7 @@ def _prepare_all(tables: dict[str, DataFrame], by_table: dict[str, list[Check]])
     todo = {t: cs for t, cs in todo.items() if cs}
     if not todo:
         return {}
+
     def prep(t):
         try:
             return _prepare_ranks(tables[t], todo[t])
@@ -394,7 +396,7 @@ def validate(
         for (key, _, _), gchks in grouped.items():
             try:
                 parts.append(group_pass(df, key, gchks))
-            except (AnalysisException, ValueError, TypeError, KeyError):  # e.g. a map column cannot be grouped
+            except (AnalysisException, ValueError, TypeError, KeyError):  # a key that cannot be grouped
                 errors.extend(gchks)
         for c in singles:
             try:
