@@ -58,3 +58,24 @@ def test_profile_map_column(spark):
     df = spark.createDataFrame([({"a": 1}, 1), ({"b": 2}, 2)], "m MAP<STRING, INT>, x INT")
     p = {r["column_name"]: r for r in profile(df, "t").collect()}
     assert p["m"]["distinct_count"] == 2 and p["x"]["distinct_count"] == 2
+
+
+def test_combined_batch_with_conflicting_types(spark):
+    from probity.plans.report import combine_batch
+
+    a = spark.createDataFrame([(1, "x")], "id INT, creationdate STRING")
+    b = spark.createDataFrame([(2, dt.date(2020, 1, 1), 5)], "id INT, creationdate DATE, extra INT")
+    batch = combine_batch({"a": a, "b": b})
+    assert dict(batch.dtypes)["creationdate"] == "string" and batch.count() == 2
+    r = {x["check_id"]: x for x in validate({"batch": batch}, [Check("batch", "column_values_to_not_be_null", "extra")]).collect()}
+    assert r["batch:extra:not_null"]["unexpected_count"] == 1  # fails for the wrong reason, as the reference's wide batch
+
+
+def test_validate_tables_reads_parents(spark):
+    from probity.plans.compile import validate_tables
+
+    cs = [Check("lineitem", "foreign_key", "l_orderkey", {"parent_table": "orders", "parent_columns": ["o_orderkey"]}),
+          Check("documents", "table_row_count_to_equal_other_table", (), {"other_table_name": "labels"})]
+    r = {x["check_id"]: x for x in validate_tables(spark, "/root/testdata/sf0.001", cs).collect()}
+    assert r["lineitem:l_orderkey:foreign_key"]["success"] is True
+    assert r["documents::table_row_count_to_equal_other_table"]["success"] is False
