@@ -445,3 +445,14 @@ def test_exact_quantiles_longs_beyond_double_precision(spark, monkeypatch):
     for p in (0.1, 0.3, 0.5, 0.77, 0.99):
         (_, (v,)), = Q.select_ranks(df, [("k", *Q.disc(p))], accuracy=100)
         assert v == _disc_reference(df, "k", p), p
+
+
+def test_sketch_only_median_and_quantiles(spark):
+    rows = [(float(i),) for i in range(1, 1001)]
+    med = Check("t", "column_median_to_be_between", "x", {"min_value": 490, "max_value": 510, "exact": False}, check_id="m")
+    qs = Check("t", "column_quantile_values_to_be_between", "x",
+               {"quantile_ranges": {"quantiles": [0.1, 0.9], "value_ranges": [[90, 110], [890, 910]]}, "exact": False},
+               check_id="q")
+    r = _run(spark, rows, "x DOUBLE", [med, qs])
+    assert r["m"]["success"] and abs(r["m"]["observed_value"] - 500.5) < 2
+    assert r["q"]["success"] and r["q"]["unexpected_count"] == 0
