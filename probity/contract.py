@@ -294,6 +294,28 @@ def text_rule(table: str, col: str, text: str, tables: list[str], pks: dict[str,
         pat = f"%{suffix}" if m.group(1).lower() == "end" else f"{suffix}%"
         return Check(table, "column_values_to_match_like_pattern", (col,), {"like_pattern": pat},
                      check_id=f"{table}:{col}:{m.group(1).lower()}s_with"), None
+    m = re.search(r"must be between\s+" + _NUM + r"\s+and\s+" + _NUM, t, re.I)
+    if m:
+        return Check(table, "column_values_to_be_between", (col,), {"min_value": float(m.group(1)), "max_value": float(m.group(2))},
+                     check_id=f"{table}:{col}:text_between"), None
+    m = re.search(r"must be (greater|less) than( or equal to)?\s+" + _NUM + r"$", t, re.I)
+    if m:
+        v, eq = float(m.group(3)), bool(m.group(2))
+        params = {"min_value": v, "strict_min": not eq} if m.group(1).lower() == "greater" else {"max_value": v, "strict_max": not eq}
+        return Check(table, "column_values_to_be_between", (col,), params, check_id=f"{table}:{col}:text_bound"), None
+    m = re.search(r"must be (?:one of|in)\s*[\[(]?([^\])]+)[\])]?$", t, re.I)
+    if m:
+        vals = [v.strip().strip("'\"") for v in re.split(r",|\bor\b", m.group(1)) if v.strip()]
+        return Check(table, "column_values_to_be_in_set", (col,), {"value_set": vals}, check_id=f"{table}:{col}:text_domain"), None
+    m = re.search(r"must match (?:the )?(?:pattern|regex|regular expression)\s+(.+)$", text.strip(), re.I)
+    if m:
+        pat = m.group(1).strip().strip("`'\"")
+        return Check(table, "column_values_to_match_regex", (col,), {"regex": pat}, check_id=f"{table}:{col}:text_regex"), None
+    if re.search(r"must be unique", t, re.I):
+        return Check(table, "column_values_to_be_unique", (col,), check_id=f"{table}:{col}:text_unique"), None
+    if re.search(r"must not be (?:empty|blank)", t, re.I):
+        return Check(table, "row_condition", (), {"expression": f"`{col}` IS NULL OR length(trim(CAST(`{col}` AS STRING))) > 0"},
+                     check_id=f"{table}:{col}:text_not_empty"), None
     return None, "text rule not understood"
 
 

@@ -244,3 +244,23 @@ def test_pii_masked_in_failing_rows(spark, tmp_path):
     out = run_contract(spark, doc, "/root/testdata/sf0.001", str(tmp_path), "tpch", run_id="m1", mask_pii=True)
     rows = out["failing:customer"].collect()
     assert rows and all(len(r["c_name"]) == 64 and not r["c_name"].startswith("Customer#") for r in rows)
+
+
+def test_more_text_rules(spark):
+    from probity.contract import text_rule
+
+    def k(sentence):
+        chk, reason = text_rule("t", "x", sentence, ["t"], {})
+        return (chk.kind, chk.params) if chk else reason
+
+    assert k("x must be unique.")[0] == "column_values_to_be_unique"
+    assert k("x must be between 1 and 5.") == ("column_values_to_be_between", {"min_value": 1.0, "max_value": 5.0})
+    assert k("amount must be greater than 0.") == ("column_values_to_be_between", {"min_value": 0.0, "strict_min": True})
+    assert k("x must be one of 'a', 'b' or 'c'.") == ("column_values_to_be_in_set", {"value_set": ["a", "b", "c"]})
+    assert k("x must match pattern ^[A-Z]{3}$")[1] == {"regex": "^[A-Z]{3}$"}
+    assert k("x must not be empty.")[0] == "row_condition"
+    assert k("x should look fine.") == "text rule not understood"
+    df = spark.createDataFrame([("ABC",), (" ",), ("abcd",), (None,)], "x STRING")
+    checks = [text_rule("t", "x", s, ["t"], {})[0] for s in ("x must match pattern ^[A-Z]{3}$", "x must not be empty.")]
+    out = {r["check_id"]: r["unexpected_count"] for r in validate({"t": df}, checks).collect()}
+    assert out == {"t:x:text_regex": 2, "t:x:text_not_empty": 1}
