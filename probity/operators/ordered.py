@@ -8,7 +8,9 @@ A global ``Window.orderBy`` would pull the whole table into one task.  Instead:
    row) holds a third of the rows -- the trailing keys spread it over several
    buckets.  Rows equal up to the row id are interchangeable, so the row id
    changes no count (and a recomputed task may number them differently);
-2. ``lag`` inside each bucket (``Window.partitionBy(bucket, partition_by)``);
+2. ``lag`` inside each bucket (``Window.partitionBy(bucket)`` in the global
+   order); a pair counts only when both rows belong to the same
+   ``partition_by`` group;
 3. in the same pass over the window output, per bucket: the breaks inside it
    and its first and last rows -- a table with one row per bucket -- then a
    ``lag`` over that small table for the seams between neighbouring buckets;
