@@ -6,9 +6,10 @@ only one value per column does):
 1. one fused aggregate: row count, per column non-null count, min / max of
    numeric columns, and -- with ``exact=False`` -- HyperLogLog distinct
    counts (``approx_count_distinct``);
-2. exact distinct counts (``exact=True``): one ``groupBy(column)`` per column
-   (a single ``countDistinct`` per column would Expand the rows once per
-   column); the per-column jobs run in one union;
+2. exact distinct counts (``exact=True``): columns of one type (at most 16)
+   share one pass -- ``explode`` of (column index, value), ``groupBy`` on the
+   pair with map-side combining, then a count per column; all passes run in
+   one union;
 3. p01 / p99 of integer and floating columns, with the reference's rank
    rule: on the ``n`` sorted non-null values, 0-based ``i01 = max(0,
    floor(n*0.01) - 1)`` and ``i99 = min(n-1, floor(n*0.99))``, the value is an
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK = 25  # columns per first-pass aggregate: up to 6 aggregates each stays within codegen limits
+TYPE_GROUP = 16  # columns per distinct-count pass (rows are expanded this many times at most)
 
 PROFILE_DDL = (
     "table_name STRING, column_name STRING, data_type STRING, row_count BIGINT, null_count BIGINT, "
@@ -89,11 +91,21 @@ def profile(
     def distinct_counts() -> dict[int, int]:
         if not exact:
             return {i: first[f"nd{i}"] for i in range(len(cols))}
-        parts = [
-            df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).groupBy("v").agg(F.count(F.lit(1)).alias("_"))
-            .agg(F.count(F.lit(1)).alias("d")).select(F.lit(i).alias("i"), "d")
-            for i, c in enumerate(cols)
-        ]
+        # columns of one type share a pass: (column index, value) pairs from one
+        # explode, one groupBy on the pair (map-side combined), then a count per
+        # column.  Same shuffle volume as one groupBy per column, far fewer
+        # scans and stages; values keep their own type (float normalisation).
+        groups: dict[str, list[tuple[int, str]]] = {}
+        for i, c in enumerate(cols):
+            groups.setdefault(types[c].simpleString(), []).append((i, c))
+        parts = []
+        for members in groups.values():
+            for g0 in range(0, len(members), TYPE_GROUP):
+                chunk = members[g0 : g0 + TYPE_GROUP]
+                pairs = df.select(F.explode(F.array(*[
+                    F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in chunk
+                ])).alias("e")).select("e.i", "e.v").where(F.col("v").isNotNull())
+                parts.append(pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("_")).groupBy("i").agg(F.count(F.lit(1)).alias("d")))
         if not parts:
             return {}
         u = parts[0]
