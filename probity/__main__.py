@@ -26,6 +26,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--as-of", help="'now' for freshness rules")
     run.add_argument("--keep-sample", type=int, help="store a first-N sample per table for replay")
     run.add_argument("--format", default="parquet")
+    run.add_argument("--no-profile", action="store_true", help="skip the profile (verdicts only)")
+    run.add_argument("--mask-pii", action="store_true", help="mask the contract's PII fields in written rows")
     run.add_argument("--master", help="Spark master (default: from the environment)")
     args = ap.parse_args(argv)
 
@@ -38,6 +40,7 @@ def main(argv: list[str] | None = None) -> int:
     out = run_contract(
         spark, args.contract, args.source, args.out, args.dataset, run_id=args.run_id, replay_run=args.replay,
         as_of=args.as_of, keep_sample=args.keep_sample, fmt=args.format,
+        with_profile=not args.no_profile, mask_pii=args.mask_pii,
     )
     statuses = {r["status"]: r["n"] for r in out["evaluation"].groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()}
     print(json.dumps({"out": args.out, "dataset": args.dataset, "run_id": args.run_id, "statuses": statuses}))
