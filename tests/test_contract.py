@@ -264,3 +264,16 @@ def test_more_text_rules(spark):
     checks = [text_rule("t", "x", s, ["t"], {})[0] for s in ("x must match pattern ^[A-Z]{3}$", "x must not be empty.")]
     out = {r["check_id"]: r["unexpected_count"] for r in validate({"t": df}, checks).collect()}
     assert out == {"t:x:text_regex": 2, "t:x:text_not_empty": 1}
+
+
+def test_replay_equals_first_run_on_samples(spark, tmp_path):
+    from __spark_entry__ import FLAGSHIP_CONTRACT
+    from probity.plans.run import run_contract
+
+    out = str(tmp_path / "o")
+    first = run_contract(spark, FLAGSHIP_CONTRACT, "/root/testdata/sf0.001", out, "tpch", run_id="s1", keep_sample=200,
+                         validate_sample=True, with_profile=False)
+    a = sorted(tuple(r) for r in first["results"].collect())
+    again = run_contract(spark, FLAGSHIP_CONTRACT, "/root/testdata/sf0.001", out, "tpch", run_id="s1", replay_run=True,
+                         with_profile=False)
+    assert a == sorted(tuple(r) for r in again["results"].collect())
