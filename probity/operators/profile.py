@@ -65,6 +65,13 @@ def profile(
     numeric = [c for c in cols if _quantile_numeric(types[c])]
     vocab = vocabularies or {}
 
+    # ---- pass 2 (exact distinct counts) depends on nothing: it starts at once and
+    # runs side by side with pass 1 and the quantile passes
+    from concurrent.futures import ThreadPoolExecutor
+
+    pool = ThreadPoolExecutor(max_workers=1)
+    f_ndv = pool.submit(_exact_distincts, df, cols, types) if exact else None
+
     # ---- pass 1 (blocks of BLOCK columns keep each aggregate operator small)
     first: dict = {}
     for b0 in range(0, max(1, len(cols)), BLOCK):
@@ -87,32 +94,7 @@ def profile(
         first.update(df.agg(*aggs).first().asDict())
     n = first["__n"]
 
-    # ---- passes 2 and 3 are independent: submitted side by side
-    def distinct_counts() -> dict[int, int]:
-        if not exact:
-            return {i: first[f"nd{i}"] for i in range(len(cols))}
-        # columns of one type share a pass: (column index, value) pairs from one
-        # explode, one groupBy on the pair (map-side combined), then a count per
-        # column.  Same shuffle volume as one groupBy per column, far fewer
-        # scans and stages; values keep their own type (float normalisation).
-        groups: dict[str, list[tuple[int, str]]] = {}
-        for i, c in enumerate(cols):
-            groups.setdefault(types[c].simpleString(), []).append((i, c))
-        parts = []
-        for members in groups.values():
-            for g0 in range(0, len(members), TYPE_GROUP):
-                chunk = members[g0 : g0 + TYPE_GROUP]
-                pairs = df.select(F.explode(F.array(*[
-                    F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in chunk
-                ])).alias("e")).select("e.i", "e.v").where(F.col("v").isNotNull())
-                parts.append(pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("_")).groupBy("i").agg(F.count(F.lit(1)).alias("d")))
-        if not parts:
-            return {}
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        return {r["i"]: r["d"] for r in u.collect()}
-
+    # ---- pass 3 (needs the counts and ranges of pass 1)
     def quantiles() -> dict[str, float]:
         q: dict[str, float] = {}
         quant_cols = [(i, c) for i, c in enumerate(cols) if c in numeric and first[f"nn{i}"]]
@@ -134,11 +116,9 @@ def profile(
             q = df.agg(*qaggs).first().asDict()
         return q
 
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        f_ndv, f_q = pool.submit(distinct_counts), pool.submit(quantiles)
-        ndv, q = f_ndv.result(), f_q.result()
+    q = quantiles()
+    ndv = f_ndv.result() if f_ndv is not None else {i: first[f"nd{i}"] for i in range(len(cols))}
+    pool.shutdown()
 
     rows = []
     for i, c in enumerate(cols):
@@ -170,6 +150,31 @@ def profile(
     return spark.createDataFrame(rows, PROFILE_DDL)
 
 
+def _exact_distincts(df: DataFrame, cols: list[str], types: dict) -> dict[int, int]:
+    """Distinct non-null values per column.  Columns of one type share a pass:
+    (column index, value) pairs from one explode, one groupBy on the pair
+    (map-side combined), then a count per column.  Same shuffle volume as one
+    groupBy per column, far fewer scans and stages; values keep their own type
+    (float normalisation)."""
+    groups: dict[str, list[tuple[int, str]]] = {}
+    for i, c in enumerate(cols):
+        groups.setdefault(types[c].simpleString(), []).append((i, c))
+    parts = []
+    for members in groups.values():
+        for g0 in range(0, len(members), TYPE_GROUP):
+            chunk = members[g0 : g0 + TYPE_GROUP]
+            pairs = df.select(F.explode(F.array(*[
+                F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in chunk
+            ])).alias("e")).select("e.i", "e.v").where(F.col("v").isNotNull())
+            parts.append(pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("_")).groupBy("i").agg(F.count(F.lit(1)).alias("d")))
+    if not parts:
+        return {}
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return {r["i"]: r["d"] for r in u.collect()}
+
+
 def profile_tables(tables: dict[str, DataFrame], exact: bool = True, threads: int = 8) -> DataFrame:
     """Profile every table of a contract.  The per-table passes are independent
     Spark jobs, submitted from a small thread pool so the scheduler runs them
