@@ -322,7 +322,9 @@ def _absent_row(chk: Check, reason: str) -> tuple:
     return (chk.check_id, None, None, None, None, None if reason == "error" else False, None)
 
 
-def _prepare_all(tables: dict[str, DataFrame], by_table: dict[str, list[Check]]) -> dict[str, dict]:
+def _prepare_all(tables: dict[str, DataFrame], by_table: dict[str, list[Check]]):
+    """Start the exact-quantile jobs of every table in the background; returns
+    ``(pool, {table: future})`` (the pool is shut down by the caller)."""
     from concurrent.futures import ThreadPoolExecutor
 
     todo = {
@@ -332,7 +334,7 @@ def _prepare_all(tables: dict[str, DataFrame], by_table: dict[str, list[Check]])
     }
     todo = {t: cs for t, cs in todo.items() if cs}
     if not todo:
-        return {}
+        return None, {}
 
     def prep(t):
         try:
@@ -341,9 +343,8 @@ def _prepare_all(tables: dict[str, DataFrame], by_table: dict[str, list[Check]])
             # e.g. a quantile of a column that has no order: these checks become errors
             return {c.check_id: _UNRESOLVED for c in todo[t]}
 
-    with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
-        futures = {t: pool.submit(prep, t) for t in todo}
-        return {t: f.result() for t, f in futures.items()}
+    pool = ThreadPoolExecutor(max_workers=min(8, len(todo)))
+    return pool, {t: pool.submit(prep, t) for t in todo}
 
 
 _UNRESOLVED = object()
@@ -367,8 +368,10 @@ def validate(
     for c in checks:
         by_table.setdefault(c.table, []).append(c)
 
-    # exact quantiles need a few eager scalar jobs per table: tables run side by side
-    prepared_of = _prepare_all(tables, by_table)
+    # exact quantiles need a few eager scalar jobs per table: they run in the
+    # background (tables side by side) while the other passes are planned
+    pool, prepared_of = _prepare_all(tables, by_table)
+    fused_of: "OrderedDict[str, list[Check]]" = OrderedDict()
 
     for table, chks in by_table.items():
         df = tables.get(table)
@@ -389,10 +392,7 @@ def validate(
             else:
                 singles.append(c)
         errors: list[Check] = []
-        for i in range(0, len(fused), block):
-            part = fused_pass(df, fused[i : i + block], tables, errors, prepared_of.get(table, {}))
-            if part is not None:
-                parts.append(part)
+        fused_of[table] = fused
         for (key, _, _), gchks in grouped.items():
             try:
                 parts.append(group_pass(df, key, gchks))
@@ -405,6 +405,17 @@ def validate(
                 errors.append(c)
         literal += [_absent_row(c, "error") for c in errors]
 
+    for table, fused in fused_of.items():
+        df, errors = tables[table], []
+        prepared = prepared_of[table].result() if table in prepared_of else {}
+        for i in range(0, len(fused), block):
+            part = fused_pass(df, fused[i : i + block], tables, errors, prepared)
+            if part is not None:
+                parts.append(part)
+        literal += [_absent_row(c, "error") for c in errors]
+    if pool is not None:
+        pool.shutdown()
+
     if literal:
         parts.append(spark.createDataFrame(literal, RESULT_DDL))
     if not parts:
