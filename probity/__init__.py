@@ -11,12 +11,13 @@ from probity.checks import Check, RESULT_COLUMNS, kinds, normalize_kind
 from probity.contract import Contract, load_contract
 from probity.operators.profile import profile, profile_tables
 from probity.operators.schema import schema_view
-from probity.plans.compile import validate, validate_tables
+from probity.plans.compile import explain_suite, validate, validate_tables
 from probity.plans.run import run_contract
 
 __all__ = [
     "Check",
     "Contract",
+    "explain_suite",
     "RESULT_COLUMNS",
     "kinds",
     "load_contract",

@@ -438,3 +438,16 @@ def validate_tables(spark: SparkSession, base: str, checks: Iterable[Check], fmt
             if c.p(key):
                 names.add(c.p(key))
     return validate(read_tables(spark, base, sorted(names), fmt=fmt), checks, spark=spark)
+
+
+def explain_suite(tables: dict[str, DataFrame], checks: Iterable[Check], mode: str = "formatted") -> str:
+    """The physical plan of the compiled suite as text (``DataFrame.explain``):
+    one place to see the scans with their pushed filters and pruned schemas,
+    the exchanges, and which passes the checks were fused into."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        validate(tables, checks).explain(mode=mode)
+    return buf.getvalue()

@@ -94,3 +94,12 @@ def test_unique_and_foreign_key_share_the_key_shuffle(spark):
     r = validate(t, cs)
     r.collect()  # after execution, explain shows AQE's final plan
     assert "ReusedExchange" in plan(r)
+
+
+def test_explain_suite(spark):
+    from probity import explain_suite
+
+    t = read_tables(spark, SF, ["lineitem"])
+    text = explain_suite(t, [Check("lineitem", "column_values_to_not_be_null", "l_orderkey"),
+                             Check("lineitem", "column_values_to_be_unique", "l_suppkey")])
+    assert "ReadSchema: struct<l_orderkey:bigint>" in text and "ReadSchema: struct<l_suppkey:bigint>" in text
