@@ -109,3 +109,56 @@ def ordered_counts(df: DataFrame, chk: Check, buckets: int | None = None) -> Dat
         F.sum("n").cast("long").alias("n"), F.sum("miss").cast("long").alias("miss"),
         F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"),
     )
+
+
+def ordered_violations(df: DataFrame, chk: Check, buckets: int | None = None) -> DataFrame:
+    """The rows that break an increasing / decreasing check (each breaking row is
+    the later row of its pair), with the table's own columns.  Same pipeline as
+    ``ordered_counts``: range buckets, ``lag`` inside a bucket, and the seams
+    from a table with one row per bucket."""
+    col, order = chk.column, chk.p("order_by")
+    if not order:
+        raise ValueError(f"{chk.check_id}: order_by is required (no row order exists in Spark)")
+    parts = list(chk.p("partition_by") or [])
+    increasing = chk.kind == "column_values_to_be_increasing"
+    strictly = bool(chk.p("strictly", True))
+    tie = chk.p("tie_breaker") or col
+    n_buckets = buckets or int(chk.p("buckets") or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = F.col(col)
+    if chk.p("parse_strings_as_datetimes"):
+        value = F.try_to_timestamp(value.cast("string"))
+    v, o, t = "__v", "__o", "__t"
+    pcols = [f"__p{i}" for i in range(len(parts))]
+    base = df.select(value.alias(v), F.col(order).alias(o), F.col(tie).alias(t),
+                     *[F.col(p).alias(a) for p, a in zip(parts, pcols)], F.struct(*df.columns).alias("__row"))
+    judged = base.where(F.col(v).isNotNull() & F.col(o).isNotNull()).withColumn("__rid", F.monotonically_increasing_id())
+    tie_sort = F.col(t).asc_nulls_first() if increasing else F.col(t).desc_nulls_last()
+    val_sort = F.col(v).asc_nulls_first() if increasing else F.col(v).desc_nulls_last()
+    sort_keys = [F.col(p) for p in pcols] + [F.col(o), tie_sort, val_sort, F.col("__rid")]
+
+    def breaks(cur, prev):
+        if increasing:
+            ok = (cur > prev) if strictly else (cur >= prev)
+        else:
+            ok = (cur < prev) if strictly else (cur <= prev)
+        return prev.isNotNull() & ~ok
+
+    ranged = judged.repartitionByRange(n_buckets, *sort_keys).withColumn("__b", F.spark_partition_id())
+    w = Window.partitionBy("__b").orderBy(*sort_keys)
+    same = F.lit(True)
+    for p in pcols:
+        same = same & F.col(p).eqNullSafe(F.lag(p).over(w))
+    marked = ranged.select("__b", *pcols, v, "__row", F.lag(v).over(w).alias("__prev"), same.alias("__same"),
+                           (F.row_number().over(w) == 1).alias("__first"), F.lead(o).over(w).isNull().alias("__last"))
+    inner = marked.where(F.col("__same") & breaks(F.col(v), F.col("__prev"))).select("__row")
+    key = F.struct(*[F.col(p).alias(p) for p in pcols], F.col(v).alias(v))
+    ends = marked.where(F.col("__first") | F.col("__last")).groupBy("__b").agg(
+        F.max(F.when(F.col("__first"), F.struct(key.alias("k"), F.col("__row").alias("r")))).alias("first"),
+        F.max(F.when(F.col("__last"), key)).alias("last"),
+    )
+    seams = ends.withColumn("__pl", F.lag("last").over(Window.orderBy("__b")))
+    same_group = F.lit(True)
+    for p in pcols:
+        same_group = same_group & F.col(f"first.k.{p}").eqNullSafe(F.col(f"__pl.{p}"))
+    seam_rows = seams.where(F.col("__pl").isNotNull() & same_group & breaks(F.col(f"first.k.{v}"), F.col(f"__pl.{v}")))
+    return inner.unionByName(seam_rows.select(F.col("first.r").alias("__row"))).select("__row.*")

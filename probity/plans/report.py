@@ -62,6 +62,10 @@ def violating_rows(chk: Check, df: DataFrame, tables: dict[str, DataFrame] | Non
     if pred is not None:
         return df.where(pred)
     cols = list(chk.columns)
+    if chk.pass_kind == "O":
+        from probity.operators.ordered import ordered_violations
+
+        return ordered_violations(df, chk)
     if chk.kind in ("column_values_to_be_in_set", "column_values_to_not_be_in_set"):  # long set: join
         from probity.functions.predicates import coerce_values, normalized
 

@@ -456,3 +456,28 @@ def test_sketch_only_median_and_quantiles(spark):
     r = _run(spark, rows, "x DOUBLE", [med, qs])
     assert r["m"]["success"] and abs(r["m"]["observed_value"] - 500.5) < 2
     assert r["q"]["success"] and r["q"]["unexpected_count"] == 0
+
+
+def test_failing_rows_for_ordered_checks(spark):
+    from probity.plans.report import failing_rows
+
+    rows = [(i, i, 1) for i in range(50)] + [(50, 10, 1)] + [(i, i, 2) for i in range(60, 120)] + [(130, 5, 2)]
+    df = spark.createDataFrame(rows, "o INT, v INT, g INT")
+    c1 = Check("t", "column_values_to_be_increasing", "v", {"order_by": "o", "buckets": 7}, check_id="glob")
+    c2 = Check("t", "column_values_to_be_increasing", "v", {"order_by": "o", "partition_by": ["g"], "buckets": 5}, check_id="grp")
+    got = sorted((r["check_id"], r["o"], r["v"]) for r in failing_rows(df, [c1, c2], order_by=["o"], n=10).collect())
+    assert got == [("glob", 50, 10), ("glob", 130, 5), ("grp", 50, 10), ("grp", 130, 5)]
+
+
+def test_ordered_violations_match_counts(spark):
+    import random
+
+    from probity.operators.ordered import ordered_violations
+
+    rnd = random.Random(4)
+    rows = [(rnd.randint(0, 40), rnd.randint(0, 9), rnd.randint(0, 2)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "o INT, v INT, g INT")
+    for params in ({"order_by": "o", "buckets": 6}, {"order_by": "o", "partition_by": ["g"], "buckets": 4, "strictly": False}):
+        c = Check("t", "column_values_to_be_decreasing", "v", params, check_id="c")
+        n = validate({"t": df}, [c]).collect()[0]["unexpected_count"]
+        assert ordered_violations(df, c).count() == n
