@@ -1208,12 +1208,30 @@ def _v3_fk_sql():
             f"(SELECT doc_id FROM labels WHERE doc_id IS NOT NULL) ORDER BY doc_id LIMIT 5)")
 
 
+V3_ORDER_CHECKS = [Check("events", "column_values_to_be_increasing", "value", {"order_by": "ts"}, check_id="events:value:increasing_by_ts")]
+
+
+def _v3_order(spark, sf):
+    from probity.plans.report import failing_rows
+
+    ev = read_tables(spark, sf, ["events"])["events"]
+    return round_doubles(_ts_text(failing_rows(ev, V3_ORDER_CHECKS, order_by=["ts", "value", "event_id"], n=5), ["ts"]))
+
+
+def _v3_order_sql():
+    return (f"SELECT '{V3_ORDER_CHECKS[0].check_id}' AS check_id, event_id, {_ts_sql('ts')}, user_id, event_type, "
+            f"round(value, 6) + 0.0 AS value, props FROM (SELECT * FROM (SELECT *, lag(value) OVER (ORDER BY ts, value) AS prev "
+            f"FROM events WHERE value IS NOT NULL AND ts IS NOT NULL) WHERE prev IS NOT NULL AND NOT (value > prev) "
+            f"ORDER BY ts, value, event_id LIMIT 5)")
+
+
 def _reg_reports():
     register("V01", _v1, _v1_sql())
     register("V02", _v2, _v2_sql())
     register("V03", _v3, _v3_sql())
     register("V03b", _v3_keys, _v3_keys_sql())
     register("V03c", _v3_fk, _v3_fk_sql())
+    register("V03d", _v3_order, _v3_order_sql())
     register("V04", _v4, _v4_sql())
     register("V05", _v5, _v5_sql())
     register("V06", _v6, _v6_sql())
