@@ -21,6 +21,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words that a Python worker remembers.
-KNOWN = 300_000
-#: Words that are learned at once.
+#: Units (words without the signs around them) that a Python worker remembers.
+KNOWN = 400_000
+#: Units that are learned at once.
 PORTION = 50_000
 FAR = 1 << 40
 
@@ -72,18 +73,20 @@ class Encoder:
         key = left * n + right
         order = np.argsort(key)
         self.keys, self.key_rank, self.n = key[order], order, n
-        self.merges = {(int(a), int(b)): (i, int(c)) for i, (a, b, c) in enumerate(zip(left, right, made, strict=True))}
+        self.made = made
         # tokens that encode to themselves: both halves do, and nothing ranked lower merges across them
         self.stable = np.ones(n, bool)
         fine = self.compatible(left, right, np.arange(len(made)))
         for a, b, c, ok in zip(left, right, made, fine, strict=True):  # in order of rank: halves come first
             self.stable[c] = ok and self.stable[a] and self.stable[b]
-        self.longest = max(map(len, self.vocab))
+        self.ends = {name.removesuffix(self.suffix): i for name, i in self.vocab.items() if name.endswith(self.suffix)}
+        self.longest = max(map(len, self.ends))
+        self.digits = [str(i) for i in range(n)]
         self.letters = byte_letters()
         self._ready()
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("known", "split", "marks")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "marked", "split", "marks")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -92,7 +95,8 @@ class Encoder:
     def _ready(self) -> None:
         import regex
 
-        self.known: dict[str, list[int]] = {}
+        self.marked = {name: (i,) for name, i in self.special.items()}
+        self.known: dict[str, tuple[int, ...]] = dict(self.marked)
         self.split = regex.compile(self.pattern)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
@@ -127,36 +131,50 @@ class Encoder:
             open_ = open_[~joins & ~done]
         return ok
 
-    def exact(self, letters: list[int]) -> list[int]:
-        """Merging by rank, the leftmost first."""
-        while len(letters) > 1:
-            rank, at = min((self.merges.get((x, y), (FAR, 0))[0], i) for i, (x, y) in enumerate(zip(letters, letters[1:], strict=False)))
-            if rank == FAR:
-                break
-            pair, new, i = (letters[at], letters[at + 1]), [], 0
-            made = self.merges[pair][1]
-            while i < len(letters):
-                if i + 1 < len(letters) and (letters[i], letters[i + 1]) == pair:
-                    new.append(made)
-                    i += 2
-                else:
-                    new.append(letters[i])
-                    i += 1
-            letters = new
-        return letters
+    def exact(self, words: list[list[int]]) -> list[list[int]]:
+        """Merging by rank, the leftmost first: one merge of every word at a time."""
+        size = np.array([len(w) for w in words], np.int64)
+        out: list[list[int]] = [[] for _ in words]
+        ids, word = np.array([i for w in words for i in w], np.int64), np.repeat(np.arange(len(words)), size)
+        inner = np.append(word[1:] == word[:-1], False) if len(ids) else np.zeros(0, bool)
+        rank = np.full(len(ids), FAR)  # of the merge with the next letter of the word
+        rank[inner] = self.merge_rank(ids[inner], ids[np.flatnonzero(inner) + 1])
+        while len(ids):
+            starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            least = np.minimum.reduceat(rank, starts)
+            count = np.diff(np.append(starts, len(ids)))
+            ended = least == FAR
+            for k in np.flatnonzero(ended):
+                out[word[starts[k]]] = ids[starts[k] : starts[k] + count[k]].tolist()
+            hit = np.flatnonzero((rank == np.repeat(least, count)) & (rank < FAR))
+            first = hit[np.append(True, word[hit][1:] != word[hit][:-1])] if len(hit) else hit
+            ids[first] = self.made[rank[first]]
+            stay = np.repeat(~ended, count)
+            stay[first + 1] = False
+            shift = np.cumsum(stay) - 1
+            ids, word, rank, first = ids[stay], word[stay], rank[stay], shift[first]
+            for at in (first, first[first > 0] - 1):  # the merges with the new letter
+                at = at[at + 1 < len(ids)]
+                same = word[at] == word[at + 1]
+                rank[at] = np.where(same, self.merge_rank(ids[at], ids[at + 1]), FAR)
+            if len(ids):
+                rank[-1] = FAR
+        return out
 
     def greedy(self, letters: str) -> list[int]:
-        """The longest tokens from the left; the end of the word carries the suffix."""
-        vocab, out, at, n = self.vocab, [], 0, len(letters)
+        """The longest tokens from the left; the end of the unit carries the suffix."""
+        inner, ends, out, at, n, most = self.vocab.get, self.ends.get, [], 0, len(letters), self.longest
         while at < n:
-            for end in range(min(n, at + self.longest), at, -1):
-                i = vocab.get(letters[at:end] + self.suffix if end == n else letters[at:end])
-                if i is not None:
+            if n - at <= most and (i := ends(letters[at:])) is not None:
+                out.append(i)
+                break
+            for end in range(min(n - 1, at + most), at, -1):
+                if (i := inner(letters[at:end])) is not None:
                     out.append(i)
+                    at = end
                     break
             else:
-                end = at + 1  # a letter outside the vocabulary has no token
-            at = end
+                at += 1  # a letter outside the vocabulary has no token
         return out
 
     def pieces(self, words: list[str]) -> list[list[int]]:
@@ -172,75 +190,62 @@ class Encoder:
             a, b, of = flat[:-1][inner], flat[1:][inner], owner[1:][inner]
             pairs, back = np.unique(a * self.n + b, return_inverse=True)
             bad[of[~self.compatible(pairs // self.n, pairs % self.n)[back]]] = True
-        for i in np.flatnonzero(bad):
-            w = words[i]
-            letters = [self.vocab.get(c + self.suffix if k == len(w) - 1 else c) for k, c in enumerate(w)]
-            guess[i] = self.exact([x for x in letters if x is not None])
+        wrong = np.flatnonzero(bad)
+        letters = [[self.vocab.get(c + self.suffix if k == len(words[i]) - 1 else c) for k, c in enumerate(words[i])] for i in wrong]
+        for i, ids in zip(wrong, self.exact([[x for x in w if x is not None] for w in letters]), strict=True):
+            guess[i] = ids
         return guess
 
-    def learn(self, words: set[str]) -> None:
-        """Remembers the ids of words as they are written."""
-        units: dict[str, int] = {}
-        parts = {}
-        for w in words:
-            low = unicodedata.normalize("NFC", w)
-            low = "".join(c.lower() for c in low) if "Σ" in low else low.lower()
-            parts[w] = ["".join(map(self.letters.__getitem__, u.encode())) for u in self.split.findall(low)]
-            for u in parts[w]:
-                units.setdefault(u, len(units))
-        ids = self.pieces(list(units))
-        self.known.update((w, [i for u in us for i in ids[units[u]]]) for w, us in parts.items())
-
-    def _words(self, text: str) -> list[str | int]:
-        """The words of a text, and the ids of its special tokens."""
-        out: list[str | int] = []
+    def learn(self, units: set[str]) -> None:
+        """Remembers the ids of units of text, lower-cased and in NFC."""
+        if len(self.known) + len(units) > KNOWN:
+            self.known.clear()
+            self.known.update(self.marked)
+        new = list(units)
+        spelt = ["".join(map(self.letters.__getitem__, u.encode())) for u in new]
+        self.known.update(zip(new, map(tuple, self.pieces(spelt)), strict=True))  # tuples cost the garbage collector nothing
+
+    def _units(self, text: str) -> list[str]:
+        """What a text is split into: runs of letters, digits, runs of other signs, special tokens."""
+        out: list[str] = []
         for part in self.marks.split(text) if self.marks and any(s in text for s in self.special) else [text]:
             if part in self.special:
-                out.append(self.special[part])
-            elif any(c in part for c in "\x1c\x1d\x1e\x1f"):  # white space to Python only
-                import regex
-
-                out += [w for w in regex.split(r"\p{White_Space}+", part) if w]
+                out.append(part)
             else:
-                out += part.split()
+                low = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")  # no final form
+                out += self.split.findall(low.lower())
         return out
 
     def encode_batch(self, texts: Iterable[str | None]) -> Iterator[list[int]]:
-        """The ids of each text. Words are learned for many texts at once, and for a long text in portions."""
+        """The ids of each text. Units are learned for many texts at once, and for a long text in portions."""
         held, n = [], 0
         for text in texts:
-            held.append(self._words(text or ""))
+            held.append(self._units(text or ""))
             n += len(held[-1])
             if n >= PORTION:
                 yield from self._encode(held)
                 held, n = [], 0
         yield from self._encode(held)
 
-    def _encode(self, texts: list[list[str | int]]) -> Iterator[list[int]]:
-        portions = [(t, i) for t, words in enumerate(texts) for i in range(0, max(1, len(words)), PORTION)]
-        known, ids, upto = self.known, [], 0
-        for k, (t, i) in enumerate(portions):
-            part = texts[t][i : i + PORTION]
-            if k >= upto:  # learn as many portions as hold PORTION words, one at least
-                size, upto, new = 0, k, set()
-                while upto < len(portions) and (upto == k or size < PORTION):
-                    u, j = portions[upto]
-                    new.update(texts[u][j : j + PORTION])
-                    size += len(texts[u][j : j + PORTION])
-                    upto += 1
-                new = {w for w in new if not isinstance(w, int)}
-                if any(w not in known for w in new):
-                    if len(known) + len(new) > KNOWN:
-                        known.clear()
-                    self.learn({w for w in new if w not in known})
-            for w in part:
-                if isinstance(w, int):
-                    ids.append(w)
-                else:
-                    ids += known[w]
-            if k + 1 == len(portions) or portions[k + 1][0] != t:
-                yield ids
-                ids = []
+    def _encode(self, texts: list[list[str]]) -> Iterator[list[int]]:
+        known = self.known
+        if sum(map(len, texts)) <= 2 * PORTION:
+            if new := set(chain.from_iterable(texts)).difference(known):
+                self.learn(new)
+            if all(map(known.__contains__, chain.from_iterable(texts))):  # else learning has cleared the memory
+                for units in texts:
+                    yield list(chain.from_iterable(map(known.__getitem__, units)))
+                return
+        for units in texts:
+            ids: list[int] = []
+            for i in range(0, len(units), PORTION):
+                part = units[i : i + PORTION]
+                if new := set(part).difference(known):
+                    self.learn(new)
+                    if lost := set(part).difference(known):
+                        self.learn(lost)
+                ids += chain.from_iterable(map(known.__getitem__, part))
+            yield ids
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.names.__getitem__, ids))
@@ -285,7 +290,7 @@ def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
             n, ids_sha, text_sha = [], [], []
             for ids in e.encode_batch(t.as_py() for t in b.column(1)):
                 n.append(len(ids))
-                ids_sha.append(sha(" ".join(map(str, ids))))
+                ids_sha.append(sha(" ".join(map(e.digits.__getitem__, ids))))
                 text_sha.append(sha(e.decode(ids)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

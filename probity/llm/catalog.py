@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from probity.llm import bpe, mixing, secret_scan, simhash, toxicity
+from probity.llm import bpe, html_blocks, mixing, quality, secret_scan, simhash, topk, toxicity
 from probity.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op3_simhash(spark, sf_dir):
     return simhash.digest(read(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark, sf_dir):
+    return topk.digest(read(spark, sf_dir, "embeddings"))
+
+
 def op6_secrets(spark, sf_dir):
     return secret_scan.digest(read(spark, sf_dir, "documents"))
 
@@ -26,6 +30,14 @@ def op8_bpe(spark, sf_dir):
     return bpe.digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op6_secrets, op8_bpe)}
+def op9_quality(spark, sf_dir):
+    return quality.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_html(spark, sf_dir):
+    return html_blocks.extracted(read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op5_topk, op6_secrets, op8_bpe, op9_quality, op10_html)}
 
-ORACLE = {"op1_mixing": mixing.ORACLE, "op6_secrets": secret_scan.ORACLE}
+ORACLE = {"op1_mixing": mixing.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE}
