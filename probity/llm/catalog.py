@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from probity.llm import bpe, html_blocks, mixing, quality, secret_scan, simhash, topk, toxicity
+from probity.llm import bpe, ego_join, html_blocks, mixing, quality, secret_scan, simhash, substrings, topk, toxicity
 from probity.llm.common import read
 
 
@@ -18,6 +18,10 @@ def op3_simhash(spark, sf_dir):
     return simhash.digest(read(spark, sf_dir, "documents"))
 
 
+def op4_embeddings(spark, sf_dir):
+    return ego_join.digest(read(spark, sf_dir, "embeddings"))
+
+
 def op5_topk(spark, sf_dir):
     return topk.digest(read(spark, sf_dir, "embeddings"))
 
@@ -26,6 +30,10 @@ def op6_secrets(spark, sf_dir):
     return secret_scan.digest(read(spark, sf_dir, "documents"))
 
 
+def op7_substrings(spark, sf_dir):
+    return substrings.digest(read(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark, sf_dir):
     return bpe.digest(read(spark, sf_dir, "documents"))
 
@@ -38,6 +46,6 @@ def op10_html(spark, sf_dir):
     return html_blocks.extracted(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op5_topk, op6_secrets, op8_bpe, op9_quality, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op4_embeddings, op5_topk, op6_secrets, op7_substrings, op8_bpe, op9_quality, op10_html)}
 
-ORACLE = {"op1_mixing": mixing.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE}
+ORACLE = {"op1_mixing": mixing.ORACLE, "op4_embeddings": ego_join.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE}
