@@ -167,7 +167,7 @@ def _compared(pairs: DataFrame, blocks: DataFrame, t: float) -> DataFrame:
             for i in range(batch.num_rows):
                 r = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
                 x, y = (np.frombuffer(r[f"{s}_units"]).reshape(-1, r["a_dim"]) for s in "ab")
-                (un, uw), (vn, vw) = ((np.frombuffer(r[f"{s}_{c}"], np.int64) for c in ("nodes", "weights")) for s in "ab")
+                un, uw, vn, vw = (np.frombuffer(r[f"{s}_{c}"], np.int64) for s in "ab" for c in ("nodes", "weights"))
                 hit = x @ y.T >= t
                 same = r["a"] == r["b"]
                 if same:

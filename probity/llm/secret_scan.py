@@ -113,9 +113,10 @@ def redacted(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, mask: str =
     both = rows.join(found, F.col("_mine") == F.col("_key"), "left")
     text = F.aggregate("_live", F.col("_row.text"), lambda t, s: F.overlay(t, F.lit(mask), s["start"] + 1, s["end"] - s["start"]))
     text = F.when(F.col("_live").isNull(), F.col("_row.text")).otherwise(text)
-    out = both.select("_row.*", text.alias("_text"))
-    new = {"text": F.col("_text"), "n_chars": F.when(F.col("_text") == F.col("text"), F.col("n_chars")).otherwise(F.length("_text"))} if "n_chars" in docs.columns else {"text": F.col("_text")}
-    return out.select(*(new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
+    out = both.select("_row", text.alias("_new"))
+    mine = lambda c: F.col("_row").getField(c)
+    new = {"text": F.col("_new"), "n_chars": F.when(F.col("_new").eqNullSafe(mine("text")), mine("n_chars")).otherwise(F.length("_new")) if "n_chars" in docs.columns else None}
+    return out.select(*((new[c].cast(docs.schema[c].dataType) if c in new else mine(c)).alias(c) for c in docs.columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -148,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", most: int =
     shares = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(shares) < 2:
         share = 1.0 - 1e-9 if shares.get(1) else 0.0
-        return Model({}, float(np.log(share / (1 - share))) if share else -745.0)
+        return Model({}, float(np.log(share / (1 - share))) if share else -1000.0)
     # half of the sample of either label, so that a rare one is seen; the weights below restore their shares
     some = [sample(known.filter(F.col("y") == y), most // 2) for y in (0, 1)]
     chosen = cut(some[0].unionByName(some[1]).withColumnRenamed("doc_id", "_id"))
@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", most: int =
     index = {r["feature"]: i for i, r in enumerate(best)}
     y, doc, empty, sent, feat = _bags(text, index)
     if not len(y):
-        return Model({}, -745.0)
+        return Model({}, -1000.0)
     weight = np.where(y > 0, shares[1] / max(1, (y > 0).sum()), shares[0] / max(1, (y <= 0).sum()))
     w, bias = fit(y, doc, empty, sent, feat, len(index), weight)
     return Model({f: float(w[i]) for f, i in index.items() if abs(w[i]) > 1e-4}, bias)
@@ -187,7 +187,8 @@ def scores(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
 
 def clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     """The documents that score less than ``limit``, with the columns of ``docs``."""
-    return flagged(docs, model).filter(F.col("_toxicity.score") < limit).select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), "text")
+    return flagged(rows, model).filter(F.col("_toxicity.score") < limit).select("_row.*")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
