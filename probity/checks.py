@@ -148,10 +148,6 @@ for _k in ("freshness", "row_condition", "conditional_not_null"):
     PASS_OF[_k] = "A"
 
 
-# value sets longer than this are matched by a broadcast join (see plans.compile)
-LARGE_SET = 1000
-
-
 def kinds() -> list[str]:
     return list(KINDS)
 
@@ -215,10 +211,6 @@ class Check:
         # type checks on text sources become a value-level cast test (scans)
         if self.kind in ("column_values_to_be_of_type", "column_values_to_be_in_type_list") and self.params.get("value_test"):
             return "A"
-        # a long value set: broadcast hash join against the set instead of a huge IN literal
-        if self.kind in ("column_values_to_be_in_set", "column_values_to_not_be_in_set") \
-                and len(self.params.get("value_set") or []) > LARGE_SET:
-            return "J"
         # KL against numeric bins: per-bin counts in the fused pass, no groupBy
         if self.kind == "column_kl_divergence_to_be_less_than" and "bins" in (self.params.get("partition_object") or {}):
             return "A"

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import datetime as _dt
 import decimal as _dec
+import json
+import zlib
 from typing import Any, Iterable
 
 from pyspark.sql import Column
@@ -144,28 +146,48 @@ def matches_json_schema(c: Column, schema: dict) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def coerce_values(values: Iterable[Any], dtype: T.DataType) -> list[Any]:
-    """Convert a value set to the column's type on the driver.
+_INT_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _exact_int(v: Any, bits: int) -> int:
+    """``v`` as an integer of ``bits`` bits, never by way of a double; ValueError if it is none."""
+    d = _dec.Decimal(int(v)) if isinstance(v, bool) else _dec.Decimal(str(v).strip())
+    if not d.is_finite() or d != d.to_integral_value():
+        raise ValueError(v)
+    n = int(d)
+    if not -(1 << (bits - 1)) <= n < 1 << (bits - 1):
+        raise ValueError(v)
+    return n
+
+
+def _exact_bool(v: Any) -> bool:
+    text = str(v).strip().lower()
+    if text in ("true", "1"):
+        return True
+    if text in ("false", "0"):
+        return False
+    raise ValueError(v)
+
+
+def coerce_members(values: Iterable[Any], dtype: T.DataType) -> tuple[list[Any], list[Any]]:
+    """A value set in the column's type, and the members that do not fit it.
 
     Contracts declare e.g. the strings '1'..'5' for an integer column; a bare
-    ``c IN ('1', 'x')`` throws under ANSI, so unconvertible members are
-    dropped (they can never equal a value of the column)."""
-    out = []
+    ``c IN ('1', 'x')`` throws under ANSI.  A member that does not convert can
+    never equal a value of the column, but it still belongs to the set."""
+    out, unfit = [], []
     for v in values:
         if v is None:
             continue
         try:
-            if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-                f = float(v)
-                if f != int(f):
-                    continue
-                out.append(int(f))
+            if type(dtype) in _INT_BITS:
+                out.append(_exact_int(v, _INT_BITS[type(dtype)]))
             elif isinstance(dtype, (T.FloatType, T.DoubleType)):
                 out.append(float(v))
             elif isinstance(dtype, T.DecimalType):
                 out.append(_dec.Decimal(str(v)))
             elif isinstance(dtype, T.BooleanType):
-                out.append(v if isinstance(v, bool) else str(v).lower() in ("true", "1"))
+                out.append(_exact_bool(v))
             elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
                 out.append(v if isinstance(v, _dt.datetime) else _dt.datetime.fromisoformat(str(v)))
             elif isinstance(dtype, T.DateType):
@@ -175,8 +197,13 @@ def coerce_values(values: Iterable[Any], dtype: T.DataType) -> list[Any]:
             else:
                 out.append(v)
         except (ValueError, TypeError, ArithmeticError):
-            continue
-    return out
+            unfit.append(v)
+    return out, unfit
+
+
+def coerce_values(values: Iterable[Any], dtype: T.DataType) -> list[Any]:
+    """The members of a value set that fit the column's type."""
+    return coerce_members(values, dtype)[0]
 
 
 def normalized(c: Column, chk) -> Column:
@@ -190,11 +217,56 @@ def normalized(c: Column, chk) -> Column:
     return c
 
 
+def fold(text: Any) -> Any:
+    """A member of a case-insensitive set, in the spelling ``folded`` gives the column."""
+    return "".join(x.lower() for x in text.replace("Σ", "σ").replace("ς", "σ")) if isinstance(text, str) else text
+
+
+def folded(c: Column) -> Column:
+    """Case folded by the plain collation: members of any number are then one hash lookup."""
+    return F.lower(F.translate(F.collate(c, "UTF8_BINARY"), "Σς", "σσ"))
+
+
+def members(values: Iterable[Any], dtype: T.DataType, chk) -> tuple[list[Any], int]:
+    """The distinct members under the check's normalisation, and how many distinct ones do not fit the type."""
+    fit, unfit = coerce_members(values, dtype)
+    same = fold if chk.p("case_insensitive") else (lambda v: v)
+    return list(dict.fromkeys(map(same, fit))), len({str(v) for v in unfit})
+
+
+def is_member(c: Column, values: list[Any], chk) -> Column:
+    """Membership of a column in ``members`` of a check, whatever their number."""
+    if chk.p("trim"):
+        c = F.btrim(c, F.lit(" \t\r\n"))
+    return in_set(folded(c) if chk.p("case_insensitive") else c, values)
+
+
+#: A plan setting: members written into the plan one by one; more are one literal.
+#: Both forms test the same equality.
+INLINE = 200
+
+
 def in_set(c: Column, values: list[Any]) -> Column:
-    """Membership; Catalyst turns long lists into a hash ``InSet``."""
+    """Membership in a list of members of one type.
+
+    A short list is an ``IN``, which a scan can push down.  A long list of
+    integers or texts is one constant: the members dealt into buckets by a hash
+    (integers by remainder, texts by CRC-32 of their UTF-8 bytes), of which a
+    value looks into its own, so neither the plan nor the work per row grows
+    with the list."""
     if not values:
         return F.lit(False)
-    return c.isin(*values)
+    whole = all(type(v) is int for v in values)
+    if len(values) <= INLINE or not (whole or all(type(v) is str for v in values)):
+        return c.isin(*values)
+    n = len(values)
+    buckets: list[list[Any]] = [[] for _ in range(n)]
+    for v in values:
+        buckets[v % n if whole else zlib.crc32(v.encode()) % n].append(v)
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<array<bigint>>" if whole else "array<array<string>>")
+    key = c.cast("bigint") if whole else F.collate(c, "UTF8_BINARY")
+    at = F.pmod(key if whole else F.crc32(key.cast("binary")), F.lit(n))
+    return F.array_contains(F.get(table, at.cast("int")), key)
 
 
 def like_any(c: Column, patterns: list[str]) -> Column:

@@ -102,9 +102,9 @@ def _distinct_set(mode: str):
 
     def build(chk, groups, df):
         k = groups[chk.column]
-        vals = P.coerce_values(chk.p("value_set") or [], df.schema[chk.column].dataType)
-        nset = len(set(vals))
-        inset = P.in_set(k, vals)
+        vals, unfit = P.members(chk.p("value_set") or [], df.schema[chk.column].dataType, chk)
+        nset = len(vals) + unfit  # a member that does not fit the column is absent from it
+        inset = P.is_member(k, vals, chk)
         aggs = dict(_distinct_stats(chk, groups, df))
         aggs["outside"] = F.count_if(k.isNotNull() & ~inset)
         aggs["present"] = F.count_if(k.isNotNull() & inset)
@@ -128,8 +128,8 @@ def _distinct_set(mode: str):
 def _most_common_in_set(chk, groups, df):
     """All values tied for the top count must be in the set (``ties_okay``: one suffices)."""
     k = groups[chk.column]
-    vals = P.coerce_values(chk.p("value_set") or [], df.schema[chk.column].dataType)
-    inset = P.in_set(k, vals)
+    vals, _ = P.members(chk.p("value_set") or [], df.schema[chk.column].dataType, chk)
+    inset = P.is_member(k, vals, chk)
     aggs = dict(_distinct_stats(chk, groups, df))
     aggs["top"] = F.max(F.when(k.isNotNull(), F.col(CNT)))
     aggs["top_out"] = F.max(F.when(k.isNotNull() & ~inset, F.col(CNT)))

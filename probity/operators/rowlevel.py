@@ -33,8 +33,8 @@ def _between(c: Column, chk: Check, dtype=None) -> Column:
     return ok
 
 
-def _set(df: DataFrame, chk: Check, key: str = "value_set") -> list:
-    return P.coerce_values(chk.p(key) or [], df.schema[chk.column].dataType)
+def _in_set(c: Column, chk: Check, df: DataFrame) -> Column:
+    return P.is_member(c, P.members(chk.p("value_set") or [], df.schema[chk.column].dataType, chk)[0], chk)
 
 
 def _single(fn):
@@ -80,13 +80,15 @@ def _pair_in_set(a, b, chk, df):
 
 def _multicolumn_sum(chk, df):
     cols = [_col(df, c) for c in chk.columns]
-    total = cols[0]
-    for c in cols[1:]:
-        total = total + c
+    # integers add up as decimals: no row can overflow and end the suite
+    cols_ = [c.cast("decimal(38,0)") if isinstance(df.schema[n].dataType, T.IntegralType) else c for c, n in zip(cols, chk.columns)]
+    total = cols_[0]
+    for c in cols_[1:]:
+        total = F.try_add(total, c)
     tol = chk.p("tolerance", 0) or 0
     target = F.lit(chk.p("sum_total"))
     ok = (total == target) if not tol else (F.abs(total - target) <= F.lit(tol))
-    return RowRule(missing=any_null(cols), bad=~ok)
+    return RowRule(missing=any_null(cols), bad=~F.coalesce(ok, F.lit(False)))
 
 
 def _unique_within_record(chk, df):
@@ -127,10 +129,35 @@ def _value_type(chk, df):
     return RowRule(missing=c.isNull(), bad=~ok)
 
 
+def verdict_column(chk: Check) -> str:
+    return f"__verdict_{chk.check_id}"
+
+
+def with_verdicts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """``df`` with the verdict of each custom expression as a column.
+
+    The expressions are planned with ANSI mode off, so that a row whose
+    expression cannot be computed (division by zero, overflow, a failed cast)
+    has a null verdict instead of ending the suite; every other expression of
+    the suite keeps the session's mode."""
+    custom = {c.check_id: c for c in checks if c.kind == "row_condition"}
+    if not custom:
+        return df
+    conf, key = df.sparkSession.conf, "spark.sql.ansi.enabled"
+    mode = conf.get(key)
+    conf.set(key, "false")
+    try:
+        out = df.withColumns({verdict_column(c): F.expr(c.p("expression")).cast("boolean") for c in custom.values()})
+        out.schema  # analysed while the mode holds
+        return out
+    finally:
+        conf.set(key, mode)
+
+
 def _row_condition(chk, df):
-    """Contract ``custom`` rule: a SQL boolean per row; a null verdict is no violation."""
-    cond = F.expr(chk.p("expression"))
-    return RowRule(missing=F.lit(False), bad=~F.coalesce(cond, F.lit(True)))
+    """Contract ``custom`` rule: a SQL boolean per row; a row without a verdict is missing, not a violation."""
+    cond = df[verdict_column(chk)] if verdict_column(chk) in df.columns else F.expr(chk.p("expression"))
+    return RowRule(missing=cond.isNull(), bad=~F.coalesce(cond, F.lit(True)))
 
 
 def _conditional_not_null(chk, df):
@@ -146,8 +173,8 @@ ROW_RULES = {
     "column_values_to_be_between": _single(lambda c, k, d: _between(c, k, d.schema[k.column].dataType)),
     "column_value_lengths_to_be_between": _single(lambda c, k, d: _between(F.char_length(c), k)),
     "column_value_lengths_to_equal": _single(lambda c, k, d: F.char_length(c) == F.lit(int(k.p("value")))),
-    "column_values_to_be_in_set": _single(lambda c, k, d: P.in_set(P.normalized(c, k), _set(d, k))),
-    "column_values_to_not_be_in_set": _single(lambda c, k, d: ~P.in_set(P.normalized(c, k), _set(d, k))),
+    "column_values_to_be_in_set": _single(_in_set),
+    "column_values_to_not_be_in_set": _single(lambda c, k, d: ~_in_set(c, k, d)),
     "column_values_to_match_regex": _single(lambda c, k, d: c.rlike(k.p("regex"))),
     "column_values_to_not_match_regex": _single(lambda c, k, d: ~c.rlike(k.p("regex"))),
     "column_values_to_match_regex_list": _single(

@@ -213,6 +213,13 @@ def _reg_expectations():
     register("E02", one("customer", c),
              final_sql(c.check_id, "sum(c)", "coalesce(sum(c) FILTER (WHERE k IS NULL), 0)", absent, "NULL",
                        f"{absent} = 0", "count(k)", g))
+    # E02b a required member that does not fit the column is absent
+    c = Check("customer", "column_distinct_values_to_contain_set", "c_nationkey", {"value_set": ["1", "2", "x"]}, check_id="customer:c_nationkey:unfit")
+    g = "(SELECT c_nationkey AS k, count(*) AS c FROM customer GROUP BY 1) AS g"
+    absent = "(3 - count(*) FILTER (WHERE k IN (1, 2)))"
+    register("E02b", one("customer", c),
+             final_sql(c.check_id, "sum(c)", "coalesce(sum(c) FILTER (WHERE k IS NULL), 0)", absent, "NULL",
+                       f"{absent} = 0", "count(k)", g))
     # E03 distinct values equal a set
     s3 = ["F", "O", "P"]
     c = Check("orders", "column_distinct_values_to_equal_set", "o_orderstatus", {"value_set": s3})
@@ -335,11 +342,23 @@ def _reg_expectations():
     c = Check("events", "column_values_to_be_in_set", "event_type", {"value_set": ["view", "signup", "click", "purchase"]})
     register("E26", one("events", c),
              row_sql(c.check_id, "events", "event_type NOT IN ('view', 'signup', 'click', 'purchase')", "event_type IS NULL"))
-    # E26b a long value set (1500 members): broadcast join instead of an IN literal
+    # E26b a long value set (1500 members)
     c = Check("events", "column_values_to_be_in_set", "user_id", {"value_set": list(range(0, 3000, 2))},
               check_id="events:user_id:domain_long")
     register("E26b", one("events", c),
              row_sql(c.check_id, "events", "user_id NOT IN (SELECT range AS v FROM range(0, 3000, 2))", "user_id IS NULL"))
+    # E26c integers above 2^53 are compared exactly
+    big = 1 << 53
+    c = Check("orders", "column_values_to_be_in_set", "big", {"value_set": [str(big + i) for i in range(1, 400, 2)]}, check_id="orders:big:exact")
+    register("E26c", one("orders", c, derive=lambda df: df.withColumn("big", F.col("o_orderkey").cast("long") + F.lit(big))),
+             row_sql(c.check_id, f"(SELECT *, o_orderkey::BIGINT + {big} AS big FROM orders)",
+                     f"big NOT IN (SELECT {big} + range FROM range(1, 400, 2))", "big IS NULL"))
+    # E26d a long set whose members ignore case
+    c = Check("events", "column_values_to_be_in_set", "et", {"value_set": ["View", "SIGNUP", "click"] + [f"Other {i}" for i in range(1500)],
+                                                           "case_insensitive": True}, check_id="events:et:domain_folded")
+    mixed = "CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END"
+    register("E26d", one("events", c, derive=lambda df: df.withColumn("et", F.expr(mixed))),
+             row_sql(c.check_id, f"(SELECT *, {mixed} AS et FROM events)", "lower(et) NOT IN ('view', 'signup', 'click')", "et IS NULL"))
     c = Check("events", "column_values_to_not_be_in_set", "event_type", {"value_set": ["error"]})
     register("E39", one("events", c), row_sql(c.check_id, "events", "event_type IN ('error')", "event_type IS NULL"))
     # E27 type list, E31 of type (schema facts)
@@ -411,6 +430,14 @@ def _reg_expectations():
     c = Check("lineitem", "multicolumn_sum_to_equal", ("l_linenumber", "l_suppkey"), {"sum_total": 100})
     register("E46", one("lineitem", c),
              row_sql(c.check_id, "lineitem", "l_linenumber + l_suppkey <> 100", "l_linenumber IS NULL OR l_suppkey IS NULL"))
+    # E46b, E17b integers that overflow a bigint when added
+    near = 9223372036854775000
+    wide = lambda df: df.withColumn("big", F.lit(near) + F.col("o_orderkey") % 100)
+    c1 = Check("orders", "multicolumn_sum_to_equal", ("big", "o_orderkey"), {"sum_total": 100}, check_id="orders:big:sum")
+    c2 = Check("orders", "column_values_to_not_be_null", "o_orderkey", check_id="orders:big:others")
+    register("E46b", one("orders", [c1, c2], derive=wide),
+             union_sql(row_sql(c1.check_id, "orders", "TRUE", "o_orderkey IS NULL"),
+                       row_sql(c2.check_id, "orders", "o_orderkey IS NULL", "o_orderkey IS NULL", all_rows=True)))
     # E48 query comparison
     c = Check("orders", "query_results_to_match_comparison", (),
               {"base_query": "SELECT o_orderkey FROM orders", "comparison_query": "SELECT DISTINCT l_orderkey FROM lineitem"})
@@ -581,6 +608,12 @@ def _reg_contract_rules():
     expr = "l_extendedprice * (1 - l_discount) * (1 + l_tax) <= 100000"
     c = Check("lineitem", "row_condition", (), {"expression": expr}, check_id="lineitem::custom")
     register("C14", one("lineitem", c), row_sql(c.check_id, "lineitem", f"NOT coalesce({expr}, TRUE)"))
+    # C14b a divisor of zero: no verdict for the row, and the suite goes on
+    c1 = Check("lineitem", "row_condition", (), {"expression": "l_extendedprice / (l_linenumber - 3) > 0"}, check_id="lineitem::divides")
+    c2 = Check("lineitem", "column_values_to_not_be_null", "l_tax", check_id="lineitem::others")
+    register("C14b", one("lineitem", [c1, c2]),
+             union_sql(row_sql(c1.check_id, "lineitem", "NOT (l_extendedprice / nullif(l_linenumber - 3, 0) > 0)", "l_linenumber = 3"),
+                       row_sql(c2.check_id, "lineitem", "l_tax IS NULL", "l_tax IS NULL", all_rows=True)))
     # C15 invalidValues count < 1
     c = Check("events", "column_values_to_be_in_set", "event_type", {"value_set": ["view", "signup", "click", "purchase"]},
               must_be_less_than=1, check_id="events:event_type:invalid_values")
@@ -602,6 +635,11 @@ def _reg_contract_rules():
     register("C18", one("events", c),
              final_sql(c.check_id, "NULL", "NULL", "NULL", "NULL", "coalesce(v < 300.0, FALSE)", "v",
                        "(SELECT quantile_disc(value, 0.95) AS v FROM events) AS s"))
+    # C18b many rows are no scalar: no verdict
+    c = Check("orders", "sql_scalar", "o_orderkey", {"query": "SELECT o_orderkey FROM orders"}, must_be_less_than=5, check_id="orders:o_orderkey:many")
+    register("C18b", one("orders", c),
+             final_sql(c.check_id, "NULL", "NULL", "NULL", "NULL", "CASE WHEN n = 1 THEN v < 5.0 END", "CASE WHEN n = 1 THEN v END",
+                       "(SELECT count(*) AS n, max(o_orderkey) AS v FROM orders) AS s"))
     # C19 text: fixed prefix + digits
     c = _text("customer", "c_name", 'Must follow format "Customer#<id>" where <id> are numerics.')
     register("C19", one("customer", c), row_sql(c.check_id, "customer", "NOT regexp_matches(c_name, '^Customer#\\d+$')", "c_name IS NULL"))
@@ -833,14 +871,14 @@ def _reg_sources():
              union_sql(*[f"SELECT '{c}' AS column, '{t}' AS wanted_type, count({c}) AS non_null, "
                          f"CAST(count_if({c} IS NOT NULL AND TRY_CAST({c} AS {t.replace('int', 'INTEGER').replace('string', 'VARCHAR')}) IS NULL) "
                          f"AS BIGINT) AS failures FROM part" for c, t in want.items()]))
-    register("S06", _sample_roundtrip, f"SELECT {ORDERS_SEL} FROM orders ORDER BY o_orderkey LIMIT 100")
+    register("S06", _sample_roundtrip, f"SELECT {ORDERS_SEL} FROM orders")
     register("S07", _profile_roundtrip, profile_sql("part", [("p_partkey", "bigint", True), ("p_name", "string", False),
                                                               ("p_brand", "string", False), ("p_type", "string", False),
                                                               ("p_size", "int", True), ("p_retailprice", "double", True)]))
     sv = {"part": {"p_partkey": "integer", "p_size": "string", "p_container": "string"}}
     register("S08", _schema_roundtrip(sv), _schema_view_sql(sv))
     register("S09", _report_roundtrip, _v2_sql())
-    register("S10", _failing_roundtrip, _v3_sql())
+    register("S10", _failing_roundtrip, _v3_sql(""))
     c = Check("customer", "column_values_to_not_be_null", "seg", check_id="customer:seg:normalized_not_null")
 
     def s11(spark, sf):
@@ -857,8 +895,7 @@ def _sample_roundtrip(spark, sf):
     from probity.sources import sinks, tables as S
 
     base = sinks.scratch(spark, "artifacts")
-    sample = S.first_n(read_tables(spark, sf, ["orders"])["orders"], "o_orderkey", 100)
-    sinks.write_sample(sample, base, "tpch", "orders", "r1")
+    sinks.write_sample(read_tables(spark, sf, ["orders"])["orders"], base, "tpch", "orders", "r1")
     return _ts_text(S.replay(spark, base, "tpch", "orders", "r1"), ["o_orderdate"])
 
 
@@ -896,7 +933,7 @@ def _failing_roundtrip(spark, sf):
     from probity.sources import sinks
 
     path = sinks.scratch(spark, "failing_examples")
-    df = _v3(spark, sf)
+    df = _v3(spark, sf, n=None)
     sinks.write_failing_csv(df, path)
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
     return sinks.read_csv(spark, path, ddl)
@@ -913,14 +950,13 @@ def _replay_q(spark, sf):
     from probity.sources import sinks, tables as S
 
     base = sinks.scratch(spark, "artifacts")
-    sample = S.first_n(read_tables(spark, sf, ["orders"])["orders"], "o_orderkey", 100)
-    sinks.write_sample(sample, base, "tpch", "orders", "r7")
+    sinks.write_sample(read_tables(spark, sf, ["orders"])["orders"], base, "tpch", "orders", "r7")
     replayed = S.replay(spark, base, "tpch", "orders", "r7")
     return tidy(validate({"orders": replayed}, REPLAY_CHECKS, spark=spark))
 
 
 def _replay_sql():
-    src = "(SELECT * FROM orders ORDER BY o_orderkey LIMIT 100)"
+    src = "orders"
     return union_sql(
         _unique_sql(REPLAY_CHECKS[0].check_id, src, ["o_orderkey"], "any"),
         row_sql(REPLAY_CHECKS[1].check_id, src, "o_orderstatus NOT IN ('F', 'O')", "o_orderstatus IS NULL"),
@@ -974,18 +1010,18 @@ V3_CHECKS = [
 ]
 
 
-def _v3(spark, sf):
+def _v3(spark, sf, n=5):
     from probity.plans.report import failing_rows
 
     li = read_tables(spark, sf, ["lineitem"])["lineitem"]
-    return round_doubles(_ts_text(failing_rows(li, V3_CHECKS, order_by=LI_COLS, n=5), ["l_shipdate"]))
+    return round_doubles(_ts_text(failing_rows(li, V3_CHECKS, order_by=LI_COLS, n=n), ["l_shipdate"]))
 
 
-def _v3_sql():
+def _v3_sql(limit=" LIMIT 5"):
     sel = ", ".join(_ts_sql(c) if c == "l_shipdate" else (f"round({c}, 6) + 0.0 AS {c}" if c in LI_DOUBLES else c) for c in LI_COLS)
     order = ", ".join(LI_COLS)
     preds = ["NOT (l_discount >= 0 AND l_discount <= 0.07)", "l_returnflag NOT IN ('A', 'N')"]
-    return union_sql(*[f"SELECT '{c.check_id}' AS check_id, {sel} FROM (SELECT * FROM lineitem WHERE {p} ORDER BY {order} LIMIT 5)"
+    return union_sql(*[f"SELECT '{c.check_id}' AS check_id, {sel} FROM (SELECT * FROM lineitem WHERE {p} ORDER BY {order}{limit})"
                        for c, p in zip(V3_CHECKS, preds)])
 
 
@@ -1172,7 +1208,7 @@ def _v7_sql():
         if st == "string":
             parts.append(
                 f"SELECT table_name, column_name, 'column_values_to_be_in_set', NULL, NULL, "
-                f"(SELECT string_agg(DISTINCT {c}, ',' ORDER BY {c}) FROM orders) FROM p "
+                f"(SELECT to_json(list_sort(list(DISTINCT {c})))::VARCHAR FROM orders) FROM p "
                 f"WHERE column_name = '{c}' AND distinct_count BETWEEN 1 AND 20"
             )
     return f"WITH p AS ({prof}) " + " UNION ALL ".join(parts)
@@ -1225,7 +1261,60 @@ def _v3_order_sql():
             f"ORDER BY ts, value, event_id LIMIT 5)")
 
 
+V3_ALL_CHECKS = [
+    Check("customer", "column_values_to_be_unique", "seg", {"trim": True, "case_insensitive": True}, check_id="customer:seg:unique"),
+    Check("customer", "foreign_key", "seg", {"trim": True, "case_insensitive": True, "parent_table": "known", "parent_columns": ["c_mktsegment"]},
+          check_id="customer:seg:known"),
+]
+SEG = ("CASE WHEN c_custkey % 3 = 0 THEN concat(lower(c_mktsegment), '  ') WHEN c_custkey % 3 = 1 THEN concat(' ', c_mktsegment) "
+       "ELSE concat(c_mktsegment, '-', CAST(c_custkey AS VARCHAR(20))) END")
+
+
+def _v3_all(spark, sf):
+    from probity.plans.report import failing_rows
+
+    cust = read_tables(spark, sf, ["customer"])["customer"]
+    known = cust.where("c_mktsegment <> 'BUILDING'").select("c_mktsegment")
+    df = cust.select("c_custkey", F.expr(SEG).alias("seg"))
+    return failing_rows(df, V3_ALL_CHECKS, tables={"customer": df, "known": known})
+
+
+def _v3_all_sql():
+    src = f"(SELECT c_custkey, {SEG} AS seg FROM customer)"
+    return union_sql(
+        f"SELECT '{V3_ALL_CHECKS[0].check_id}' AS check_id, * FROM {src} WHERE lower(trim(seg)) IN "
+        f"(SELECT lower(trim(seg)) FROM {src} GROUP BY 1 HAVING count(*) > 1)",
+        f"SELECT '{V3_ALL_CHECKS[1].check_id}' AS check_id, * FROM {src} WHERE lower(trim(seg)) NOT IN "
+        "(SELECT lower(c_mktsegment) FROM customer WHERE c_mktsegment <> 'BUILDING')",
+    )
+
+
+V6_LONG = [Check("events", "column_values_to_be_in_set", "user_id", {"value_set": list(range(0, n, k))}) for n, k in ((4000, 2), (6000, 3))]
+
+
+def _v6_long(spark, sf):
+    from probity.plans.report import rows_flipped, suite_change
+
+    t = read_tables(spark, sf, ["events"])
+    old, new = V6_LONG[:1], V6_LONG[1:]
+    return suite_change(validate(t, old, spark=spark), validate(t, new, spark=spark), rows_flipped(t, old, new))
+
+
+def _v6_long_sql():
+    bad = [f"(user_id < 0 OR user_id >= {n} OR user_id % {k} <> 0)" for n, k in ((4000, 2), (6000, 3))]
+    o, n = (row_sql(V6_LONG[0].check_id, "events", b, "user_id IS NULL") for b in bad)
+    return (
+        f"WITH o AS ({o}), n AS ({n}) SELECT o.check_id, CASE WHEN n.unexpected_count > o.unexpected_count THEN 'tightened' "
+        "WHEN n.unexpected_count < o.unexpected_count THEN 'loosened' ELSE 'unchanged' END AS change, "
+        "o.unexpected_count AS old_unexpected, n.unexpected_count AS new_unexpected, o.success AS old_success, n.success AS new_success, "
+        f"o.success <> n.success AS verdict_flip, (SELECT count_if({bad[0]} <> {bad[1]}) FROM events)::BIGINT AS rows_flipped "
+        "FROM o JOIN n USING (check_id)"
+    )
+
+
 def _reg_reports():
+    register("V03e", _v3_all, _v3_all_sql())
+    register("V06b", _v6_long, _v6_long_sql())
     register("V01", _v1, _v1_sql())
     register("V02", _v2, _v2_sql())
     register("V03", _v3, _v3_sql())

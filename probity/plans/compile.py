@@ -10,7 +10,7 @@ Per table:
 * **G** (uniqueness, distinct sets, KL, most-common): one ``groupBy(key)``
   per distinct column tuple, shared by all checks on that tuple, then one
   aggregate over the (small) groups table.
-* **J** foreign keys / query comparison / long value sets, **O** ordered
+* **J** foreign keys / query comparison, **O** ordered
   checks: one plan each (a foreign key reuses the G pass's shuffle of its key).
 * **M** schema facts: computed on the driver from ``df.schema``.
 
@@ -31,7 +31,7 @@ from probity.operators.aggregates import AGG_RULES, rank_requests
 from probity.operators.keys import GROUP_RULES, bag_difference_count, foreign_key_counts, groups_of, key_of
 from probity.operators.measure import Measure
 from probity.operators.ordered import ordered_counts
-from probity.operators.rowlevel import ROW_RULES
+from probity.operators.rowlevel import ROW_RULES, with_verdicts
 from probity.operators.schema import evaluate_schema_check
 
 _TYPES = {
@@ -74,7 +74,7 @@ def finish(chk: Check, fields: dict[str, Column]) -> Column:
             # success ratio good / judged >= mostly (exact at the boundary; empty passes)
             ratio = (judged - bad).cast("double") / judged
             f.setdefault("success", F.when(judged == 0, F.lit(True)).otherwise(ratio >= F.lit(float(chk.mostly))))
-    elif chk.must_be_less_than is not None and "observed_value" in f:
+    elif chk.must_be_less_than is not None and "observed_value" in f and "success" not in f:
         f["success"] = F.coalesce(f["observed_value"] < F.lit(float(chk.must_be_less_than)), F.lit(False))
     f["check_id"] = F.lit(chk.check_id)
     cols = [
@@ -132,6 +132,7 @@ MAX_AGGS = 150
 
 def _fused(df: DataFrame, checks: list[Check], tables: dict[str, DataFrame], prepared: dict) -> DataFrame:
     blocks: list[tuple[list[Column], list[Column]]] = [([], [])]
+    df = with_verdicts(df, checks)
     for i, chk in enumerate(checks):
         if prepared.get(chk.check_id) is _UNRESOLVED:
             raise ValueError(f"{chk.check_id}: order statistics could not be computed")
@@ -235,19 +236,34 @@ def _query_compare(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> D
 
 
 def _sql_scalar(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Contract ``type: sql``: a scalar query compared with ``must_be_less_than``."""
-    from probity.functions.sqltext import to_spark_sql
+    """Contract ``type: sql``: a scalar query compared with ``must_be_less_than``.
+
+    A query that is one quantile goes through the bounded selection of
+    ``quantiles.select_ranks`` instead of a whole-column percentile."""
+    from probity.functions.sqltext import quantile_query, to_spark_sql
+    from probity.operators import quantiles as Q
 
     spark = df.sparkSession
     register_views(spark, tables)
-    q = spark.sql(to_spark_sql(chk.p("query")))
-    val = q.select(q.columns[0]).agg(F.first(q.columns[0]).cast("double").alias("v"))
-    fields = {"observed_value": F.col("v")}
-    if chk.must_be_less_than is None:
-        lo, hi = chk.p("min_value"), chk.p("max_value")
-        from probity.operators.measure import between
+    if (parts := quantile_query(chk.p("query"))) is not None:
+        expr, share, rest = parts
+        column = spark.sql(f"SELECT CAST({expr} AS DOUBLE) AS v FROM {rest}")
+        _, found = Q.select_ranks(column, [("v", *Q.disc(share))])[0]
+        q = spark.range(1).select(F.lit(float(found[0]) if found and found[0] is not None else None).cast("double").alias("v"))
+    else:
+        q = spark.sql(to_spark_sql(chk.p("query")))
+    if len(q.columns) != 1:
+        raise ValueError(f"{chk.check_id}: the query must return one column")
+    val = q.select(F.col(f"`{q.columns[0]}`").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v"))
+    one = F.col("n") == 1
+    from probity.operators.measure import between
 
-        fields["success"] = between(F.col("v"), lo, hi)
+    if chk.must_be_less_than is None:
+        ok = between(F.col("v"), chk.p("min_value"), chk.p("max_value"))
+    else:
+        ok = F.coalesce(F.col("v") < F.lit(float(chk.must_be_less_than)), F.lit(False))
+    # more or fewer rows than one: not a scalar, so no verdict
+    fields = {"observed_value": F.when(one, F.col("v")), "success": F.when(one, ok)}
     return _melt(val, [finish(chk, fields)])
 
 
@@ -262,43 +278,10 @@ def _ordered(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> DataFra
     return _melt(counts, [finish(chk, fields)])
 
 
-def _large_set(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Domain check with a long value set: a broadcast left join of the column
-    against the set.  The broadcast side is the user's own list (its size is
-    known before planning), the table side is never shuffled."""
-    from pyspark.sql import types as T
-
-    from probity.functions.predicates import coerce_values, normalized
-
-    dtype = df.schema[chk.column].dataType
-    vals = sorted(set(coerce_values(chk.p("value_set") or [], dtype)), key=repr)
-    spark = df.sparkSession
-    vset = spark.createDataFrame([(v,) for v in vals], T.StructType([T.StructField("__s", dtype)]))
-    vset = F.broadcast(vset.withColumn("__in", F.lit(True)))
-    col = normalized(F.col(chk.column), chk).alias("__v")
-    j = df.select(col).join(vset, F.col("__v") == F.col("__s"), "left")
-    found = F.col("__in").isNotNull()
-    bad = ~found if chk.kind == "column_values_to_be_in_set" else found
-    counts = j.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("__v").isNull()).alias("miss"),
-        F.count_if(F.col("__v").isNotNull() & bad).alias("bad"),
-    )
-    fields = {
-        "element_count": F.col("n"),
-        "missing_count": F.col("miss"),
-        "unexpected_count": F.col("bad"),
-        "judged": F.col("n") - F.col("miss"),
-    }
-    return _melt(counts, [finish(chk, fields)])
-
-
 _JOIN = {
     "foreign_key": _foreign_key,
     "query_results_to_match_comparison": _query_compare,
     "sql_scalar": _sql_scalar,
-    "column_values_to_be_in_set": _large_set,
-    "column_values_to_not_be_in_set": _large_set,
 }
 
 

@@ -8,12 +8,15 @@ column); data rows never do.
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from probity.checks import Check
-from probity.operators.rowlevel import ROW_RULES
+from probity.operators.rowlevel import ROW_RULES, with_verdicts
 
 # ----------------------------------------------------------------- V1
 
@@ -58,38 +61,30 @@ def violating_rows(chk: Check, df: DataFrame, tables: dict[str, DataFrame] | Non
     Row checks: a filter.  Uniqueness: a left-semi join with the duplicated keys
     (pre-aggregated ``groupBy(key).count() > 1``).  Foreign key: a left-anti join
     with the parent's distinct keys.  Both joins are equi-joins on the key."""
-    pred = violation_predicate(chk, df) if chk.pass_kind == "A" else None
-    if pred is not None:
-        return df.where(pred)
+    if chk.pass_kind == "A" and chk.kind in ROW_RULES:
+        judged = with_verdicts(df, [chk])
+        return judged.where(violation_predicate(chk, judged)).select(*[F.col(f"`{c}`") for c in df.columns])
     cols = list(chk.columns)
     if chk.pass_kind == "O":
         from probity.operators.ordered import ordered_violations
 
         return ordered_violations(df, chk)
-    if chk.kind in ("column_values_to_be_in_set", "column_values_to_not_be_in_set"):  # long set: join
-        from probity.functions.predicates import coerce_values, normalized
-
-        dtype = df.schema[chk.column].dataType
-        vals = sorted(set(coerce_values(chk.p("value_set") or [], dtype)), key=repr)
-        vset = F.broadcast(df.sparkSession.createDataFrame([(v,) for v in vals], T.StructType([T.StructField("__s", dtype)])))
-        cond = normalized(df[chk.column], chk) == vset["__s"]
-        if chk.kind == "column_values_to_be_in_set":
-            return df.where(df[chk.column].isNotNull()).join(vset, cond, "left_anti")
-        return df.join(vset, cond, "left_semi")
+    from probity.functions.predicates import normalized
+
+    # the check's own keys: trimmed and compared under its collation, as in the counts
+    mine = [normalized(df[c], chk) for c in cols]
     if chk.kind in ("column_values_to_be_unique", "compound_columns_to_be_unique", "multicolumn_values_to_be_unique"):
-        keys = [F.col(c) for c in cols]
-        if chk.kind == "compound_columns_to_be_unique":
-            judged = ~F.coalesce(*[k.isNull() for k in keys]) if len(keys) == 1 else ~_all_null(keys)
-        else:
-            judged = ~_any_null(keys)
-        dups = df.where(judged).groupBy(*cols).count().where(F.col("count") > 1).select(*cols)
-        return df.join(dups, on=[df[c].eqNullSafe(dups[c]) for c in cols], how="left_semi")
+        judged = ~_all_null(mine) if chk.kind == "compound_columns_to_be_unique" else ~_any_null(mine)
+        keyed = df.where(judged).select(*[k.alias(f"__k{i}") for i, k in enumerate(mine)])
+        names = keyed.columns
+        dups = keyed.groupBy(*names).count().where(F.col("count") > 1).select(*names)
+        return df.where(judged).join(dups, on=[k.eqNullSafe(dups[n]) for k, n in zip(mine, names)], how="left_semi")
     if chk.kind == "foreign_key" and tables is not None:
         parent = tables[chk.p("parent_table")]
         pk = list(chk.p("parent_columns"))
-        keys = parent.select(*[parent[p].alias(f"__p{i}") for i, p in enumerate(pk)]).distinct()
-        cond = [df[c] == keys[f"__p{i}"] for i, c in enumerate(cols)]
-        return df.where(~_any_null([F.col(c) for c in cols])).join(keys, on=cond, how="left_anti")
+        keys = parent.select(*[normalized(parent[p], chk).alias(f"__p{i}") for i, p in enumerate(pk)]).distinct()
+        cond = [k == keys[f"__p{i}"] for i, k in enumerate(mine)]
+        return df.where(~_any_null(mine)).join(keys, on=cond, how="left_anti")
     return None
 
 
@@ -108,13 +103,14 @@ def _all_null(cols):
 
 
 def failing_rows(
-    df: DataFrame, checks: list[Check], order_by: list[str], n: int = 5, only: set[str] | None = None,
+    df: DataFrame, checks: list[Check], order_by: list[str] | None = None, n: int | None = None, only: set[str] | None = None,
     tables: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """V3: up to ``n`` failing rows per check, first by ``order_by`` (row checks,
-    uniqueness and foreign keys; see ``violating_rows``).
+    """V3: all failing rows of each check (row checks, uniqueness and foreign
+    keys; see ``violating_rows``), as many as its ``unexpected_count``, or with
+    ``n`` a named top-n view: the first ``n`` by ``order_by``.
 
-    One filter + top-k per check (``TakeOrderedAndProject``: each task keeps
+    The view is one filter + top-k per check (``TakeOrderedAndProject``: each task keeps
     its own n best rows, so a check failing on a third of the table still
     moves only n rows per task).  A row failing two checks appears twice,
     as in the reference.  ``only``: restrict to these check ids (the failed
@@ -126,7 +122,7 @@ def failing_rows(
         rows = violating_rows(chk, df, tables)
         if rows is None:
             continue
-        top = rows.orderBy(*order_by).limit(n)
+        top = rows if n is None else rows.orderBy(*(order_by or df.columns)).limit(n)
         parts.append(top.select(F.lit(chk.check_id).alias("check_id"), *df.columns))
     if not parts:
         return df.sparkSession.createDataFrame([], T.StructType([T.StructField("check_id", T.StringType())] + df.schema.fields))
@@ -230,6 +226,12 @@ def rows_flipped(tables: dict[str, DataFrame], old_checks: list[Check], new_chec
     parts = []
     for table, ps in pairs.items():
         df = tables[table]
+        both = [c for pair in ps for c in pair]
+        if any(c.kind == "row_condition" for c in both):
+            # old and new version of an expression share an id: each gets its own verdict column
+            olds = [replace(o, check_id=f"old:{o.check_id}") for o, _ in ps]
+            df = with_verdicts(with_verdicts(df, olds), [c for _, c in ps])
+            ps = [(o, c) for o, (_, c) in zip(olds, ps)]
         aggs = [F.count_if(violation_predicate(o, df) != violation_predicate(n, df)).alias(f"f{i}") for i, (o, n) in enumerate(ps)]
         row = df.agg(*aggs)
         parts.append(row.select(F.explode(F.array(*[
@@ -297,11 +299,11 @@ def suggest_checks(tables: dict[str, DataFrame], profile: DataFrame, max_domain:
         if r["data_type"] == "string" and r["distinct_count"] is not None and 0 < r["distinct_count"] <= max_domain:
             domains.append((t, c))
     if domains:
-        # the value lists of all low-cardinality columns in one job; each list is
-        # bounded by max_domain (the limit is applied before the collect)
+        # the value lists of all low-cardinality columns in one job; the profile has
+        # counted at most max_domain values in each, and no list is cut
         parts = [
-            tables[t].select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct().limit(max_domain + 1)
-            .agg(F.array_join(F.array_sort(F.collect_list("v")), ",").alias("s"))
+            tables[t].select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct()
+            .agg(F.to_json(F.array_sort(F.collect_list("v"))).alias("s"))
             .select(F.lit(t).alias("t"), F.lit(c).alias("c"), "s")
             for t, c in domains
         ]
@@ -320,6 +322,6 @@ def suggestions_to_checks(suggestions: DataFrame) -> list[Check]:
         if r["kind"] == "column_values_to_be_between":
             params = {"min_value": r["min_value"], "max_value": r["max_value"]}
         elif r["kind"] == "column_values_to_be_in_set":
-            params = {"value_set": r["value_set"].split(",")}
+            params = {"value_set": json.loads(r["value_set"])}
         out.append(Check(r["table_name"], r["kind"], (r["column_name"],), params))
     return out

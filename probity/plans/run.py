@@ -38,7 +38,7 @@ def run_contract(
     replay_run: bool = False,
     as_of: str | None = None,
     keep_sample: int | None = None,
-    failing_n: int = 5,
+    failing_n: int | None = None,
     fmt: str = "parquet",
     mask_pii: bool = False,
     with_profile: bool = True,

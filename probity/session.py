@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -34,17 +33,15 @@ def get_spark(master: str | None = None, app: str = "probity", **conf: str) -> S
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when it is unset (local tests) a scratch folder is created and set.
-    """
+    Only a local session (tests) that names none gets a scratch folder; on a
+    cluster, where executors and driver write to different disks, that is an
+    error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="probity-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - a session that forbids it keeps the value local
-            pass
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a Connect session)
-        pass
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="probity-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", d)
+    spark.sparkContext.setCheckpointDir(d)
     return d

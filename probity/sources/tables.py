@@ -100,7 +100,7 @@ def first_n(df: DataFrame, key: str | list[str], n: int = 100) -> DataFrame:
     return df.orderBy(*keys).limit(n)
 
 
-def hash_mod_sample(df: DataFrame, key: str, modulus: int = 100, remainder: int = 0, n: int | None = 100) -> DataFrame:
+def hash_mod_sample(df: DataFrame, key: str, modulus: int = 100, remainder: int = 0, n: int | None = None) -> DataFrame:
     """S3: rows whose key falls in one residue class; integer keys use ``pmod(key, m)``,
     other keys ``pmod(xxhash64(key), m)``.  ``n`` caps the sample (the reference's
     LIMIT); ``n=None`` keeps the whole class."""

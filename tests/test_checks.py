@@ -339,24 +339,74 @@ def test_decimal_bounds_are_exact(spark):
     assert r["d"]["unexpected_count"] == 1
 
 
-def test_large_value_set_is_a_broadcast_join(spark):
-    import contextlib
-    import io
-
-    rows = [(i,) for i in range(3000)] + [(None,)]
-    big = list(range(0, 5000, 2))  # 2500 members: even numbers
-    c1 = Check("t", "column_values_to_be_in_set", "x", {"value_set": big}, check_id="in")
-    c2 = Check("t", "column_values_to_not_be_in_set", "x", {"value_set": big}, check_id="out")
-    assert c1.pass_kind == "J"
-    df = spark.createDataFrame(rows, "x INT")
-    res = validate({"t": df}, [c1, c2])
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        res.explain()
-    assert "BroadcastHashJoin" in buf.getvalue() or "BroadcastExchange" in buf.getvalue()
-    r = {x["check_id"]: x for x in res.collect()}
-    assert (r["in"]["unexpected_count"], r["in"]["missing_count"]) == (1500, 1)
-    assert r["out"]["unexpected_count"] == 1500
+def test_value_sets_of_any_size_behave_alike(spark):
+    from probity.plans.report import failing_rows, rows_flipped
+
+    df = spark.createDataFrame([("red",), ("Green ",), ("BLUE",), ("grey",), (None,)], "c STRING")
+    for size in (3, 1000, 1001, 50_000):
+        members = ["Red", "green", "blue"] + [f"other {i}" for i in range(size - 3)]
+        params = {"value_set": members, "trim": True, "case_insensitive": True}
+        c1 = Check("t", "column_values_to_be_in_set", "c", params, check_id="in")
+        c2 = Check("t", "column_values_to_not_be_in_set", "c", params, check_id="out")
+        r = {x["check_id"]: (x["element_count"], x["missing_count"], x["unexpected_count"], x["success"]) for x in validate({"t": df}, [c1, c2]).collect()}
+        assert r == {"in": (5, 1, 1, False), "out": (5, 1, 3, False)}
+        assert [x["c"] for x in failing_rows(df, [c1]).collect()] == ["grey"]
+        none = Check("t", "column_values_to_be_in_set", "c", {"value_set": ["grey"]}, check_id="in")
+        assert rows_flipped({"t": df}, [none], [c1]).collect()[0]["rows_flipped"] == 4
+
+
+def test_members_are_exact(spark):
+    big = 2**53
+    df = spark.createDataFrame([(big,), (None,)], "x BIGINT")
+    assert not validate({"t": df}, [Check("t", "column_values_to_be_in_set", "x", {"value_set": [str(big + 1)]})]).collect()[0]["success"]
+    ints = spark.createDataFrame([(1,), (2,)], "x INT")
+    kinds = ("column_distinct_values_to_contain_set", "column_distinct_values_to_equal_set", "column_distinct_values_to_be_in_set")
+    got = {k: validate({"t": ints}, [Check("t", k, "x", {"value_set": ["1", "2", "x", 2**40]})]).collect()[0] for k in kinds}
+    assert [got[k]["success"] for k in kinds] == [False, False, True] and got[kinds[0]]["unexpected_count"] == 2
+    text = spark.createDataFrame([("a",), ("B",)], "x STRING")
+    folded = Check("t", kinds[0], "x", {"value_set": ["A", "a", "b"], "case_insensitive": True})
+    assert validate({"t": text}, [folded]).collect()[0]["success"]
+    flags = spark.createDataFrame([(False,)], "x BOOLEAN")
+    assert not validate({"t": flags}, [Check("t", "column_values_to_be_in_set", "x", {"value_set": ["x"]})]).collect()[0]["success"]
+
+
+def test_failing_rows_are_those_counted(spark):
+    from probity.plans.report import failing_rows
+
+    df = spark.createDataFrame([("a ",), ("A",), ("b",), ("a",), (None,), ("C",)], "k STRING")
+    parent = spark.createDataFrame([("A",), ("c",)], "p STRING")
+    params = {"trim": True, "case_insensitive": True}
+    checks = [Check("t", "column_values_to_be_unique", "k", params, check_id="u"),
+              Check("t", "foreign_key", "k", {**params, "parent_table": "p", "parent_columns": ["p"]}, check_id="f")]
+    tables = {"t": df, "p": parent}
+    counted = {r["check_id"]: r["unexpected_count"] for r in validate(tables, checks).collect()}
+    rows = [r["check_id"] for r in failing_rows(df, checks, tables=tables).collect()]
+    assert counted == {"u": 3, "f": 1} and {i: rows.count(i) for i in counted} == counted
+
+
+def test_one_bad_row_does_not_end_the_suite(spark):
+    df = spark.createDataFrame([(1, 0, 2**63 - 1), (4, 2, 2**63 - 1), (-4, 2, 5)], "a INT, b INT, big BIGINT")
+    checks = [Check("t", "row_condition", (), {"expression": "a / b > 0"}, check_id="ratio"),
+              Check("t", "multicolumn_sum_to_equal", ("big", "a"), {"sum_total": 1}, check_id="sum"),
+              Check("t", "column_sum_to_be_between", "big", {"min_value": 0}, check_id="total"),
+              Check("t", "column_values_to_not_be_null", "a", check_id="other"),
+              Check("t", "sql_scalar", "a", {"query": "SELECT a FROM t"}, must_be_less_than=9, check_id="many")]
+    r = {x["check_id"]: x for x in validate({"t": df}, checks).collect()}
+    assert (r["ratio"]["missing_count"], r["ratio"]["unexpected_count"]) == (1, 1)
+    assert r["sum"]["unexpected_count"] == 2 and r["total"]["success"] and r["other"]["success"]
+    assert r["many"]["success"] is None and r["many"]["observed_value"] is None
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from probity.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: {"spark.master": "spark://host:7077"}.get(key, default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(conf=conf))
 
 
 def test_failing_rows_for_large_sets(spark):

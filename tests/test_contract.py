@@ -1,5 +1,4 @@
-"""Contract dialects, text rules, thresholds and contract evaluation on
-made-up tables shaped like the case studies (no rows are copied)."""
+"""Contract dialects, text rules, thresholds and contract evaluation on an invented garden."""
 
 import datetime as dt
 
@@ -11,67 +10,67 @@ DIALECT_FIELD = """
 dataContractSpecification: 1.2.1
 servers: {mysql: {host: localhost}}
 models:
-  session:
+  bed:
     type: table
     fields:
-      sess_id: {type: integer, required: true, unique: true, primaryKey: true}
-      port_id:
-        type: string
-        physicalType: varchar(15)
-        quality:
-          - type: text
-            description: Must follow format "Port-ID<id>" where <id> are numerics.
-      port_type:
+      bed_id: {type: integer, required: true, unique: true, primaryKey: true}
+      cover:
         type: string
         quality:
           - type: library
             metric: invalidValues
-            arguments: {validValues: ['Virtual', 'ISDN']}
-            mustBeLessThan: 1
-      start_time: {type: timestamp}
-      stop_time:
-        type: timestamp
-        quality:
-          - type: text
-            description: stop_time must be later than or equal to start_time.
-      duration:
+            arguments: {validValues: [glass, film, open]}
+            mustBeLessThan: 2
+      yield_g:
         type: integer
         quality:
-          - type: sql
-            query: SELECT quantile(duration, 0.95) AS p FROM session
-            mustBeLessThan: 30000
           - type: library
             metric: nullValues
             unit: percent
-            mustBeLessThan: 10
+            mustBeLessThan: 30
+          - type: sql
+            query: SELECT quantile(yield_g, 0.8) AS q FROM bed
+            mustBeLessThan: 700
+      sown_on: {type: timestamp}
+      picked_on:
+        type: timestamp
+        quality:
+          - type: text
+            description: picked_on must be later than or equal to sown_on.
+      tag:
+        type: string
+        physicalType: varchar(9)
+        quality:
+          - type: text
+            description: Must follow format "Bed#<id>" where <id> are numerics.
 servicelevels:
-  freshness: {threshold: 25h, timestampField: session.start_time}
+  freshness: {threshold: 3d, timestampField: bed.sown_on}
 """
 
 DIALECT_MODEL = {
     "dataContractSpecification": "1.0.0",
     "models": {
-        "plans": {
-            "primaryKey": ["id"],
-            "fields": {"id": {"type": "integer", "minimum": 1}, "name": {"type": "string", "maxLength": 8}},
+        "families": {"primaryKey": "code", "fields": {"code": {"type": "integer"}}},
+        "crops": {
+            "primaryKey": ["crop"],
+            "fields": {"crop": {"type": "integer", "minimum": 10}, "title": {"type": "string", "maxLength": 12}},
             "quality": [
-                {"rule": "accepted_values", "field": "kind", "values": ["PrePaid", "PostPaid"]},
-                {"rule": "regex", "field": "month", "pattern": "^\\d{4}-\\d{2}$"},
-                {"rule": "unique", "field": "name"},
-                {"rule": "custom", "expression": "ABS(total - (amount + tax)) < 0.01"},
-                {"rule": "referential_integrity", "field": "type_id", "references": "types.id"},
+                {"rule": "unique", "field": "title"},
+                {"rule": "custom", "expression": "sown >= picked"},
+                {"rule": "regex", "field": "label", "pattern": "^[A-Z]{2}[0-9]$"},
+                {"rule": "referential_integrity", "field": "family", "references": "families.code"},
+                {"rule": "accepted_values", "field": "season", "values": ["spring", "autumn", "winter"]},
             ],
         },
-        "types": {"primaryKey": "id", "fields": {"id": {"type": "integer"}}},
-        "notes": {"fields": [{"name": "user_id", "type": "integer", "references": "users.user_id"},
-                             {"name": "status", "type": "integer"},
-                             {"name": "close_date", "type": "date",
-                              "quality": [{"type": "text", "description": "close_date must be present when status = 2 (closed)."}]},
-                             {"name": "type_id", "type": "integer",
-                              "quality": [{"type": "text", "description": "type_id must exist in types."}]}]},
+        "visits": {"fields": [{"name": "keeper", "type": "integer", "references": "keepers.keeper"},
+                              {"name": "state", "type": "integer"},
+                              {"name": "left_on", "type": "date",
+                               "quality": [{"type": "text", "description": "left_on must be present when state = 7 (gone)."}]},
+                              {"name": "family", "type": "integer",
+                               "quality": [{"type": "text", "description": "family must exist in families."}]}]},
     },
-    "serviceLevel": {"freshness": {"maxLatency": "24h"}, "retention": {"period": "7 years"}},
-    "security": {"piiFields": [{"model": "plans", "fields": ["name"]}]},
+    "serviceLevel": {"freshness": {"maxLatency": "36h"}, "retention": {"period": "2 years"}},
+    "security": {"piiFields": [{"model": "crops", "fields": ["title"]}]},
 }
 
 
@@ -87,25 +86,24 @@ def test_quantile_rewrite():
 
 
 def test_field_dialect_and_evaluation(spark):
-    c = load_contract(DIALECT_FIELD, as_of="2024-01-31 00:00:00")
+    c = load_contract(DIALECT_FIELD, as_of="2031-06-10 00:00:00")
     kinds = {r.rule_id: (r.check.kind if r.check else None) for r in c.rules}
-    assert kinds["session:port_id:column_values_to_match_regex"] == "column_values_to_match_regex"
-    assert "session:stop_time+start_time:order" in kinds
-    assert kinds["session:duration:sql"] == "sql_scalar"
-    assert kinds["session:start_time:freshness"] == "freshness"
-    ts = dt.datetime(2024, 1, 30, 12)
-    rows = [(1, "Port-ID12", "Virtual", ts, ts, 100), (2, "Port-IDx", "Cable", ts, ts - dt.timedelta(hours=1), None),
-            (3, "Port-ID7", "ISDN", ts, None, 40000)]
-    df = spark.createDataFrame(rows, "sess_id INT, port_id STRING, port_type STRING, start_time TIMESTAMP_NTZ, "
-                                     "stop_time TIMESTAMP_NTZ, duration INT")
-    out = {r["check_id"]: r for r in validate({"session": df}, c.checks).collect()}
-    assert out["session:port_id:column_values_to_match_regex"]["unexpected_count"] == 1
-    assert out["session:port_type:invalid_values"]["success"] is False
-    assert out["session:stop_time+start_time:order"]["unexpected_count"] == 1
-    assert out["session:duration:sql"]["observed_value"] == 40000.0 and out["session:duration:sql"]["success"] is False
-    assert out["session:duration:null_values"]["success"] is False  # 33% null
-    assert out["session:start_time:freshness"]["success"] is True
-    assert out["session:port_id:column_value_lengths_to_be_between"]["success"] is True
+    assert kinds["bed:tag:column_values_to_match_regex"] == "column_values_to_match_regex"
+    assert "bed:picked_on+sown_on:order" in kinds
+    assert kinds["bed:yield_g:sql"] == "sql_scalar"
+    assert kinds["bed:sown_on:freshness"] == "freshness"
+    day = dt.datetime(2031, 6, 8, 6)
+    rows = [(1, "glass", 350, day, day + dt.timedelta(days=1), "Bed#4"), (2, "straw", None, day, day - dt.timedelta(days=2), "Bed#x"),
+            (3, "mulch", 900, day, None, "Bed#10"), (4, "open", None, day, None, None)]
+    df = spark.createDataFrame(rows, "bed_id INT, cover STRING, yield_g INT, sown_on TIMESTAMP_NTZ, picked_on TIMESTAMP_NTZ, tag STRING")
+    out = {r["check_id"]: r for r in validate({"bed": df}, c.checks).collect()}
+    assert out["bed:tag:column_values_to_match_regex"]["unexpected_count"] == 1
+    assert out["bed:cover:invalid_values"]["success"] is False
+    assert out["bed:picked_on+sown_on:order"]["unexpected_count"] == 1
+    assert out["bed:yield_g:sql"]["observed_value"] == 900.0 and out["bed:yield_g:sql"]["success"] is False
+    assert out["bed:yield_g:null_values"]["success"] is False  # half are null
+    assert out["bed:sown_on:freshness"]["success"] is True
+    assert out["bed:tag:column_value_lengths_to_be_between"]["success"] is True
 
 
 def test_model_dialect_rules_and_skips(spark):
@@ -113,30 +111,27 @@ def test_model_dialect_rules_and_skips(spark):
 
     c = load_contract(DIALECT_MODEL)
     by = {r.rule_id: r for r in c.rules}
-    assert by["notes:user_id:foreign_key"].skip_reason == "parent table users is not in the contract"
+    assert by["visits:keeper:foreign_key"].skip_reason == "parent table keepers is not in the contract"
     assert by["contract:freshness"].skip_reason == "no timestampField declared"
-    assert by["notes:type_id:exists_in"].check.p("parent_table") == "types"
-    assert by["notes:close_date:present_when"].check.kind == "conditional_not_null"
-    assert c.pii == {"plans": ["name"]} and c.primary_keys["types"] == ["id"]
-    plans = spark.createDataFrame(
-        [(1, "a", "PrePaid", "2024-01", 10.00, 9.00, 1.00, 1), (2, "b", "postpaid", "2024/01", 10.00, 9.00, 1.02, 5),
-         (0, "a", "PostPaid", "2024-02", 5.0, 5.0, 0.0, 1)],
-        "id INT, name STRING, kind STRING, month STRING, total DOUBLE, amount DOUBLE, tax DOUBLE, type_id INT")
-    types = spark.createDataFrame([(1,), (2,)], "id INT")
-    notes = spark.createDataFrame([(1, 2, None, 1), (2, 2, dt.date(2024, 1, 1), 9), (3, 1, None, 2)],
-                                  "user_id INT, status INT, close_date DATE, type_id INT")
-    tables = {"plans": plans, "types": types, "notes": notes}
+    assert by["visits:family:exists_in"].check.p("parent_table") == "families"
+    assert by["visits:left_on:present_when"].check.kind == "conditional_not_null"
+    assert c.pii == {"crops": ["title"]} and c.primary_keys["families"] == ["code"]
+    crops = spark.createDataFrame(
+        [(11, "kale", "spring", "KA1", 30, 12, 1), (12, "leek", "Spring", "leek", 5, 9, 8), (9, "kale", "winter", "KA2", 7, 7, 1)],
+        "crop INT, title STRING, season STRING, label STRING, sown INT, picked INT, family INT")
+    families = spark.createDataFrame([(1,), (2,)], "code INT")
+    visits = spark.createDataFrame([(1, 7, None, 1), (2, 7, dt.date(2031, 5, 5), 9), (3, 4, None, 2)],
+                                   "keeper INT, state INT, left_on DATE, family INT")
+    tables = {"crops": crops, "families": families, "visits": visits}
     res = validate(tables, c.checks)
     ev = {r["rule_id"]: r for r in contract_evaluation(spark, c, res, tables).collect()}
-    assert ev["plans:id:range"]["status"] == "FAIL"
-    assert ev["plans:kind:domain"]["status"] == "FAIL"
-    assert ev["plans:month:column_values_to_match_regex"]["status"] == "FAIL"
-    assert ev["plans:name:rule_unique"]["status"] == "FAIL"
-    assert ev["plans::custom"]["status"] == "FAIL"
-    assert ev["plans:type_id:foreign_key"]["status"] == "FAIL"
-    assert ev["notes:close_date:present_when"]["reason"] == "1 unexpected of 3 rows"
-    assert ev["notes:user_id:foreign_key"]["status"] == "SKIPPED"
-    assert ev["types:id:primary_key"]["status"] == "PASS"
+    assert ev["crops:crop:range"]["status"] == "FAIL"
+    assert ev["crops:season:domain"]["status"] == "FAIL"
+    assert ev["crops:label:column_values_to_match_regex"]["status"] == "FAIL"
+    assert ev["crops:title:rule_unique"]["status"] == "FAIL"
+    assert ev["crops::custom"]["status"] == "FAIL"
+    assert ev["visits:left_on:present_when"]["status"] == "FAIL"
+    assert ev["visits:keeper:foreign_key"]["status"] == "SKIPPED"
 
 
 def test_run_contract_and_replay(spark, tmp_path):
@@ -186,10 +181,10 @@ def test_contract_sources(spark):
     from probity.sources.tables import jdbc_url, read_contract_tables
 
     c = load_contract(DIALECT_MODEL)
-    assert jdbc_url({"type": "mysql", "host": "db", "port": 3306, "database": "billing"}) == "jdbc:mysql://db:3306/billing"
+    assert jdbc_url({"type": "mysql", "host": "db", "port": 3306, "database": "garden"}) == "jdbc:mysql://db:3306/garden"
     t = read_contract_tables(spark, load_contract({"models": {"orders": {}, "lineitem": {}}}), base="/root/testdata/sf0.001")
     assert set(t) == {"orders", "lineitem"} and t["orders"].count() == 1500
-    assert c.tables == ["plans", "types", "notes"]
+    assert c.tables == ["families", "crops", "visits"]
 
 
 def test_command_line(spark, tmp_path, capsys):
