@@ -17,6 +17,7 @@ table; other columns of any name stay as they are in ``encoded``.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import unicodedata
@@ -79,6 +80,9 @@ class Encoder:
         fine = self.compatible(left, right, np.arange(len(made)))
         for a, b, c, ok in zip(left, right, made, fine, strict=True):  # in order of rank: halves come first
             self.stable[c] = ok and self.stable[a] and self.stable[b]
+        self.inner_letter, self.end_letter = np.full(512, -1, np.int64), np.full(512, -1, np.int64)
+        for c in byte_letters():
+            self.inner_letter[ord(c)], self.end_letter[ord(c)] = self.vocab.get(c, -1), self.vocab.get(c + self.suffix, -1)
         self.ends = {name.removesuffix(self.suffix): i for name, i in self.vocab.items() if name.endswith(self.suffix)}
         self.longest = max(map(len, self.ends))
         self.digits = [str(i) for i in range(n)]
@@ -131,25 +135,28 @@ class Encoder:
             open_ = open_[~joins & ~done]
         return ok
 
-    def exact(self, words: list[list[int]]) -> list[list[int]]:
+    def exact(self, words: list[str]) -> list[tuple[int, ...]]:
         """Merging by rank, the leftmost first: one merge of every word at a time."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         size = np.array([len(w) for w in words], np.int64)
-        out: list[list[int]] = [[] for _ in words]
-        ids, word = np.array([i for w in words for i in w], np.int64), np.repeat(np.arange(len(words)), size)
+        ids, word = self.inner_letter[codes], np.repeat(np.arange(len(words)), size)
+        last = np.cumsum(size)[size > 0] - 1
+        ids[last] = self.end_letter[codes[last]]
+        ids, word = ids[ids >= 0], word[ids >= 0]
         inner = np.append(word[1:] == word[:-1], False) if len(ids) else np.zeros(0, bool)
         rank = np.full(len(ids), FAR)  # of the merge with the next letter of the word
         rank[inner] = self.merge_rank(ids[inner], ids[np.flatnonzero(inner) + 1])
+        done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(ids):
             starts = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             least = np.minimum.reduceat(rank, starts)
             count = np.diff(np.append(starts, len(ids)))
-            ended = least == FAR
-            for k in np.flatnonzero(ended):
-                out[word[starts[k]]] = ids[starts[k] : starts[k] + count[k]].tolist()
+            ended = np.repeat(least == FAR, count)
+            done.append((word[ended], ids[ended]))
             hit = np.flatnonzero((rank == np.repeat(least, count)) & (rank < FAR))
             first = hit[np.append(True, word[hit][1:] != word[hit][:-1])] if len(hit) else hit
             ids[first] = self.made[rank[first]]
-            stay = np.repeat(~ended, count)
+            stay = ~ended
             stay[first + 1] = False
             shift = np.cumsum(stay) - 1
             ids, word, rank, first = ids[stay], word[stay], rank[stay], shift[first]
@@ -159,7 +166,10 @@ class Encoder:
                 rank[at] = np.where(same, self.merge_rank(ids[at], ids[at + 1]), FAR)
             if len(ids):
                 rank[-1] = FAR
-        return out
+        owner, ids = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*done, strict=True) if done else ([], [])))
+        order = np.argsort(owner, kind="stable")
+        flat, edges = ids[order].tolist(), np.searchsorted(owner[order], np.arange(len(words) + 1)).tolist()
+        return [tuple(flat[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
 
     def greedy(self, letters: str) -> list[int]:
         """The longest tokens from the left; the end of the unit carries the suffix."""
@@ -190,9 +200,8 @@ class Encoder:
             a, b, of = flat[:-1][inner], flat[1:][inner], owner[1:][inner]
             pairs, back = np.unique(a * self.n + b, return_inverse=True)
             bad[of[~self.compatible(pairs // self.n, pairs % self.n)[back]]] = True
-        wrong = np.flatnonzero(bad)
-        letters = [[self.vocab.get(c + self.suffix if k == len(words[i]) - 1 else c) for k, c in enumerate(words[i])] for i in wrong]
-        for i, ids in zip(wrong, self.exact([[x for x in w if x is not None] for w in letters]), strict=True):
+        wrong = np.flatnonzero(bad).tolist()
+        for i, ids in zip(wrong, self.exact([words[i] for i in wrong]), strict=True):
             guess[i] = ids
         return guess
 
@@ -202,8 +211,14 @@ class Encoder:
             self.known.clear()
             self.known.update(self.marked)
         new = list(units)
-        spelt = ["".join(map(self.letters.__getitem__, u.encode())) for u in new]
-        self.known.update(zip(new, map(tuple, self.pieces(spelt)), strict=True))  # tuples cost the garbage collector nothing
+        collects = gc.isenabled()
+        gc.disable()  # many small tuples and no cycles
+        try:
+            spelt = ["".join(map(self.letters.__getitem__, u.encode())) for u in new]
+            self.known.update(zip(new, map(tuple, self.pieces(spelt)), strict=True))
+        finally:
+            if collects:
+                gc.enable()
 
     def _units(self, text: str) -> list[str]:
         """What a text is split into: runs of letters, digits, runs of other signs, special tokens."""
