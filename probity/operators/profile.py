@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,8 +58,12 @@ def profile(
     exact: bool = True,
     vocabularies: dict[str, list] | None = None,
     accuracy: int = 10000,
+    stats: set[str] | None = None,
 ) -> DataFrame:
+    """``stats``: the wanted columns of ``PROFILE_DDL``.  Only their passes run; what no pass has counted is null."""
     spark = df.sparkSession
+    wants = lambda *names: stats is None or not stats.isdisjoint(names)
+    distinct, ranks = wants("distinct_count", "distinct_ratio", "dup_rate"), wants("p01", "p99", "tail_ratio")
     cols = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
     numeric = [c for c in cols if _quantile_numeric(types[c])]
@@ -70,7 +74,7 @@ def profile(
     from concurrent.futures import ThreadPoolExecutor
 
     pool = ThreadPoolExecutor(max_workers=1)
-    f_ndv = pool.submit(_exact_distincts, df, cols, types) if exact else None
+    f_ndv = pool.submit(_exact_distincts, df, cols, types) if exact and distinct else None
 
     # ---- pass 1 (blocks of BLOCK columns keep each aggregate operator small)
     first: dict = {}
@@ -79,14 +83,14 @@ def profile(
         for i in range(b0, min(len(cols), b0 + BLOCK)):
             c = cols[i]
             aggs.append(F.count(F.col(c)).alias(f"nn{i}"))
-            if not exact:
+            if not exact and distinct:
                 aggs.append(F.approx_count_distinct(F.col(c)).alias(f"nd{i}"))
             if c in vocab:
                 aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vocab[c])).alias(f"oov{i}"))
-            if c in numeric:
+            if c in numeric and (ranks or wants("min_value", "max_value")):
                 aggs.append(F.min(F.col(c)).cast("double").alias(f"mn{i}"))
                 aggs.append(F.max(F.col(c)).cast("double").alias(f"mx{i}"))
-                if isinstance(types[c], (T.FloatType, T.DoubleType)):  # finite range for the quantile bins
+                if ranks and isinstance(types[c], (T.FloatType, T.DoubleType)):  # finite range for the quantile bins
                     v = F.col(c).cast("double")
                     fin = ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
                     aggs.append(F.min(F.when(fin, v)).alias(f"flo{i}"))
@@ -116,8 +120,8 @@ def profile(
             q = df.agg(*qaggs).first().asDict()
         return q
 
-    q = quantiles()
-    ndv = f_ndv.result() if f_ndv is not None else {i: first[f"nd{i}"] for i in range(len(cols))}
+    q = quantiles() if ranks else {}
+    ndv = f_ndv.result() if f_ndv is not None else {i: first.get(f"nd{i}") for i in range(len(cols))}
     pool.shutdown()
 
     rows = []
@@ -150,12 +154,25 @@ def profile(
     return spark.createDataFrame(rows, PROFILE_DDL)
 
 
+#: Bytes of a text or binary that stands for itself in a distinct count.
+SHORT = 40
+
+
+def _named(c: Column, dtype: T.DataType) -> Column:
+    """A value, or for long texts and binaries a name of it: equal for equal values only."""
+    if not isinstance(dtype, (T.StringType, T.BinaryType)):
+        return c
+    raw = c.cast("binary")
+    return F.when(F.octet_length(c) <= SHORT, F.concat(F.lit(b"v"), raw)).otherwise(F.concat(F.lit(b"h"), F.unhex(F.md5(raw))))
+
+
 def _exact_distincts(df: DataFrame, cols: list[str], types: dict) -> dict[int, int]:
     """Distinct non-null values per column.  Columns of one type share a pass:
     (column index, value) pairs from one explode, one groupBy on the pair
     (map-side combined), then a count per column.  Same shuffle volume as one
     groupBy per column, far fewer scans and stages; values keep their own type
-    (float normalisation)."""
+    (float normalisation).  Long texts and binaries are told apart by their
+    MD5 (128 bits), so that they are not shuffled whole."""
     groups: dict[str, list[tuple[int, str]]] = {}
     for i, c in enumerate(cols):
         groups.setdefault(types[c].simpleString(), []).append((i, c))
@@ -164,7 +181,7 @@ def _exact_distincts(df: DataFrame, cols: list[str], types: dict) -> dict[int, i
         for g0 in range(0, len(members), TYPE_GROUP):
             chunk = members[g0 : g0 + TYPE_GROUP]
             pairs = df.select(F.explode(F.array(*[
-                F.struct(F.lit(i).alias("i"), F.col(c).alias("v")) for i, c in chunk
+                F.struct(F.lit(i).alias("i"), _named(F.col(c), types[c]).alias("v")) for i, c in chunk
             ])).alias("e")).select("e.i", "e.v").where(F.col("v").isNotNull())
             parts.append(pairs.groupBy("i", "v").agg(F.count(F.lit(1)).alias("_")).groupBy("i").agg(F.count(F.lit(1)).alias("d")))
     if not parts:

@@ -759,7 +759,7 @@ def _profile_q(table, columns, keep, derive=None, vocab=None, exact=True):
         df = read_tables(spark, sf, [table])[table]
         if derive is not None:
             df = derive(df)
-        return round_doubles(profile(df, table, columns, exact=exact, vocabularies=vocab).select(*keep))
+        return round_doubles(profile(df, table, columns, exact=exact, vocabularies=vocab, stats=set(keep)).select(*keep))
 
     return q
 
