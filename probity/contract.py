@@ -12,7 +12,7 @@ parent table outside the contract, freshness without a timestamp field), a
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from probity.checks import Check
@@ -185,6 +185,18 @@ def _field_rules(add, table, col, f, tables, pks):
 
 
 def _field_quality(add, table, col, q, tables, pks):
+    """The check of one quality entry.  ``threshold``: a share of good (``">95%"``) or bad (``"<5%"``) rows, in place of
+    ``mustBeLessThan``."""
+    share = q.get("threshold")
+    if share is not None:
+        parse_share(share)  # a threshold that is none ends the load
+        plain = add
+
+        def add(table, source_, desc, check=None, skip=None, rid=None):
+            if check is not None and check.kind != "sql_scalar":
+                check = replace(check, params={**check.params, "share": share}, must_be_less_than=None, unit=None)
+            plain(table, source_, desc, check, skip, rid)
+
     desc = q.get("description", "")
     typ = q.get("type")
     metric = q.get("metric")
@@ -352,3 +364,21 @@ def load_suites(text: str, table: str | None = None) -> list[Check]:
                 seen[c.check_id] = 1
             checks.append(c)
     return checks
+
+
+def dump_suites(checks: list[Check]) -> str:
+    """Checks as stored suites, one JSON document per table, that ``load_suites`` reads back."""
+    import json
+
+    docs: dict[str, list[dict]] = {}
+    for c in checks:
+        kwargs = dict(c.params)
+        if len(c.columns) == 1:
+            kwargs["column"] = c.columns[0]
+        elif c.columns:
+            pair = c.kind.startswith("column_pair_")
+            kwargs.update(zip(("column_A", "column_B"), c.columns) if pair else {"column_list": list(c.columns)})
+        if c.mostly != 1.0:
+            kwargs["mostly"] = c.mostly
+        docs.setdefault(c.table, []).append({"type": f"expect_{c.kind}", "kwargs": kwargs, "meta": {"check_id": c.check_id}})
+    return "\n".join(json.dumps({"name": f"{t}.1", "expectations": e}, default=str) for t, e in docs.items())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,19 @@ def retention_split(df: DataFrame, ts: str, as_of: str, years: int) -> DataFrame
     )
 
 
+def retention_counts(tables: dict[str, DataFrame], contract, as_of: str | None) -> DataFrame | None:
+    """The contract's own retention period over the table of its timestamp field: expired and kept rows at
+    ``as_of``.  None without a period of whole years, a timestamp field or an ``as_of``."""
+    period = re.fullmatch(r"\s*(\d+)\s*(?:y|years?)\s*", str(contract.retention or ""), re.IGNORECASE)
+    levels = contract.raw.get("servicelevels") or contract.raw.get("serviceLevel") or contract.raw.get("serviceLevels") or {}
+    retention, freshness = (levels.get(k) if isinstance(levels.get(k), dict) else {} for k in ("retention", "freshness"))
+    table, _, column = str(retention.get("timestampField") or freshness.get("timestampField") or "").partition(".")
+    if period is None or as_of is None or table not in tables or column not in tables[table].columns:
+        return None
+    counted = retention_split(tables[table], column, as_of, int(period[1]))
+    return counted.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "expired_rows", "kept_rows")
+
+
 def mask_contract_pii(tables: dict[str, DataFrame], contract, method: str = "sha256") -> dict[str, DataFrame]:
     """Every table with the PII fields its contract declares (``security.piiFields``
     or a field's ``pii`` flag) masked; a lazy projection, no extra pass."""

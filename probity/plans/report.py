@@ -165,6 +165,11 @@ def summary(results: DataFrame, checks: list[Check]) -> DataFrame:
     )
 
 
+def with_overall(rolled: DataFrame) -> DataFrame:
+    """The roll-up with its verdicts: ``success`` per row; the row without table and kind is the run's."""
+    return rolled.withColumn("success", F.col("failed") == 0)
+
+
 # ----------------------------------------------------------------- V5
 
 RULE_DDL = "rule_id STRING, table_name STRING, source STRING, description STRING, skip_reason STRING"

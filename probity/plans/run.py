@@ -16,22 +16,26 @@ from __future__ import annotations
 import os
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from probity.checks import RESULT_DDL
+from probity.checks import RESULT_DDL, Check
 from probity.contract import Contract, load_contract
 from probity.operators.profile import PROFILE_DDL, profile_tables
 from probity.operators.schema import SCHEMA_VIEW_DDL, schema_view
 from probity.plans.compile import validate
-from probity.plans.report import contract_evaluation, failed_check_ids, failing_rows, summary
+from probity.functions.masking import retention_counts
+from probity.plans.report import (
+    SUGGEST_DDL, contract_evaluation, failed_check_ids, failing_rows, rows_flipped, suggest_checks, suite_change, summary, with_overall,
+)
 from probity.sources import sinks
-from probity.sources.tables import first_n, read_table, replay
+from probity.sources.tables import first_n, read_contract_tables, read_table, replay
 
 
 def run_contract(
     spark: SparkSession,
     contract: str | dict | Contract,
-    source_base: str,
+    source_base: str | None,
     out_base: str,
     dataset: str,
     run_id: str | None = None,
@@ -43,9 +47,20 @@ def run_contract(
     mask_pii: bool = False,
     with_profile: bool = True,
     validate_sample: bool = False,
+    server: str = "mysql",
+    num_partitions: int | None = None,
+    suite: list[Check] | None = None,
+    suggest: bool = False,
 ) -> dict[str, DataFrame]:
     """Run every rule of ``contract`` over the tables at ``source_base``.
 
+    ``source_base=None`` reads the database that the contract names in
+    ``servers.<server>``, each table in ``num_partitions`` ranges of its key.
+    ``suite``: a stored suite (``contract.load_suites``) run beside the rules;
+    its checks are compared with the rules' checks of the same id, and the
+    comparison is written to ``suite_change/``.  ``suggest``: also write the
+    checks that the profile suggests, as a stored suite, to ``proposals/``.
+    The summary, with one row for the overall verdict, is written too.
     ``replay_run``: skip the scan and validate the samples stored for ``run_id``
     (S12).  ``keep_sample``: also store a deterministic first-N sample per table
     (S2 + S6) so the run can be replayed.  ``mask_pii``: the stored samples and
@@ -61,11 +76,14 @@ def run_contract(
     for t in c.tables:
         if replay_run:
             tables[t] = replay(spark, out_base, dataset, t, run_id)
-        else:
+        elif source_base is not None:
             try:
                 tables[t] = read_table(spark, source_base, t, fmt)
-            except Exception:  # noqa: BLE001 - an absent table makes its rules ERROR, not the run fail
-                continue
+            except AnalysisException as e:  # an absent table makes its rules ERROR; any other failure ends the run
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+    if source_base is None and not replay_run:
+        tables = read_contract_tables(spark, c, server=server, num_partitions=num_partitions)
     from probity.functions.masking import mask_contract_pii
 
     shown = mask_contract_pii(tables, c) if mask_pii else tables
@@ -77,12 +95,23 @@ def run_contract(
             tables = {t: replay(spark, out_base, dataset, t, run_id) for t in tables}
 
     tag = f"{dataset}.{run_id}.replay" if replay_run else f"{dataset}.{run_id}"
-    prof_path = sinks.write_json(profile_tables(tables), os.path.join(out_base, "profiles", tag)) if with_profile else None
+    prof_path = sinks.write_json(profile_tables(tables), os.path.join(out_base, "profiles", tag)) if with_profile or suggest else None
     view_path = sinks.write_json(schema_view(spark, c.declared, tables), os.path.join(out_base, "metadata", f"{tag}.schema_view"))
     rep_path = sinks.write_json(validate(tables, c.checks, spark=spark), os.path.join(out_base, "sandbox", f"{tag}.report"))
     results = sinks.read_json(spark, rep_path, RESULT_DDL)
     ev_path = sinks.write_json(contract_evaluation(spark, c, results, tables),
                                os.path.join(out_base, "sandbox", f"{tag}.contract"))
+    sum_path = sinks.write_json(with_overall(summary(results, c.checks)), os.path.join(out_base, "sandbox", f"{tag}.summary"))
+    more = {}
+    if suite:
+        old = sinks.read_json(spark, sinks.write_json(validate(tables, suite, spark=spark), os.path.join(out_base, "sandbox", f"{tag}.suite")), RESULT_DDL)
+        change = suite_change(old, results, rows_flipped(tables, suite, c.checks))
+        more["suite_change"] = spark.read.json(sinks.write_json(change, os.path.join(out_base, "suite_change", tag)))
+    if suggest:
+        found = suggest_checks(tables, sinks.read_json(spark, prof_path, PROFILE_DDL))
+        more["proposals"] = sinks.read_json(spark, sinks.write_json(found, os.path.join(out_base, "proposals", tag)), SUGGEST_DDL)
+    if kept := retention_counts(tables, c, as_of):
+        more["retention"] = spark.read.json(sinks.write_json(kept, os.path.join(out_base, "sandbox", f"{tag}.retention")))
     failed = failed_check_ids(results)
     fail_paths = {}
     for t, df in tables.items():
@@ -101,6 +130,7 @@ def run_contract(
         "schema_view": sinks.read_json(spark, view_path, SCHEMA_VIEW_DDL),
         "results": results,
         "evaluation": spark.read.json(ev_path),
-        "summary": summary(results, c.checks),
+        "summary": spark.read.json(sum_path),
+        **more,
         **{f"failing:{t}": spark.read.option("header", True).csv(p) for t, p in fail_paths.items()},
     }

@@ -272,3 +272,43 @@ def test_replay_equals_first_run_on_samples(spark, tmp_path):
     again = run_contract(spark, FLAGSHIP_CONTRACT, "/root/testdata/sf0.001", out, "tpch", run_id="s1", replay_run=True,
                          with_profile=False)
     assert a == sorted(tuple(r) for r in again["results"].collect())
+
+
+def test_thresholds_of_a_contract(spark):
+    quality = [{"type": "library", "metric": "nullValues", "threshold": t} for t in (">70%", "<20%")]
+    c = load_contract({"models": {"bed": {"fields": {"tag": {"type": "string", "quality": quality}}}}})
+    df = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "tag STRING")
+    assert [r["success"] for r in validate({"bed": df}, c.checks).orderBy("check_id").collect() if "null_values" in r["check_id"]] == [True, False]
+
+
+def test_run_with_suite_suggestions_and_retention(spark, tmp_path):
+    from probity.contract import dump_suites, load_suites
+    from probity.plans.run import run_contract
+
+    doc = {"models": {"orders": {"fields": {"o_orderkey": {"type": "integer", "unique": True}, "o_orderstatus": {"type": "string", "enum": ["F", "O"]}}},
+                      "nowhere": {"fields": {"x": {"type": "integer", "required": True}}}},
+           "servicelevels": {"freshness": {"threshold": "9999d", "timestampField": "orders.o_orderdate"}, "retention": {"period": "3 years"}}}
+    c = load_contract(doc, as_of="2000-01-01 00:00:00")
+    old = load_suites(dump_suites([k for k in c.checks if k.table == "orders" and k.kind != "freshness"]))
+    assert [(k.kind, k.columns, k.check_id) for k in old] == [(k.kind, k.columns, k.check_id) for k in c.checks if k.table == "orders" and k.kind != "freshness"]
+    out = run_contract(spark, c, "/root/testdata/sf0.001", str(tmp_path), "garden", run_id="r", suite=old, suggest=True, as_of="2000-01-01 00:00:00")
+    assert {r["change"] for r in out["suite_change"].collect() if r["check_id"] in {k.check_id for k in old}} == {"unchanged"}
+    assert out["proposals"].count() > 0
+    overall = [r for r in out["summary"].collect() if r.asDict().get("table_name") is None]
+    assert len(overall) == 1 and overall[0]["success"] is False
+    kept = out["retention"].collect()[0]
+    assert kept["expired_rows"] + kept["kept_rows"] == 1500 and kept["table_name"] == "orders"
+
+
+def test_a_contract_reads_its_database_by_ranges(monkeypatch):
+    from types import SimpleNamespace
+
+    from probity.sources import tables
+
+    calls = []
+    monkeypatch.setattr(tables, "read_jdbc_partitioned", lambda *a: calls.append(a[1:]) or "split")
+    monkeypatch.setattr(tables, "read_jdbc", lambda *a: calls.append(a[1:]) or "whole")
+    contract = SimpleNamespace(raw={"servers": {"mysql": {"host": "h", "port": 1, "database": "garden", "username": "u"}}},
+                               tables=["beds", "notes"], primary_keys={"beds": ["bed_id"]})
+    assert tables.read_contract_tables(None, contract, num_partitions=6) == {"beds": "split", "notes": "whole"}
+    assert calls == [("jdbc:mysql://h:1/garden", "beds", "bed_id", 6, {"user": "u"}), ("jdbc:mysql://h:1/garden", "notes", {"user": "u"})]
