@@ -299,7 +299,8 @@ def repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Dat
     found = rows.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "gone", "open")
     mine = (F.col("id") == F.col("_id")) & (F.col("key") == F.col("_key"))
     # rows of one id and key share their windows; each is compared once
-    asked = texts.select("id", "key", "text").join(found.filter(F.size("open") > 0).drop("gone"), mine).select("id", "key", "text", "open")
+    # all columns of texts, so that both joins read one and the same exchange of the texts
+    asked = texts.join(found.filter(F.size("open") > 0).drop("gone"), mine).select("id", "key", "doc_id", "text", "open")
     single = windows(asked, window)
     single = single.select("id", "key", "start", (F.col("settled") | _repeats(place, Window.partitionBy("h0", "h1"))).alias("gone")).filter("gone")
     single = single.select("id", "key", F.array(F.struct("start", F.lit(1).alias("count"))).alias("gone"))
