@@ -1329,3 +1329,21 @@ def _reg_reports():
 
 _reg_sources()
 _reg_reports()
+
+
+def _with_rows(name: str, table: str, column: str) -> None:
+    """Schema facts read no rows: their suites also hold a check of the rows, in one result."""
+    facts, sql = QUERIES[name], ORACLE[name]
+    chk = Check(table, "column_values_to_not_be_null", column, check_id=f"{table}:{column}:{name}:rows")
+
+    def both(spark, sf):
+        return facts(spark, sf).unionByName(tidy(validate(read_tables(spark, sf, [table]), [chk], spark=spark)))
+
+    register(name, both, union_sql(sql, row_sql(chk.check_id, table, f"{column} IS NULL", f"{column} IS NULL", all_rows=True)))
+
+
+for _name, _table, _column in (
+    ("E18", "orders", "o_orderkey"), ("E27", "events", "props"), ("E31", "lineitem", "l_shipdate"), ("E50", "orders", "o_custkey"),
+    ("E51", "orders", "o_orderstatus"), ("E52", "orders", "o_orderdate"), ("E53", "orders", "o_totalprice"), ("C04", "orders", "o_orderkey"),
+):
+    _with_rows(_name, _table, _column)
