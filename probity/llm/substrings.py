@@ -8,8 +8,8 @@ parts' names, so a name is global: all tasks give it to equal words without aski
 named too, by symbol and length. Every symbol knows its context, the words that decide that it is there; equal words
 have equal symbols wherever the context is inside them.
 
-Each window is filed under the highest symbol whose context it holds (of several, the least name). Equal windows so
-share a symbol, and neighbouring windows that share one form a segment. One row per segment is shuffled, about one for
+Each window is filed under the highest symbol whose context it holds (of several, the least name), by the symbol's
+name and the words of the context. Equal windows so share a symbol, and neighbouring windows that share one form a segment. One row per segment is shuffled, about one for
 every six words, instead of one per window. Segments equal to an earlier one are settled at once. Only where a symbol
 stands in different segments are windows compared one by one, by 128-bit hashes of their words.
 
@@ -108,8 +108,11 @@ class Segments(NamedTuple):
     count: np.ndarray
 
 
-def segments(words: np.ndarray, text: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS) -> Segments:
-    """All windows of the texts (``text``: the index of each word's, ascending), filed by recompression."""
+def segments(words: np.ndarray, text: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS, powers: Powers | None = None) -> Segments:
+    """All windows of the texts (``text``: the index of each word's, ascending), filed by recompression. A symbol is
+    told apart by its name and the words of its context."""
+    powers = powers or Powers()
+    prefix = powers.prefix(words, 0)
     n, far = len(words), 4 * window
     none = Segments(*(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64)))
     if n < window:
@@ -175,7 +178,8 @@ def segments(words: np.ndarray, text: np.ndarray, window: int = WINDOW, rounds:
         got = np.flatnonzero(wanted & (here != _NONE))
         place = (here[got] & _U((1 << (64 - int(_PLACE))) - 1)).astype(np.int64)
         best[got] = _U(height << 56) | fit[place].astype(np.uint64)
-        symbol[got] = mix(name[fit[place]] ^ mix(np.full(len(got), _U(height + 1))))
+        at = fit[place]
+        symbol[got] = mix(name[at] ^ mix(powers.of(prefix, lo[at], hi[at], 0) + _U(height + 1)))
         wanted[got] = False
     # neighbouring windows of one text under one symbol
     new = np.r_[True, (best[start[1:]] != best[start[:-1]]) | (np.diff(start) != 1) | (text[start[1:]] != text[start[:-1]])]
@@ -232,7 +236,7 @@ def filed(texts: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataF
             parts, keys = [], batch.column("key").to_numpy()
             for ids, some, rows in _chunks(batch):
                 words, text = words_of(some)
-                s = segments(words, text, window, rounds)
+                s = segments(words, text, window, rounds, powers)
                 prefix, of = powers.prefix(words, 0), text[s.start]
                 base = np.searchsorted(text, np.arange(len(some)))  # the first word of each text
                 parts.append({
