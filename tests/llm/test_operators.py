@@ -22,6 +22,16 @@ def words(text):
     return re.findall(r"[^\x20\x09-\x0D]+", text or "")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """Small frames: three partitions show every exchange, and more only take time."""
+    key = "spark.sql.shuffle.partitions"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    yield
+    spark.conf.set(key, was)
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     """Nulls, empty, white, long and repeated texts, repeated rows, a null doc_id, and clashing columns."""
