@@ -180,7 +180,8 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "quality", most: int
     rest = sample(docs.select("doc_id").filter(~held_out(F.col("doc_id"))).join(known.select("doc_id"), "doc_id", "left_anti"), pool, seed=1)
     chosen = cut(some.unionByName(rest.select("doc_id", F.lit(None).cast("int").alias("y"), F.lit(None).cast("boolean").alias("_check"))))
     chosen = chosen.select(F.col("doc_id").alias("_id"), F.when(F.col("y").isNull(), 4).otherwise(F.col("y") + F.when(F.col("_check"), 2).otherwise(0)).alias("y"))
-    table = _features(docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"), "y")).toArrow().sort_by("doc_id")
+    mine = docs.select("doc_id", "text", "lang", "source", F.col("n_chars").cast("long").alias("n_chars"))
+    table = _features(mine.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).drop("_id")).toArrow().sort_by("doc_id")
     kind = table["y"].to_numpy()
     a, b = (np.array(table[c].combine_chunks().flatten()).reshape(len(kind), -1) for c in ("a", "b"))
     learn, check, free = kind < 2, (kind == 2) | (kind == 3), kind == 4
