@@ -48,4 +48,4 @@ def op10_html(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op4_embeddings, op5_topk, op6_secrets, op7_substrings, op8_bpe, op9_quality, op10_html)}
 
-ORACLE = {"op1_mixing": mixing.ORACLE, "op4_embeddings": ego_join.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE}
+ORACLE = {"op1_mixing": mixing.ORACLE, "op4_embeddings": ego_join.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE, "op7_substrings": substrings.ORACLE}

@@ -348,3 +348,16 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, di
 
 def digest(docs: DataFrame) -> DataFrame:
     return deduplicated(docs, digest=True)
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20),
+q AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS k FROM p),
+r AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS n FROM q) WHERE n > 1),
+g AS (SELECT DISTINCT doc_id, i FROM (SELECT doc_id, unnest(range(s, s + 20)) AS i FROM r)),
+e AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) AS kept, count(*) AS n FROM e ANTI JOIN g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY e.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
