@@ -245,6 +245,11 @@ def filed(texts: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataF
                 })
             t = _table(parts, _FILED)
             t["settled"] = _settle(t, ["symbol", "words"])
+            # settled neighbours need no symbol of their own: one row for a run of them
+            start, count, settled = t["start"], t["count"], t["settled"]
+            on = settled[1:] & settled[:-1] & (t["id"][1:] == t["id"][:-1]) & (t["key"][1:] == t["key"][:-1]) & (start[1:] == start[:-1] + count[:-1])
+            first = np.flatnonzero(np.append(True, ~on)) if len(start) else np.zeros(0, np.int64)
+            t = {c: np.add.reduceat(v, first).astype(v.dtype) if c == "count" and len(v) else v[first] for c, v in t.items()}
             own = mix(mix(t["id"].view(np.uint64)) + t["start"].astype(np.uint64) + _U(1))
             t["symbol"] = np.where(t["settled"], own, t["symbol"])
             yield _rows(t)
