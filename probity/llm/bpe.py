@@ -245,11 +245,12 @@ class Encoder:
     def _encode(self, texts: list[list[str]]) -> Iterator[list[int]]:
         known = self.known
         if sum(map(len, texts)) <= 2 * PORTION:
-            if new := set(chain.from_iterable(texts)).difference(known):
+            units = set(chain.from_iterable(texts))
+            if new := units.difference(known):
                 self.learn(new)
-            if all(map(known.__contains__, chain.from_iterable(texts))):  # else learning has cleared the memory
-                for units in texts:
-                    yield list(chain.from_iterable(map(known.__getitem__, units)))
+            if not units.difference(known):  # else learning has cleared the memory
+                for text in texts:
+                    yield list(chain.from_iterable(map(known.__getitem__, text)))
                 return
         for units in texts:
             ids: list[int] = []
