@@ -2,9 +2,12 @@
 
 A page is cut into blocks at block-level tags. The first pass judges each block by itself: text in menus, headers,
 footers, sidebars, notices, adverts, forms or reader comments is bad; of the rest, length, link density and the share
-of stop words decide good, near-good, short or bad. Where a page marks its article, the blocks inside it are good
-unless they are lists of links. The second pass settles the ambiguous: a short or near-good block takes the label of
-the nearest decided blocks before and after it.
+of stop words decide good, near-good, short or bad. The second pass settles the ambiguous: a short or near-good block
+takes the label of the nearest decided blocks before and after it.
+
+Both passes judge the blocks of every page. Where a page marks its article, that is one signal more: a block inside is
+moved up a class (few stop words: near-good; near-good: good; mostly links: kept between good blocks), and the article's
+edge counts as a good neighbour; outside, a good block stays and a short one that is no heading is bad.
 
 Rows are independent: one map over the pages, no shuffle, whole texts.
 
@@ -167,49 +170,59 @@ def blocks(page: str | None) -> list[Block]:
 
 
 def first_pass(block: Block, marked: bool) -> str:
-    """good, near, short or bad, by the block alone; ``marked``: the page marks its article."""
+    """good, near, short, link or bad, by the block alone; ``marked``: the page marks its article."""
     density = block.link_chars / len(block.text)
     if block.bad:
         return "bad"
-    if marked:
-        return "good" if block.main and density <= LINK_LIST else "bad"
-    if density > LINKS:
-        return "bad"
+    inside = marked and block.main
+    if density > (LINK_LIST if inside else LINKS):
+        return "link" if inside else "bad"
     if len(block.text) < SHORT:
-        return "bad" if block.link_chars else "short"
+        if inside:
+            return "short"
+        return "bad" if block.link_chars or (marked and not block.heading) else "short"
     words = WORD.findall(block.text.lower())
     stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if density > LINKS:
+        return "near"
     if stops >= STOP_HIGH:
-        return "good" if len(block.text) > LONG else "near"
-    return "near" if stops >= STOP_LOW else "bad"
+        return "good" if inside or len(block.text) > LONG else "near"
+    if stops >= STOP_LOW:
+        return "good" if inside else "near"
+    return "near" if inside else "bad"
 
 
-def second_pass(found: list[Block], labels: list[str]) -> list[bool]:
+def second_pass(found: list[Block], labels: list[str], marked: bool = False) -> list[bool]:
     """Whether each block is kept. Undecided blocks look to the nearest good or bad block on either side; the page's
-    edge counts as bad. Between one of each, a near-good block and a heading before good text stay; a short one stays if
-    the good one is as near as the bad one."""
+    edge counts as bad, the edge of a marked article as good. Between one of each, a near-good block, any block of the
+    article and a heading before good text stay; a short one stays if the good one is as near as the bad one. A block of
+    links inside the article stays only between good blocks, or as a heading before one; the edge does not count there."""
     n = len(labels)
-    before, after = [("bad", n)] * n, [("bad", n)] * n
-    last = ("bad", -1)
-    for i in range(n):
-        before[i] = (last[0], i - last[1])
-        last = (labels[i], i) if labels[i] in ("good", "bad") else last
-    last = ("bad", n)
-    for i in range(n - 1, -1, -1):
-        after[i] = (last[0], last[1] - i)
-        last = (labels[i], i) if labels[i] in ("good", "bad") else last
+    sides: list[list[tuple[str, int, bool]]] = [[] for _ in labels]
+    for order in (range(n), range(n - 1, -1, -1)):
+        last, inside, edge = ("bad", -1 if order.step > 0 else n), False, False
+        for i in order:
+            if marked and found[i].main and not inside:
+                last, edge = ("good", i - order.step), True
+            inside = marked and found[i].main
+            sides[i].append((last[0], abs(i - last[1]), edge))
+            if labels[i] in ("good", "bad"):
+                last, edge = (labels[i], i), False
     keep = []
     for i, label in enumerate(labels):
         if label in ("good", "bad"):
             keep.append(label == "good")
             continue
-        sides = {before[i][0], after[i][0]}
-        if len(sides) == 1:
-            keep.append(sides == {"good"})
-        elif label == "near" or (found[i].heading and after[i][0] == "good"):
+        before, after = sides[i]
+        if label == "link":
+            text_before, text_after = (side[0] == "good" and not side[2] for side in (before, after))
+            keep.append(text_after and (text_before or found[i].heading))
+        elif before[0] == after[0]:
+            keep.append(before[0] == "good")
+        elif label == "near" or (marked and found[i].main) or (found[i].heading and after[0] == "good"):
             keep.append(True)
         else:
-            good, bad = (before[i], after[i]) if before[i][0] == "good" else (after[i], before[i])
+            good, bad = (before, after) if before[0] == "good" else (after, before)
             keep.append(good[1] <= bad[1])
     if not any(keep) and "near" in labels:  # a page of short paragraphs only
         keep = [x in ("near", "short") for x in labels]
@@ -220,7 +233,7 @@ def main_text(page: str | None) -> str:
     found = blocks(page)
     marked = any(b.main and not b.bad for b in found)
     labels = [first_pass(b, marked) for b in found]
-    return "\n\n".join(b.text for b, k in zip(found, second_pass(found, labels), strict=True) if k)
+    return "\n\n".join(b.text for b, k in zip(found, second_pass(found, labels, marked), strict=True) if k)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -466,6 +466,22 @@ def test_block_rules(page, text):
     assert html_blocks.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # good by itself, though outside the article
+        (f"<div><p>{LONG}</p><p>Share</p></div><article><p>{LONG}</p></article>", f"{LONG.strip()}\n\n{LONG.strip()}"),
+        # between boilerplate on both sides, and so settled by the second pass
+        (f"<article><p>{LONG}</p><nav>m</nav><p>Go on</p><nav>m</nav><p>{LONG}</p></article>", f"{LONG.strip()}\n\n{LONG.strip()}"),
+        # a block that is all link stays between text, a list of links after it does not
+        (f"<article><p>{LONG}</p><p><a href=a>{LONG}</a></p><p>{LONG}</p><ul><li><a href=b>b</a></li></ul></article>", "\n\n".join([LONG.strip()] * 3)),
+        (f"<article><h1><a href=a>Title</a></h1><p>{LONG}</p></article>", f"Title\n\n{LONG.strip()}"),
+    ],
+)
+def test_both_passes_on_marked_pages(page, text):
+    assert html_blocks.main_text(page) == text
+
+
 def test_pages_empty_table(spark):
     kinds = "page_id long, url string, html string, text string, n_chars string"
     assert html_blocks.extracted(spark.createDataFrame([], kinds)).count() == 0
