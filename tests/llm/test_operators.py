@@ -482,6 +482,27 @@ def test_both_passes_on_marked_pages(page, text):
     assert html_blocks.main_text(page) == text
 
 
+def test_pages_without_their_article_tags(spark):
+    """The rules alone find nearly all of the article, and nothing else."""
+    whole = kept = 0
+    for r in read(spark, SF, "pages").collect():
+        want = html_blocks.main_text(r["html"]).split("\n\n")
+        got = html_blocks.main_text(re.sub("</?article>", "", r["html"])).split("\n\n")
+        assert set(got) <= {*want, ""}
+        whole += sum(map(len, want))
+        kept += sum(len(x) for x in want if x in got)
+    assert kept >= 0.95 * whole
+
+
+def test_prose_and_languages_without_an_article():
+    prose = "Most free software licenses guarantee your freedom to share and change all versions of a program, and make sure it remains available to every user. " * 2
+    names = "Smith, Jones, Taylor, Brown, Williams, Wilson, Johnson, Davies, Robinson, Wright, Thompson, Evans, Walker, White, Roberts, Green. " * 2
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, heille on annettu järki ja omatunto. " * 3
+    page = "<nav>Menu</nav><p>{}</p><div><a href=a>News today</a></div><p>{}</p><p>{}</p><footer>f</footer>"
+    assert html_blocks.main_text(page.format(prose, prose, names)) == f"{prose.strip()}\n\n{prose.strip()}"
+    assert html_blocks.main_text(page.format(finnish, finnish, "Lyhyt.")) == f"{finnish.strip()}\n\n{finnish.strip()}\n\nLyhyt."
+
+
 def test_pages_empty_table(spark):
     kinds = "page_id long, url string, html string, text string, n_chars string"
     assert html_blocks.extracted(spark.createDataFrame([], kinds)).count() == 0
