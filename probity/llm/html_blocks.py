@@ -84,6 +84,8 @@ BAD_ROLES = frozenset("navigation banner contentinfo complementary search dialog
 START = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: The end of a tag, or the start of a value: up to its quote, or all of it if it has none.
+VALUE = re.compile(r""">|=\s*(?:(["'])|[^\s>]*)""")
 HINT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -96,18 +98,23 @@ class Block(NamedTuple):
     heading: bool
 
 
-def _end_of_tag(page: str, at: int) -> int:
-    """The place after the tag that starts at ``at``: quoted > do not end it, but an unclosed quote does not run on."""
-    end, first = at, -1
-    for _ in range(16):
-        end = page.find(">", end + 1)
-        if end < 0:
+def _end_of_tag(page: str, at: int, lost: set[int]) -> int:
+    """The place after the tag that starts at ``at``: > in quoted values does not end it, but a quote that is never
+    closed does not run on. ``lost`` holds the values from which such a quote was met, so that none is read twice."""
+    first = page.find(">", at)
+    if first < 0:
+        return len(page)
+    name = NAME.match(page, at)
+    end, seen = name.end() if name else at, []
+    while (m := VALUE.search(page, end)) and m.start() not in lost:
+        if m[0] == ">":
+            return m.end()
+        seen.append(m.start())
+        end = page.find(m[1], m.end()) + 1 if m[1] else m.end()
+        if not end:
             break
-        first = end if first < 0 else first
-        part = page[at:end]
-        if part.count('"') % 2 == 0 and (part.count("'") % 2 == 0 or "=" not in part):
-            return end + 1
-    return first + 1 if first >= 0 else len(page)
+    lost.update(seen)
+    return first + 1
 
 
 def _bad_container(tag: str, attributes: str, in_main: bool) -> bool:
@@ -131,6 +138,7 @@ def blocks(page: str | None) -> list[Block]:
     #: open containers: tag, bad, whether by its tag alone, inside the page's article
     stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
     silent = links = link_chars = 0
+    lost: set[int] = set()
     heading = False
 
     def close() -> None:
@@ -154,7 +162,7 @@ def blocks(page: str | None) -> list[Block]:
             end = page.find("-->", upto + 4)
             at = end + 3 if end >= 0 else n
             continue
-        at = _end_of_tag(page, upto)
+        at = _end_of_tag(page, upto, lost)
         if m[0][1] in "!?":
             continue
         tag = NAME.match(page, upto)[1].lower()

@@ -503,6 +503,12 @@ def test_prose_and_languages_without_an_article():
     assert html_blocks.main_text(page.format(finnish, finnish, "Lyhyt.")) == f"{finnish.strip()}\n\n{finnish.strip()}\n\nLyhyt."
 
 
+def test_tags_end_outside_their_quotes():
+    inside = "<b>x</b>" * 30 + "</article><nav>"
+    assert html_blocks.main_text(f"<article><p data-html='{inside}' title=\"{inside}\">Hello</p><p>there</p></article>") == "Hello\n\nthere"
+    assert html_blocks.main_text('<article><p title="open>text</p><p class=it\'s>more</p></article>') == "text\n\nmore"
+
+
 def test_pages_empty_table(spark):
     kinds = "page_id long, url string, html string, text string, n_chars string"
     assert html_blocks.extracted(spark.createDataFrame([], kinds)).count() == 0
