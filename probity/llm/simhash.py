@@ -112,7 +112,7 @@ def _walk(tree, keys, children, queries, roots, bits) -> Iterator[tuple[np.ndarr
 def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Union-find over arrays: ``parent`` with a[i] and b[i] joined; each set's root is its smallest member."""
     while True:
-        while (up := parent[parent]).any() and not np.array_equal(up, parent):
+        while not np.array_equal(up := parent[parent], parent):
             parent = up
         x, y = parent[a], parent[b]
         if not (apart := x != y).any():

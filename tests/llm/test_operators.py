@@ -4,7 +4,9 @@ import hashlib
 import html
 import random
 import re
+import signal
 import zlib
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
@@ -205,6 +207,33 @@ def test_shards_of_any_size_miss_no_link(spark, shard):
     assert groups(len(fp), [(at[e["a"]], at[e["b"]]) for e in edges]) == want
 
 
+@contextmanager
+def ends_within(seconds):
+    def stop(*_):
+        raise TimeoutError
+
+    was = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(seconds)
+    try:
+        yield
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, was)
+
+
+def test_unite_of_one_component():
+    """All parents end at the root 0, whatever the order in which the links came."""
+    with ends_within(20):
+        assert simhash.unite(np.array([0, 0, 1]), np.array([1]), np.array([2])).tolist() == [0, 0, 0]
+        for n in (3, 4, 9, 64):
+            for seed in range(20):
+                order = np.random.default_rng(seed).permutation(n)
+                assert not simhash.unite(np.arange(n), order[1:], order[:-1]).any()
+        fp = np.array([0, 0b1111, 0b11111111, 0b111111111111], np.uint64)
+        every = np.ones(4, bool)
+        assert simhash.links(fp, np.zeros(4, np.int64), every, every)[1].tolist() == [0, 0, 0]
+
+
 # --- embeddings
 
 VEC = "vec_id long, embedding array<float>, label int, unit string, node long"
@@ -252,6 +281,15 @@ def test_embedding_links(spark, block):
     assert ego_join.classes(spark.createDataFrame([], VEC)).count() == 0
 
 
+@pytest.mark.parametrize("angles", [(0, 40, 20), (0, 20, 40), (20, 0, 40)])
+def test_a_label_of_three_chained_vectors(spark, angles):
+    """A ~ B ~ C, but not A ~ C: one component, its middle with two links."""
+    rows = [(i, [float(np.cos(np.deg2rad(a))), float(np.sin(np.deg2rad(a))), 0.0], 1, "u", 1) for i, a in enumerate(angles)]
+    with ends_within(120):
+        got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in ego_join.classes(spark.createDataFrame(rows, VEC)).collect())
+    assert got == [(i, 2 if a == 20 else 1, 0) for i, a in enumerate(angles)]
+
+
 def test_block_pairs(spark):
     """Two clusters far apart on the leading axes: no pair of their blocks is compared."""
     rng = np.random.default_rng(1)
