@@ -39,6 +39,8 @@ CHUNK = 1 << 21
 #: Bytes of a word that are hashed with others' at once; the rest of a longer word is hashed by itself.
 WORD_BYTES = 48
 NO_ID = -(1 << 63)
+#: What names a row: its doc_id and 128 bits of its text, for many rows may share a doc_id or have none.
+NAMES = ["id", "key", "more"]
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -218,7 +220,7 @@ def _rows(table: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64) if v.dtype == np.uint64 else v) for v in table.values()], list(table))
 
 
-_FILED = {"symbol": np.uint64, "words": np.uint64, "id": np.int64, "key": np.int32, "start": np.int64, "count": np.int32, "settled": np.bool_}
+_FILED = {"symbol": np.uint64, "words": np.uint64, "id": np.int64, "key": np.int64, "more": np.int64, "start": np.int64, "count": np.int32, "settled": np.bool_}
 _SCHEMA = {np.uint64: "long", np.int64: "long", np.int32: "int", np.bool_: "boolean"}
 
 
@@ -227,27 +229,27 @@ def _schema(kinds: dict[str, type]) -> str:
 
 
 def filed(texts: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """(id, key, text) -> one row per segment; a segment settled here (it repeats one of the same batch) gets a symbol
+    """(id, key, more, text) -> one row per segment; a segment settled here (it repeats one of the same batch) gets a symbol
     of its own, so that it meets no other."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            parts, keys = [], batch.column("key").to_numpy()
+            parts, keys, more = [], batch.column("key").to_numpy(), batch.column("more").to_numpy()
             for ids, some, rows in _chunks(batch):
                 words, text = words_of(some)
                 s = segments(words, text, window, rounds, powers)
                 prefix, of = powers.prefix(words, 0), text[s.start]
                 base = np.searchsorted(text, np.arange(len(some)))  # the first word of each text
                 parts.append({
-                    "symbol": s.symbol, "words": powers.of(prefix, s.start, s.start + s.count + (window - 1), 0), "id": ids[of], "key": keys[rows.start : rows.stop][of],
+                    "symbol": s.symbol, "words": powers.of(prefix, s.start, s.start + s.count + (window - 1), 0), "id": ids[of], "key": keys[rows.start : rows.stop][of], "more": more[rows.start : rows.stop][of],
                     "start": s.start - base[of], "count": s.count.astype(np.int32), "settled": np.zeros(len(of), bool),
                 })
             t = _table(parts, _FILED)
             t["settled"] = _settle(t, ["symbol", "words"])
             # settled neighbours need no symbol of their own: one row for a run of them
             start, count, settled = t["start"], t["count"], t["settled"]
-            on = settled[1:] & settled[:-1] & (t["id"][1:] == t["id"][:-1]) & (t["key"][1:] == t["key"][:-1]) & (start[1:] == start[:-1] + count[:-1])
+            on = settled[1:] & settled[:-1] & np.all([t[c][1:] == t[c][:-1] for c in NAMES], axis=0) & (start[1:] == start[:-1] + count[:-1])
             first = np.flatnonzero(np.append(True, ~on)) if len(start) else np.zeros(0, np.int64)
             t = {c: np.add.reduceat(v, first).astype(v.dtype) if c == "count" and len(v) else v[first] for c, v in t.items()}
             own = mix(mix(t["id"].view(np.uint64)) + t["start"].astype(np.uint64) + _U(1))
@@ -257,16 +259,16 @@ def filed(texts: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataF
     return texts.mapInArrow(each, _schema(_FILED))
 
 
-_HASHED = {"h0": np.uint64, "h1": np.uint64, "id": np.int64, "key": np.int32, "start": np.int64, "settled": np.bool_}
+_HASHED = {"h0": np.uint64, "h1": np.uint64, "id": np.int64, "key": np.int64, "more": np.int64, "start": np.int64, "settled": np.bool_}
 
 
 def windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, key, text, open: array of struct(start, count)) -> one row per open window: its hash, id, key, start."""
+    """(id, key, more, text, open: array of struct(start, count)) -> one row per open window: its hash, id, key, more, start."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            parts, keys, asked = [], batch.column("key").to_numpy(), batch.column("open")
+            parts, keys, more, asked = [], batch.column("key").to_numpy(), batch.column("more").to_numpy(), batch.column("open")
             for ids, some, rows in _chunks(batch):
                 words, text = words_of(some)
                 prefixes = [powers.prefix(words, k) for k in (0, 1)]
@@ -276,7 +278,7 @@ def windows(rows: DataFrame, window: int = WINDOW) -> DataFrame:
                     start, count = (spans.field(c).to_numpy() for c in ("start", "count"))
                     at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
                     h = [powers.of(prefixes[k], base[i] + at, base[i] + at + window, k) for k in (0, 1)]
-                    parts.append({"h0": h[0], "h1": h[1], "id": np.full(len(at), ids[i]), "key": np.full(len(at), keys[row], np.int32), "start": at.astype(np.int64), "settled": np.zeros(len(at), bool)})
+                    parts.append({"h0": h[0], "h1": h[1], "id": np.full(len(at), ids[i]), "key": np.full(len(at), keys[row]), "more": np.full(len(at), more[row]), "start": at.astype(np.int64), "settled": np.zeros(len(at), bool)})
             t = _table(parts, _HASHED)
             t["settled"] = _settle(t, ["h0", "h1"])
             own = mix(mix(t["id"].view(np.uint64)) + t["start"].astype(np.uint64) + _U(1))
@@ -291,31 +293,38 @@ def _repeats(place: Column, w) -> Column:
     return place > F.min(place).over(w)
 
 
+def named(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) -> id, key, more, doc_id, text: the row's name, and its text as bytes."""
+    hashes = F.xxhash64("text").alias("key"), F.xxhash64(F.md5(F.col("text").cast("binary"))).alias("more")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), *hashes, "doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+
+
 def repeated(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` (doc_id, text) -> id, key, doc_id, text and gone: the spans (start, count of windows) of repeated
-    windows, null if none. ``id`` and ``key`` name a row: its doc_id and a hash of its text."""
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.hash("text").alias("key"), "doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    """``docs`` (doc_id, text) -> id, key, more, doc_id, text and gone: the spans (start, count of windows) of repeated
+    windows, null if none."""
+    texts = named(docs)
     place = F.struct("id", "start")
-    rows = filed(texts.select("id", "key", "text"), window, rounds)
+    rows = filed(texts.select(*NAMES, "text"), window, rounds)
     by_symbol = Window.partitionBy("symbol")
     rows = rows.select(
-        "id", "key", "start", "count",
+        *NAMES, "start", "count",
         (F.col("settled") | _repeats(place, Window.partitionBy("symbol", "words"))).alias("gone"),
         (F.min("words").over(by_symbol) < F.max("words").over(by_symbol)).alias("mixed"),
     )
     span = F.struct("start", "count")
-    rows = rows.filter("gone OR mixed").groupBy("id", "key").agg(F.collect_list(F.when(F.col("gone"), span)).alias("gone"), F.collect_list(F.when(~F.col("gone"), span)).alias("open"))
-    found = rows.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "gone", "open")
-    mine = (F.col("id") == F.col("_id")) & (F.col("key") == F.col("_key"))
-    # rows of one id and key share their windows; each is compared once
+    rows = rows.filter("gone OR mixed").groupBy(*NAMES).agg(F.collect_list(F.when(F.col("gone"), span)).alias("gone"), F.collect_list(F.when(~F.col("gone"), span)).alias("open"))
+    theirs = [F.col(c).alias(f"_{c}") for c in NAMES]
+    found = rows.select(*theirs, "gone", "open")
+    mine = (F.col("id") == F.col("_id")) & (F.col("key") == F.col("_key")) & (F.col("more") == F.col("_more"))
+    # rows of one name share their windows; each is compared once
     # all columns of texts, so that both joins read one and the same exchange of the texts
-    asked = texts.join(found.filter(F.size("open") > 0).drop("gone"), mine).select("id", "key", "doc_id", "text", "open")
+    asked = texts.join(found.filter(F.size("open") > 0).drop("gone"), mine).select(*NAMES, "doc_id", "text", "open")
     single = windows(asked, window)
-    single = single.select("id", "key", "start", (F.col("settled") | _repeats(place, Window.partitionBy("h0", "h1"))).alias("gone")).filter("gone")
-    single = single.select("id", "key", F.array(F.struct("start", F.lit(1).alias("count"))).alias("gone"))
-    gone = found.filter(F.size("gone") > 0).select(F.col("_id").alias("id"), F.col("_key").alias("key"), "gone").unionByName(single)
-    gone = gone.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.flatten(F.collect_list("gone")).alias("gone"))
-    return texts.join(gone, mine, "left").select("id", "key", "doc_id", "text", "gone")
+    single = single.select(*NAMES, "start", (F.col("settled") | _repeats(place, Window.partitionBy("h0", "h1"))).alias("gone")).filter("gone")
+    single = single.select(*NAMES, F.array(F.struct("start", F.lit(1).alias("count"))).alias("gone"))
+    gone = found.filter(F.size("gone") > 0).select(*(F.col(f"_{c}").alias(c) for c in NAMES), "gone").unionByName(single)
+    gone = gone.groupBy(*theirs).agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    return texts.join(gone, mine, "left").select(*NAMES, "doc_id", "text", "gone")
 
 
 def kept_words(text: bytes, gone: tuple[np.ndarray, np.ndarray] | None, window: int = WINDOW) -> tuple[int, list[bytes]]:

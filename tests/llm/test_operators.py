@@ -398,6 +398,16 @@ def test_substrings(spark, odd, none):
     assert hashlib.sha256(texts[60].encode()).hexdigest() == next(r[3] for r in plain_removed(rows) if r[0] == "60")
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_rows_of_one_id_are_told_apart_by_more_than_32_bits(spark, doc_id):
+    stock, other = (" ".join(f"{c}{i}" for i in range(25)) for c in "so")
+    rows = [(doc_id, stock + " end"), (doc_id, "w3247 x " + stock), (doc_id, "w95850 x " + other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert df.selectExpr("hash(text) AS h").distinct().count() == 2  # the last two share it
+    got = removed(df)
+    assert got == plain_removed(rows) and sorted(r[2] for r in got) == [0, 0, 25]
+
+
 def test_equal_windows_share_a_symbol():
     rng = np.random.default_rng(4)
     stock = [b"%d" % i for i in rng.integers(0, 50, 400)]
