@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from probity.llm import bpe, ego_join, html_blocks, mixing, quality, secret_scan, simhash, substrings, topk, toxicity
+from probity.llm import bpe, chat_format, ego_join, html_blocks, mixing, quality, secret_scan, simhash, substrings, topk, toxicity
 from probity.llm.common import read
 
 
@@ -46,6 +46,10 @@ def op10_html(spark, sf_dir):
     return html_blocks.extracted(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op4_embeddings, op5_topk, op6_secrets, op7_substrings, op8_bpe, op9_quality, op10_html)}
+def op11_chat(spark, sf_dir):
+    return chat_format.digest(read(spark, sf_dir, "conversations"))
 
-ORACLE = {"op1_mixing": mixing.ORACLE, "op4_embeddings": ego_join.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE, "op7_substrings": substrings.ORACLE}
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op4_embeddings, op5_topk, op6_secrets, op7_substrings, op8_bpe, op9_quality, op10_html, op11_chat)}
+
+ORACLE = {"op1_mixing": mixing.ORACLE, "op4_embeddings": ego_join.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE, "op7_substrings": substrings.ORACLE, "op11_chat": chat_format.ORACLE}
