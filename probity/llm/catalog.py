@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from probity.llm import bpe, chat_format, ego_join, html_blocks, mixing, quality, secret_scan, simhash, substrings, topk, toxicity
+from probity.llm import bpe, chat_format, codebooks, collocations, ego_join, html_blocks, mixing, quality, secret_scan, simhash, substrings, topk, toxicity
 from probity.llm.common import read
 
 
@@ -50,6 +50,14 @@ def op11_chat(spark, sf_dir):
     return chat_format.digest(read(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op4_embeddings, op5_topk, op6_secrets, op7_substrings, op8_bpe, op9_quality, op10_html, op11_chat)}
+def op12_phrases(spark, sf_dir):
+    return collocations.digest(read(spark, sf_dir, "documents"))
 
-ORACLE = {"op1_mixing": mixing.ORACLE, "op4_embeddings": ego_join.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE, "op7_substrings": substrings.ORACLE, "op11_chat": chat_format.ORACLE}
+
+def op13_codes(spark, sf_dir):
+    return codebooks.digest(read(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_toxicity, op3_simhash, op4_embeddings, op5_topk, op6_secrets, op7_substrings, op8_bpe, op9_quality, op10_html, op11_chat, op12_phrases, op13_codes)}
+
+ORACLE = {"op1_mixing": mixing.ORACLE, "op4_embeddings": ego_join.ORACLE, "op5_topk": topk.ORACLE, "op6_secrets": secret_scan.ORACLE, "op7_substrings": substrings.ORACLE, "op11_chat": chat_format.ORACLE, "op12_phrases": collocations.ORACLE, "op13_codes": codebooks.ORACLE}
