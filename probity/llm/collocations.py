@@ -31,11 +31,11 @@ THRESHOLD, LONGEST, TOP = 30, 4, 2000
 #: floor(SCALE * a / (l + r)); a phrase goes if SHARE % of its occurrences are in a longer candidate.
 SCALE, SHARE = 2_000_000, 80
 #: Words of a chunk (a text is never cut within a piece unless the piece alone is longer).
-CHUNK = 1 << 19
+CHUNK = 1 << 20
 #: N-grams of a hash partition, about.
 MASS = 1 << 25
-#: Bits of a hash that are packed; the hash partition stands for more.
-BITS = 40
+#: Bits of a packed hash beyond those that tell a hash partition's mass: one n-gram in 500 shares its hash, at most.
+SPARE = 9
 #: A-Z to a-z, the marks that end a piece to line feeds, tabs to spaces.
 TABLE = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
 BREAK = -1
@@ -56,16 +56,30 @@ class _Words(dict):
         return n
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    return pa.compress(b"".join(a.tobytes() for a in arrays), codec="zstd", asbytes=True)
+def _planes(x: np.ndarray, kind: str = "<u4") -> np.ndarray:
+    """The numbers byte by byte, lowest first: the high bytes of small numbers are zeros and pack to nothing."""
+    x = np.ascontiguousarray(x, kind)
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
+
+
+def _numbers(planes: np.ndarray, kind: str = "<u4") -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _pack(*parts: bytes | np.ndarray) -> bytes:
+    return pa.compress(b"".join(p if isinstance(p, bytes) else p.tobytes() for p in parts), codec="zstd", asbytes=True)
+
+
+def _unpack(size: int, packed: bytes) -> bytes:
+    return pa.decompress(packed, size, codec="zstd", asbytes=True)
 
 
 def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
-    """chunk, n_codes, codes (int32, breaks between pieces), langs and n (words of each language), and the chunk's own
-    dictionary, words as bytes: one row for about ``size`` words."""
+    """chunk, mass, sizes (of codes, of words, of words in bytes), codes (packed, breaks between pieces), words (packed: the
+    chunk's own dictionary and the language of each), langs and n (words of each language): one row for about ``size`` words."""
     rows = docs.select(F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    spec = "chunk long, mass long, n_codes int, codes binary, word_langs array<string>, word_bytes array<binary>, langs array<string>, n array<long>"
-    schema = pa.schema([("chunk", pa.int64()), ("mass", pa.int64()), ("n_codes", pa.int32()), ("codes", pa.binary()), ("word_langs", pa.list_(pa.string())), ("word_bytes", pa.list_(pa.binary())), ("langs", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
+    fields = [("chunk", pa.int64()), ("mass", pa.int64()), ("sizes", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary()), ("langs", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))]
+    spec, schema = "chunk long, mass long, sizes array<long>, codes binary, words binary, langs array<string>, n array<long>", pa.schema(fields)
     table, longest = TABLE, LONGEST
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,9 +91,11 @@ def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             nonlocal made, held, n_held, every, by_lang
             codes = np.concatenate(held)
             lang_of = {lang: i for i, lang in enumerate(by_lang)}
-            mine = np.array([lang_of[lang] for lang, _ in every] or [0])[codes[codes >= 0]]
-            n = np.bincount(mine, minlength=len(lang_of))
-            values = [made, n_held * longest, len(codes), _pack(codes), [x for x, _ in every], [w for _, w in every], list(lang_of), n.tolist()]
+            of_word = np.array([lang_of[lang] for lang, _ in every], np.int64)
+            n = np.bincount(of_word[codes[codes >= 0]], minlength=len(lang_of))
+            flat = b"\n".join(w for _, w in every)
+            words = _pack(_planes(of_word), flat)
+            values = [made, n_held * longest, [len(codes), len(every), len(flat)], _pack(_planes(codes + 1)), words, list(lang_of), n.tolist()]
             made, held, n_held, every, by_lang = made + 1, [], 0, [], {}
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
@@ -116,12 +132,16 @@ def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     return rows.mapInArrow(each, spec)
 
 
-def _codes(n: int, packed: bytes) -> np.ndarray:
-    return np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd", asbytes=True), np.int32)
-
-
-def _hashes(langs: list[str], words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(lang.encode() + b"\0" + w) for lang, w in zip(langs, words, strict=True)], np.uint64)
+def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """Codes, the language (as a place in ``langs``), the bytes and the hash of each word of a chunk."""
+    n_codes, n_words, n_bytes = row["sizes"]
+    codes = _numbers(np.frombuffer(_unpack(4 * n_codes, row["codes"]), np.uint8)).astype(np.int32) - 1
+    flat = _unpack(4 * n_words + n_bytes, row["words"])
+    of_word = _numbers(np.frombuffer(flat, np.uint8, 4 * n_words)).astype(np.int64)
+    words = flat[4 * n_words :].split(b"\n") if n_words else []
+    seeds = [lang.encode() + b"\0" for lang in row["langs"]]
+    hashes = np.array([xxhash.xxh64_intdigest(seeds[k] + w) for k, w in zip(of_word.tolist(), words, strict=True)], np.uint64)
+    return codes, of_word, words, hashes
 
 
 def _grams(codes: np.ndarray, hashes: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -143,16 +163,15 @@ def _slot_keys(h: np.ndarray, slots: int, bits: int) -> np.ndarray:
 
 
 def _bundle(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys as differences, byte by byte, then counts likewise: small once compressed."""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    planes = steps.view(np.uint8).reshape(-1, 8).T, np.asarray(counts, "<u4").view(np.uint8).reshape(-1, 4).T
-    return _pack(*(np.ascontiguousarray(p) for p in planes))
+    """Sorted keys, 16 bits as they are and the steps of the rest, and their counts."""
+    high = (keys >> np.uint64(16)).astype(np.int64)
+    return _pack(keys.astype("<u2"), _planes(np.diff(high, prepend=0)), _planes(counts))
 
 
 def _unbundle(n: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    flat = np.frombuffer(pa.decompress(packed, 12 * n, codec="zstd", asbytes=True), np.uint8)
-    steps = np.ascontiguousarray(flat[: 8 * n].reshape(8, n).T).view("<u8").ravel()
-    return np.cumsum(steps, dtype=np.uint64), np.ascontiguousarray(flat[8 * n :].reshape(4, n).T).view("<u4").ravel().astype(np.int64)
+    flat = np.frombuffer(_unpack(10 * n, packed), np.uint8)
+    high = np.cumsum(_numbers(flat[2 * n : 6 * n]), dtype=np.uint64)
+    return (high << np.uint64(16)) | flat[: 2 * n].view("<u2"), _numbers(flat[6 * n :]).astype(np.int64)
 
 
 class Summary:
@@ -173,7 +192,7 @@ class Summary:
     def settle(self) -> None:
         keys = np.concatenate([self.keys, *(k for k, _ in self.waiting)])
         counts = np.concatenate([self.counts, *(c for _, c in self.waiting)])
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys, counts = keys[order], counts[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
         self.keys, self.counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -195,9 +214,8 @@ def _bundles(chunks: DataFrame, slots: int, longest: int, bits: int) -> DataFram
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                codes = _codes(row["n_codes"], row["codes"])
-                grams = [h for _, _, h in _grams(codes, _hashes(row["word_langs"], row["word_bytes"]), longest)]
-                keys, counts = np.unique(_slot_keys(np.concatenate(grams), slots, bits), return_counts=True)
+                codes, _, _, hashes = _opened(row)
+                keys, counts = np.unique(_slot_keys(np.concatenate([h for _, _, h in _grams(codes, hashes, longest)]), slots, bits), return_counts=True)
                 edges = np.searchsorted(keys, np.arange(slots + 1, dtype=np.uint64) << np.uint64(bits))
                 some = np.flatnonzero(np.diff(edges))
                 low = keys & np.uint64((1 << bits) - 1)
@@ -208,7 +226,7 @@ def _bundles(chunks: DataFrame, slots: int, longest: int, bits: int) -> DataFram
                     ["chunk", "slot", "n", "mass", "packed"],
                 )
 
-    return chunks.select("chunk", "n_codes", "codes", "word_langs", "word_bytes").mapInArrow(each, "chunk long, slot int, n int, mass long, packed binary")
+    return chunks.select("chunk", "sizes", "codes", "words", "langs").mapInArrow(each, "chunk long, slot int, n int, mass long, packed binary")
 
 
 def frequent(bundles: DataFrame, threshold: int) -> DataFrame:
@@ -224,57 +242,63 @@ def frequent(bundles: DataFrame, threshold: int) -> DataFrame:
             summary.add(*_unbundle(n, packed))
         alive = summary.survivors()
         # the second pass: exact counts of the survivors
-        total = np.zeros(len(alive), np.int64)
+        total = np.zeros(len(alive) + 1, np.int64)
         for _, _, n, packed in held:
             keys, counts = _unbundle(n, packed)
             at = np.searchsorted(alive, keys)
+            at[at < len(alive)] = np.where(alive[at[at < len(alive)]] == keys[at < len(alive)], at[at < len(alive)], len(alive))
             there = at < len(alive)
-            there[there] = alive[at[there]] == keys[there]
-            np.add.at(total, at[there], counts[there])
-        alive = alive[total >= threshold]
+            total[at[there]] += counts[there]  # a bundle has each key once
+        alive = alive[total[:-1] >= threshold]
         for chunk, slot, n, packed in held:
-            keys = np.intersect1d(_unbundle(n, packed)[0], alive, assume_unique=True)
-            if len(keys):
-                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([slot], pa.int32()), pa.array([len(keys)], pa.int32()), pa.array([_bundle(keys, np.zeros(len(keys)))], pa.binary())], ["chunk", "slot", "n", "packed"])
+            keys, _ = _unbundle(n, packed)
+            mine = alive[keys[np.minimum(np.searchsorted(keys, alive), n - 1)] == alive]
+            if len(mine):
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([slot], pa.int32()), pa.array([len(mine)], pa.int32()), pa.array([_bundle(mine, np.zeros(len(mine)))], pa.binary())], ["chunk", "slot", "n", "packed"])
 
     return bundles.groupBy("slot").applyInArrow(each, "chunk long, slot int, n int, packed binary")
 
 
-def phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, chunk: int = CHUNK, mass: int = MASS, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+def phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, chunk: int = CHUNK, mass: int = MASS, spare: int = SPARE) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, a) for all phrases of 1 to ``longest`` words that occur ``threshold`` times or more in a
     language, and (lang, n), the words of each language."""
     spark = docs.sparkSession
     chunks = cut(chunked(docs, chunk))
     every = chunks.agg(F.sum("mass").alias("mass")).first()["mass"] or 0
-    slots = max(4 * partitions(spark), -(-every // mass))
+    slots = max(2 * partitions(spark), -(-every // mass))
+    bits = min(47, max(4, int(-(-every // slots)).bit_length() + spare))
     found = frequent(_bundles(chunks, slots, longest, bits), threshold)
     mine = found.groupBy("chunk").agg(F.collect_list(F.struct("slot", "n", "packed")).alias("found")).withColumnRenamed("chunk", "_chunk")
-    both = chunks.join(mine, F.col("chunk") == F.col("_chunk")).select("n_codes", "codes", "word_langs", "word_bytes", "found")
+    both = chunks.join(mine, F.col("chunk") == F.col("_chunk")).select("sizes", "codes", "words", "langs", "found")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row in b.to_pylist():
-                codes, langs, words = _codes(row["n_codes"], row["codes"]), row["word_langs"], row["word_bytes"]
+                codes, of_word, words, hashes = _opened(row)
                 wanted = np.sort(np.concatenate([_unbundle(f["n"], f["packed"])[0] | (np.uint64(f["slot"]) << np.uint64(bits)) for f in row["found"]]))
-                out: list[list] = [[], [], [], []]
-                for n, at, h in _grams(codes, _hashes(langs, words), longest):
+                langs = np.array(row["langs"], object)
+                for n, at, h in _grams(codes, hashes, longest):
                     keys = _slot_keys(h, slots, bits)
                     near = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
                     at = at[wanted[near] == keys]
-                    tuples = codes[at[:, None] + np.arange(n)]
-                    order = np.lexsort(tuples.T[::-1])
-                    tuples = tuples[order]
-                    new = np.append(True, (tuples[1:] != tuples[:-1]).any(axis=1)) if len(at) else np.zeros(0, bool)
-                    first = np.flatnonzero(new)
-                    for t, c in zip(tuples[first].tolist(), np.diff(np.append(first, len(at))).tolist(), strict=True):
-                        out[0].append(langs[t[0]])
-                        out[1].append(b" ".join(words[i] for i in t).decode("utf-8", "replace"))
-                        out[2].append(n)
-                        out[3].append(c)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], ["lang", "phrase", "words", "a"])
-
-    spelt = both.mapInArrow(spell, "lang string, phrase string, words int, a long")
-    exact = spelt.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= threshold)
+                    if not len(at):
+                        continue
+                    if n == 1:
+                        times = np.bincount(codes[at], minlength=len(words))
+                        first = np.flatnonzero(times)
+                        spelling, times = [words[i] for i in first], times[first]
+                    else:
+                        tuples = codes[at[:, None] + np.arange(n)]
+                        tuples = tuples[np.lexsort(tuples.T[::-1])]
+                        starts = np.flatnonzero(np.append(True, (tuples[1:] != tuples[:-1]).any(axis=1)))
+                        first, times = tuples[starts, 0], np.diff(np.append(starts, len(at)))
+                        spelling = [b" ".join([words[i] for i in t]) for t in tuples[starts].tolist()]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(langs[of_word[first]], pa.string()), pa.array(spelling, pa.binary()), pa.array(np.full(len(first), n, np.int32)), pa.array(times.astype(np.int64))], ["lang", "phrase", "words", "a"]
+                    )
+
+    spelt = both.mapInArrow(spell, "lang string, phrase binary, words int, a long")
+    exact = spelt.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= threshold).withColumn("phrase", F.col("phrase").cast("string"))
     totals = chunks.select(F.explode(F.arrays_zip("langs", "n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.n").alias("n"))
     return exact, totals
 
