@@ -22,20 +22,24 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from probity.llm.common import cut, partitions
+from probity.llm.common import cut, partitions, running
 
 THRESHOLD, LONGEST, TOP = 30, 4, 2000
 #: floor(SCALE * a / (l + r)); a phrase goes if SHARE % of its occurrences are in a longer candidate.
 SCALE, SHARE = 2_000_000, 80
 #: Words of a chunk (a text is never cut within a piece unless the piece alone is longer).
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: N-grams of a hash partition, about.
 MASS = 1 << 25
 #: Bits of a packed hash beyond those that tell a hash partition's mass: one n-gram in 500 shares its hash, at most.
 SPARE = 9
+#: Bits of the map of words that phrases need; two words with one bit only cost a row each.
+WORD_BITS = 1 << 24
+#: A table of so many languages, or fewer, is broadcast.
+LANGS = 50_000
 #: A-Z to a-z, the marks that end a piece to line feeds, tabs to spaces.
 TABLE = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
 BREAK = -1
@@ -95,7 +99,7 @@ def chunked(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             n = np.bincount(of_word[codes[codes >= 0]], minlength=len(lang_of))
             flat = b"\n".join(w for _, w in every)
             words = _pack(_planes(of_word), flat)
-            values = [made, n_held * longest, [len(codes), len(every), len(flat)], _pack(_planes(codes + 1)), words, list(lang_of), n.tolist()]
+            values = [made, n_held * (longest - 1), [len(codes), len(every), len(flat)], _pack(_planes(codes + 1)), words, list(lang_of), n.tolist()]
             made, held, n_held, every, by_lang = made + 1, [], 0, [], {}
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema, strict=True)], schema=schema)
 
@@ -145,7 +149,7 @@ def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]
 
 
 def _grams(codes: np.ndarray, hashes: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For n = 1 to ``longest`` the starts and the 64-bit hashes of the n-grams."""
+    """For n = 2 to ``longest`` the starts and the 64-bit hashes of the n-grams."""
     word = np.append(hashes, np.uint64(0))[codes]
     fits, h = np.ones(len(codes), bool), np.zeros(len(codes), np.uint64)
     for n in range(1, longest + 1):
@@ -154,7 +158,8 @@ def _grams(codes: np.ndarray, hashes: np.ndarray, longest: int) -> Iterator[tupl
         h = (h ^ word[n - 1 : n - 1 + m]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
         at = np.flatnonzero(fits)
-        yield n, at, (h[at] + np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)
+        if n > 1:
+            yield n, at, (h[at] + np.uint64(n)) * np.uint64(0xD6E8FEB86659FD93)
 
 
 def _slot_keys(h: np.ndarray, slots: int, bits: int) -> np.ndarray:
@@ -283,24 +288,60 @@ def phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,
                     at = at[wanted[near] == keys]
                     if not len(at):
                         continue
-                    if n == 1:
-                        times = np.bincount(codes[at], minlength=len(words))
-                        first = np.flatnonzero(times)
-                        spelling, times = [words[i] for i in first], times[first]
-                    else:
-                        tuples = codes[at[:, None] + np.arange(n)]
-                        tuples = tuples[np.lexsort(tuples.T[::-1])]
-                        starts = np.flatnonzero(np.append(True, (tuples[1:] != tuples[:-1]).any(axis=1)))
-                        first, times = tuples[starts, 0], np.diff(np.append(starts, len(at)))
-                        spelling = [b" ".join([words[i] for i in t]) for t in tuples[starts].tolist()]
+                    tuples = codes[at[:, None] + np.arange(n)]
+                    tuples = tuples[np.lexsort(tuples.T[::-1])]
+                    starts = np.flatnonzero(np.append(True, (tuples[1:] != tuples[:-1]).any(axis=1)))
+                    first, times = tuples[starts, 0], np.diff(np.append(starts, len(at)))
+                    spelling = [b" ".join([words[i] for i in t]) for t in tuples[starts].tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(langs[of_word[first]], pa.string()), pa.array(spelling, pa.binary()), pa.array(np.full(len(first), n, np.int32)), pa.array(times.astype(np.int64))], ["lang", "phrase", "words", "a"]
                     )
 
     spelt = both.mapInArrow(spell, "lang string, phrase binary, words int, a long")
-    exact = spelt.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= threshold).withColumn("phrase", F.col("phrase").cast("string"))
+    exact = _exact(spelt, threshold)
     totals = chunks.select(F.explode(F.arrays_zip("langs", "n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.n").alias("n"))
-    return exact, totals
+    exact = cut(exact)
+    return exact.unionByName(_exact(_words_of(exact, chunks), threshold)), totals
+
+
+def _exact(spelt: DataFrame, threshold: int) -> DataFrame:
+    exact = spelt.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= threshold).withColumn("phrase", F.col("phrase").cast("string"))
+    return exact
+
+
+def _words_of(known: DataFrame, chunks: DataFrame) -> DataFrame:
+    """lang, phrase, words (1), a: the counts by chunk of the words of ``known`` phrases, and of few others. Which words
+    those are goes to the chunks as a bit map of a fixed size."""
+    needed = known.select(F.explode(F.split("phrase", " ", -1)).alias("w"))
+    # positions of bitmap functions are counted from 1
+    bits = needed.select((F.pmod(F.xxhash64(F.col("w").cast("binary")), F.lit(WORD_BITS)) + 1).alias("bit"))
+    bits = bits.groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("map"))
+    wanted = np.zeros(WORD_BITS, bool)
+    for r in bits.collect():  # WORD_BITS / 8 bytes in all, at most
+        part = np.unpackbits(np.frombuffer(r["map"], np.uint8), bitorder="little")
+        wanted[(r["k"] - 1) * len(part) : r["k"] * len(part)] = part[: WORD_BITS - (r["k"] - 1) * len(part)]
+    packed, all_bits = np.packbits(wanted), WORD_BITS
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(packed)
+        for b in batches:
+            for row in b.to_pylist():
+                codes, of_word, words, _ = _opened(row)
+                at = np.array([xxhash.xxh64_intdigest(w, seed=42) for w in words], np.uint64).astype(np.int64) % all_bits
+                mine = np.flatnonzero(wanted[at])
+                times = np.bincount(codes[codes >= 0], minlength=len(words))[mine]
+                langs = np.array(row["langs"], object)[of_word[mine]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(langs, pa.string()), pa.array([words[i] for i in mine], pa.binary()), pa.array(np.ones(len(mine), np.int32)), pa.array(times.astype(np.int64))], ["lang", "phrase", "words", "a"]
+                )
+
+    return chunks.select("sizes", "codes", "words", "langs").mapInArrow(each, "lang string, phrase binary, words int, a long")
+
+
+def _small(langs: DataFrame) -> DataFrame:
+    """A table with one row per language, broadcast if it is as small as it should be."""
+    langs = cut(langs)
+    return F.broadcast(langs) if langs.count() <= LANGS else langs
 
 
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, share: int = SHARE, scale: int = SCALE, **sizes: int) -> DataFrame:
@@ -322,12 +363,15 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LON
     longer = candidates.filter("words > 2").select("lang", F.explode(F.array_distinct(inside)).alias("phrase"), "a")
     most = longer.groupBy("lang", "phrase").agg(F.max("a").alias("_most"))
     kept = best.join(most, ["lang", "phrase"], "left").filter(F.col("_most").isNull() | (F.lit(100).cast("decimal(3,0)") * F.col("_most") < F.lit(share).cast("decimal(3,0)") * F.col("_s.a")))
-    return kept.join(totals, "lang").select("lang", "phrase", "_s.a", "_s.l", "_s.r", "n", "_s.score")
+    return kept.join(_small(totals), "lang").select("lang", "phrase", "_s.a", "_s.l", "_s.r", "n", "_s.score")
 
 
 def digest(docs: DataFrame, top: int = TOP) -> DataFrame:
-    w = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = collocations(docs).withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= top)
+    # the place in one order of all, less the first place of the language
+    found = collocations(docs).withColumns({"_s": -F.col("score"), "_a": -F.col("a"), "_one": F.lit(1).cast("long")})
+    placed = running(found, ["lang", "_s", "_a", "phrase"], {"_at": "_one"})
+    first = _small(placed.groupBy("lang").agg(F.min("_at").alias("_first")))
+    ranked = placed.join(first, "lang").withColumn("rank", F.col("_at") - F.col("_first") + 1).filter(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
 
 

@@ -334,7 +334,7 @@ def plain_spans(text):
 def test_secrets(spark, odd, none):
     live, example = "Zq9" + "aB3xY7" * 6, "Ex4" + "mP1eK9" * 6
     texts = ["é password=hunter22 and\npasswd : 'short'", "token:token:abcdefgh", 'API_KEY = "abc.def-ghi" secret=ab', "AKIA" + "A" * 15, "xAKIA" + "B7" * 8 + "tail", "0123456789abcdef" * 2, "deadbeef" * 2, "secret==abcdef", live, "see " + example, live + " " + live]
-    rows = [(100 + i, t, "en", "s%d" % (i % 2), 1) for i, t in enumerate(texts)] + [(200 + i, "see " + example, "en", "t%d" % i, 1) for i in range(4)]
+    rows = [(100 + i, t, "en", "s%d" % (i % 2), 1) for i, t in enumerate(texts)] + [(200 + i, "see %d " % i + example, "en", "t%d" % i, 1) for i in range(4)]
     docs = spark.createDataFrame(rows, DOC).unionByName(odd.select("doc_id", "text", "lang", "source", "n_chars"))
     got = secret_scan.digest(docs).collect()
     text = {r["doc_id"]: r["text"] for r in docs.filter("doc_id is not null").collect()}
@@ -351,13 +351,42 @@ def test_secrets(spark, odd, none):
         assert ("token:" in r["spans"]) == (live in (text[r["doc_id"]] or ""))
     assert len(got) == docs.count()
     out = {r["doc_id"]: r for r in secret_scan.redacted(docs).collect() if r["doc_id"] is not None}
-    assert out[108]["text"] == "[SECRET]" and out[110]["text"] == "[SECRET] [SECRET]" and out[200]["text"] == "see " + example
+    assert out[108]["text"] == "[SECRET]" and out[110]["text"] == "[SECRET] [SECRET]" and out[200]["text"] == "see 0 " + example
     assert out[100]["text"] == "é [SECRET] and\npasswd : 'short'" and out[100]["n_chars"] == len(out[100]["text"]) and out[106]["text"] == "deadbeef" * 2
     same = secret_scan.redacted(odd)
     assert same.columns == odd.columns and same.count() == odd.count()
     assert secret_scan.digest(none).count() == 0 and secret_scan.redacted(none).count() == 0
 
 
+def test_both_counts_decide(spark):
+    """Copies of one text count once; many repositories of two owners are enough."""
+    key = lambda c: "sk_live_" + c * 20
+    rows = [(i, "the same text " + key("a"), "en", "o%d" % i, 1) for i in range(5)]  # one text of five owners: live
+    rows += [(100 + i, "text %d %s" % (i, key("b")), "en", "o%d" % (i % 2), 1) for i in range(40)]  # many texts of two owners: an example
+    rows += [(200 + i, "text %d %s" % (i, key("c")), "en", "o1", 1) for i in range(40)]  # many texts of one owner: live
+    rows += [(300 + i, "text %d %s" % (i, key("d")), "en", "o%d" % i, 1) for i in range(3)]  # three of three: an example
+    rows += [(400 + i, "text %d %s" % (i, key("e")), "en", "o%d" % i, 1) for i in range(2)]  # two of two: live
+    docs = spark.createDataFrame(rows, DOC)
+    live = {r["doc_id"] // 100: r["n_live"] for r in secret_scan.digest(docs).collect()}
+    assert live == {0: 1, 1: 0, 2: 1, 3: 0, 4: 1}
+    masked = {r["doc_id"]: secret_scan.MASK in r["text"] for r in secret_scan.redacted(docs).collect()}
+    assert all(masked[d] == (d // 100 in (0, 2, 4)) for d in masked)
+
+
+def test_many_matches_in_one_text(spark):
+    """Linear in the matches of a text."""
+    text = " ".join(("é token = 'Zq%06dxY'" % i if i % 4 == 0 else "%032x" % i) for i in range(32_000))
+    docs = spark.createDataFrame([(1, text, "en", "a", len(text)), (2, "none", "en", "a", 4)], DOC)
+    with ends_within(60):
+        got = {r["doc_id"]: r for r in secret_scan.digest(docs).collect()}
+    assert got[1]["n_assign"] == 8000 and got[1]["n_hex"] == 24_000 and got[2]["spans"] == ""
+    base = [f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in plain_spans(text)]
+    assert got[1]["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+    with ends_within(60):
+        out = {r["doc_id"]: r["text"] for r in secret_scan.redacted(docs).collect()}
+    assert out == {1: " ".join("é [SECRET]'" if i % 4 == 0 else "[SECRET]" for i in range(32_000)), 2: "none"}
+
+
 # --- substrings
 
 
