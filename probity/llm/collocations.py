@@ -38,6 +38,8 @@ MASS = 1 << 25
 SPARE = 9
 #: Bits of the map of words that phrases need; two words with one bit only cost a row each.
 WORD_BITS = 1 << 24
+#: Phrases that a task holds before it hands their counts on.
+HELD = 500_000
 #: A table of so many languages, or fewer, is broadcast.
 LANGS = 50_000
 #: A-Z to a-z, the marks that end a piece to line feeds, tabs to spaces.
@@ -276,7 +278,7 @@ def phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,
     mine = found.groupBy("chunk").agg(F.collect_list(F.struct("slot", "n", "packed")).alias("found")).withColumnRenamed("chunk", "_chunk")
     both = chunks.join(mine, F.col("chunk") == F.col("_chunk")).select("sizes", "codes", "words", "langs", "found")
 
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spelt(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[bytes], list[int]]]:
         for b in batches:
             for row in b.to_pylist():
                 codes, of_word, words, hashes = _opened(row)
@@ -291,27 +293,76 @@ def phrases(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,
                     tuples = codes[at[:, None] + np.arange(n)]
                     tuples = tuples[np.lexsort(tuples.T[::-1])]
                     starts = np.flatnonzero(np.append(True, (tuples[1:] != tuples[:-1]).any(axis=1)))
-                    first, times = tuples[starts, 0], np.diff(np.append(starts, len(at)))
+                    times = np.diff(np.append(starts, len(at)))
                     spelling = [b" ".join([words[i] for i in t]) for t in tuples[starts].tolist()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(langs[of_word[first]], pa.string()), pa.array(spelling, pa.binary()), pa.array(np.full(len(first), n, np.int32)), pa.array(times.astype(np.int64))], ["lang", "phrase", "words", "a"]
-                    )
+                    yield langs[of_word[tuples[starts, 0]]].tolist(), spelling, times.tolist()
 
-    spelt = both.mapInArrow(spell, "lang string, phrase binary, words int, a long")
-    exact = _exact(spelt, threshold)
     totals = chunks.select(F.explode(F.arrays_zip("langs", "n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.n").alias("n"))
-    exact = cut(exact)
-    return exact.unionByName(_exact(_words_of(exact, chunks), threshold)), totals
-
+    exact = cut(_summed(both.mapInArrow(lambda batches: _tallies(spelt(batches), slots), TALLY), threshold))
+    return exact.unionByName(_summed(_words_of(exact, chunks, slots), threshold)), totals
+
+
+#: Counts of the phrases of a bucket: a table of languages; packed, the counts and the phrases, each with its language.
+TALLY = "bucket int, n int, size long, langs array<string>, packed binary"
+
+
+def _tallies(found: Iterator[tuple[list[str], list[bytes], list[int]]], buckets: int, most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """Adds up (language, phrase, count) in a task, and hands the counts on in one row per bucket."""
+    held: dict[str, dict[bytes, int]] = {}
+
+    def flush() -> pa.RecordBatch:
+        table = list(held)
+        rows: list[list[tuple[bytes, int]]] = [[] for _ in range(buckets)]
+        for i, lang in enumerate(table):
+            seed, before = lang.encode() + b"\0", b"%d\0" % i
+            for phrase, n in sorted(held[lang].items()):
+                rows[xxhash.xxh64_intdigest(seed + phrase) % buckets].append((before + phrase, n))
+        some = [i for i, r in enumerate(rows) if r]
+        flat = [b"\n".join(p for p, _ in rows[i]) for i in some]
+        packed = [_pack(_planes(np.array([n for _, n in rows[i]])), x) for i, x in zip(some, flat, strict=True)]
+        held.clear()
+        columns = [pa.array(some, pa.int32()), pa.array([len(rows[i]) for i in some], pa.int32()), pa.array([len(x) for x in flat], pa.int64()), pa.array([table] * len(some), pa.list_(pa.string())), pa.array(packed, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "n", "size", "langs", "packed"])
+
+    for langs, phrases_, counts in found:
+        for lang, phrase, n in zip(langs, phrases_, counts, strict=True):
+            mine = held.get(lang)
+            if mine is None:
+                mine = held[lang] = {}
+            mine[phrase] = mine.get(phrase, 0) + n
+        if sum(map(len, held.values())) > most:
+            yield flush()
+    if held:
+        yield flush()
 
-def _exact(spelt: DataFrame, threshold: int) -> DataFrame:
-    exact = spelt.groupBy("lang", "phrase", "words").agg(F.sum("a").alias("a")).filter(F.col("a") >= threshold).withColumn("phrase", F.col("phrase").cast("string"))
-    return exact
 
+def _summed(tallies: DataFrame, threshold: int) -> DataFrame:
+    """lang, phrase, words, a: the exact counts that reach the threshold."""
 
-def _words_of(known: DataFrame, chunks: DataFrame) -> DataFrame:
-    """lang, phrase, words (1), a: the counts by chunk of the words of ``known`` phrases, and of few others. Which words
-    those are goes to the chunks as a bit map of a fixed size."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, dict[bytes, int]] = {}
+        for b in batches:
+            for row in b.to_pylist():
+                flat = _unpack(4 * row["n"] + row["size"], row["packed"])
+                counts = _numbers(np.frombuffer(flat, np.uint8, 4 * row["n"])).tolist()
+                mine = [total.setdefault(lang, {}) for lang in row["langs"]]
+                for one, n in zip(flat[4 * row["n"] :].split(b"\n"), counts, strict=True):
+                    i, _, phrase = one.partition(b"\0")
+                    t = mine[int(i)]
+                    t[phrase] = t.get(phrase, 0) + n
+        for lang, t in total.items():
+            kept = [(p, p.count(b" ") + 1, n) for p, n in t.items() if n >= threshold]
+            if kept:
+                phrase, words, n = zip(*kept, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(kept)), pa.array(phrase, pa.binary()), pa.array(words, pa.int32()), pa.array(n, pa.int64())], ["lang", "phrase", "words", "a"])
+
+    counted = tallies.groupBy("bucket").applyInArrow(each, "lang string, phrase binary, words int, a long")
+    return counted.withColumn("phrase", F.col("phrase").cast("string"))
+
+
+def _words_of(known: DataFrame, chunks: DataFrame, buckets: int) -> DataFrame:
+    """Tallies of the words of ``known`` phrases, and of few others. Which words those are goes to the chunks as a bit map
+    of a fixed size."""
     needed = known.select(F.explode(F.split("phrase", " ", -1)).alias("w"))
     # positions of bitmap functions are counted from 1
     bits = needed.select((F.pmod(F.xxhash64(F.col("w").cast("binary")), F.lit(WORD_BITS)) + 1).alias("bit"))
@@ -322,7 +373,7 @@ def _words_of(known: DataFrame, chunks: DataFrame) -> DataFrame:
         wanted[(r["k"] - 1) * len(part) : r["k"] * len(part)] = part[: WORD_BITS - (r["k"] - 1) * len(part)]
     packed, all_bits = np.packbits(wanted), WORD_BITS
 
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[bytes], list[int]]]:
         wanted = np.unpackbits(packed)
         for b in batches:
             for row in b.to_pylist():
@@ -330,12 +381,9 @@ def _words_of(known: DataFrame, chunks: DataFrame) -> DataFrame:
                 at = np.array([xxhash.xxh64_intdigest(w, seed=42) for w in words], np.uint64).astype(np.int64) % all_bits
                 mine = np.flatnonzero(wanted[at])
                 times = np.bincount(codes[codes >= 0], minlength=len(words))[mine]
-                langs = np.array(row["langs"], object)[of_word[mine]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs, pa.string()), pa.array([words[i] for i in mine], pa.binary()), pa.array(np.ones(len(mine), np.int32)), pa.array(times.astype(np.int64))], ["lang", "phrase", "words", "a"]
-                )
+                yield np.array(row["langs"], object)[of_word[mine]].tolist(), [words[i] for i in mine], times.tolist()
 
-    return chunks.select("sizes", "codes", "words", "langs").mapInArrow(each, "lang string, phrase binary, words int, a long")
+    return chunks.select("sizes", "codes", "words", "langs").mapInArrow(lambda batches: _tallies(counted(batches), buckets), TALLY)
 
 
 def _small(langs: DataFrame) -> DataFrame:
