@@ -27,8 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from probity.llm.common import cut, partitions
-from probity.llm.components import components
-from probity.llm.simhash import unite
+from probity.llm.components import components, unite
 from probity.llm.vectors import usable
 
 COSINE = 0.93
@@ -135,11 +134,12 @@ def block_pairs(blocks: DataFrame, eps: float, lead: int = LEAD) -> DataFrame:
     """(a, b), a <= b: the pairs of blocks of one label and length that may hold links."""
     edge = [f"{e}{i}" for e in ("lo", "hi") for i in range(lead)]
     whole = [(F.min if c.startswith("lo") else F.max)(c).alias(c) for c in edge]
-    meta = blocks.select("part", "chunk", "block", "label", "dim", *edge)
+    # boxes without vectors: a few numbers for each block
+    meta = cut(blocks.select("part", "chunk", "block", "label", "dim", *edge))
     kind = ["label", "dim"]
     # a partition may hold several labels: an interval is a partition's part of one label
-    tops = cut(meta.groupBy(*kind, F.col("part").alias("id")).agg(*whole))
-    chunks = cut(meta.groupBy(*kind, F.col("part").alias("up"), F.col("chunk").alias("id")).agg(*whole))
+    tops = meta.groupBy(*kind, F.col("part").alias("id")).agg(*whole)
+    chunks = meta.groupBy(*kind, F.col("part").alias("up"), F.col("chunk").alias("id")).agg(*whole)
     leaves = meta.select(*kind, F.col("chunk").alias("up"), F.col("block").alias("id"), *edge)
     # along the leading axis only intervals whose cells overlap or touch can meet
     cell = lambda c: F.floor(F.col(c) / eps)
@@ -148,7 +148,7 @@ def block_pairs(blocks: DataFrame, eps: float, lead: int = LEAD) -> DataFrame:
     met = left.alias("a").join(right.alias("b"), [*kind, "_cell"]).filter((F.col("a.id") <= F.col("b.id")) & _near(eps, lead))
     pairs = met.select(*kind, F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct()
     for level in (chunks, leaves):
-        p = cut(pairs).alias("p")
+        p = pairs.alias("p")
         mine = lambda s: (F.col("p.label") == F.col(f"{s}.label")) & (F.col("p.dim") == F.col(f"{s}.dim")) & (F.col(f"p.{s}_id") == F.col(f"{s}.up"))  # noqa: E731, B023
         met = p.join(level.alias("a"), mine("a")).join(level.alias("b"), mine("b"))
         met = met.filter((F.col("a.id") <= F.col("b.id")) & _near(eps, lead))
@@ -194,19 +194,20 @@ def classes(embeddings: DataFrame, cosine: float = COSINE, lead: int = LEAD, blo
     norm = F.when(usable(F.col("embedding")), _norm(F.col("embedding")))
     rows = vectors.withColumn("_fit", F.coalesce(F.col("label").isNotNull() & (norm > 0) & (norm < float("inf")), F.lit(False)))
     fit = rows.filter("_fit").groupBy("label", "embedding").agg(F.count("*").alias("weight"), F.min("vec_id").alias("rep"))
-    nodes = cut(fit.repartition(n).withColumn("node", F.monotonically_increasing_id()))
+    nodes = cut(fit.withColumn("node", F.monotonically_increasing_id()))
     units = nodes.select("node", "label", "weight", F.size("embedding").alias("dim"), _norm(F.col("embedding")).alias("_n"), "embedding")
-    units = cut(units.select("node", "label", "weight", "dim", F.transform("embedding", lambda x: x.cast("double") / F.col("_n")).alias("unit")))
+    units = units.select("node", "label", "weight", "dim", F.transform("embedding", lambda x: x.cast("double") / F.col("_n")).alias("unit"))
     blocks = cut(_sequence(units, axes(units, lead), eps, block, lead))
     found = cut(_compared(block_pairs(blocks, eps, lead), blocks, cosine))
     links = found.filter("v = -1").groupBy("u").agg(F.sum("n").alias("_links"))
     joined = components(found.filter("v >= 0").select(F.col("u").alias("a"), F.col("v").alias("b")))
     known = nodes.join(links, F.col("node") == F.col("u"), "left").drop("u").withColumnRenamed("node", "_node")
     known = known.join(joined, F.col("_node") == F.col("node"), "left")
-    known = cut(known.select("label", "embedding", "weight", "rep", F.coalesce("_links", F.lit(0)).alias("_links"), F.coalesce("component", "_node").alias("_class")).repartition(n))
-    least = cut(known.groupBy("_class").agg(F.min("rep").alias("component_id")).withColumnRenamed("_class", "_of").repartition(n))
+    known = cut(known.select("label", "embedding", "weight", "rep", F.coalesce("_links", F.lit(0)).alias("_links"), F.coalesce("component", "_node").alias("_class")))
+    least = known.groupBy("_class").agg(F.min("rep").alias("component_id")).withColumnRenamed("_class", "_of").repartition(n)
     known = known.join(least, F.col("_class") == F.col("_of")).select(F.col("label").alias("_label"), F.col("embedding").alias("_embedding"), (F.col("_links") + F.col("weight") - 1).alias("n_links"), "component_id")
-    known = cut(known.repartition(n))
+    # dealt out anew, so that the join can be split where a label or class is hot
+    known = known.repartition(n)
     mine = (F.col("label") == F.col("_label")) & (F.col("embedding") == F.col("_embedding"))
     linked = rows.filter("_fit").join(known, mine).select("vec_id", "n_links", "component_id")
     alone = rows.filter("NOT _fit").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

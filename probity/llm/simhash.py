@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from probity.llm.common import cut, partitions, row_key
-from probity.llm.components import components
+from probity.llm.components import components, unite
 
 SHINGLE = 4
 BITS = 4
@@ -109,18 +109,6 @@ def _walk(tree, keys, children, queries, roots, bits) -> Iterator[tuple[np.ndarr
         node = children[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
 
 
-def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Union-find over arrays: ``parent`` with a[i] and b[i] joined; each set's root is its smallest member."""
-    while True:
-        while not np.array_equal(up := parent[parent], parent):
-            parent = up
-        x, y = parent[a], parent[b]
-        if not (apart := x != y).any():
-            return parent
-        x, y, a, b = x[apart], y[apart], a[apart], b[apart]
-        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
-
-
 def links(fp: np.ndarray, group: np.ndarray, in_tree: np.ndarray, in_query: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest (index, index) of the links in every group; ``group`` is sorted."""
     t, q = np.flatnonzero(in_tree), np.flatnonzero(in_query)

@@ -592,3 +592,22 @@ def test_pages_empty_table(spark):
     rows = [(1, None, None, "t", "n"), (None, "u", "<article>x</article>", "t", "n"), (1, None, None, "t", "n")]
     got = sorted((str(r["page_id"]), str(r["url"]), r["text"], r["n_chars"]) for r in html_blocks.extracted(spark.createDataFrame(rows, kinds)).collect())
     assert got == [("1", "None", "", 0), ("1", "None", "", 0), ("None", "u", "x", 1)]
+
+
+# --- components
+
+
+@pytest.mark.parametrize("few", [0, 1 << 16])
+def test_components_in_rounds_and_at_once(spark, few):
+    from probity.llm.components import components
+
+    rnd = random.Random(8)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(rnd.randint(200, 400), rnd.randint(200, 400)) for _ in range(120)] + [(7, 7)]
+    root = {x: x for e in edges for x in e}
+    for _ in root:
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+    met = {x for a, b in edges if a != b for x in (a, b)}
+    got = components(spark.createDataFrame(edges, "a long, b long").repartition(3), few).collect()
+    assert {r["node"]: r["component"] for r in got} == {x: root[x] for x in met} and len(got) == len(met)
+    assert components(spark.createDataFrame([(1, 1)], "a long, b long"), few).collect() == []
