@@ -1192,8 +1192,111 @@ def _v7(spark, sf):
     from probity.operators.profile import profile
     from probity.plans.report import suggest_checks
 
-    t = read_tables(spark, sf, ["orders"])
-    return round_doubles(suggest_checks(t, profile(t["orders"], "orders")))
+    from probity.operators.discovery import foreign_keys
+
+    t = read_tables(spark, sf, KEY_TABLES)
+    return round_doubles(suggest_checks({"orders": t["orders"]}, profile(t["orders"], "orders"), references=foreign_keys(t), as_of=V7_AS_OF))
+
+
+V7_AS_OF = "2024-06-30 00:00:00"
+KEY_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+#: Columns of ``KEY_TABLES`` that references are looked for in: integers, texts.
+KEY_COLUMNS = {
+    "region": (["r_regionkey"], ["r_name"]),
+    "nation": (["n_nationkey", "n_regionkey"], ["n_name"]),
+    "customer": (["c_custkey", "c_nationkey"], ["c_name", "c_mktsegment"]),
+    "supplier": (["s_suppkey", "s_nationkey"], ["s_name"]),
+    "part": (["p_partkey", "p_size"], ["p_name", "p_brand", "p_type"]),
+    "orders": (["o_orderkey", "o_custkey"], ["o_orderstatus", "o_orderpriority"]),
+    "lineitem": (["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"], ["l_returnflag", "l_linestatus"]),
+    "events": (["event_id", "user_id"], ["event_type", "props"]),
+}
+
+
+def _keys_sql() -> str:
+    vals, counts = [], []
+    for t, groups in KEY_COLUMNS.items():
+        for fam, cs in zip("it", groups):
+            for c in cs:
+                vals.append(f"SELECT DISTINCT '{fam}' AS fam, '{t}' AS t, '{c}' AS c, CAST({c} AS VARCHAR) AS v FROM {t} WHERE {c} IS NOT NULL")
+                counts.append(f"SELECT '{t}' AS t, '{c}' AS c, count(*) AS n, count({c}) AS present FROM {t}")
+    return (
+        f"vals AS ({' UNION ALL '.join(vals)}), counts AS ({' UNION ALL '.join(counts)}), "
+        "own AS (SELECT t, c, count(*) AS n FROM vals GROUP BY t, c), "
+        "both_ AS (SELECT a.t AS child_table, a.c AS child_column, b.t AS parent_table, b.c AS parent_column, count(*) AS shared FROM vals a JOIN vals b USING (fam, v) WHERE a.t <> b.t GROUP BY ALL), "
+        "fk AS (SELECT b.child_table, b.child_column, b.parent_table, b.parent_column, shared / p.n AS coverage FROM both_ b "
+        "JOIN own o ON o.t = child_table AND o.c = child_column AND o.n = shared JOIN own p ON p.t = parent_table AND p.c = parent_column "
+        "JOIN counts k ON k.t = parent_table AND k.c = parent_column AND k.n = k.present AND k.n = p.n "
+        "JOIN counts m ON m.t = child_table AND m.c = child_column AND m.present > o.n WHERE shared / p.n >= 0.5 "
+        "QUALIFY row_number() OVER (PARTITION BY b.child_table, b.child_column ORDER BY shared / p.n DESC, b.parent_table, b.parent_column) = 1)"
+    )
+
+
+def _references(spark, sf):
+    from probity.operators.discovery import foreign_keys
+
+    return round_doubles(foreign_keys(read_tables(spark, sf, KEY_TABLES)))
+
+
+def _candidate_keys(spark, sf):
+    from probity.operators.discovery import candidate_keys
+
+    t = read_tables(spark, sf, ["conversations", "lineitem", "nation"])
+    found = [(name, ",".join(k)) for name, cols in CANDIDATES.items() for k in candidate_keys(t[name], cols, max_size=2)]
+    return spark.createDataFrame(found, "table_name string, key_columns string")
+
+
+CANDIDATES = {
+    "conversations": ["conv_id", "turn", "role"],
+    "lineitem": ["l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag"],
+    "nation": ["n_nationkey", "n_name", "n_regionkey"],
+}
+
+
+def _candidate_keys_sql() -> str:
+    parts = []
+    for t, cs in CANDIDATES.items():
+        whole = lambda c: f"(SELECT count(*) > 0 AND count(*) = count(DISTINCT {c}) FROM {t})"  # noqa: E731, B023
+        parts += [f"SELECT '{t}' AS table_name, '{c}' AS key_columns WHERE {whole(c)}" for c in cs]
+        for i, a in enumerate(cs):
+            for b in cs[i + 1:]:
+                parts.append(f"SELECT '{t}', '{a},{b}' WHERE NOT {whole(a)} AND NOT {whole(b)} AND {whole(f'({a}, {b})')}")
+    return " UNION ALL ".join(parts)
+
+
+TEXT_COPIES = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+}
+
+
+def _inferred(spark, sf):
+    from probity.operators.discovery import infer_types
+    from probity.sources import tables as S
+
+    t = read_tables(spark, sf, list(TEXT_COPIES))
+    out = None
+    for name in TEXT_COPIES:
+        one = infer_types(S.all_strings(t[name])).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _inferred_sql() -> str:
+    from probity.operators.discovery import INTEGER_FORM, NUMBER_FORM, TIME_FORM
+
+    parts = []
+    for t, cs in TEXT_COPIES.items():
+        for c in cs:
+            x = f"CAST({c} AS VARCHAR)"
+            parts.append(
+                f"SELECT '{t}' AS table_name, '{c}' AS \"column\", count({c}) AS non_null, count_if(regexp_matches({x}, '{INTEGER_FORM}') AND TRY_CAST({x} AS BIGINT) IS NOT NULL)::BIGINT AS n_int, "
+                f"count_if(regexp_matches({x}, '{NUMBER_FORM}') AND TRY_CAST({x} AS DOUBLE) IS NOT NULL)::BIGINT AS n_number, "
+                f"count_if(regexp_matches({x}, '{TIME_FORM}') AND TRY_CAST({x} AS TIMESTAMP) IS NOT NULL)::BIGINT AS n_time FROM {t}"
+            )
+    kind = "CASE WHEN non_null = 0 THEN 'void' WHEN n_int = non_null THEN 'bigint' WHEN n_number = non_null THEN 'double' WHEN n_time = non_null THEN 'timestamp' ELSE 'string' END"
+    return f"SELECT *, {kind} AS inferred_type FROM ({' UNION ALL '.join(parts)})"
 
 
 def _v7_sql():
@@ -1211,7 +1314,9 @@ def _v7_sql():
                 f"(SELECT to_json(list_sort(list(DISTINCT {c})))::VARCHAR FROM orders) FROM p "
                 f"WHERE column_name = '{c}' AND distinct_count BETWEEN 1 AND 20"
             )
-    return f"WITH p AS ({prof}) " + " UNION ALL ".join(parts)
+    parts.append("SELECT child_table, child_column, 'foreign_key', NULL, NULL, '{\"parent_table\": \"' || parent_table || '\", \"parent_columns\": [\"' || parent_column || '\"]}' FROM fk WHERE child_table = 'orders'")
+    parts.append(f"SELECT 'orders', 'o_orderdate', 'freshness', NULL, CAST(trunc(epoch(TIMESTAMP '{V7_AS_OF}' - max(o_orderdate)) / 60) AS DOUBLE), '{{\"as_of\": \"{V7_AS_OF}\"}}' FROM orders")
+    return f"WITH p AS ({prof}), {_keys_sql()} " + " UNION ALL ".join(parts)
 
 
 V3_KEY_CHECKS = [Check("lineitem", "compound_columns_to_be_unique", ("l_orderkey", "l_linenumber"))]
@@ -1325,6 +1430,9 @@ def _reg_reports():
     register("V05", _v5, _v5_sql())
     register("V06", _v6, _v6_sql())
     register("V07", _v7, _v7_sql())
+    register("V07b", _references, f"WITH {_keys_sql()} SELECT child_table, child_column, parent_table, parent_column, round(coverage, 6) AS coverage FROM fk")
+    register("V07c", _candidate_keys, _candidate_keys_sql())
+    register("S05b", _inferred, _inferred_sql())
 
 
 _reg_sources()

@@ -283,9 +283,14 @@ def suite_change(old: DataFrame, new: DataFrame, flipped: DataFrame | None = Non
 SUGGEST_DDL = "table_name STRING, column_name STRING, kind STRING, min_value DOUBLE, max_value DOUBLE, value_set STRING"
 
 
-def suggest_checks(tables: dict[str, DataFrame], profile: DataFrame, max_domain: int = 20) -> DataFrame:
+def suggest_checks(
+    tables: dict[str, DataFrame], profile: DataFrame, max_domain: int = 20, references: DataFrame | None = None, as_of: str | None = None
+) -> DataFrame:
     """V7: deterministic suggestions from the profile.
 
+    ``references`` (``operators.discovery.foreign_keys``) adds a foreign_key per proposed reference of a profiled column;
+    with ``as_of`` each timestamp column gets a freshness limit, the minutes its newest value is old then.
+
     null_rate = 0 -> not_null; distinct_ratio = 1 -> unique; integer/float
     column -> range [p01, p99]; string column with at most ``max_domain``
     distinct values -> domain (the values come from a distinct over that
@@ -303,6 +308,21 @@ def suggest_checks(tables: dict[str, DataFrame], profile: DataFrame, max_domain:
             rows.append((t, c, "column_values_to_be_between", r["p01"], r["p99"], None))
         if r["data_type"] == "string" and r["distinct_count"] is not None and 0 < r["distinct_count"] <= max_domain:
             domains.append((t, c))
+    if references is not None:
+        seen = {(r["table_name"], r["column_name"]) for r in prof}
+        for r in references.collect():  # at most one row per column
+            if (r["child_table"], r["child_column"]) in seen:
+                said = json.dumps({"parent_table": r["parent_table"], "parent_columns": [r["parent_column"]]})
+                rows.append((r["child_table"], r["child_column"], "foreign_key", None, None, said))
+    if as_of is not None:
+        for t in sorted({r["table_name"] for r in prof}):
+            stamps = [f for f in tables[t].schema.fields if f.dataType.simpleString().startswith("timestamp")]
+            if not stamps:
+                continue
+            ages = [F.timestamp_diff("MINUTE", F.max(f.name), F.lit(as_of).cast(f.dataType)).alias(f"a{i}") for i, f in enumerate(stamps)]
+            for f, age in zip(stamps, tables[t].agg(*ages).first()):
+                if age is not None:
+                    rows.append((t, f.name, "freshness", None, float(age), json.dumps({"as_of": as_of})))
     if domains:
         # the value lists of all low-cardinality columns in one job; the profile has
         # counted at most max_domain values in each, and no list is cut
@@ -328,5 +348,10 @@ def suggestions_to_checks(suggestions: DataFrame) -> list[Check]:
             params = {"min_value": r["min_value"], "max_value": r["max_value"]}
         elif r["kind"] == "column_values_to_be_in_set":
             params = {"value_set": json.loads(r["value_set"])}
+        elif r["kind"] == "foreign_key":
+            params = json.loads(r["value_set"])
+        elif r["kind"] == "freshness":
+            # whole minutes: the newest value may be up to a minute older
+            params = {**json.loads(r["value_set"]), "threshold_seconds": int(r["max_value"]) * 60 + 59}
         out.append(Check(r["table_name"], r["kind"], (r["column_name"],), params))
     return out
