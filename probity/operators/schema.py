@@ -36,6 +36,26 @@ FAMILIES = {
     "object": {"struct", "map", "string"},
 }
 
+# Type names of databases -> the family that holds their values.
+DATABASE_TYPES = {
+    "tinyint": "integer", "smallint": "integer", "mediumint": "integer", "int2": "integer", "int4": "integer", "int8": "integer", "serial": "integer",
+    "dec": "number", "fixed": "number", "real": "float", "float4": "float", "float8": "double", "double precision": "double",
+    "tinytext": "text", "mediumtext": "text", "longtext": "text", "character varying": "text", "character": "text", "nvarchar": "text", "nchar": "text",
+    "enum": "text", "set": "text", "json": "text", "jsonb": "text", "uuid": "text",
+    "varbinary": "binary", "tinyblob": "binary", "blob": "binary", "mediumblob": "binary", "longblob": "binary", "bytea": "binary",
+    "timestamptz": "timestamp", "bit": "boolean",
+}
+
+
+def database_family(wanted: str) -> str:
+    """``INT(11) unsigned``, ``varchar(45)``, ``mediumtext`` -> a name of ``FAMILIES``; other names come back in lower case
+    without length and attributes.  ``tinyint(1)`` is how a database spells a boolean, so it may hold either."""
+    name = wanted.strip().lower()
+    for word in (" unsigned", " signed", " zerofill", " with time zone", " without time zone"):
+        name = name.replace(word, "")
+    name = name.split("(")[0].split(" character set")[0].strip()
+    return DATABASE_TYPES.get(name, name)
+
 _CLASS_NAMES = {
     "ByteType": "tinyint",
     "ShortType": "smallint",
@@ -67,7 +87,12 @@ def type_matches(dt: T.DataType, wanted: str) -> bool:
     wl = w.lower()
     if wl == dt.simpleString().lower():
         return True
-    fam = FAMILIES.get(wl.split("(")[0])
+    if wl.replace(" ", "").startswith("tinyint(1)") and base_type(dt) == "boolean":
+        return True
+    # a length only counts in Spark's own spelling (above); decimals must match in full
+    if wl.startswith("decimal(") and base_type(dt) == "decimal":
+        return wl.replace(" ", "") == dt.simpleString().lower()
+    fam = FAMILIES.get(database_family(wl))
     if fam is not None:
         return base_type(dt) in fam
     return base_type(dt) == wl.split("(")[0]

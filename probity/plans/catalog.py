@@ -661,6 +661,12 @@ def _reg_contract_rules():
     c = _text("orders", "o_totalprice", "60% of o_totalprice must be less than 300000.")
     register("C24", one("orders", c),
              row_sql(c.check_id, "orders", "NOT (o_totalprice < 300000.0)", "o_totalprice IS NULL", mostly=0.6))
+    # A share of good rows above, of bad rows below, as a contract's quality entry writes it
+    for name, said, sql in (("C24b", ">59.5%", "CAST(n - miss - bad AS DOUBLE) / (n - miss) > 0.595"), ("C24c", "<5%", "1.0 - CAST(n - miss - bad AS DOUBLE) / (n - miss) < 0.05")):
+        c = Check("orders", "column_values_to_be_between", "o_totalprice", {"max_value": 300000.0, "share": said}, check_id=f"orders:o_totalprice:{name}")
+        register(name, one("orders", c), final_sql(
+            c.check_id, "n", "miss", "bad", "CASE WHEN n - miss > 0 THEN 100.0 * bad / (n - miss) ELSE 0.0 END", f"CASE WHEN n = miss THEN TRUE ELSE {sql} END", "NULL",
+            "(SELECT count(*) AS n, count_if(o_totalprice IS NULL) AS miss, count_if(o_totalprice > 300000.0) AS bad FROM orders) AS s"))
     # C25 text: suffix
     c = _text("part", "p_name", "p_name must end with widget.")
     register("C25", one("part", c), row_sql(c.check_id, "part", "NOT (p_name LIKE '%widget')", "p_name IS NULL"))
@@ -671,10 +677,13 @@ def _reg_contract_rules():
         "date_sub('minute', mx, TIMESTAMP '2024-01-31 00:00:00')",
         "(SELECT count(*) AS n, count_if(ts IS NULL) AS miss, max(ts) AS mx, "
         "count_if(ts < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 25 HOUR) AS stale FROM events) AS s"))
+    # T5: every unit of a duration, as contracts write freshness limits
+    register("C26b", _durations, _durations_sql())
     # C27 PII masking projection
     register("C27", _masked_customers,
              "SELECT c_custkey, sha256(c_name) AS c_name, c_nationkey, c_mktsegment FROM customer")
     # C28 retention split
+    register("C28b", _retention_periods, _retention_periods_sql())
     register("C28", _retention_counts,
              "SELECT CAST(count_if(o_orderdate < TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS BIGINT) AS expired_rows, "
              "CAST(count_if(o_orderdate >= TIMESTAMP '2006-01-01 00:00:00' - INTERVAL 7 YEAR) AS BIGINT) AS kept_rows FROM orders")
@@ -691,6 +700,45 @@ def _fk_sql(cid, child, fk, parent, pk):
                      "CASE WHEN n - miss = 0 THEN TRUE ELSE CAST(n - miss - bad AS DOUBLE) / (n - miss) >= 1.0 END", "bad_keys", inner)
 
 
+DURATIONS = {"45d": "45 DAY", "3w": "21 DAY", "36h": "36 HOUR", "90m": "90 MINUTE", "30s": "30 SECOND"}
+
+
+def _durations(spark, sf):
+    from probity.functions.thresholds import parse_duration
+
+    t = read_tables(spark, sf, ["events"])
+    chks = [Check("events", "freshness", "ts", {"as_of": "2024-02-14 00:00:00", "threshold_seconds": parse_duration(d)}, check_id=f"events:ts:{d}") for d in DURATIONS]
+    return tidy(validate(t, chks, spark=spark))
+
+
+def _durations_sql() -> str:
+    at = "TIMESTAMP '2024-02-14 00:00:00'"
+    return union_sql(*(final_sql(
+        f"events:ts:{d}", "n", "miss", "stale", "NULL", f"coalesce(mx >= {at} - INTERVAL {span}, FALSE)", f"date_sub('minute', mx, {at})",
+        f"(SELECT count(*) AS n, count_if(ts IS NULL) AS miss, max(ts) AS mx, count_if(ts < {at} - INTERVAL {span}) AS stale FROM events) AS s") for d, span in DURATIONS.items()))
+
+
+def _retention_periods(spark, sf):
+    from probity.functions.masking import parse_period, retention_split
+
+    t = read_tables(spark, sf, ["orders"])["orders"]
+    out = None
+    for said in RETENTIONS:
+        months, days = parse_period(said)
+        one_ = retention_split(t, "o_orderdate", "2000-01-31 00:00:00", months=months, days=days).select(F.lit(said).alias("period"), "*")
+        out = one_ if out is None else out.unionByName(one_)
+    return out
+
+
+RETENTIONS = {"6 months": "6 MONTH", "90d": "90 DAY", "10 weeks": "70 DAY", "P1Y6M": "18 MONTH", "3 years": "3 YEAR"}
+
+
+def _retention_periods_sql() -> str:
+    at = "TIMESTAMP '2000-01-31 00:00:00'"
+    return " UNION ALL ".join(
+        f"SELECT '{said}' AS period, count_if(o_orderdate < {at} - INTERVAL {span})::BIGINT AS expired_rows, count_if(o_orderdate >= {at} - INTERVAL {span})::BIGINT AS kept_rows FROM orders" for said, span in RETENTIONS.items())
+
+
 def _masked_customers(spark, sf):
     from probity.functions.masking import mask_columns
 
@@ -1159,6 +1207,26 @@ def _v6(spark, sf):
                         rows_flipped(t, V6_OLD, V6_NEW))
 
 
+V6_BROKEN = [Check("events", "row_condition", (), {"expression": "nowhere > 1"}, check_id=V6_OLD[0].check_id), V6_OLD[1], V6_NEW[2]]
+
+
+def _v6_states(spark, sf):
+    from probity.plans.report import suite_change
+
+    t = read_tables(spark, sf, ["events"])
+    t["events"] = _ev_v(t["events"])
+    old, new = validate(t, V6_OLD, spark=spark), validate(t, V6_BROKEN, spark=spark)
+    return suite_change(old, new).select("check_id", "change", "old_unexpected", "old_success")
+
+
+def _v6_states_sql() -> str:
+    a, b, c = (x.check_id for x in V6_OLD)
+    bad = (f"event_type NOT IN ({_in(EVENT_TYPES)})", "v IS NULL", "NOT (value >= 0 AND value <= 500)")
+    rows = union_sql(*(f"SELECT '{i}' AS check_id, '{s}' AS change, count_if(coalesce({w}, FALSE))::BIGINT AS old_unexpected, count_if(coalesce({w}, FALSE)) = 0 AS old_success FROM {EV_V}"
+                       for i, s, w in zip((a, b, c), ("error", "unchanged", "removed"), bad)))
+    return f"{rows} UNION ALL SELECT '{V6_NEW[2].check_id}', 'added', NULL, NULL"
+
+
 def _v6_sql():
     old = union_sql(
         row_sql(V6_OLD[0].check_id, EV_V, f"event_type NOT IN ({_in(EVENT_TYPES)})", "event_type IS NULL"),
@@ -1429,6 +1497,7 @@ def _reg_reports():
     register("V04", _v4, _v4_sql())
     register("V05", _v5, _v5_sql())
     register("V06", _v6, _v6_sql())
+    register("V06c", _v6_states, _v6_states_sql())
     register("V07", _v7, _v7_sql())
     register("V07b", _references, f"WITH {_keys_sql()} SELECT child_table, child_column, parent_table, parent_column, round(coverage, 6) AS coverage FROM fk")
     register("V07c", _candidate_keys, _candidate_keys_sql())

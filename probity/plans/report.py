@@ -254,21 +254,23 @@ def rows_flipped(tables: dict[str, DataFrame], old_checks: list[Check], new_chec
 def suite_change(old: DataFrame, new: DataFrame, flipped: DataFrame | None = None) -> DataFrame:
     """V6: evaluate old and new suite on the data; full outer join on check_id.
 
-    change: added / removed / tightened (more unexpected rows) / loosened
-    (fewer) / unchanged; ``verdict_flip`` marks a changed success;
+    change: added / removed (the check is in one suite only) / error (it is
+    in both and could not be evaluated in one or both) / tightened (more
+    unexpected rows) / loosened (fewer) / unchanged; ``verdict_flip`` marks a changed success;
     ``rows_flipped`` (from ``rows_flipped``) counts the data rows whose verdict
     differs between the versions (row-level checks in both suites).  All
     inputs have one row per check, so the joins are small."""
-    o = old.select("check_id", F.col("unexpected_count").alias("old_unexpected"), F.col("success").alias("old_success"))
-    n = new.select("check_id", F.col("unexpected_count").alias("new_unexpected"), F.col("success").alias("new_success"))
+    o = old.select("check_id", F.col("unexpected_count").alias("old_unexpected"), F.col("success").alias("old_success"), F.lit(True).alias("_old"))
+    n = new.select("check_id", F.col("unexpected_count").alias("new_unexpected"), F.col("success").alias("new_success"), F.lit(True).alias("_new"))
     j = o.join(n, "check_id", "full_outer")
     if flipped is not None:
         j = j.join(flipped, "check_id", "left")
     else:
         j = j.withColumn("rows_flipped", F.lit(None).cast("long"))
     change = (
-        F.when(F.col("old_success").isNull() & F.col("new_success").isNotNull(), F.lit("added"))
-        .when(F.col("new_success").isNull() & F.col("old_success").isNotNull(), F.lit("removed"))
+        F.when(F.col("_old").isNull(), F.lit("added"))
+        .when(F.col("_new").isNull(), F.lit("removed"))
+        .when(F.col("old_success").isNull() | F.col("new_success").isNull(), F.lit("error"))
         .when(F.col("new_unexpected") > F.col("old_unexpected"), F.lit("tightened"))
         .when(F.col("new_unexpected") < F.col("old_unexpected"), F.lit("loosened"))
         .otherwise(F.lit("unchanged"))

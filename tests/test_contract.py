@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from probity import Check, load_contract, validate
 from probity.functions.thresholds import mostly_of, parse_duration, parse_share
 from probity.functions.sqltext import to_spark_sql
@@ -312,3 +314,35 @@ def test_a_contract_reads_its_database_by_ranges(monkeypatch):
                                tables=["beds", "notes"], primary_keys={"beds": ["bed_id"]})
     assert tables.read_contract_tables(None, contract, num_partitions=6) == {"beds": "split", "notes": "whole"}
     assert calls == [("jdbc:mysql://h:1/garden", "beds", "bed_id", 6, {"user": "u"}), ("jdbc:mysql://h:1/garden", "notes", {"user": "u"})]
+
+
+@pytest.mark.parametrize("said,want", [("7 years", (84, 0)), ("6 months", (6, 0)), ("2 weeks", (0, 14)), ("90d", (0, 90)), ("P1Y6M", (18, 0)), ("P2W", (0, 14)), ("P", None), ("soon", None), (None, None), ("3 fortnights", None)])
+def test_periods(said, want):
+    from probity.functions.masking import parse_period
+
+    assert parse_period(said) == want
+
+
+def test_retention_that_cannot_be_counted_says_why(spark):
+    from types import SimpleNamespace
+
+    from probity.functions.masking import retention_counts
+
+    t = {"t": spark.sql("SELECT timestamp '2020-01-01 00:00:00' AS ts UNION ALL SELECT timestamp '2024-01-01 00:00:00'")}
+    c = lambda period, field="t.ts": SimpleNamespace(retention=period, raw={"servicelevels": {"retention": {"timestampField": field}}})
+    said = lambda *a: retention_counts(t, *a).first().asDict()
+    assert said(c("18 months"), "2024-06-01 00:00:00")["expired_rows"] == 1
+    assert said(c("soon"), "2024-06-01")["reason"] == "no calendar period: soon"
+    assert said(c("1 year"), None)["status"] == "SKIPPED"
+    assert said(c("1 year", "t.gone"), "2024-06-01")["reason"] == "no such field: t.gone"
+    assert retention_counts(t, c(None), "2024-06-01") is None
+
+
+@pytest.mark.parametrize("wanted,held,other", [("int unsigned", "int", "string"), ("INT(11) UNSIGNED", "bigint", "double"), ("mediumtext", "string", "int"), ("varbinary(45)", "binary", "string"), ("tinyint(1)", "boolean", "string"), ("tinyint(1)", "tinyint", "string"), ("varchar(20) character set utf8", "string", "int"), ("double precision", "double", "int"), ("decimal(10,2)", "decimal(10,2)", "decimal(12,2)")])
+def test_type_names_of_databases(wanted, held, other):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from probity.operators.schema import type_matches
+
+    dt = lambda s: _parse_datatype_string(f"x {s}").fields[0].dataType
+    assert type_matches(dt(held), wanted) and not type_matches(dt(other), wanted)
