@@ -531,3 +531,23 @@ def test_ordered_violations_match_counts(spark):
         c = Check("t", "column_values_to_be_decreasing", "v", params, check_id="c")
         n = validate({"t": df}, [c]).collect()[0]["unexpected_count"]
         assert ordered_violations(df, c).count() == n
+
+
+def test_ordered_folds_nan_nulls_and_groups(spark):
+    nan = float("nan")
+    rows = [(i, None if i % 5 == 4 else (nan if i >= 38 else float(i % 19)), None if i % 3 == 0 else "g%d" % (i % 3)) for i in range(40)] + [(None, 1.0, "g1")]
+    df = spark.createDataFrame(rows, "o long, v double, g string").repartition(3)
+
+    def breaks(strictly, grouped):
+        key = lambda x: (x != x, x)  # noqa: E731  NaN is above all numbers
+        n = 0
+        for g in {r[2] for r in rows} if grouped else {0}:
+            seq = [r[1] for r in sorted((r for r in rows if r[0] is not None and r[1] is not None and (not grouped or r[2] == g)), key=lambda r: r[0])]
+            n += sum(not ((key(b) > key(a) if b == b or a == a else False) or (not strictly and (a == b or (a != a and b != b)))) for a, b in zip(seq, seq[1:]))
+        return n
+
+    for strictly in (True, False):
+        for grouped in (True, False):
+            c = Check("t", "column_values_to_be_increasing", "v", {"order_by": "o", "strictly": strictly, "buckets": 6, **({"partition_by": ["g"]} if grouped else {})}, check_id="c")
+            r = validate({"t": df}, [c], spark=spark).first()
+            assert (r["element_count"], r["missing_count"], r["unexpected_count"]) == (41, 9, breaks(strictly, grouped)), (strictly, grouped)

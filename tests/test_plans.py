@@ -65,10 +65,8 @@ def test_ordered_plan_has_no_global_sort_of_rows(spark):
     c = Check("events", "column_values_to_be_increasing", "value", {"order_by": "ts"})
     p = plan(_ordered(c, t["events"], t))
     assert "rangepartitioning" in p
-    # the row-level window is partitioned by bucket; only the per-bucket table is gathered
-    args = [l for l in p.split("\n") if l.startswith("Arguments: [lag(__v")]
-    assert args and "], [__b#" in args[0]  # partitionBy(bucket)
-    assert "Exchange hashpartitioning(__b" in p or "hashpartitioning(__b" in p
+    # rows are folded inside their range partitions; only the per-bucket table is gathered
+    assert p.index("MapInArrow") < p.index("SinglePartition") and "Window" in p[p.index("SinglePartition"):]
 
 
 def test_replay_prunes_partitions(spark, tmp_path):
@@ -103,3 +101,10 @@ def test_explain_suite(spark):
     text = explain_suite(t, [Check("lineitem", "column_values_to_not_be_null", "l_orderkey"),
                              Check("lineitem", "column_values_to_be_unique", "l_suppkey")])
     assert "ReadSchema: struct<l_orderkey:bigint>" in text and "ReadSchema: struct<l_suppkey:bigint>" in text
+
+
+def test_ordered_check_reads_and_exchanges_once(spark):
+    t = read_tables(spark, SF, ["events"])
+    c = Check("events", "column_values_to_be_decreasing", "value", {"order_by": "ts"})
+    p = plan(_ordered(c, t["events"], t))
+    assert len(re.findall(r"^Arguments: rangepartitioning", p, re.M)) == 1 and "hashpartitioning" not in p and scans(p) == 1
