@@ -9,6 +9,11 @@ Both passes judge the blocks of every page. Where a page marks its article, that
 moved up a class (few stop words: near-good; near-good: good; mostly links: kept between good blocks), and the article's
 edge counts as a good neighbour; outside, a good block stays and a short one that is no heading is bad.
 
+What a container is called is a prior. A name that is such a word by itself (``sidebar``) holds; one that only has it as
+a part (``with-sidebar``, ``share-prices``) is overruled where the container has most of the page's text, or long running
+text inside the article. Where nothing is left of a page, it is judged once more without names other than those of
+reader comments.
+
 Stop words are those of English, German, French and Spanish. A page whose running text has few of them is in another
 language (or has no sentences at all): there they say nothing, and length, links and neighbours decide.
 
@@ -117,26 +122,56 @@ def _end_of_tag(page: str, at: int, lost: set[int]) -> int:
     return first + 1
 
 
-def _bad_container(tag: str, attributes: str, in_main: bool) -> bool:
+#: What a container's tag, attributes and name say of it.
+FINE, NAMED, BAD = 0, 1, 2
+
+
+def _container(tag: str, attributes: str, in_main: bool, names: bool) -> int:
+    """BAD, NAMED (a name that has a telling word as a part only) or FINE; without ``names`` only those of comments count."""
     if tag in BAD_TAGS or (tag == "header" and not in_main):
-        return True
+        return BAD
     if not attributes:
-        return False
+        return FINE
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
-    hints = {h.lower() for k in ("class", "id") for h in HINT.findall(values.get(k, ""))}
+    said = [t for k in ("class", "id") for t in values.get(k, "").split()]
+    hints = {h.lower() for t in said for h in HINT.findall(t)}
     if tag in MAIN_TAGS:
-        return bool(hints & COMMENT_HINTS)
+        return BAD if hints & COMMENT_HINTS else FINE
     hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "").lower()
-    return hidden or values.get("role", "").lower() in BAD_ROLES or bool(hints & BAD_HINTS) or ("header" in hints and not in_main)
+    if hidden or values.get("role", "").lower() in BAD_ROLES or hints & COMMENT_HINTS:
+        return BAD
+    if not names:
+        return FINE
+    if any(t.lower() in BAD_HINTS for t in said) or ("header" in hints and not in_main):
+        return BAD
+    return NAMED if hints & BAD_HINTS else FINE
+
 
+class Named(NamedTuple):
+    """A container whose name tells against it: the one around it (-1: none), whether it lies in the article."""
 
-def blocks(page: str | None) -> list[Block]:
+    up: int
+    main: bool
+
+
+def blocks(page: str | None, overruled: frozenset[int] = frozenset(), names: bool = True) -> list[Block]:
     """The blocks of a page that hold text, in order."""
+    return _parsed(page, overruled, names)[0]
+
+
+def _parsed(page: str | None, overruled: frozenset[int], names: bool) -> tuple[list[Block], list[Named], list[int]]:
+    """The blocks, the containers whose names tell against them, and for each block the innermost of these (-1: none; -2:
+    it is bad for other reasons)."""
     page = page or ""
     out: list[Block] = []
+    named: list[Named] = []
+    within: list[int] = []
     text: list[str] = []
-    #: open containers: tag, bad, whether by its tag alone, inside the page's article
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    #: open containers: tag, bad, whether by its tag alone, inside the page's article, the innermost named container
+    stack: list[tuple[str, bool, bool, bool, int]] = [("", False, False, False, -1)]
+    #: open tags by name since the innermost article began, one count for each open article, and of articles in all
+    counts: list[dict[str, int]] = [{}]
+    mains = dict.fromkeys(MAIN_TAGS, 0)
     silent = links = link_chars = 0
     lost: set[int] = set()
     heading = False
@@ -145,7 +180,9 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal link_chars
         joined = " ".join(markup.unescape("".join(text)).split())
         if joined:
-            out.append(Block(joined, min(link_chars, len(joined)), stack[-1][1], stack[-1][3], heading))
+            _, bad, _, main, inner = stack[-1]
+            out.append(Block(joined, min(link_chars, len(joined)), bad or inner >= 0, main, heading))
+            within.append(-2 if bad else inner)
         text.clear()
         link_chars = 0
 
@@ -183,22 +220,54 @@ def blocks(page: str | None) -> list[Block]:
             links = 0 if closing else 1
         if tag in CONTAINERS and tag not in VOID:
             if closing:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] == tag:
-                        del stack[i:]
-                        break
-                    if stack[i][0] in MAIN_TAGS and tag not in MAIN_TAGS:
-                        break  # an end tag inside the article closes nothing outside it
+                # an end tag inside the article closes nothing outside it; one without a start tag is not looked for
+                if mains[tag] if tag in MAIN_TAGS else counts[-1].get(tag, 0):
+                    while True:
+                        top = stack.pop()[0]
+                        if top in MAIN_TAGS:
+                            counts.pop()
+                            mains[top] -= 1
+                        else:
+                            counts[-1][top] -= 1
+                        if top == tag:
+                            break
                 links = links if stack[-1][0] else 0
             elif not own:
-                _, bad, by_tag, main = stack[-1]
+                _, bad, by_tag, main, inner = stack[-1]
                 attributes = page[upto + 1 + len(tag) : at - 1]
-                here = _bad_container(tag, attributes, main)
-                if tag in MAIN_TAGS and not here and bad and by_tag:
+                here = _container(tag, attributes, main, names)
+                if here == NAMED:
+                    named.append(Named(inner, main))
+                    inner = inner if len(named) - 1 in overruled else len(named) - 1
+                if tag in MAIN_TAGS and here != BAD and bad and by_tag:
                     bad = False  # what should have been closed before the article
-                stack.append((tag, bad or here, (by_tag if bad else here and tag in BAD_TAGS | {"header"}), main or (tag in MAIN_TAGS and not here and not bad)))
+                stack.append((tag, bad or here == BAD, (by_tag if bad else here == BAD and tag in BAD_TAGS | {"header"}), main or (tag in MAIN_TAGS and here != BAD and not bad and inner < 0), inner))
+                if tag in MAIN_TAGS:
+                    counts.append({})
+                    mains[tag] += 1
+                else:
+                    counts[-1][tag] = counts[-1].get(tag, 0) + 1
     close()
-    return out
+    return out, named, within
+
+
+def _overruled(found: list[Block], named: list[Named], within: list[int]) -> frozenset[int]:
+    """The named containers that hold most of the page's text, or long running text inside the article."""
+    chars, prose = [0] * len(named), [0] * len(named)
+    total = 0
+    for b, inner in zip(found, within, strict=True):
+        if inner == -2:
+            continue
+        total += len(b.text)
+        if inner >= 0:
+            chars[inner] += len(b.text)
+            runs = len(b.text) >= LONG and b.link_chars <= LINKS * len(b.text) and _stops(WORD.findall(b.text.lower())) >= STOP_HIGH
+            prose[inner] += len(b.text) if runs else 0
+    for i in range(len(named) - 1, -1, -1):
+        if (up := named[i].up) >= 0:
+            chars[up] += chars[i]
+            prose[up] += prose[i]
+    return frozenset(i for i, c in enumerate(named) if 2 * chars[i] > total or (c.main and prose[i]))
 
 
 def _stops(words: list[str]) -> float:
@@ -266,19 +335,26 @@ def second_pass(found: list[Block], labels: list[str], marked: bool = False) ->
         else:
             good, bad = (before, after) if before[0] == "good" else (after, before)
             keep.append(good[1] <= bad[1])
-    if not any(keep) and "near" in labels:  # a page of short paragraphs only
+    if not any(keep):  # a page of short paragraphs only
         keep = [x in ("near", "short") for x in labels]
     return keep
 
 
-def main_text(page: str | None) -> str:
-    found = blocks(page)
+def _judged(found: list[Block]) -> str:
     marked = any(b.main and not b.bad for b in found)
     told = listed(found)
     labels = [first_pass(b, marked, told) for b in found]
     return "\n\n".join(b.text for b, k in zip(found, second_pass(found, labels, marked), strict=True) if k)
 
 
+def main_text(page: str | None) -> str:
+    found, named, within = _parsed(page, frozenset(), True)
+    if overruled := _overruled(found, named, within) if named else None:
+        found = blocks(page, overruled)
+    text = _judged(found)
+    return text or (_judged(blocks(page, names=False)) if any(b.bad for b in found) else text)
+
+
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
 

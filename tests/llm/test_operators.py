@@ -594,6 +594,40 @@ def test_pages_empty_table(spark):
     assert got == [("1", "None", "", 0), ("1", "None", "", 0), ("None", "u", "x", 1)]
 
 
+LOREM = "This is the story of what they did when the night was over and of how it came to be that we had to go there with them. " * 3
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='page with-sidebar'><nav>Home</nav><p>{0}</p><p>{0}</p></div>",
+    "<div class='page with-sidebar'><article><p>{0}</p><p>{0}</p></article><aside>See also</aside></div>",
+    "<article><div class='social-work'><p>{0}</p><p>{0}</p></div></article>",
+    "<article><p>{0}</p><section id='share-prices'><p>{0}</p></section></article>",
+    "<div class='sidebar'><p>{0}</p><p>{0}</p></div>",
+])
+def test_names_are_a_prior(page):
+    assert html_blocks.main_text(page.format(LOREM)) == f"{LOREM.strip()}\n\n{LOREM.strip()}"
+
+
+def test_names_that_hold():
+    page = "<article><p>{0}</p><p>{0}</p></article><div class='{1}'><p>{0}</p></div>"
+    for name in ("sidebar", "related", "comments", "reader-comments", "comment-list", "cookie-notice"):
+        assert html_blocks.main_text(page.format(LOREM, name)) == f"{LOREM.strip()}\n\n{LOREM.strip()}", name
+    inside = "<article><p>{0}</p><div class='newsletter-box'>Subscribe to our letter and have it sent to you.</div><p>{0}</p></article>"
+    assert html_blocks.main_text(inside.format(LOREM)) == f"{LOREM.strip()}\n\n{LOREM.strip()}"
+
+
+def test_pages_of_short_lines():
+    assert html_blocks.main_text("<html><body><p>First line.</p><p>Second line.</p></body></html>") == "First line.\n\nSecond line."
+    assert html_blocks.main_text("<nav><a href='/'>Home</a></nav><p>One line.</p><footer>2020</footer>") == "One line."
+    assert html_blocks.main_text("<nav><a href='/'>Home</a></nav><footer>2020</footer>") == ""
+
+
+@pytest.mark.parametrize("page", ["<div>" * 20_000 + "x" + "</section>" * 5_000, "<section><article>" + "<div>" * 20_000 + "x" + "</section>" * 5_000, "<div>" * 40_000 + "x" + "</div>" * 40_000, "<div class='my-ad'>" * 20_000 + "x" + "</p>" * 5_000])
+def test_broken_markup_is_linear(page):
+    with ends_within(5):
+        assert html_blocks.main_text(page) == "x"
+
+
 # --- components
 
 
