@@ -22,6 +22,12 @@ def sample(rows: DataFrame, most: int, seed: int = 0) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 31)) < F.lit(int(most / n * (1 << 31))))
 
 
+def one_each(rows: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each ``key``, the one with the least digest of its text: a repeated id is not more rows to learn from."""
+    every = F.struct(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_digest"), *rows.columns)
+    return rows.groupBy(F.col(key).alias("_each")).agg(F.min(every).alias("_row")).select("_row.*").drop("_digest")
+
+
 def labelled(labels: DataFrame, column: str) -> DataFrame:
     """doc_id, y (0 or 1): the documents to learn from; of contradicting labels the majority, 1 if even."""
     known = labels.filter(F.col(column).isNotNull() & ~held_out(F.col("doc_id")))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from probity.llm.common import cut
-from probity.llm.labelled import held_out, labelled, sample
+from probity.llm.labelled import held_out, labelled, one_each, sample
 
 TRAIN = 8000
 VOCABULARY = 4096
@@ -153,6 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, column: str = "toxic", most: int =
     some = [sample(known.filter(F.col("y") == y), most // 2) for y in (0, 1)]
     chosen = cut(some[0].unionByName(some[1]).withColumnRenamed("doc_id", "_id"))
     text = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
+    text = cut(one_each(text))
     n = {r["y"]: r["n"] for r in chosen.groupBy("y").agg(F.count("*").alias("n")).collect()}
     gap = F.log((F.col("pos") + 0.5) / (n[1] + 1.0)) - F.log((F.col("neg") + 0.5) / (n[0] + 1.0))
     z = F.abs(gap) / F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
@@ -192,4 +193,6 @@ def clean(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return scores(docs, labels).select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"))
+    """And where the offending sentences are: start:end, comma-joined, in code points, end exclusive."""
+    spans = F.array_join(F.transform("offending", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return scores(docs, labels).select("doc_id", "held_out", "score", "predicted", F.size("offending").alias("n_offending"), spans.alias("offending"))

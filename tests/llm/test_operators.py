@@ -10,6 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from probity.llm import bpe, ego_join, html_blocks, mixing, quality, secret_scan, simhash, substrings, topk, toxicity
 from probity.llm.common import read
@@ -628,6 +629,89 @@ def test_broken_markup_is_linear(page):
         assert html_blocks.main_text(page) == "x"
 
 
+# --- learning on bounded rows, plain versions of both fits
+
+
+def test_a_repeated_id_is_one_row_of_the_fit(spark):
+    """20,000 rows of one labelled id: what is learned from stays bounded."""
+    from probity.llm.labelled import one_each
+
+    docs = spark.range(20_000).select(F.lit(3).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(9).cast("long").alias("n_chars"))
+    docs = docs.unionByName(spark.range(100, 400).select(F.col("id").alias("doc_id"), F.concat(F.lit("other words "), "id").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(9).cast("long").alias("n_chars")))
+    assert one_each(docs).count() == 301
+    least = min(hashlib.md5(f"text {i}".encode()).hexdigest() for i in range(20_000))
+    assert [hashlib.md5(r["text"].encode()).hexdigest() for r in one_each(docs.filter("doc_id = 3")).collect()] == [least]
+    labels = labels_of(spark, [(3, 1, 1)] + [(i, i % 2, i % 2) for i in range(100, 400)])
+    assert toxicity.scores(docs, labels, most=20).count() == quality.scores(docs, labels, most=20).count() == 20_300
+
+
+def test_cotraining_against_a_plain_version(spark):
+    """The same rounds on whole arrays in memory."""
+    rnd = np.random.default_rng(4)
+    wide, narrow = quality.SHAPES + quality.WORDS + 5, quality.LANGS + quality.SOURCES + 11
+    y = np.arange(90) % 2
+    signal = lambda n, lab: (rnd.normal(0, 1, (len(lab), n)) * 0.4 + np.where(lab, 1, -1)[:, None] * (np.arange(n) < 6)).astype(np.float32)
+    a, b, truth = signal(wide, y), signal(narrow, y), rnd.integers(0, 2, 500)
+    pa_, pb_ = signal(wide, truth), signal(narrow, truth)
+    rows = [(i, pa_[i].tobytes(), pb_[i].tobytes()) for i in range(500)]
+    pool = quality.Pool(spark.createDataFrame([(i, bytearray(u), bytearray(v)) for i, u, v in rows], "digest long, a binary, b binary").repartition(3))
+    got = quality.cotrain(a.astype(float), b.astype(float), y, pool, rounds=3, share=0.1, named=10_000)
+    xs, ys, pools, free = [a.astype(float), b.astype(float)], [y.astype(float)] * 2, [pa_.astype(float), pb_.astype(float)], np.ones(500, bool)
+    for _ in range(3):
+        ws = [quality.logistic(xs[k], ys[k]) for k in (0, 1)]
+        handed = []
+        for k in (0, 1):
+            for label in (0, 1):
+                p = 1 / (1 + np.exp(-np.clip(pools[k] @ ws[k][:-1] + ws[k][-1], -30, 30)))
+                p = p if label else 1 - p
+                bins = np.minimum(np.floor((p - quality.SURE) / (1 - quality.SURE) * quality.BINS), quality.BINS - 1)
+                bins[~free] = -1
+                wanted = int(0.1 * (y == label).mean() * 500)
+                edges = [t for t in range(quality.BINS) if (bins >= t).sum() <= wanted]
+                low = min(edges[0] if edges else quality.BINS, bins.max()) if (bins >= 0).any() else quality.BINS
+                handed.append((1 - k, np.flatnonzero(bins >= low), label))
+        for to, at, label in handed:
+            xs[to], ys[to] = np.vstack([xs[to], pools[to][at]]), np.append(ys[to], np.full(len(at), float(label)))
+            free[at] = False
+    want = [quality.logistic(xs[k], ys[k]) for k in (0, 1)]
+    assert (~free).sum() > 20
+    for g, w in zip(got, want, strict=True):
+        assert np.allclose(g, w, atol=1e-6)
+
+
+def test_noisy_or_against_a_plain_gradient():
+    """The fit's loss at its end is near the best of a plain search from several starts."""
+    rnd = np.random.default_rng(2)
+    size, y, doc, sent, feat, empty = 6, [], [], [], [], []
+    for d in range(120):
+        bags = [sorted(set(rnd.integers(0, size, rnd.integers(1, 4)).tolist())) for _ in range(rnd.integers(1, 5))]
+        y.append(float(any(0 in bag for bag in bags)) if rnd.random() < 0.95 else float(rnd.integers(0, 2)))
+        empty.append(float(rnd.integers(0, 2)))
+        for bag in bags:
+            doc.append(d)
+            sent += [len(doc) - 1] * len(bag)
+            feat += bag
+    y, doc, empty, sent, feat = np.array(y), np.array(doc), np.array(empty), np.array(sent), np.array(feat)
+    weight = np.ones(len(y))
+
+    def loss(w, bias):
+        a = np.array([sum(w[f] for f in feat[sent == s]) + bias for s in range(len(doc))])
+        total = 0.0
+        for d in range(len(y)):
+            calm = sum(np.log1p(np.exp(a[s])) for s in np.flatnonzero(doc == d)) + empty[d] * np.log1p(np.exp(bias))
+            total += -np.log(max(1e-300, -np.expm1(-calm))) if y[d] else calm
+        return total / len(y)
+
+    w, bias = toxicity.fit(y, doc, empty, sent, feat, size, weight, steps=600)
+    here = loss(w, bias)
+    for i in range(size):
+        for step in (-0.3, 0.3):
+            v = w.copy()
+            v[i] += step
+            assert loss(v, bias) > here - 1e-3
+    assert loss(w, bias + 0.3) > here - 1e-3 and loss(w, bias - 0.3) > here - 1e-3 and w[0] > max(w[1:]) + 1
+
+
 # --- components
 
 
