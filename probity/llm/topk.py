@@ -11,7 +11,7 @@ a stated set, joined against all rows in blocks. Nothing but a round number pass
 
 Defined results: vectors that are null or hold null or non-finite components take no part; a query and a vector of
 different lengths are not scored; an empty vector scores 0 with others; rows with one id are separate vectors, and a
-query is scored against every row but those of its own id; a null id takes no part; ties go to the smaller id; an
+query is scored against every row but its own (rows are told apart by ``row``, not by id); a null id takes no part; ties go to the smaller id; an
 empty table gives an empty table; other columns, of any name, are not looked at. Scores must fit a long.
 """
 
@@ -66,11 +66,11 @@ def _packed(rows: DataFrame, size: int, extra: list[str]) -> DataFrame:
 
 
 def _scores(q: dict, c: dict) -> np.ndarray:
-    """Scores of a block of queries (rows) and a block of vectors, as long; the query's own id far below all."""
+    """Scores of a block of queries (rows) and a block of vectors, as long; the query's own row far below all."""
     x, y = (np.frombuffer(z["ints"]).reshape(z["n"], z["dim"]) for z in (q, c))
     most = np.abs(x).max(initial=0) * np.abs(y).max(initial=0) * max(1, x.shape[1])
     s = (x @ y.T).astype(np.int64) if most < EXACT else x.astype(np.int64) @ y.astype(np.int64).T
-    s[np.frombuffer(q["ids"], np.int64)[:, None] == np.frombuffer(c["ids"], np.int64)[None]] = np.iinfo(np.int64).min
+    s[np.frombuffer(q["own"], np.int64)[:, None] == np.frombuffer(c["own"], np.int64)[None]] = np.iinfo(np.int64).min
     return s
 
 
@@ -128,19 +128,20 @@ def _kept(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, bins: int = BINS) -> DataFrame:
-    """``vectors`` (id, vector) and ``queries`` (id, vector) -> query_id, rank, vec_id, score."""
+    """``vectors`` and ``queries`` (id, vector, row: a number that names each vector's row, null for a query that is no row
+    of ``vectors``) -> query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     n = partitions(spark)
 
     def whole_rows(df: DataFrame) -> DataFrame:
         fit = df.filter(F.col("id").isNotNull() & usable(F.col("vector")))
-        return fit.select(F.col("id").cast("long").alias("id"), whole(F.col("vector"), scale).alias("ints"))
+        return fit.select(F.col("id").cast("long").alias("id"), whole(F.col("vector"), scale).alias("ints"), F.coalesce("row", F.lit(-1)).cast("long").alias("own"))
 
     norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
     asked = whole_rows(queries).withColumns({"number": F.monotonically_increasing_id(), "dim": F.size("ints"), "norm": norm(F.col("ints"))})
     asked = cut(asked.repartition(n))
     ready = whole_rows(vectors)
-    corpus = cut(_packed(ready.repartition(n, F.xxhash64("id", "ints")), BLOCK, []).withColumn("group", F.spark_partition_id()))
+    corpus = cut(_packed(ready.repartition(n, F.xxhash64("own")), BLOCK, ["own"]).withColumn("group", F.spark_partition_id()))
     longest = ready.groupBy(F.size("ints").alias("_dim")).agg(F.max(norm(F.col("ints"))).alias("_norm"))
     # no score is outside the product of the norms
     reach = (F.ceil(F.col("norm") * F.col("_norm")) + 1).cast("long")
@@ -148,7 +149,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
     edges = cut(edges)
     while True:
         now = asked.join(edges.withColumnRenamed("number", "_n"), F.col("number") == F.col("_n"))
-        blocks = cut(_packed(now.select("id", "ints", F.col("number").alias("numbers"), "lo", "width"), QUERY_BLOCK, ["numbers", "lo", "width"]))
+        blocks = cut(_packed(now.select("id", "ints", "own", F.col("number").alias("numbers"), "lo", "width"), QUERY_BLOCK, ["own", "numbers", "lo", "width"]))
         if not edges.filter("width > 0").limit(1).count():
             break
         counts = _count(_pairs(blocks, corpus, n), k, bins)
@@ -171,15 +172,15 @@ def _ranked(rows: DataFrame, k: int) -> DataFrame:
 
 
 def digest(embeddings: DataFrame) -> DataFrame:
-    rows = embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    rows = cut(embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.monotonically_increasing_id().alias("row")))
     return search(rows, rows.filter("id % 50 = 0"))
 
 
 ORACLE = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+WITH v AS (SELECT row_number() OVER () AS own, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q, v c
-  WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+s AS (SELECT q.own, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score FROM v q, v c
+  WHERE q.vec_id % 50 = 0 AND q.own <> c.own AND len(q.e) = len(c.e) AND c.vec_id IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
 """

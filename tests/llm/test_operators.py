@@ -309,12 +309,15 @@ def test_block_pairs(spark):
 
 def test_topk(spark):
     rows = vectors(np.random.default_rng(9))
+    # rows with a query's id are candidates too, its own row is not
+    mine = next(r for r in rows if r[0] == 50 and fine(r[1]))
+    rows += [mine, mine, (50, [-x for x in mine[1]], *mine[2:])]
     df = spark.createDataFrame(rows, VEC).repartition(3)
     ok = [(r[0], [int(np.floor(256 * float(np.float32(x)))) for x in r[1]]) for r in rows if r[0] is not None and fine(r[1])]
     want = []
-    for q, v in ok:
+    for own, (q, v) in enumerate(ok):
         if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in ok if i != q and len(w) == len(v))
+            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for at, (i, w) in enumerate(ok) if at != own and len(w) == len(v))
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores[:5])]
     got = sorted(tuple(r) for r in topk.digest(df).select("query_id", "rank", "vec_id", "score").collect())
     assert got == sorted(want)
