@@ -195,8 +195,9 @@ def classes(embeddings: DataFrame, cosine: float = COSINE, lead: int = LEAD, blo
     rows = vectors.withColumn("_fit", F.coalesce(F.col("label").isNotNull() & (norm > 0) & (norm < float("inf")), F.lit(False)))
     fit = rows.filter("_fit").groupBy("label", "embedding").agg(F.count("*").alias("weight"), F.min("vec_id").alias("rep"))
     nodes = cut(fit.withColumn("node", F.monotonically_increasing_id()))
-    units = nodes.select("node", "label", "weight", F.size("embedding").alias("dim"), _norm(F.col("embedding")).alias("_n"), "embedding")
-    units = units.select("node", "label", "weight", "dim", F.transform("embedding", lambda x: x.cast("double") / F.col("_n")).alias("unit"))
+    # as a lambda's argument the norm is computed once for a vector, not once for each component
+    unit = F.get(F.transform(F.array(_norm(F.col("embedding"))), lambda n: F.transform("embedding", lambda x: x.cast("double") / n)), F.lit(0))
+    units = nodes.select("node", "label", "weight", F.size("embedding").alias("dim"), unit.alias("unit"))
     blocks = cut(_sequence(units, axes(units, lead), eps, block, lead))
     found = cut(_compared(block_pairs(blocks, eps, lead), blocks, cosine))
     links = found.filter("v = -1").groupBy("u").agg(F.sum("n").alias("_links"))
