@@ -1,8 +1,8 @@
 """Column-aggregate checks (max, mean, quantiles, row counts ...) for the fused pass.
 
-Exact medians / quantiles use ``percentile`` / ``percentile_disc``, whose
-buffers grow with the number of distinct values; pass ``exact=False`` to use
-``percentile_approx`` (fixed-size sketch, mergeable, the choice at scale).
+Exact medians / quantiles are resolved beforehand by radix selection
+(``operators.quantiles``); pass ``exact=False`` to use ``percentile_approx`` (a
+fixed-size sketch in the fused pass).
 """
 
 from __future__ import annotations
@@ -15,11 +15,6 @@ from probity.checks import Check
 from probity.operators.measure import Measure, between
 
 
-def quantile_disc(column: str, q: float) -> Column:
-    """Exact discrete quantile: smallest value whose cumulative share is >= q."""
-    return F.expr(f"percentile_disc({float(q)!r}) WITHIN GROUP (ORDER BY `{column}`)")
-
-
 def _quantile(c: Column, q: float, chk: Check) -> Column:
     return F.percentile_approx(c, F.lit(float(q)), int(chk.p("accuracy", 10000)))
 

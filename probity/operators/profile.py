@@ -13,9 +13,8 @@ only one value per column does):
 3. p01 / p99 of integer and floating columns, with the reference's rank
    rule: on the ``n`` sorted non-null values, 0-based ``i01 = max(0,
    floor(n*0.01) - 1)`` and ``i99 = min(n-1, floor(n*0.99))``, the value is an
-   element (no interpolation).  Exact values come from the bounded selection
-   of ``operators.quantiles`` (sketch bracket, counts, exact pick inside the
-   bracket); with ``exact=False`` it is ``percentile_approx`` alone.
+   element (no interpolation).  Exact values come from the radix selection of
+   ``operators.quantiles``; with ``exact=False`` it is ``percentile_approx`` alone.
 
 ``null_rate`` = nulls / rows and ``distinct_ratio`` = distinct non-null /
 rows (all rows, as the reference divides); both are null on an empty table.
@@ -90,11 +89,6 @@ def profile(
             if c in numeric and (ranks or wants("min_value", "max_value")):
                 aggs.append(F.min(F.col(c)).cast("double").alias(f"mn{i}"))
                 aggs.append(F.max(F.col(c)).cast("double").alias(f"mx{i}"))
-                if ranks and isinstance(types[c], (T.FloatType, T.DoubleType)):  # finite range for the quantile bins
-                    v = F.col(c).cast("double")
-                    fin = ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))
-                    aggs.append(F.min(F.when(fin, v)).alias(f"flo{i}"))
-                    aggs.append(F.max(F.when(fin, v)).alias(f"fhi{i}"))
         first.update(df.agg(*aggs).first().asDict())
     n = first["__n"]
 
@@ -106,8 +100,7 @@ def profile(
             from probity.operators.quantiles import PROFILE, select_ranks
 
             known = {c: first[f"nn{i}"] for i, c in quant_cols}
-            limits = {c: (first.get(f"flo{i}", first[f"mn{i}"]), first.get(f"fhi{i}", first[f"mx{i}"])) for i, c in quant_cols}
-            got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_known=known, limits_known=limits)
+            got = select_ranks(df, [(c, *PROFILE) for _, c in quant_cols], n_known=known)
             for (i, _), (_, vals) in zip(quant_cols, got):
                 q[f"a{i}"], q[f"b{i}"] = (float(v) if v is not None else None for v in vals)
         elif quant_cols:

@@ -1,328 +1,305 @@
-"""Exact order statistics without an unbounded buffer.
+"""Exact order statistics by radix selection, with bounded memory.
 
 ``percentile_disc`` / ``median`` keep a value -> count map whose final merge
-happens in ONE task, so on a high-cardinality column of a large table they do
-not scale.  The exact k-th smallest value is found instead by narrowing a
-bracket around it with small aggregate passes over the one column:
-
-1. one pass: non-null count and finite min / max per column;
-2. histogram rounds: each row is binned into ``BINS`` equal-width bins over the
-   current range (plus bins for -inf, +inf and NaN) and ``groupBy(range, bin)``
-   gives each bin's exact count, min and max -- at most ~1000 keys per wanted
-   rank, so the partial aggregates and the shuffle stay tiny.  The bin holding
-   the rank becomes the next range (its min / max are real values, so the
-   range adapts to skewed data); a bin whose min = max (a hot value) is the
-   answer;
-3. once the range holds at most ``BRACKET_ROWS`` values, ``percentile_disc``
-   restricted to it (``FILTER``) picks the exact value.
-
-Values that histograms cannot separate quickly (pathological spreads) go on
-with rank-based rounds: a fixed-size ``percentile_approx`` sketch of the
-current range on a ``GRID`` of shares gives a bracket ~250x narrower per round,
-checked by exact counts.  A column with at most ``SMALL_COLUMN`` values is
-picked exactly in one pass.  Memory per task is bounded at every step; the
-driver only sees scalars, bin counts and sketch grids.
+happens in ONE task.  The exact k-th smallest value is found instead digit by
+digit, most significant first, on an order-preserving 64-bit image of the value:
+
+* integers and booleans are their own image, dates are days, timestamps
+  microseconds, narrow decimals their unscaled value;
+* a floating value's image is what its IEEE 754 bits read as an integer (sign
+  and magnitude), made with JVM arithmetic that is exact at every step: -inf first,
+  +inf and then NaN last, as in Spark's own order; -0.0 equals 0.0;
+* wide decimals have three images (two for the whole part, one for the
+  fraction), texts one for every seven bytes of their UTF-8 (with the number of
+  bytes, so a prefix sorts first).  A text's digits start behind what the
+  smallest and the largest text still in question have in common.
+
+One round is one ``groupBy(range, digit)`` over the columns in question: count,
+smallest and largest image of each digit, at most ``2 ** BITS`` keys per wanted
+rank, so partial aggregates, shuffle and driver rows are bounded.  The
+digit holding the rank is the next range; its smallest and largest image are
+real, so the next digit starts where they differ.  A range of at most
+``2 ** BITS`` rows is grouped by the image itself; a range of one image (a hot
+value) is the answer.  An image takes at most ``64 / BITS`` rounds, rounded up,
+whatever the distribution and the number of rows; nothing is left over for an
+unbounded percentile.
+
+Nulls do not count; an empty or all-null column has no ranks.  Types without an
+order here (arrays, intervals, decimals with over 18 digits behind the point)
+raise ``ValueError``.
 """
 
 from __future__ import annotations
 
+import datetime
 import math
+import struct
+from decimal import Decimal
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ACCURACY = 10_000
-GRID = 1000
-BRACKET_ROWS = 1_000_000
-# a column with at most this many values is picked exactly in one pass
-SMALL_COLUMN = 100_000
-MAX_ROUNDS = 12
-BINS = 1000  # equal-width bins per histogram round
-HIST_ROUNDS = 6
+BITS = 13  # a digit: at most 2 ** BITS groups per wanted rank and round
+PORTION = 32  # ranges of one pass: a row is expanded at most this many times
+TEXT_BYTES = 7  # bytes of a text in one image
+
+_MANTISSA = 2 ** 52
+_INFINITE = 2047 * _MANTISSA
+_WIDE = 10 ** 18
 
 
 def _q(col: str) -> str:
     return f"`{col}`"
 
 
-def _lit(v) -> str:
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "CAST('NaN' AS DOUBLE)"
-        if math.isinf(v):
-            return "CAST('Infinity' AS DOUBLE)" if v > 0 else "CAST('-Infinity' AS DOUBLE)"
-        return repr(v) + "D"
-    if isinstance(v, int):
-        return f"{v}L"
-    if hasattr(v, "isoformat"):
-        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'" if hasattr(v, "hour") else f"DATE '{v.isoformat()}'"
-    return "'" + str(v).replace("'", "''") + "'"
-
-
-def _grid_probs() -> list[float]:
-    return [j / GRID for j in range(GRID + 1)]
-
-
-def _sketch(c, accuracy: int):
-    """``percentile_approx`` of a column expression at every grid share; the grid
-    is one SQL array literal (one parse, not one JVM call per element)."""
-    grid = "array(" + ", ".join(f"{x!r}D" for x in _grid_probs()) + ")"
-    return F.percentile_approx(c, F.expr(grid), accuracy)
-
-
-def _neighbours(grid_values: list, share: float, accuracy: int) -> tuple:
-    """Sketch values around ``share``: wide enough to hold the true value given the
-    sketch's rank error (1 / accuracy of the sketched rows) plus one grid step."""
-    pad = GRID // accuracy + 2
-    j = min(GRID, max(0, int(share * GRID)))
-    return grid_values[max(0, j - pad + 1)], grid_values[min(GRID, j + pad)]
-
-
-class _Req:
-    __slots__ = ("wi", "col", "n", "k", "lo", "hi", "below", "inside", "prev", "state")
-
-    def __init__(self, wi, col, n, k):
-        self.wi, self.col, self.n, self.k = wi, col, n, k
-        self.lo = self.hi = None
+# ---- images
+
+
+def _floating(col: str) -> Column:
+    """Sign and IEEE magnitude of a double as one long."""
+    a = f"abs(cast({_q(col)} AS DOUBLE))"
+    # the exponent of a normal number, or -1022 for what is smaller; log2 may be off by one, so it is put right below
+    e = f"least(greatest(floor(log2({a})), -1022L), 1023L)"
+    p = f"pow(2D, {e})"
+
+    def magnitude(shift: int, scale: str) -> str:
+        return f"(({e}) + {1022 + shift}L) * {_MANTISSA}L + floor({a} / ({p} * {scale}) * {_MANTISSA}D)"
+
+    return F.expr(
+        f"CASE WHEN isnan({a}) THEN {_INFINITE + 1}L WHEN {a} = 0D THEN 0L WHEN {a} = double('Infinity') THEN {_INFINITE}L "
+        f"WHEN {a} < {p} AND {e} > -1022L THEN {magnitude(-1, '0.5D')} WHEN {a} / {p} >= 2D THEN {magnitude(1, '2D')} "
+        f"ELSE {magnitude(0, '1D')} END * CASE WHEN {_q(col)} < 0 THEN -1L ELSE 1L END"
+    )
+
+
+def _images(col: str, dt: T.DataType) -> list[Column]:
+    """Order-preserving longs of a value that is no text, most significant first."""
+    c = F.col(_q(col))
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return [_floating(col)]
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+        return [c.cast("long")]
+    if isinstance(dt, T.DateType):
+        return [F.unix_date(c).cast("long")]
+    if isinstance(dt, T.TimestampType):
+        return [F.unix_micros(c)]
+    if isinstance(dt, T.TimestampNTZType):  # by its fields: no time zone takes part
+        day = F.unix_date(c.cast("date")).cast("long") * F.lit(86_400_000_000)
+        micros = F.expr(f"cast(extract(SECOND FROM {_q(col)}) * 1000000 AS BIGINT)")
+        return [day + (F.hour(c) * 60 + F.minute(c)).cast("long") * F.lit(60_000_000) + micros]
+    if isinstance(dt, T.DecimalType) and dt.precision <= 18:
+        return [(c * F.lit(10 ** dt.scale).cast(f"decimal({dt.scale + 1},0)")).cast("decimal(38,0)").cast("long")]
+    if isinstance(dt, T.DecimalType) and dt.scale <= 18:
+        fraction = f"({_q(col)} % 1BD)"
+        whole = f"cast({_q(col)} - {fraction} AS DECIMAL(38,0))"
+        return [
+            F.expr(f"{whole} div {_WIDE}BD"),
+            F.expr(f"cast({whole} % {_WIDE}BD AS BIGINT)"),
+            F.expr(f"cast(cast({fraction} AS DECIMAL(19,{dt.scale})) * {10 ** dt.scale}BD AS BIGINT)"),
+        ]
+    raise ValueError(f"no order statistics of {dt.simpleString()}: {col}")
+
+
+def _text_image(col: str, start: int) -> Column:
+    """Seven bytes of a text from byte ``start`` (0-based) and how many there are."""
+    part = f"substring(cast({_q(col)} AS BINARY), {start + 1}, {TEXT_BYTES})"
+    return F.expr(f"cast(conv(rpad(hex({part}), {2 * TEXT_BYTES}, '0'), 16, 10) AS BIGINT) * 8 + length({part})")
+
+
+def _value(images: list[int], dt: T.DataType):
+    """The value of its images, as ``collect`` gives it."""
+    i = images[0]
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        if abs(i) > _INFINITE:
+            return math.nan
+        v = struct.unpack(">d", struct.pack(">q", abs(i)))[0]
+        return -v if i < 0 else v
+    if isinstance(dt, T.BooleanType):
+        return bool(i)
+    if isinstance(dt, T.DateType):
+        return datetime.date(1970, 1, 1) + datetime.timedelta(days=i)
+    if isinstance(dt, T.TimestampType):
+        return dt.fromInternal(i)
+    if isinstance(dt, T.TimestampNTZType):
+        return datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=i)
+    if isinstance(dt, T.DecimalType):
+        unscaled = i if len(images) == 1 else (images[0] * _WIDE + images[1]) * 10 ** dt.scale + images[2]
+        digits = tuple(int(d) for d in str(abs(unscaled)))
+        return Decimal((int(unscaled < 0), digits, -dt.scale))
+    return i
+
+
+# ---- selection
+
+
+class _Rank:
+    """One wanted rank of a column and the rows still in question: those whose first images are ``found`` (a text: that
+    begin with ``prefix``) and whose next image is in ``lo..hi`` (None: any)."""
+
+    __slots__ = ("want", "col", "k", "below", "inside", "found", "prefix", "lo", "hi", "value", "done")
+
+    def __init__(self, want: int, col: str, k: int, n: int):
+        self.want, self.col, self.k = want, col, k
         self.below, self.inside = 0, n
-        self.prev = None  # last bracket known to hold rank k: (lo, hi, below, inside)
-        self.state = "refine"  # refine -> exact -> done
-
+        self.found: tuple = ()
+        self.prefix = b""
+        self.lo = self.hi = None
+        self.value, self.done = None, False
 
-def _exact_pass(df: DataFrame, reqs: list[_Req], values: dict[int, object], ids: list[int]) -> None:
-    exprs = []
-    for ri in ids:
-        r = reqs[ri]
-        if r.lo is None:  # whole column (small, or a sketch that broke its bound)
-            exprs.append(F.expr(f"percentile_disc({(r.k - 0.5) / r.n!r}) WITHIN GROUP (ORDER BY {_q(r.col)})").alias(f"v{ri}"))
-        else:
-            p = (r.k - r.below - 0.5) / r.inside
-            exprs.append(F.expr(
-                f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY {_q(r.col)}) "
-                f"FILTER (WHERE {_q(r.col)} >= {_lit(r.lo)} AND {_q(r.col)} <= {_lit(r.hi)})"
-            ).alias(f"v{ri}"))
-    if exprs:
-        row = df.agg(*exprs).first().asDict()
-        for key, v in row.items():
-            values[int(key[1:])] = v
+    def range(self) -> tuple:
+        return self.col, self.found, self.prefix, self.lo, self.hi, self.inside <= 2 ** BITS
 
 
-def _numeric(dt) -> bool:
-    return isinstance(dt, T.NumericType)
+def _is_text(dt: T.DataType) -> bool:
+    return isinstance(dt, T.StringType)
 
 
-def _as_double(col: str, dt):
-    """Order-preserving double of a numeric value, used only to pick a histogram bin."""
-    return F.col(col).cast("double")
+def _round(df: DataFrame, ranges: list[tuple], types: dict[str, T.DataType]) -> list[list[tuple]]:
+    """Of each range, in the order of its digits: (rows, smallest image, largest image)."""
+    images: dict[tuple, Column] = {}  # (column, number of the image or start of the text's bytes)
+    for col, found, prefix, *_ in ranges:
+        if _is_text(types[col]):
+            images.setdefault((col, len(prefix)), _text_image(col, len(prefix)))
+        else:
+            for j, image in enumerate(_images(col, types[col])[: len(found) + 1]):
+                images.setdefault((col, j), image)
+    name = {key: f"__i{i}" for i, key in enumerate(images)}
+    texts = {col: f"__t{i}" for i, col in enumerate(dict.fromkeys(r[0] for r in ranges if r[2]))}
+    base = df.select(*[image.alias(name[key]) for key, image in images.items()],
+                     *[F.col(_q(col)).cast("binary").alias(t) for col, t in texts.items()])
+    parts = []
+    for at, (col, found, prefix, lo, hi, small) in enumerate(ranges):
+        image = F.col(name[col, len(prefix) if _is_text(types[col]) else len(found)])
+        inside = image.isNotNull()
+        for j, v in enumerate(found):
+            inside = inside & (F.col(name[col, j]) == F.lit(v))
+        if prefix:
+            inside = inside & (F.substring(F.col(texts[col]), 1, len(prefix)) == F.lit(prefix))
+        if lo is not None:
+            inside = inside & image.between(F.lit(lo), F.lit(hi))
+        if small:
+            digit = image
+        elif lo is None:
+            digit = F.shiftright(image, 64 - BITS)
+        else:  # from one digit of a round before, so hi - lo is a long
+            digit = F.shiftright(image - F.lit(lo), max(0, (hi - lo).bit_length() - BITS))
+        parts.append(F.when(inside, F.struct(F.lit(at).alias("r"), digit.cast("long").alias("d"), image.alias("v"))))
+    rows = (
+        base.select(F.explode(F.array(*parts)).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+        .groupBy("r", "d").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    )
+    out: list[list[tuple]] = [[] for _ in ranges]
+    for row in sorted(rows, key=lambda x: (x["r"], x["d"])):
+        out[row["r"]].append((row["n"], row["lo"], row["hi"]))
+    return out
 
 
-def _finite(v):
-    return (~F.isnan(v)) & (v != F.lit(math.inf)) & (v != F.lit(-math.inf))
+def _rounds(df: DataFrame, ranges: list[tuple], types: dict[str, T.DataType]) -> dict[tuple, list[tuple]]:
+    """``_round`` over any number of ranges, equal ones once, ``PORTION`` in a pass."""
+    todo = list(dict.fromkeys(ranges))
+    out: dict[tuple, list[tuple]] = {}
+    for i in range(0, len(todo), PORTION):
+        out.update(zip(todo[i : i + PORTION], _round(df, todo[i : i + PORTION], types)))
+    return out
 
 
-def _bin_expr(v, lo: float | None, hi: float | None, whole: bool, member=None):
-    """Bin of ``v``: equal-width bins 0..BINS-1 over [lo, hi]; on the whole column
-    also -1 (-inf), BINS (+inf), BINS+1 (NaN).  Outside the range: null.
-    ``member`` (refinement rounds) tests the range in the column's own type, so
-    64-bit integers that share a double with a range end are not admitted."""
-    inside = member if member is not None else ((v >= F.lit(lo)) & (v <= F.lit(hi)))
-    if lo is None:
-        inner = F.lit(None).cast("int")
-    elif hi == lo:
-        inner = F.when(inside, F.lit(0))
+def _narrow(r: _Rank, digits: list[tuple], dt: T.DataType) -> bool:
+    """Keeps the digit that holds the rank; True if a text goes on behind a found image."""
+    for n, lo, hi in digits:
+        if r.below + n >= r.k:
+            break
+        r.below += n
+    r.inside = n
+    if lo != hi:
+        r.lo, r.hi = lo, hi
+        return False
+    r.lo = r.hi = None
+    if _is_text(dt):
+        size = lo & 7
+        r.prefix += (lo >> 3).to_bytes(TEXT_BYTES, "big")[:size]
+        if size == TEXT_BYTES:
+            return True
+        r.value, r.done = r.prefix.decode("utf-8", "replace"), True
     else:
-        scaled = F.least(F.floor((v - F.lit(lo)) * F.lit(BINS / (hi - lo))), F.lit(BINS - 1)).cast("int")
-        inner = F.when(inside, scaled)
-    if not whole:
-        return inner
-    return (F.when(F.isnan(v), F.lit(BINS + 1)).when(v == F.lit(math.inf), F.lit(BINS))
-            .when(v == F.lit(-math.inf), F.lit(-1)).otherwise(inner))
-
-
-def _histogram_round(df: DataFrame, ranges: list[tuple], types: dict) -> dict:
-    """One pass: for each range ``(rid, col, lo, hi, whole, own)`` the count, min and
-    max of every non-empty bin.  Each row is expanded once per range (a few per
-    row) and aggregated on (range, bin): at most ``len(ranges) * (BINS + 3)``
-    keys, so the partial aggregate and the shuffle stay tiny at any scale."""
-    cols = list(dict.fromkeys(col for _, col, *_ in ranges))
-
-    def member(col, own):
-        if own is None:
-            return None
-        return (F.col(col) >= F.lit(own[0])) & (F.col(col) <= F.lit(own[1]))
-
-    tagged = F.explode(F.array(*[
-        F.struct(F.lit(rid).alias("r"),
-                 _bin_expr(_as_double(col, types[col]), lo, hi, whole, member(col, own)).alias("b"))
-        for rid, col, lo, hi, whole, own in ranges
-    ])).alias("e")
-    e = (df.select(tagged, *[F.col(c) for c in cols])
-         .select(F.col("e.r").alias("r"), F.col("e.b").alias("b"), *[F.col(c) for c in cols])
-         .where(F.col("b").isNotNull()))
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(cols):
-        aggs += [F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
-    idx = {c: i for i, c in enumerate(cols)}
-    col_of = {rid: col for rid, col, *_ in ranges}
-    out: dict = {}
-    for row in e.groupBy("r", "b").agg(*aggs).collect():
-        i = idx[col_of[row["r"]]]
-        out.setdefault(row["r"], []).append((row["b"], row["n"], row[f"mn{i}"], row[f"mx{i}"]))
-    for rid in out:
-        out[rid].sort(key=lambda t: t[0])
-    return out
+        r.found += (lo,)
+        if len(r.found) == _width(dt):
+            r.value, r.done = _value(list(r.found), dt), True
+    return False
+
+
+def _width(dt: T.DataType) -> int:
+    return 3 if isinstance(dt, T.DecimalType) and dt.precision > 18 else 1
+
+
+def _skip_common(df: DataFrame, ranks: list[_Rank]) -> None:
+    """Texts go on where the smallest and the largest one in question differ; if they are equal, that is the value."""
+    for at in range(0, len(ranks), PORTION):
+        part = ranks[at : at + PORTION]
+        ends = []
+        for i, r in enumerate(part):
+            raw = F.col(_q(r.col)).cast("binary")
+            held = F.when(F.substring(raw, 1, len(r.prefix)) == F.lit(r.prefix), raw)
+            ends += [F.min(held).alias(f"lo{i}"), F.max(held).alias(f"hi{i}")]
+        row = df.agg(*ends).first()
+        for i, r in enumerate(part):
+            lo, hi = bytes(row[f"lo{i}"]), bytes(row[f"hi{i}"])
+            if lo == hi:
+                r.value, r.done = lo.decode("utf-8", "replace"), True
+            else:
+                same = next((j for j, (a, b) in enumerate(zip(lo, hi)) if a != b), min(len(lo), len(hi)))
+                r.prefix = lo[:same]
 
 
 def select_ranks(
     df: DataFrame,
     wants: list[tuple[str, Callable[[int], list[int]], list[float]]],
-    accuracy: int = ACCURACY,
     n_known: dict[str, int] | None = None,
-    limits_known: dict[str, tuple] | None = None,
 ) -> list[tuple[int, list]]:
     """For each ``(column, ranks_of_n, shares)``: ``ranks_of_n(n)`` gives 1-based
     ranks among the ``n`` non-null values.  Returns ``(n, [value per rank])`` per
-    want.  ``n_known`` / ``limits_known``: non-null counts and finite (min, max)
-    the caller already has (together they save the first pass)."""
+    want.  ``n_known``: non-null counts that the caller already has."""
     if not wants:
         return []
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = list(dict.fromkeys(c for c, _, _ in wants))
-    # numeric columns only, as Spark's own percentile functions
-    binnable = {c for c in cols if _numeric(types[c])}
-    if n_known is not None and all(c in n_known and n_known[c] <= SMALL_COLUMN for c in cols):
-        n_of, lim = dict(n_known), {}
-    elif n_known is not None and limits_known is not None and all(
-        c in n_known and (n_known[c] <= SMALL_COLUMN or c not in binnable or c in limits_known) for c in cols
-    ):
-        n_of, lim = dict(n_known), {c: limits_known[c] for c in cols if c in limits_known}
-    else:
-        exprs = []
-        for ci, c in enumerate(cols):
-            exprs.append(F.count(F.col(c)).alias(f"n{ci}"))
-            if c in binnable:
-                v = _as_double(c, types[c])
-                exprs += [F.min(F.when(_finite(v), v)).alias(f"lo{ci}"), F.max(F.when(_finite(v), v)).alias(f"hi{ci}")]
-        first = df.agg(*exprs).first().asDict()
-        n_of = {c: first[f"n{ci}"] for ci, c in enumerate(cols)}
-        lim = {c: (first.get(f"lo{ci}"), first.get(f"hi{ci}")) for ci, c in enumerate(cols) if c in binnable}
-
-    reqs: list[_Req] = []
-    for wi, (c, fn, _) in enumerate(wants):
-        n = n_of[c]
-        for k in fn(n) if n else []:
-            r = _Req(wi, c, n, int(k))
-            if n <= SMALL_COLUMN:
-                r.state = "exact"  # lo None: exact over the (small) column
-            elif c in binnable:
-                r.state = "hist"
-            else:
-                r.state = "sketch0"
-            reqs.append(r)
-
-    values: dict[int, object] = {}
-    # ---- histogram rounds: exact counts, a narrower value range each round
-    for rnd in range(HIST_ROUNDS):
-        active = [ri for ri, r in enumerate(reqs) if r.state == "hist"]
-        if not active:
-            break
-        ranges, rid_of = [], {}
-        for ri in active:
-            r = reqs[ri]
-            key = (r.col, r.lo, r.hi) if rnd else (r.col, None, None)
-            if key not in rid_of:
-                rid_of[key] = len(ranges)
-                if rnd == 0:
-                    lo, hi = lim[r.col]
-                    ranges.append((len(ranges), r.col, lo, hi, True, None))
-                else:
-                    ranges.append((len(ranges), r.col, _to_double(r.lo, types[r.col]), _to_double(r.hi, types[r.col]), False,
-                                   (r.lo, r.hi)))
-        hist = _histogram_round(df, ranges, types)
-        for ri in active:
-            r = reqs[ri]
-            rid = rid_of[(r.col, r.lo, r.hi) if rnd else (r.col, None, None)]
-            want = r.k - (r.below if rnd else 0)
-            acc = 0
-            for b, cnt, bmin, bmax in hist.get(rid, []):
-                if acc + cnt >= want:
-                    r.below = (r.below if rnd else 0) + acc
-                    r.inside, r.lo, r.hi = cnt, bmin, bmax
-                    break
-                acc += cnt
-            if bmin == bmax or (isinstance(bmin, float) and isinstance(bmax, float) and math.isnan(bmin) and math.isnan(bmax)):
-                values[ri] = bmin
-                r.state = "done"
-            elif r.inside <= BRACKET_ROWS:
-                r.state = "exact"
-    # ---- rank-based sketch rounds: for what the histograms could not narrow
-    for r in reqs:
-        if r.state == "hist":
-            r.state = "refine"
-            r.prev = (r.lo, r.hi, r.below, r.inside)
-        elif r.state == "sketch0":  # not binnable: start from a sketch of the whole column
-            r.state = "refine"
-    _sketch_rounds(df, reqs, values, accuracy)
-    for r in reqs:  # rounds exhausted (pathological): pick inside the current bracket
-        if r.state == "refine":
-            r.state = "exact"
-    _exact_pass(df, reqs, values, [ri for ri, r in enumerate(reqs) if r.state == "exact"])
-
+    for c in cols:
+        if not _is_text(types[c]):
+            _images(c, types[c])  # refuses types without an order
+    n_of = dict(n_known or {})
+    # the first round counts the column where the caller has not
+    whole = {c: (c, (), b"", None, None, n_of.get(c, math.inf) <= 2 ** BITS) for c in cols if n_of.get(c) != 0}
+    first = _rounds(df, list(whole.values()), types)
+    for c in cols:
+        n_of[c] = sum(n for n, _, _ in first[whole[c]]) if c in whole else 0
+    ranks = [_Rank(w, c, int(k), n_of[c]) for w, (c, fn, _) in enumerate(wants) for k in (fn(n_of[c]) if n_of[c] else [])]
+    found = {r: first[whole[r.col]] for r in ranks}
+    while found:
+        longer = [r for r, digits in found.items() if _narrow(r, digits, types[r.col])]
+        _skip_common(df, longer)
+        active = [r for r in found if not r.done]
+        by_range = _rounds(df, [r.range() for r in active], types)
+        found = {r: by_range[r.range()] for r in active}
     out: list[tuple[int, list]] = [(n_of[c], []) for c, _, _ in wants]
-    for ri, r in enumerate(reqs):
-        out[r.wi][1].append(values[ri])
+    for r in ranks:
+        out[r.want][1].append(r.value)
     return out
 
 
-def _to_double(v, dt) -> float:
-    """The binning double of a value already in the column's own type."""
-    return float(v)
-
-
-def _sketch_rounds(df: DataFrame, reqs: list[_Req], values: dict[int, object], accuracy: int) -> None:
-    """Rank-based narrowing with a fixed-size sketch of the current bracket (the
-    whole column when there is none yet)."""
-    for _ in range(MAX_ROUNDS):
-        active = [ri for ri, r in enumerate(reqs) if r.state == "refine"]
-        if not active:
-            return
-        exprs = []
-        for ri in active:
-            r = reqs[ri]
-            c = F.col(r.col)
-            if r.lo is None:
-                exprs.append(_sketch(c, accuracy).alias(f"s{ri}"))
-            else:
-                inside = (c >= F.lit(r.lo)) & (c <= F.lit(r.hi))
-                exprs.append(_sketch(F.when(inside, c), accuracy).alias(f"s{ri}"))
-        sk = df.agg(*exprs).first().asDict()
-        exprs = []
-        for ri in active:
-            r = reqs[ri]
-            share = (r.k - r.below - 0.5) / r.inside
-            r.prev = (r.lo, r.hi, r.below, r.inside)
-            r.lo, r.hi = _neighbours(sk[f"s{ri}"], share, accuracy)
-            c = F.col(r.col)
-            exprs += [F.count_if(c < F.lit(r.lo)).alias(f"b{ri}"),
-                      F.count_if((c >= F.lit(r.lo)) & (c <= F.lit(r.hi))).alias(f"i{ri}")]
-        row = df.agg(*exprs).first().asDict()
-        for ri in active:
-            r = reqs[ri]
-            below, inside = row[f"b{ri}"], row[f"i{ri}"]
-            if not (below < r.k <= below + inside):
-                # the sketch broke its error bound (not expected): keep the last bracket
-                # known to hold the rank and pick inside it
-                r.lo, r.hi, r.below, r.inside = r.prev
-                r.state = "exact"
-            elif r.lo == r.hi:
-                values[ri] = r.lo
-                r.state = "done"
-            else:
-                r.below, r.inside = below, inside
-                if inside <= BRACKET_ROWS:
-                    r.state = "exact"
+def order_statistics(df: DataFrame, shares: dict[str, list[float]]) -> DataFrame:
+    """One row per column and share: the first value whose cumulative share reaches it, as text
+    (``column_name, share, non_null, value``); null for a column without values."""
+    wants = [(c, *disc(p)) for c, ps in shares.items() for p in ps]
+    got = select_ranks(df, wants)
+    rows = [(c, p[0], n, _shown(v[0]) if v else None) for (c, _, p), (n, v) in zip(wants, got)]
+    return df.sparkSession.createDataFrame(rows, "column_name STRING, share DOUBLE, non_null BIGINT, value STRING")
+
+
+def _shown(v) -> str:
+    if isinstance(v, datetime.datetime):
+        return v.isoformat(sep=" ", timespec="microseconds")
+    return v.isoformat() if isinstance(v, datetime.date) else str(v)
 
 
 # ---- rank rules

@@ -994,6 +994,36 @@ REPLAY_CHECKS = [
 ]
 
 
+STATISTICS = {
+    "orders": {"o_orderdate": [0.01, 0.5, 0.99], "o_orderpriority": [0.25, 0.75], "o_totalprice": [0.0, 0.5, 1.0], "o_orderkey": [0.9]},
+    "part": {"p_name": [0.1, 0.5, 0.9], "p_retailprice": [0.33], "p_size": [0.5]},
+    "documents": {"text": [0.01, 0.5, 0.99], "source": [0.5], "lang": [0.3, 0.9]},
+    "events": {"ts": [0.5, 0.95], "props": [0.5]},
+}
+
+
+def _statistics(spark, sf):
+    from probity.operators.quantiles import order_statistics
+
+    t = read_tables(spark, sf, list(STATISTICS))
+    out = None
+    for name, shares in STATISTICS.items():
+        one = order_statistics(t[name], shares).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _statistics_sql() -> str:
+    parts = []
+    for t, shares in STATISTICS.items():
+        for c, ps in shares.items():
+            shown = {"o_orderdate": "strftime(v, '%Y-%m-%d %H:%M:%S.%f')", "ts": "strftime(v, '%Y-%m-%d %H:%M:%S.%f')"}.get(c, "CAST(v AS VARCHAR)")
+            parts += [f"SELECT '{t}' AS table_name, '{c}' AS column_name, {p}::DOUBLE AS share, n AS non_null, {shown} AS value FROM "
+                      f"(SELECT {c} AS v, row_number() OVER (ORDER BY {c}) AS k, count(*) OVER () AS n FROM {t} WHERE {c} IS NOT NULL) "
+                      f"WHERE k = greatest(1, ceil({p}::DOUBLE * n - 1e-9))" for p in ps]
+    return " UNION ALL ".join(parts)
+
+
 def _replay_q(spark, sf):
     from probity.sources import sinks, tables as S
 
@@ -1462,6 +1492,35 @@ def _v3_all_sql():
     )
 
 
+V3_MASK_RULES = [
+    ("quantity", "column_values_to_be_between", "l_quantity", {"min_value": 5, "max_value": 45}, "NOT (l_quantity >= 5 AND l_quantity <= 45)"),
+    ("discount", "column_values_to_be_between", "l_discount", {"max_value": 0.07}, "l_discount > 0.07"),
+    ("tax", "column_values_to_be_between", "l_tax", {"max_value": 0.05}, "l_tax > 0.05"),
+    ("flag", "column_values_to_be_in_set", "l_returnflag", {"value_set": ["A", "N"]}, "l_returnflag NOT IN ('A', 'N')"),
+    ("status", "column_values_to_not_be_in_set", "l_linestatus", {"value_set": ["F"]}, "l_linestatus IN ('F')"),
+    ("line", "column_values_to_be_between", "l_linenumber", {"max_value": 5}, "l_linenumber > 5"),
+    ("flag_regex", "column_values_to_match_regex", "l_returnflag", {"regex": "^[AR]$"}, "NOT regexp_matches(l_returnflag, '^[AR]$')"),
+    ("flag_length", "column_value_lengths_to_equal", "l_returnflag", {"value": 2}, "length(l_returnflag) <> 2"),
+    ("custom", "row_condition", "l_extendedprice", {"expression": "l_extendedprice > 2000 * l_quantity / 2"}, "NOT (l_extendedprice > 2000 * l_quantity / 2)"),
+    ("null", "column_values_to_be_null", "l_suppkey", {}, "l_suppkey IS NOT NULL AND l_suppkey % 2 >= 0"),
+]
+V3_MASK = [Check("lineitem", kind, col, dict(params), check_id=f"mask:{name}") for name, kind, col, params, _ in V3_MASK_RULES]
+
+
+def _v3_mask(spark, sf):
+    from probity.plans.report import broken_mask
+
+    li = read_tables(spark, sf, ["lineitem"])["lineitem"]
+    return broken_mask(li, V3_MASK).groupBy("broken").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("l_orderkey").alias("n_orders"), F.sum(F.col("l_linenumber").cast("long")).alias("lines"))
+
+
+def _v3_mask_sql():
+    bits = " || ".join(f"CASE WHEN {bad} THEN '1' ELSE '0' END" for *_, bad in V3_MASK_RULES)
+    return (f"SELECT broken, count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders, sum(l_linenumber)::BIGINT AS lines "
+            f"FROM (SELECT *, {bits} AS broken FROM lineitem) WHERE contains(broken, '1') GROUP BY broken")
+
+
 V6_LONG = [Check("events", "column_values_to_be_in_set", "user_id", {"value_set": list(range(0, n, k))}) for n, k in ((4000, 2), (6000, 3))]
 
 
@@ -1502,6 +1561,8 @@ def _reg_reports():
     register("V07b", _references, f"WITH {_keys_sql()} SELECT child_table, child_column, parent_table, parent_column, round(coverage, 6) AS coverage FROM fk")
     register("V07c", _candidate_keys, _candidate_keys_sql())
     register("S05b", _inferred, _inferred_sql())
+    register("E15b", _statistics, _statistics_sql())
+    register("V03f", _v3_mask, _v3_mask_sql())
 
 
 _reg_sources()

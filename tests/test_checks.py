@@ -276,13 +276,12 @@ def test_exact_quantiles_multi_round_refinement(spark, monkeypatch):
     vals = [rnd.random() for _ in range(2000)] + [0.25] * 1000  # a hot value: a third of the rows
     df = spark.createDataFrame([(v,) for v in vals], "x DOUBLE")
     s = sorted(vals)
-    # tiny limits force several refinement rounds and the lo == hi (hot value) exit
-    monkeypatch.setattr(Q, "BRACKET_ROWS", 20)
-    monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
+    # short digits force several rounds and the exit at a range of one value
+    monkeypatch.setattr(Q, "BITS", 6)
     ps = (0.01, 0.1, 0.2, 0.5, 0.97, 1.0)
-    got = Q.select_ranks(df, [("x", *Q.disc(p)) for p in ps], accuracy=100)
+    got = Q.select_ranks(df, [("x", *Q.disc(p)) for p in ps])
     assert [v[0] for _, v in got] == [s[max(1, math.ceil(p * len(s))) - 1] for p in ps]
-    med = Q.median_of(Q.select_ranks(df, [("x", *Q.MEDIAN)], accuracy=100)[0][1])
+    med = Q.median_of(Q.select_ranks(df, [("x", *Q.MEDIAN)])[0][1])
     assert med == pytest.approx((s[1499] + s[1500]) / 2)
 
 
@@ -424,18 +423,16 @@ def _disc_reference(df, col, p):
     return df.agg(F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {col})")).first()[0]
 
 
-def test_exact_quantiles_sketch_fallback_path(spark, monkeypatch):
+def test_exact_quantiles_short_digits(spark, monkeypatch):
     import random
 
     from probity.operators import quantiles as Q
 
     rnd = random.Random(5)
     df = spark.createDataFrame([(rnd.random() * 100,) for _ in range(3000)], "x DOUBLE")
-    monkeypatch.setattr(Q, "HIST_ROUNDS", 0)
-    monkeypatch.setattr(Q, "BRACKET_ROWS", 20)
-    monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
+    monkeypatch.setattr(Q, "BITS", 6)
     for p in (0.05, 0.5, 0.93):
-        (_, (v,)), = Q.select_ranks(df, [("x", *Q.disc(p))], accuracy=100)
+        (_, (v,)), = Q.select_ranks(df, [("x", *Q.disc(p))])
         assert v == _disc_reference(df, "x", p)
 
 
@@ -445,17 +442,16 @@ def test_exact_quantiles_special_values(spark, monkeypatch):
 
     from probity.operators import quantiles as Q
 
-    monkeypatch.setattr(Q, "BRACKET_ROWS", 30)
-    monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
+    monkeypatch.setattr(Q, "BITS", 6)
     rnd = random.Random(9)
     xs = [rnd.random() for _ in range(500)] + [float("nan")] * 40 + [float("inf")] * 30 + [float("-inf")] * 20 + [None] * 5
     ks = [rnd.randint(-10**15, 10**15) for _ in range(595)]
     df = spark.createDataFrame(list(zip(xs, ks)), "x DOUBLE, t BIGINT")
     for p in (0.01, 0.03, 0.5, 0.9, 0.95, 1.0):
-        (_, (v,)), = Q.select_ranks(df, [("x", *Q.disc(p))], accuracy=100)
+        (_, (v,)), = Q.select_ranks(df, [("x", *Q.disc(p))])
         want = _disc_reference(df, "x", p)
         assert (math.isnan(v) and math.isnan(want)) or v == want, (p, v, want)
-        (_, (w,)), = Q.select_ranks(df, [("t", *Q.disc(p))], accuracy=100)
+        (_, (w,)), = Q.select_ranks(df, [("t", *Q.disc(p))])
         assert w == _disc_reference(df, "t", p)
 
 
@@ -486,15 +482,50 @@ def test_exact_quantiles_longs_beyond_double_precision(spark, monkeypatch):
 
     from probity.operators import quantiles as Q
 
-    monkeypatch.setattr(Q, "BRACKET_ROWS", 15)
-    monkeypatch.setattr(Q, "SMALL_COLUMN", 10)
+    monkeypatch.setattr(Q, "BITS", 6)
     rnd = random.Random(2)
     base = 2 ** 60
     ks = [base + rnd.randint(0, 300) for _ in range(600)] + [rnd.randint(0, 10 ** 6) for _ in range(200)]
     df = spark.createDataFrame([(k,) for k in ks], "k BIGINT")
     for p in (0.1, 0.3, 0.5, 0.77, 0.99):
-        (_, (v,)), = Q.select_ranks(df, [("k", *Q.disc(p))], accuracy=100)
-        assert v == _disc_reference(df, "k", p), p
+        (_, (v,)), = Q.select_ranks(df, [("k", *Q.disc(p))])
+        assert v == sorted(ks)[math.ceil(p * len(ks) - 1e-9) - 1] and float(v) == _disc_reference(df, "k", p), p
+
+
+def test_order_statistics_of_every_type(spark, monkeypatch):
+    """Doubles at the ends of their range, decimals, dates, timestamps of both kinds and texts against a sorted list."""
+    import datetime as dt
+    import random
+    from decimal import Decimal
+
+    from probity.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "BITS", 5)
+    rnd = random.Random(4)
+    n = 240
+    edge = [5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, -1.7976931348623157e308, 0.0, 1.0,
+            math.nextafter(1.0, 0), math.nextafter(2.0, 0), 2.0, math.nextafter(8.0, 0), 8.0, math.nextafter(2.0 ** 1000, 0)]
+    doubles = edge + [rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-300, 300) for _ in range(n - len(edge))]
+    stem = "the same beginning of every text, longer than one image \u00e9\U0001f600 "
+    texts = ["", "a", "a\0", "ab", "b" * 7, "b" * 8, "\u00e9"] + ["z" * 500] * 80 + [stem + str(rnd.randint(0, 50)) for _ in range(n - 87)]
+    longs = [2 ** 63 - 1, -2 ** 63] + [rnd.randint(-2 ** 63, 2 ** 63 - 1) for _ in range(n - 2)]
+    wide = [Decimal(rnd.randint(-10 ** 33, 10 ** 33)).scaleb(-4) for _ in range(n // 2)] + [Decimal(rnd.randint(-99999, 99999)).scaleb(-4) for _ in range(n // 2)]
+    narrow = [Decimal(rnd.randint(-10 ** 11, 10 ** 11)).scaleb(-2) for _ in range(n)]
+    days = [dt.date(1969, 12, 1) + dt.timedelta(days=rnd.randint(0, 90)) for _ in range(n)]
+    times = [dt.datetime(1969, 12, 31) + dt.timedelta(microseconds=rnd.randint(0, 10 ** 12)) for _ in range(n)]
+    columns = {"d": doubles, "t": texts, "l": longs, "w": wide, "m": narrow, "day": days, "ts": times, "ntz": times}
+    ddl = "d DOUBLE, t STRING, l BIGINT, w DECIMAL(36,4), m DECIMAL(12,2), day DATE, ts TIMESTAMP, ntz TIMESTAMP_NTZ"
+    df = spark.createDataFrame([*zip(*columns.values()), (None,) * len(columns)], ddl)
+    ps = [0.0, 0.05, 0.31, 0.5, 0.66, 1.0]
+    got = Q.select_ranks(df, [(c, *Q.disc(p)) for c in columns for p in ps])
+    wants = [(c, p, sorted(vs, key=lambda v: v.encode() if isinstance(v, str) else v)[max(1, math.ceil(p * n - 1e-9)) - 1])
+             for c, vs in columns.items() for p in ps]
+    assert [(c, p, v[0]) for (c, p, _), (_, v) in zip(wants, got)] == wants
+    assert all(count == n for count, _ in got)
+    empty = Q.order_statistics(df.where("l = 0 AND l = 1"), {"t": [0.5], "d": [0.5]}).collect()
+    assert [(r["non_null"], r["value"]) for r in empty] == [(0, None), (0, None)]
+    with pytest.raises(ValueError):
+        Q.select_ranks(spark.createDataFrame([([1],)], "a ARRAY<INT>"), [("a", *Q.disc(0.5))])
 
 
 def test_sketch_only_median_and_quantiles(spark):
@@ -551,3 +582,29 @@ def test_ordered_folds_nan_nulls_and_groups(spark):
             c = Check("t", "column_values_to_be_increasing", "v", {"order_by": "o", "strictly": strictly, "buckets": 6, **({"partition_by": ["g"]} if grouped else {})}, check_id="c")
             r = validate({"t": df}, [c], spark=spark).first()
             assert (r["element_count"], r["missing_count"], r["unexpected_count"]) == (41, 9, breaks(strictly, grouped)), (strictly, grouped)
+
+
+def test_broken_mask_is_one_scan(spark, tmp_path):
+    """Ten row checks: one scan and no exchange; the rows of failing_rows are those of a filter per check."""
+    from probity.plans.report import broken_mask, failing_rows, violating_rows
+
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(i, None if i % 7 == 0 else f"v{i % 5}", float(i % 11)) for i in range(200)] + [(None, None, None)] * 2,
+                          "id INT, `na me` STRING, x DOUBLE").write.parquet(path)
+    df = spark.read.parquet(path)
+    checks = [Check("t", "column_values_to_be_between", "id", {"max_value": 20 * i}, check_id=f"id{i}") for i in range(1, 7)]
+    checks += [Check("t", "column_values_to_not_be_null", "na me"), Check("t", "column_values_to_be_in_set", "na me", {"value_set": ["v1", "v2"]}),
+               Check("t", "column_values_to_be_in_set", "id", {"value_set": list(range(0, 900, 3))}, check_id="long"),
+               Check("t", "row_condition", "x", {"expression": "10 / x > 2"}, check_id="custom")]
+    marked = broken_mask(df, checks)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    assert all(len(r["broken"]) == 10 and "1" in r["broken"] for r in marked.collect())
+    got = sorted(map(str, failing_rows(df, checks).collect()))
+    want = sorted(str(type(r)(**{"check_id": c.check_id, **r.asDict()})) for c in checks for r in violating_rows(c, df).collect())
+    assert got == want and len(got) > 500
+    assert broken_mask(df, []).count() == 0 and broken_mask(df.limit(0), checks).count() == 0
+    with pytest.raises(ValueError):
+        broken_mask(df, [Check("t", "column_values_to_be_unique", "id")])
+    with pytest.raises(ValueError):
+        broken_mask(df.withColumnRenamed("x", "broken"), checks[:1])
