@@ -444,6 +444,20 @@ def _reg_expectations():
     diff = ("(SELECT (SELECT count(*) FROM (SELECT o_orderkey FROM orders EXCEPT ALL SELECT DISTINCT l_orderkey FROM lineitem)) + "
             "(SELECT count(*) FROM (SELECT DISTINCT l_orderkey FROM lineitem EXCEPT ALL SELECT o_orderkey FROM orders)) AS d) AS s")
     register("E48", one("orders", c, extra=("lineitem",)), final_sql(c.check_id, "NULL", "NULL", "d", "NULL", "d = 0", "d", diff))
+    # E48b comparisons by digests: equal, a few rows apart, all rows apart
+    same = "SELECT l_orderkey, l_linenumber, l_partkey, l_comment_like FROM (SELECT *, concat(l_returnflag, l_linestatus) AS l_comment_like FROM lineitem)"
+    sides = {
+        "equal": (same, same),
+        "nearly": (same, f"{same} WHERE l_orderkey % 500 <> 0 UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, 'new' FROM lineitem WHERE l_orderkey % 500 = 0"),
+        "repeats": (same, f"{same} UNION ALL SELECT * FROM ({same}) AS again WHERE l_linenumber = 7"),
+        "apart": ("SELECT l_partkey FROM lineitem", "SELECT o_orderkey FROM orders"),
+    }
+    cs = [Check("lineitem", "query_results_to_match_comparison", (), {"base_query": a, "comparison_query": b, "digests": True}, check_id=f"digests:{k}")
+          for k, (a, b) in sides.items()]
+    register("E48b", one("lineitem", cs, extra=("orders",)), union_sql(*[
+        final_sql(c.check_id, "NULL", "NULL", "d", "NULL", "d = 0", "d",
+                  f"(SELECT (SELECT count(*) FROM (({a}) EXCEPT ALL ({b}))) + (SELECT count(*) FROM (({b}) EXCEPT ALL ({a}))) AS d) AS s")
+        for c, (a, b) in zip(cs, sides.values())]))
     # E49 unique within record
     c = Check("lineitem", "select_column_values_to_be_unique_within_record", ("l_partkey", "l_suppkey", "l_orderkey"))
     register("E49", one("lineitem", c),

@@ -20,6 +20,7 @@ Everything is lazy; the union of all parts is the result DataFrame.
 from __future__ import annotations
 
 from collections import OrderedDict
+from contextlib import contextmanager
 from typing import Iterable
 
 from pyspark.errors import AnalysisException
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from probity.checks import RESULT_COLUMNS, RESULT_DDL, Check
 from probity.operators.aggregates import AGG_RULES, rank_requests
-from probity.operators.keys import GROUP_RULES, bag_difference_count, foreign_key_counts, groups_of, key_of
+from probity.operators.keys import GROUP_RULES, bag_difference_by_digest, bag_difference_count, foreign_key_counts, groups_of, key_of
 from probity.operators.measure import Measure
 from probity.operators.ordered import ordered_counts
 from probity.operators.rowlevel import ROW_RULES, with_verdicts
@@ -220,10 +221,11 @@ def _foreign_key(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> Dat
 
 def _query_compare(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     spark = df.sparkSession
-    register_views(spark, tables)
-    a = spark.sql(chk.p("base_query"))
-    b = spark.sql(chk.p("comparison_query"))
-    counts = bag_difference_count(a, b)
+    with table_views(spark, tables):
+        a = spark.sql(chk.p("base_query"))
+        b = spark.sql(chk.p("comparison_query"))
+    # digests=True: for results that are mostly equal, rows are shuffled only where digests of buckets differ
+    counts = bag_difference_by_digest(a, b) if chk.p("digests") else bag_difference_count(a, b)
     bad = F.col("a_only") + F.col("b_only")
     fields = {
         "element_count": F.lit(None),
@@ -244,14 +246,16 @@ def _sql_scalar(chk: Check, df: DataFrame, tables: dict[str, DataFrame]) -> Data
     from probity.operators import quantiles as Q
 
     spark = df.sparkSession
-    register_views(spark, tables)
-    if (parts := quantile_query(chk.p("query"))) is not None:
-        expr, share, rest = parts
-        column = spark.sql(f"SELECT CAST({expr} AS DOUBLE) AS v FROM {rest}")
+    parts = quantile_query(chk.p("query"))
+    with table_views(spark, tables):
+        if parts is not None:
+            expr, share, rest = parts
+            column = spark.sql(f"SELECT CAST({expr} AS DOUBLE) AS v FROM {rest}")
+        else:
+            q = spark.sql(to_spark_sql(chk.p("query")))
+    if parts is not None:
         _, found = Q.select_ranks(column, [("v", *Q.disc(share))])[0]
         q = spark.range(1).select(F.lit(float(found[0]) if found and found[0] is not None else None).cast("double").alias("v"))
-    else:
-        q = spark.sql(to_spark_sql(chk.p("query")))
     if len(q.columns) != 1:
         raise ValueError(f"{chk.check_id}: the query must return one column")
     val = q.select(F.col(f"`{q.columns[0]}`").cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("v"))
@@ -285,9 +289,22 @@ _JOIN = {
 }
 
 
-def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
+@contextmanager
+def table_views(spark: SparkSession, tables: dict[str, DataFrame]):
+    """The tables under their names while SQL is analysed; temporary views of the session come back afterwards."""
+    before = {}
     for name, t in tables.items():
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary:
+            before[name] = spark.table(name)
         t.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        for name in tables:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 def _needed_columns(chk: Check) -> list[str]:
