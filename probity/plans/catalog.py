@@ -1506,6 +1506,44 @@ def _v3_all_sql():
     )
 
 
+GROWN_CHECKS = [
+    Check("lineitem", "column_values_to_be_between", "l_discount", {"max_value": 0.07}, mostly=0.7),
+    Check("lineitem", "column_values_to_be_in_set", "l_returnflag", {"value_set": ["A", "N"]}),
+    Check("lineitem", "column_max_to_be_between", "l_quantity", {"min_value": 10, "max_value": 50}),
+    Check("lineitem", "column_min_to_be_between", "l_quantity", {"min_value": 2}),
+    Check("lineitem", "column_mean_to_be_between", "l_extendedprice", {"min_value": 1000, "max_value": 100000}),
+    Check("lineitem", "column_sum_to_be_between", "l_linenumber", {"min_value": 1}),
+    Check("lineitem", "table_row_count_to_be_between", (), {"min_value": 10}),
+]
+
+
+def _grown(spark, sf):
+    """Two thirds of lineitem validated, the rest appended, validated again: only the new files are scanned."""
+    from probity.plans.states import validate_grown
+    from probity.sources import sinks
+
+    base = sinks.scratch(spark, "grown")
+    li = read_tables(spark, sf, ["lineitem"])["lineitem"]
+    for part in ("l_orderkey % 3 <> 0", "l_orderkey % 3 = 0"):
+        li.where(part).write.mode("append").parquet(f"{base}/table")
+        out = validate_grown(spark, f"{base}/table", f"{base}/states", GROWN_CHECKS)
+        out.count()
+    return tidy(out)
+
+
+def _grown_sql() -> str:
+    c = GROWN_CHECKS
+    return union_sql(
+        row_sql(c[0].check_id, "lineitem", "l_discount > 0.07", "l_discount IS NULL", mostly=0.7),
+        row_sql(c[1].check_id, "lineitem", "l_returnflag NOT IN ('A', 'N')", "l_returnflag IS NULL"),
+        agg_sql(c[2].check_id, "lineitem", "l_quantity", "max(l_quantity)", 10, 50),
+        agg_sql(c[3].check_id, "lineitem", "l_quantity", "min(l_quantity)", 2),
+        agg_sql(c[4].check_id, "lineitem", "l_extendedprice", "avg(l_extendedprice)", 1000, 100000),
+        agg_sql(c[5].check_id, "lineitem", "l_linenumber", "sum(l_linenumber)", 1),
+        final_sql(c[6].check_id, "n", "0", "NULL", "NULL", "n >= 10", "n", "(SELECT count(*) AS n FROM lineitem)"),
+    )
+
+
 V3_MASK_RULES = [
     ("quantity", "column_values_to_be_between", "l_quantity", {"min_value": 5, "max_value": 45}, "NOT (l_quantity >= 5 AND l_quantity <= 45)"),
     ("discount", "column_values_to_be_between", "l_discount", {"max_value": 0.07}, "l_discount > 0.07"),
@@ -1575,6 +1613,7 @@ def _reg_reports():
     register("V07b", _references, f"WITH {_keys_sql()} SELECT child_table, child_column, parent_table, parent_column, round(coverage, 6) AS coverage FROM fk")
     register("V07c", _candidate_keys, _candidate_keys_sql())
     register("S05b", _inferred, _inferred_sql())
+    register("S12b", _grown, _grown_sql())
     register("E15b", _statistics, _statistics_sql())
     register("V03f", _v3_mask, _v3_mask_sql())
 
