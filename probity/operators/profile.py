@@ -6,8 +6,10 @@ only one value per column does):
 1. one fused aggregate: row count, per column non-null count, min / max of
    numeric columns, and -- with ``exact=False`` -- HyperLogLog distinct
    counts (``approx_count_distinct``);
-2. exact distinct counts (``exact=True``): columns of one type (at most 16)
-   share one pass -- ``explode`` of (column index, value), ``groupBy`` on the
+2. exact distinct counts (``exact=True``): whole numbers and dates (all types
+   together) as bits of 64-bit words, so up to 64 neighbouring values are one row
+   of the shuffle; other columns by type.  At most 16 columns
+   share one pass -- ``explode`` of (column index, word or value), ``groupBy`` on the
    pair with map-side combining, then a count per column; all passes run in
    one union;
 3. p01 / p99 of integer and floating columns, with the reference's rank
@@ -30,6 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from probity.functions.predicates import coerce_members, in_set
+from probity.operators.keys import is_whole, word_and_bit
+
 BLOCK = 25  # columns per first-pass aggregate: up to 6 aggregates each stays within codegen limits
 TYPE_GROUP = 16  # columns per distinct-count pass (rows are expanded this many times at most)
 
@@ -85,7 +90,7 @@ def profile(
             if not exact and distinct:
                 aggs.append(F.approx_count_distinct(F.col(c)).alias(f"nd{i}"))
             if c in vocab:
-                aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(*vocab[c])).alias(f"oov{i}"))
+                aggs.append(F.count_if(F.col(c).isNotNull() & ~in_set(F.col(c), coerce_members(vocab[c], types[c])[0])).alias(f"oov{i}"))
             if c in numeric and (ranks or wants("min_value", "max_value")):
                 aggs.append(F.min(F.col(c)).cast("double").alias(f"mn{i}"))
                 aggs.append(F.max(F.col(c)).cast("double").alias(f"mx{i}"))
@@ -168,11 +173,19 @@ def _exact_distincts(df: DataFrame, cols: list[str], types: dict) -> dict[int, i
     MD5 (128 bits), so that they are not shuffled whole."""
     groups: dict[str, list[tuple[int, str]]] = {}
     for i, c in enumerate(cols):
-        groups.setdefault(types[c].simpleString(), []).append((i, c))
+        groups.setdefault("" if is_whole(types[c]) else types[c].simpleString(), []).append((i, c))
     parts = []
-    for members in groups.values():
+    for kind, members in groups.items():
         for g0 in range(0, len(members), TYPE_GROUP):
             chunk = members[g0 : g0 + TYPE_GROUP]
+            if not kind:
+                bits = []
+                for i, c in chunk:
+                    word, bit = word_and_bit(F.col(c), types[c])
+                    bits.append(F.struct(F.lit(i).alias("i"), word.alias("v"), bit.alias("b")))
+                words = df.select(F.explode(F.array(*bits)).alias("e")).select("e.*").where(F.col("v").isNotNull())
+                parts.append(words.groupBy("i", "v").agg(F.bit_or("b").alias("b")).groupBy("i").agg(F.sum(F.bit_count("b")).cast("long").alias("d")))
+                continue
             pairs = df.select(F.explode(F.array(*[
                 F.struct(F.lit(i).alias("i"), _named(F.col(c), types[c]).alias("v")) for i, c in chunk
             ])).alias("e")).select("e.i", "e.v").where(F.col("v").isNotNull())
@@ -182,7 +195,7 @@ def _exact_distincts(df: DataFrame, cols: list[str], types: dict) -> dict[int, i
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    return {r["i"]: r["d"] for r in u.collect()}
+    return {i: 0 for i in range(len(cols))} | {r["i"]: r["d"] for r in u.collect()}
 
 
 def profile_tables(tables: dict[str, DataFrame], exact: bool = True, threads: int = 8) -> DataFrame:

@@ -1300,6 +1300,49 @@ def _v6_sql():
     )
 
 
+V6_KEYS_OLD = [
+    Check("lineitem", "foreign_key", "l_partkey", {"parent_table": "part", "parent_columns": ["p_partkey"]}, check_id="parts"),
+    Check("orders", "column_values_to_be_unique", "o_custkey", check_id="one_order"),
+]
+V6_KEYS_NEW = [
+    Check("lineitem", "foreign_key", "l_partkey", {"parent_table": "supplier", "parent_columns": ["s_suppkey"]}, check_id="parts"),
+    Check("orders", "multicolumn_values_to_be_unique", ("o_custkey", "o_orderstatus"), check_id="one_order"),
+]
+
+
+def _v6_keys(spark, sf):
+    from probity.plans.report import rows_flipped
+
+    return rows_flipped(read_tables(spark, sf, ["lineitem", "part", "supplier", "orders"]), V6_KEYS_OLD, V6_KEYS_NEW)
+
+
+_V6_KEYS_SQL = """
+SELECT 'parts' AS check_id, count(*) FILTER (WHERE (l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL))
+  <> (l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL))) AS rows_flipped FROM lineitem
+UNION ALL SELECT 'one_order', count(*) FILTER (WHERE (o_custkey IS NOT NULL AND a > 1) <> (o_custkey IS NOT NULL AND o_orderstatus IS NOT NULL AND b > 1))
+FROM (SELECT o_custkey, o_orderstatus, count(*) OVER (PARTITION BY o_custkey) AS a, count(*) OVER (PARTITION BY o_custkey, o_orderstatus) AS b FROM orders)
+"""
+
+
+def _split_reads(spark, sf):
+    """Conditions of parallel reads, judged on whole tables: how many of them each row meets."""
+    from probity.sources.tables import split_predicates
+
+    parts = []
+    for table, keys, spread in (("lineitem", ["l_orderkey", "l_linenumber"], None), ("events", ["event_type"], ["event_id"]), ("orders", ["o_orderdate"], None)):
+        df = read_tables(spark, sf, [table])[table]
+        drawn = df.where(F.pmod(F.xxhash64(*df.columns), F.greatest(F.lit(1), df.select(F.floor(F.count(F.lit(1)) / 2000)).scalar())) == 0)
+        sample = [tuple(r) for r in drawn.select(*keys).orderBy(*keys).collect()]
+        met = F.lit(0)
+        for p in split_predicates(keys, sample, 8, spread):
+            met = met + F.coalesce(F.expr(p), F.lit(False)).cast("int")
+        parts.append(df.select(F.lit(table).alias("table_name"), met.alias("conditions_met")).groupBy("table_name", "conditions_met").agg(F.count(F.lit(1)).alias("row_count")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _v7(spark, sf):
     from probity.operators.profile import profile
     from probity.plans.report import suggest_checks
@@ -1609,6 +1652,8 @@ def _reg_reports():
     register("V05", _v5, _v5_sql())
     register("V06", _v6, _v6_sql())
     register("V06c", _v6_states, _v6_states_sql())
+    register("V06d", _v6_keys, _V6_KEYS_SQL)
+    register("S01b", _split_reads, union_sql(*[f"SELECT '{t}' AS table_name, 1 AS conditions_met, count(*) AS row_count FROM {t}" for t in ("lineitem", "events", "orders")]))
     register("V07", _v7, _v7_sql())
     register("V07b", _references, f"WITH {_keys_sql()} SELECT child_table, child_column, parent_table, parent_column, round(coverage, 6) AS coverage FROM fk")
     register("V07c", _candidate_keys, _candidate_keys_sql())

@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 
 from probity.checks import RESULT_COLUMNS, RESULT_DDL, Check
 from probity.operators.aggregates import AGG_RULES, rank_requests
-from probity.operators.keys import GROUP_RULES, bag_difference_by_digest, bag_difference_count, foreign_key_counts, groups_of, key_of
+from probity.operators.keys import (
+    DISTINCT_ONLY, GROUP_RULES, bag_difference_by_digest, bag_difference_count, foreign_key_counts, groups_of, is_whole, key_of, word_groups_of,
+)
 from probity.operators.measure import Measure
 from probity.operators.ordered import ordered_counts
 from probity.operators.rowlevel import ROW_RULES, with_verdicts
@@ -181,13 +183,15 @@ def fused_pass(
 
 
 def group_pass(df: DataFrame, key: tuple[str, ...], checks: list[Check]) -> DataFrame:
-    """All G checks on one column tuple (and normalisation) share one groupBy."""
+    """All G checks on one column tuple (and normalisation) share one groupBy; where only the number of
+    distinct whole numbers is asked for, it groups bits of 64-bit words and not values."""
     from probity.functions.predicates import normalized
 
     probe = checks[0]
     if probe.p("trim") or probe.p("case_insensitive"):
         df = df.select(*[(normalized(F.col(c), probe).alias(c) if c in key else F.col(c)) for c in df.columns])
-    groups = groups_of(df, key)
+    counted = all(c.kind in DISTINCT_ONLY for c in checks) and is_whole(df.schema[key[0]].dataType)
+    groups = word_groups_of(df, key[0]) if counted else groups_of(df, key)
     aggs, structs = [], []
     for i, chk in enumerate(checks):
         m = GROUP_RULES[chk.kind](chk, groups, df)

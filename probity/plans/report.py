@@ -258,10 +258,55 @@ def contract_evaluation(spark: SparkSession, contract, results: DataFrame, table
 # ----------------------------------------------------------------- V6
 
 
+def _key_flips(old: Check, new: Check, tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of a uniqueness or foreign-key check that exactly one version calls bad.
+
+    One groupBy on both versions' keys with its counts (map-side combined: a hot key is one row per task); each version
+    then judges those groups: by the sum of the counts of its own key, or by an equi-join with its parent's
+    distinct keys.  Keys are compared as each version compares them (trimmed, without case)."""
+    from probity.functions.predicates import normalized
+
+    df = tables[new.table]
+    keys = {"o": old, "n": new}
+    cols = {v: [f"__{v}{i}" for i in range(len(chk.columns))] for v, chk in keys.items()}
+    mine = [normalized(F.col(_quoted(c)), chk).alias(name) for v, chk in keys.items() for c, name in zip(chk.columns, cols[v])]
+    groups = df.select(*mine).groupBy(*cols["o"], *cols["n"]).agg(F.count(F.lit(1)).alias("__rows"))
+    for v, chk in keys.items():
+        own = [F.col(c) for c in cols[v]]
+        theirs = [f"__t{v}{i}" for i in range(len(own))]
+        if chk.kind == "foreign_key":
+            parent = tables[chk.p("parent_table")]
+            held = parent.select(*[normalized(F.col(_quoted(c)), chk).alias(t) for c, t in zip(chk.p("parent_columns"), theirs)]).distinct()
+            held = held.withColumn(f"__found{v}", F.lit(True))
+            on = [a == F.col(t) for a, t in zip(own, theirs)]
+            bad = ~_any_null(own) & F.col(f"__found{v}").isNull()
+        else:
+            held = groups.groupBy(*[a.alias(t) for a, t in zip(own, theirs)]).agg(F.sum("__rows").alias(f"__found{v}"))
+            on = [a.eqNullSafe(F.col(t)) for a, t in zip(own, theirs)]
+            missing = _all_null(own) if chk.kind == "compound_columns_to_be_unique" else _any_null(own)
+            bad = ~missing & (F.col(f"__found{v}") > 1)
+        groups = groups.join(held, on, "left").withColumn(f"__bad{v}", bad).drop(*theirs, f"__found{v}")
+    flips = F.coalesce(F.sum(F.when(F.col("__bado") != F.col("__badn"), F.col("__rows"))), F.lit(0)).cast("long")
+    return groups.agg(flips.alias("rows_flipped")).select(F.lit(new.check_id).alias("check_id"), "rows_flipped")
+
+
+def _keys_exist(chk: Check, tables: dict[str, DataFrame]) -> bool:
+    wanted = {chk.table: chk.columns} if chk.kind != "foreign_key" else {chk.table: chk.columns, chk.p("parent_table"): chk.p("parent_columns")}
+    if chk.kind == "foreign_key" and chk.p("parent_table") == chk.table:
+        wanted = {chk.table: [*chk.columns, *chk.p("parent_columns")]}
+    return all(t in tables and set(cols) <= set(tables[t].columns) for t, cols in wanted.items())
+
+
+#: Kinds whose bad rows follow from the counts of a key or from a parent's keys.
+KEY_RULES = {"column_values_to_be_unique", "compound_columns_to_be_unique", "multicolumn_values_to_be_unique", "foreign_key"}
+
+
 def rows_flipped(tables: dict[str, DataFrame], old_checks: list[Check], new_checks: list[Check]) -> DataFrame:
-    """Per row-level check present in both suites: data rows judged bad by exactly
-    one of the two versions.  One aggregate per table evaluates both predicates
-    of every such check (a single scan)."""
+    """Per check present in both suites: data rows judged bad by exactly one of the two versions.
+
+    Row-level checks: one aggregate per table evaluates both predicates of every such check (a single scan).
+    Uniqueness and foreign keys: ``_key_flips``, one check at a time; a version that names a table or column that the
+    data lacks has no count."""
     old_by = {c.check_id: c for c in old_checks}
     pairs: dict[str, list[tuple[Check, Check]]] = {}
     for c in new_checks:
@@ -270,6 +315,10 @@ def rows_flipped(tables: dict[str, DataFrame], old_checks: list[Check], new_chec
                 and o.kind in ROW_RULES and c.kind in ROW_RULES:
             pairs.setdefault(c.table, []).append((o, c))
     parts = []
+    for c in new_checks:
+        o = old_by.get(c.check_id)
+        if o is not None and o.table == c.table and {o.kind, c.kind} <= KEY_RULES and all(_keys_exist(x, tables) for x in (o, c)):
+            parts.append(_key_flips(o, c, tables))
     for table, ps in pairs.items():
         df = tables[table]
         both = [c for pair in ps for c in pair]

@@ -7,6 +7,9 @@ Column expressions, so Catalyst pushes them into the Parquet scan
 
 from __future__ import annotations
 
+import datetime
+import decimal
+import math
 import os
 from typing import Iterable
 
@@ -62,13 +65,111 @@ def read_jdbc_partitioned(
                      upperBound=bounds["hi"], numPartitions=num_partitions)
 
 
+def _literal(value) -> str | None:
+    """A key value as text of a query; None for values that dialects spell apart (a backslash in a text, bytes, NaN)."""
+    if isinstance(value, bool) or value is None:
+        return None
+    if isinstance(value, (int, decimal.Decimal)):
+        return str(value)
+    if isinstance(value, float):
+        return repr(value) if math.isfinite(value) else None
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'" if value.tzinfo is None else None
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str) and "\\" not in value and "\0" not in value:
+        return "'" + value.replace("'", "''") + "'"
+    return None
+
+
+#: Remainder of a hash of columns, never null, in the spelling of a database.
+HASH_SQL = {
+    "mysql": "MOD(CRC32(CONCAT_WS('|', {columns})), {n})",
+    "postgresql": "MOD(ABS(CAST(hashtext(CONCAT_WS('|', {columns})) AS BIGINT)), {n})",
+}
+RANDOM_SQL = {"mysql": "RAND()", "postgresql": "RANDOM()"}
+
+
+def hash_predicates(columns: list[str], n: int, hash_sql: str = HASH_SQL["mysql"]) -> list[str]:
+    """``n`` conditions of which each row meets exactly one, for keys whose order says nothing."""
+    part = hash_sql.format(columns=", ".join(columns), n=n)
+    return [f"{part} = {i}" for i in range(n)]
+
+
+def split_predicates(keys: list[str], sample: list[tuple], n: int, spread: list[str] | None = None, hash_sql: str = HASH_SQL["mysql"]) -> list[str]:
+    """About ``n`` conditions of which each row of a table meets exactly one, for a read by parallel queries.
+
+    ``sample``: key values of some rows (one tuple a row, repeats included) in the order of the database that will
+    judge the conditions: an equi-depth histogram.  A key may have several columns, of any type.  A key value that
+    holds the share of several ranges is a range of its own, cut by a hash of the columns ``spread`` (whole, if there are
+    none).  Rows with a null in the key are the last condition.  Values that dialects spell apart are no bounds, so
+    ranges may be fewer; whatever the sample, no row is lost or read twice."""
+    null = " OR ".join(f"{k} IS NULL" for k in keys)
+    bounds: list[tuple[str, ...]] = []
+    weight: dict[tuple[str, ...], int] = {}
+    for i in range(1, n):
+        at = sample[len(sample) * i // n] if sample else ()
+        bound = tuple(_literal(v) for v in at)
+        if bound and None not in bound:
+            weight[bound] = weight.get(bound, 0) + 1
+            if weight[bound] == 1:
+                bounds.append(bound)
+
+    def reaches(bound):  # the key stands at the bound or after it
+        steps = []
+        for i, (k, b) in enumerate(zip(keys, bound)):
+            before = [f"{a} = {x}" for a, x in zip(keys[:i], bound[:i])]
+            steps.append(" AND ".join([*before, f"{k} {'>=' if i == len(keys) - 1 else '>'} {b}"]))
+        return "(" + " OR ".join(f"({s})" for s in steps) + ")"
+
+    whole = [f"{k} IS NOT NULL" for k in keys]
+    out = []
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        inside = [*whole, *([reaches(low)] if low else []), *([f"NOT {reaches(high)}"] if high else [])]
+        if low is None or weight[low] == 1:
+            out.append(" AND ".join(inside))
+            continue
+        same = "(" + " AND ".join(f"{k} = {b}" for k, b in zip(keys, low)) + ")"
+        parts = hash_predicates(spread, weight[low], hash_sql) if spread else [None]
+        out += [" AND ".join([*inside, same, *([p] if p else [])]) for p in parts]
+        out.append(" AND ".join([*inside, f"NOT {same}"]))
+    return [*out, null]
+
+
+#: Rows of the key sample for each wanted range; the sample is all that the driver holds.
+SAMPLED = 200
+
+
+def read_jdbc_split(
+    spark: SparkSession, url: str, table: str, keys: list[str], num_partitions: int, props: dict[str, str] | None = None, spread: list[str] | None = None,
+) -> DataFrame:
+    """A table read by parallel queries on a key of any columns and distribution (``split_predicates``).
+
+    Two pushed-down queries before the read: the number of rows, and about ``SAMPLED * num_partitions`` keys drawn at random,
+    in the database's own order."""
+    dialect = url.split(":")[1] if url.startswith("jdbc:") else "mysql"
+    ask = lambda query: spark.read.format("jdbc").option("url", url).option("query", query).options(**(props or {})).load()
+    rows = int(ask(f"SELECT COUNT(*) AS n FROM {table}").first()["n"])
+    listed = ", ".join(keys)
+    share = min(1.0, SAMPLED * num_partitions / max(rows, 1))
+    filled = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    # ranked by the database, as its collation judges the ranges later
+    drawn = ask(
+        f"SELECT {listed}, ROW_NUMBER() OVER (ORDER BY {listed}) AS probity_rank FROM {table} "
+        f"WHERE {filled} AND {RANDOM_SQL.get(dialect, 'RAND()')} < {share!r}"
+    )
+    ranked = [tuple(r)[:-1] for r in sorted(drawn.collect(), key=lambda r: r["probity_rank"])]
+    predicates = split_predicates(keys, ranked, num_partitions, spread, HASH_SQL.get(dialect, HASH_SQL["mysql"]))
+    return spark.read.jdbc(url, table, predicates=predicates, properties=props or {})
+
+
 def read_contract_tables(
     spark: SparkSession, contract, base: str | None = None, fmt: str = "parquet", server: str = "mysql",
     num_partitions: int | None = None,
 ) -> dict[str, DataFrame]:
     """The contract's tables, from files under ``base`` or, without ``base``,
-    from the database named in ``servers.<server>`` (split on a single-column
-    primary key when ``num_partitions`` is given)."""
+    from the database named in ``servers.<server>`` (split on the primary key when ``num_partitions``
+    is given: ranges between the bounds of one column, a sampled histogram of several)."""
     if base is not None:
         return read_tables(spark, base, contract.tables, fmt)
     srv = (contract.raw.get("servers") or {})[server]
@@ -79,6 +180,8 @@ def read_contract_tables(
         pk = contract.primary_keys.get(t) or []
         if num_partitions and len(pk) == 1:
             out[t] = read_jdbc_partitioned(spark, url, t, pk[0], num_partitions, props)
+        elif num_partitions and pk:
+            out[t] = read_jdbc_split(spark, url, t, pk, num_partitions, props)
         else:
             out[t] = read_jdbc(spark, url, t, props)
     return out

@@ -673,3 +673,91 @@ def _lit(v):
     from pyspark.sql import functions as F
 
     return F.lit(v)
+
+
+def test_rows_flipped_of_keys(spark):
+    from probity.plans.report import rows_flipped
+
+    df = spark.createDataFrame([("a", 1), ("A", 1), ("b", 2), ("b", 2), (None, 2), ("c", None), (" c", None)], "k string, v int")
+    parent = spark.createDataFrame([("a",), ("b",), (None,)], "p string")
+    other = spark.createDataFrame([("c",), ("A",)], "p string")
+    t = {"t": df, "p": parent, "q": other, "e": df.limit(0)}
+    unique = lambda kind, cols, **kw: Check(kw.pop("table", "t"), kind, cols, kw, check_id="x")
+    flips = lambda o, n: [r["rows_flipped"] for r in rows_flipped(t, [o], [n]).collect()]
+    plain = unique("column_values_to_be_unique", "k")
+    assert flips(plain, plain) == [0]
+    assert flips(plain, unique("column_values_to_be_unique", "k", case_insensitive=True)) == [2]
+    assert flips(plain, unique("column_values_to_be_unique", "k", trim=True)) == [2]
+    # v: 1, 1, 2, 2, 2 repeat; of k only b, b
+    assert flips(plain, unique("column_values_to_be_unique", "v")) == [3]
+    assert flips(unique("multicolumn_values_to_be_unique", ("k", "v")), unique("compound_columns_to_be_unique", ("k", "v"))) == [0]
+    fk = lambda parent, **kw: Check("t", "foreign_key", "k", {"parent_table": parent, "parent_columns": ["p"], **kw}, check_id="x")
+    # orphans: A, c, " c" of p; a, b, b, " c" of q
+    assert flips(fk("p"), fk("q")) == [5]
+    assert flips(fk("p"), fk("p", case_insensitive=True)) == [1]
+    assert flips(fk("p"), fk("nowhere")) == []
+    assert rows_flipped(t, [unique("column_values_to_be_unique", "k", table="e")], [unique("column_values_to_be_unique", "v", table="e")]).collect()[0]["rows_flipped"] == 0
+
+
+def test_distinct_counts_by_words(spark):
+    """Whole numbers and dates are counted as bits: edges of words and types, nulls, hot values, empty tables."""
+    import datetime
+
+    from probity.operators.profile import profile
+    from probity.plans.compile import validate as run
+
+    edge = [-(2**63), 2**63 - 1, -1, 0, 63, 64, -64, -65, 1, 1, 1, None]
+    small = [-128, 127, 0, 1, 1, None, None, 5, 6, 7, 8, 9]
+    days = [datetime.date(1969, 12, 31), datetime.date(1970, 1, 1), datetime.date(1, 1, 1), datetime.date(9999, 12, 31)] * 3
+    rows = [(a, b, c, None, f"t{i % 5}") for i, (a, b, c) in enumerate(zip(edge, small, days))]
+    df = spark.createDataFrame(rows, "a bigint, b tinyint, c date, d int, e string")
+    got = {r["column_name"]: (r["distinct_count"], r["distinct_ratio"]) for r in profile(df, "t").collect()}
+    assert got == {c: (n, n / 12) for c, n in {"a": len(set(edge) - {None}), "b": len(set(small) - {None}), "c": 4, "d": 0, "e": 5}.items()}
+    assert {r["distinct_count"] for r in profile(df.limit(0), "t").collect()} == {0}
+    checks = [Check("t", kind, c, {"min_value": 0, "max_value": 100}) for kind in ("column_unique_value_count_to_be_between", "column_proportion_of_unique_values_to_be_between") for c in "abcd"]
+    seen = {r["check_id"]: r for r in run({"t": df}, checks).collect()}
+    for chk in checks:
+        r, column = seen[chk.check_id], [row["abcd".index(chk.column)] for row in rows]
+        values = [v for v in column if v is not None]
+        assert (r["element_count"], r["missing_count"]) == (12, 12 - len(values))
+        share = "proportion" in chk.kind
+        want = (len(set(values)) / len(values) if values else None) if share else len(set(values))
+        assert r["observed_value"] == (want if want is None else pytest.approx(want)), chk.check_id
+    none = run({"t": df.limit(0)}, checks[:1]).collect()[0]
+    assert (none["element_count"], none["observed_value"]) == (0, 0.0)
+    # a key that is asked for its values too keeps its values
+    both = [checks[0], Check("t", "column_values_to_be_unique", "a")]
+    assert {r["observed_value"] for r in run({"t": df}, both).collect()} >= {9.0}
+
+
+def test_conditions_of_parallel_reads(spark):
+    """Each row meets exactly one condition, whatever the key; ranges are even, a hot value is cut by its hash."""
+    import datetime
+    import decimal
+
+    from pyspark.sql import functions as F
+
+    from probity.sources.tables import hash_predicates, split_predicates
+
+    rows = [(i % 50 if i % 11 else None, f"it's {i % 7}" if i % 13 else None, "hot" if i % 3 else f"k{i}", i, decimal.Decimal(i) / 4,
+             datetime.date(2000, 1, 1) + datetime.timedelta(days=i % 90), datetime.datetime(2000, 1, 1, 0, 0, i % 60, i), "back\\slash" if i % 2 else "x") for i in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b string, h string, i int, d decimal(20,4), day date, ts timestamp_ntz, s string").cache()
+
+    def sizes(predicates):
+        met = [F.coalesce(F.expr(p), F.lit(False)).cast("int") for p in predicates]
+        one = df.agg(*[F.sum(m).alias(f"n{j}") for j, m in enumerate(met)], F.count_if(sum(met, F.lit(0)) != 1).alias("wrong")).first()
+        assert one["wrong"] == 0
+        return [one[f"n{j}"] for j in range(len(met))]
+
+    for keys in (["a", "b"], ["a"], ["i"], ["d"], ["day"], ["ts", "i"], ["s"], ["b", "a", "i"]):
+        sample = [tuple(r) for r in df.select(*keys).dropna().orderBy(*keys).collect()]
+        assert len(sizes(split_predicates(keys, sample, 6))) <= 7
+    even = sizes(split_predicates(["i"], [(i,) for i in range(3000)], 6))
+    assert even == [500] * 6 + [0]
+    hot = [tuple(r) for r in df.select("h").orderBy("h").collect()]
+    assert max(sizes(split_predicates(["h"], hot, 6))) == 2000
+    assert max(sizes(split_predicates(["h"], hot, 6, ["i"]))) < 700
+    # a sample that knows nothing, or something else, loses no row either
+    sizes(split_predicates(["a", "b"], [], 6))
+    sizes(split_predicates(["a"], [(10**6,), (10**7,)], 3))
+    assert sum(sizes(hash_predicates(["b", "i"], 5))) == 3000

@@ -314,6 +314,10 @@ def test_a_contract_reads_its_database_by_ranges(monkeypatch):
                                tables=["beds", "notes"], primary_keys={"beds": ["bed_id"]})
     assert tables.read_contract_tables(None, contract, num_partitions=6) == {"beds": "split", "notes": "whole"}
     assert calls == [("jdbc:mysql://h:1/garden", "beds", "bed_id", 6, {"user": "u"}), ("jdbc:mysql://h:1/garden", "notes", {"user": "u"})]
+    monkeypatch.setattr(tables, "read_jdbc_split", lambda *a: calls.append(a[1:]) or "ranges")
+    contract.primary_keys["notes"] = ["bed_id", "day"]
+    assert tables.read_contract_tables(None, contract, num_partitions=6)["notes"] == "ranges"
+    assert calls[-1] == ("jdbc:mysql://h:1/garden", "notes", ["bed_id", "day"], 6, {"user": "u"})
 
 
 @pytest.mark.parametrize("said,want", [("7 years", (84, 0)), ("6 months", (6, 0)), ("2 weeks", (0, 14)), ("90d", (0, 90)), ("P1Y6M", (18, 0)), ("P2W", (0, 14)), ("P", None), ("soon", None), (None, None), ("3 fortnights", None)])
