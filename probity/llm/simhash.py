@@ -23,7 +23,7 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from probity.llm.common import cut, partitions, row_key
@@ -187,7 +187,8 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, shard: in
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
     """The document with the smallest doc_id of every class, with the columns of ``docs``; of rows that share that
-    doc_id, one. A class without any doc_id keeps the row of its smallest fingerprint."""
+    doc_id, one, and of rows that share the text too, the one whose other columns come first as texts (in column order,
+    nulls last). A class without any doc_id keeps the row of its smallest fingerprint."""
     key = row_key(F.col("doc_id"), F.lit(""), F.col("text"))
     names = classes(docs.select(F.struct("doc_id", key.alias("key")).alias("doc_id"), "text"), shingle, bits)
     # the smallest struct (doc_id, key) has a null doc_id first, so nulls are put last
@@ -195,9 +196,10 @@ def deduplicated(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> D
     keep = cut(keep.select(F.col("k.doc_id.key").alias("_key")).distinct())
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), key.alias("_mine"))
     kept = rows.join(keep, F.col("_mine") == F.col("_key"), "left_semi")
-    # rows that are equal in doc_id and text are one class: one of them stays
-    one = F.row_number().over(Window.partitionBy("_mine").orderBy(F.lit(1)))
-    return kept.withColumn("_n", one).filter("_n = 1").select("_row.*")
+    # rows that are equal in doc_id and text are one class: one of them stays; many copies become one row a task before they are shuffled
+    others = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    tie = F.array(*(F.struct(c.isNull().alias("none"), c.cast("string").alias("value")) for c in others)) if others else F.lit(0)
+    return kept.groupBy("_mine").agg(F.min_by("_row", tie).alias("_row")).select("_row.*")
 
 
 def digest(docs: DataFrame) -> DataFrame:

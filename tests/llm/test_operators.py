@@ -732,3 +732,20 @@ def test_components_in_rounds_and_at_once(spark, few):
     got = components(spark.createDataFrame(edges, "a long, b long").repartition(3), few).collect()
     assert {r["node"]: r["component"] for r in got} == {x: root[x] for x in met} and len(got) == len(met)
     assert components(spark.createDataFrame([(1, 1)], "a long, b long"), few).collect() == []
+
+
+def test_simhash_keeps_a_defined_row_of_equal_ones(spark):
+    """Rows that share doc_id and text: the one whose other columns come first, however the rows are dealt; types of any kind."""
+    rows = [(7, "a b c d e f g", s, {"k": i % 3}, bytes([i % 5]), i % 4 or None) for i, s in enumerate(["x", None, "b", "c", "b"] * 60)]
+    rows += [(9, "a b c d e f g", "a", {}, b"", 1), (8, "quite another text of some words here", None, None, None, None)]
+    kind = "doc_id long, text string, source string, `_row` map<string, int>, `_mine` binary, `_n` int"
+    seen = set()
+    for parts in (1, 5):
+        df = spark.createDataFrame(rows[::-1] if parts == 1 else rows, kind).repartition(parts)
+        out = simhash.deduplicated(df)
+        assert out.columns == df.columns
+        seen.add(tuple(sorted(map(str, out.collect()))))
+    assert len(seen) == 1
+    first, second = sorted(out.collect(), key=lambda r: r["doc_id"])
+    want = min((r for r in rows if r[0] == 7 and r[2] == "b"), key=lambda r: (f"{{k -> {r[3]['k']}}}", r[4], r[5] is None, str(r[5])))
+    assert tuple(first) == want and tuple(second) == rows[-1]
