@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,14 +119,25 @@ _CAST_OF = {
 }
 
 
+def _cast_target(wanted: str) -> str:
+    """The Spark type that a text is read as for a logical, database or Spark type name."""
+    from probity.operators.schema import database_family
+
+    name = wanted.strip().lower()
+    target = name if re.fullmatch(r"decimal\(\d+(,\s*\d+)?\)", name) else _CAST_OF.get(database_family(name))
+    if target is None:
+        raise ValueError(f"no text can be tested for the type {wanted}")
+    return target
+
+
 def _value_type(chk, df):
-    """S5 / E27 / E31 on text: a non-null value that does not convert (``try_cast``)
-    to the wanted type (any of the list) is unexpected."""
+    """E27 / E31 / C4 on text: a non-null value that does not convert (``try_cast``)
+    to the wanted type (any of the list) is unexpected.  A type that no text converts to is an error of the check."""
     c = _col(df, chk.column)
     wanted = [chk.p("type_")] if chk.kind == "column_values_to_be_of_type" else list(chk.p("type_list"))
     ok = F.lit(False)
     for w in wanted:
-        target = _CAST_OF.get(str(w).lower(), str(w))
+        target = _cast_target(str(w))
         ok = ok | c.cast("string").try_cast(target).isNotNull()
     return RowRule(missing=c.isNull(), bad=~ok)
 

@@ -432,6 +432,33 @@ def suggest_checks(
     return spark.createDataFrame(rows, SUGGEST_DDL)
 
 
+def not_suggested(profile: DataFrame, max_domain: int = 20) -> DataFrame:
+    """V7: what ``suggest_checks`` does not propose for a profiled column and why, one row per column and kind.
+
+    table_name, column_name, kind, reason (empty table / nulls / repeats / no order statistics / too many values, with ``max_domain`` / not a text) and
+    observed: the null rate, the distinct ratio or the number of values that decided, null where none did."""
+    empty = F.col("row_count") == 0
+
+    def kind(name: str, *reasons: tuple[Column, str], observed: Column) -> Column:
+        why = F.when(empty, F.lit("empty table"))
+        for cond, text in reasons:
+            why = why.when(cond, F.lit(text))
+        return F.struct(F.lit(name).alias("kind"), why.alias("reason"), F.when(~empty, observed).cast("double").alias("observed"))
+
+    distinct = F.col("distinct_count")
+    kinds = F.array(
+        kind("column_values_to_not_be_null", (F.col("null_count") > 0, "nulls"), observed=F.col("null_rate")),
+        kind("column_values_to_be_unique", (F.col("distinct_ratio").isNull(), "not counted"), (F.col("distinct_ratio") != 1.0, "repeats or nulls"), observed=F.col("distinct_ratio")),
+        kind("column_values_to_be_between", (F.col("p01").isNull(), "no order statistics"), observed=F.lit(None)),
+        kind(
+            "column_values_to_be_in_set", (F.col("data_type") != "string", "not a text"), (distinct.isNull(), "not counted"), (distinct == 0, "no values"),
+            (distinct > max_domain, f"more than {max_domain} values"), observed=F.when(F.col("data_type") == "string", distinct),
+        ),
+    )
+    out = profile.select("table_name", "column_name", F.explode(kinds).alias("k")).select("table_name", "column_name", "k.*")
+    return out.where(F.col("reason").isNotNull())
+
+
 def suggestions_to_checks(suggestions: DataFrame) -> list[Check]:
     out = []
     for r in suggestions.collect():  # bounded: a few rows per column

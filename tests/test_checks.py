@@ -761,3 +761,26 @@ def test_conditions_of_parallel_reads(spark):
     sizes(split_predicates(["a", "b"], [], 6))
     sizes(split_predicates(["a"], [(10**6,), (10**7,)], 3))
     assert sum(sizes(hash_predicates(["b", "i"], 5))) == 3000
+
+
+def test_value_types_of_texts(spark):
+    df = spark.createDataFrame([("1", "2001-02-28", "1.5"), ("x", "2001-02-29", "nan?"), (None, None, None), ("-7", "", "2")], "a string, d string, n string")
+    of = lambda col, t: Check("t", "column_values_to_be_of_type", col, {"type_": t, "value_test": True}, check_id=f"{col}:{t}")
+    got = {r["check_id"]: r for r in validate({"t": df}, [of("a", "int unsigned"), of("d", "date"), of("n", "decimal(5,2)"), of("n", "integer"), of("a", "varchar(3)"), of("a", "array")]).collect()}
+    assert {k: r["unexpected_count"] for k, r in got.items()} == {"a:int unsigned": 1, "d:date": 2, "n:decimal(5,2)": 1, "n:integer": 2, "a:varchar(3)": 0, "a:array": None}
+    assert all(r["missing_count"] == 1 for k, r in got.items() if k != "a:array") and got["a:array"]["success"] is None
+
+
+def test_reasons_for_what_is_not_proposed(spark):
+    from probity.operators.profile import profile
+    from probity.plans.report import not_suggested
+
+    df = spark.createDataFrame([(i, f"v{i % 5}", None if i % 2 else 1.5) for i in range(20)], "k int, s string, x double")
+    why = lambda p, **kw: {(r["column_name"], r["kind"].removeprefix("column_values_to_")): (r["reason"], r["observed"]) for r in not_suggested(p, **kw).collect()}
+    got = why(profile(df, "t"), max_domain=4)
+    assert got == {
+        ("k", "be_in_set"): ("not a text", None), ("s", "be_unique"): ("repeats or nulls", 0.25), ("s", "be_between"): ("no order statistics", None),
+        ("s", "be_in_set"): ("more than 4 values", 5.0), ("x", "not_be_null"): ("nulls", 0.5), ("x", "be_unique"): ("repeats or nulls", 0.05), ("x", "be_in_set"): ("not a text", None),
+    }
+    assert ("s", "be_in_set") not in why(profile(df, "t"), max_domain=5)
+    assert set(why(profile(df.limit(0), "t")).values()) == {("empty table", None)}
