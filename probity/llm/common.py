@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from probity.session import checkpoint_dir
+
 #: Words are maximal runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,17 +16,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session. Unset, a local master gets a temporary one; a cluster must name a shared one."""
+    """The checkpoint folder that the session has set, or else the one that ``checkpoint_dir`` finds for it."""
     sc = spark.sparkContext
-    if (current := sc.getCheckpointDir()) is not None:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not (sc.master.startswith("local[") or sc.master == "local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoint-")
-    sc.setCheckpointDir(folder)
-    return folder
+    if sc.getCheckpointDir() is None:
+        checkpoint_dir(spark)
+    return sc.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ above the k-th, and of those equal to it the smallest ids.
 
 A task hands on only the bins down to its own k-th best score (the k-th best of all cannot lie lower), so at most k
 counts a query, and in the last pass at most k scores a query. Queries meet the corpus block by block: the queries are
-a stated set, joined against all rows in blocks. Nothing but a round number passes through the driver.
+a stated set, joined against all rows in blocks, in the cells of a grid whose sides follow the numbers of queries and
+vectors. Nothing but these numbers passes through the driver.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; a query and a vector of
 different lengths are not scored; an empty vector scores 0 with others; rows with one id are separate vectors, and a
@@ -74,11 +75,21 @@ def _scores(q: dict, c: dict) -> np.ndarray:
     return s
 
 
-def _pairs(queries: DataFrame, corpus: DataFrame, groups: int) -> DataFrame:
-    """Every block of queries with every block of vectors of the same length: each query block goes once to each of the
-    ``groups`` that the vector blocks are dealt into."""
-    q = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("q_group"))
-    return corpus.join(q, (F.col("dim") == F.col("q_dim")) & (F.col("group") == F.col("q_group")))
+def grid(queries: int, vectors: int, cells: int) -> tuple[int, int]:
+    """(rows, columns) of about ``cells`` cells: queries are dealt into rows and copied to every column, vectors the other way,
+    so ``columns * queries + rows * vectors`` are shuffled; it is least at these sides."""
+    rows = min(cells, max(1, round((cells * queries / max(1, vectors)) ** 0.5)))
+    return rows, max(1, cells // rows)
+
+
+def _pairs(queries: DataFrame, corpus: DataFrame, sides: tuple[int, int]) -> DataFrame:
+    """Every block of queries with every block of vectors of the same length, once: a block of queries stands in one row of
+    the grid and a block of vectors in one column."""
+    rows, columns = sides
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns), F.pmod(F.xxhash64("numbers"), F.lit(rows)).alias("q_row"), all_of(columns).alias("q_group"))
+    c = corpus.withColumn("group", F.pmod("group", F.lit(columns))).withColumn("row", all_of(rows) if rows > 1 else F.lit(0))
+    return c.join(q, (F.col("dim") == F.col("q_dim")) & (F.col("group") == F.col("q_group")) & (F.col("row") == F.col("q_row")))
 
 
 def _blocks_of(batch: pa.RecordBatch) -> Iterator[tuple[dict, dict]]:
@@ -127,8 +138,8 @@ def _kept(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.mapInArrow(each, "number long, query_id long, vec_id long, score long")
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, bins: int = BINS) -> DataFrame:
-    """``vectors`` and ``queries`` (id, vector, row: a number that names each vector's row, null for a query that is no row
+def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE, bins: int = BINS, sides: tuple[int, int] | None = None) -> DataFrame:
+    """``sides``: rows and columns of the grid of blocks, by default ``grid`` of the numbers of rows. ``vectors`` and ``queries`` (id, vector, row: a number that names each vector's row, null for a query that is no row
     of ``vectors``) -> query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     n = partitions(spark)
@@ -142,6 +153,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
     asked = cut(asked.repartition(n))
     ready = whole_rows(vectors)
     corpus = cut(_packed(ready.repartition(n, F.xxhash64("own")), BLOCK, ["own"]).withColumn("group", F.spark_partition_id()))
+    sides = sides or grid(asked.count(), corpus.agg(F.sum("n")).first()[0] or 0, n)
     longest = ready.groupBy(F.size("ints").alias("_dim")).agg(F.max(norm(F.col("ints"))).alias("_norm"))
     # no score is outside the product of the norms
     reach = (F.ceil(F.col("norm") * F.col("_norm")) + 1).cast("long")
@@ -152,7 +164,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
         blocks = cut(_packed(now.select("id", "ints", "own", F.col("number").alias("numbers"), "lo", "width"), QUERY_BLOCK, ["own", "numbers", "lo", "width"]))
         if not edges.filter("width > 0").limit(1).count():
             break
-        counts = _count(_pairs(blocks, corpus, n), k, bins)
+        counts = _count(_pairs(blocks, corpus, sides), k, bins)
         # a query's bins are few: at most k from each block that reach the best bins
         total = counts.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("bin", "n")), asc=False).alias("b"))
         zero = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(-1).cast("long").alias("bin"))
@@ -162,7 +174,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCAL
         # fewer than k scores in all: the edge stays at the lowest bin that has any
         low = F.col("lo") + F.coalesce("_bin", F.lit(0)) * F.col("width")
         edges = cut(joined.select("number", low.alias("lo"), F.when(F.col("width") <= 1, 0).otherwise(F.ceil(F.col("width") / bins)).cast("long").alias("width")))
-    return _ranked(_kept(_pairs(blocks, corpus, n), k), k)
+    return _ranked(_kept(_pairs(blocks, corpus, sides), k), k)
 
 
 def _ranked(rows: DataFrame, k: int) -> DataFrame:

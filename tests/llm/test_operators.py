@@ -322,6 +322,19 @@ def test_topk(spark):
     got = sorted(tuple(r) for r in topk.digest(df).select("query_id", "rank", "vec_id", "score").collect())
     assert got == sorted(want)
     assert topk.digest(spark.createDataFrame([], VEC)).count() == 0
+    ids = df.selectExpr("vec_id AS id", "embedding AS vector", "monotonically_increasing_id() AS row").checkpoint()
+    for sides in ((3, 2), (1, 7)):
+        again = topk.search(ids, ids.filter("id % 50 = 0"), sides=sides)
+        assert sorted(tuple(r) for r in again.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
+
+
+def test_grid():
+    """The sides shuffle no more than any others of about as many cells, and never fewer than one cell."""
+    for queries, vectors, cells in ((20, 1000, 8), (2_000_000, 100_000_000, 2000), (0, 0, 4), (5, 5, 9), (100, 1, 4), (1, 10**9, 211)):
+        rows, columns = topk.grid(queries, vectors, cells)
+        assert 1 <= rows * columns <= cells
+        least = min(cells / r * queries + r * vectors for r in range(1, cells + 1))
+        assert columns * queries + rows * vectors <= 1.3 * least + 1
 
 
 # --- secrets
